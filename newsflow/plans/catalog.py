@@ -10,7 +10,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsflow import sites as S
+from newsflow.functions import crypto as CR
+from newsflow.functions import dates as D
+from newsflow.functions import text as T
+from newsflow.operators import combine as C
+from newsflow.operators import extract as X
+from newsflow.operators import lineage as L
 from newsflow.operators import mentions as M
+from newsflow.operators import sentiment as SE
+from newsflow.plans import mentions_job as MJ
+from newsflow.session import scratch_path
+from newsflow.sources import jsonio as J
 from newsflow.operators.tagging import RuleTagger, rule_persons, split_sentences
 from newsflow.plans import bindings as B
 from newsflow.plans import sqlkit as Q
@@ -112,3 +123,266 @@ def q_person_context(spark, sf_dir):
     df = M.person_context(_docs(spark, sf_dir, "doc_id", "text"), text_col="text", keep=["doc_id"])
     return df.select("doc_id", "sentence_no", "chunk_no",
                      M.persons_string(F.col("persons")).alias("persons"), "chunk")
+
+
+# --- T1 / T2 / T3 / T4 ---------------------------------------------------------
+
+@query("collapse_ws", f"""
+  SELECT conv_id, turn, {Q.collapse('text')} AS collapsed, {Q.strip('text')} AS stripped,
+         lower({Q.collapse('text')}) AS lowered
+  FROM conversations""")
+def q_collapse_ws(spark, sf_dir):
+    c = B.table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", T.collapse_ws("text").alias("collapsed"),
+                    T.strip_ws("text").alias("stripped"), T.lower(T.collapse_ws("text")).alias("lowered"))
+
+
+@query("strip_boilerplate", f"""
+  SELECT doc_id, site,
+         CASE WHEN site = 'nessma'
+              THEN {Q.strip("replace(" + Q.collapse('art_content') + ", '" + S.BY_NAME['nessma'].boilerplate + "', '')")}
+              ELSE {Q.collapse('art_content')} END AS art_content
+  FROM ({B.ARTICLES_SQL})""")
+def q_strip_boilerplate(spark, sf_dir):
+    a = B.articles_from_documents(_docs(spark, sf_dir, "doc_id", "text", "source"))
+    return a.select("doc_id", "site", X.clean_body(F.col("art_content"), F.col("site")).alias("art_content"))
+
+
+# --- D1-D6 -------------------------------------------------------------------
+
+def _events(spark, sf_dir):
+    return B.table(spark, sf_dir, "events").select("event_id", "ts")
+
+
+@query("date_strict", """
+  SELECT event_id, variant, date_text,
+         try_strptime(replace(trim(date_text), 'à', ' '), '%d/%m/%Y %H:%M') AS parsed
+  FROM (SELECT event_id, unnest([0, 1]) AS variant,
+               unnest([strftime(ts, '%d/%m/%Y') || ' à ' || strftime(ts, '%H:%M'),
+                       strftime(ts, '%-d/%-m/%Y') || ' À ' || strftime(ts, '%-H:%M')]) AS date_text
+        FROM events)""")
+def q_date_strict(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    texts = F.array(F.concat(F.date_format("ts", "dd/MM/yyyy"), F.lit(" à "), F.date_format("ts", "HH:mm")),
+                    F.concat(F.date_format("ts", "d/M/yyyy"), F.lit(" À "), F.date_format("ts", "H:mm")))
+    return (e.select("event_id", F.posexplode(texts).alias("variant", "date_text"))
+             .select("event_id", F.col("variant").cast("bigint").alias("variant"), "date_text",
+                     D.parse_strict_dmy_hm(F.col("date_text")).alias("parsed")))
+
+
+def _render_free(ts):
+    """Four spellings of one timestamp: French, Arabic (Maghreb names,
+    Arabic-Indic digits), English, numeric day-first."""
+    month = F.month(ts)
+    fr = F.element_at(F.array(*[F.lit(m) for m in D.MONTHS_FR]), month)
+    ar = F.element_at(F.array(*[F.lit(m) for m in D.MONTHS_AR_MAGHREB]), month)
+    en = F.element_at(F.array(*[F.lit(m.capitalize()) for m in D.MONTHS_EN]), month)
+    day, year, hm = F.date_format(ts, "d"), F.date_format(ts, "yyyy"), F.date_format(ts, "HH:mm")
+    arabic = lambda c: F.translate(c, "0123456789", D.ARABIC_INDIC_DIGITS)
+    return F.array(
+        F.concat_ws(" ", day, fr, year, F.lit("à"), hm),
+        F.concat_ws(" ", arabic(day), ar, arabic(year), F.lit("-"), hm),
+        F.concat(en, F.lit(" "), day, F.lit(", "), year, F.lit(" "), hm),
+        F.concat(F.date_format(ts, "dd/MM/yyyy"), F.lit(" "), hm))
+
+
+_FREE_SQL = ("[strftime(ts, '%-d') || ' ' || (" + str(D.MONTHS_FR) + ")[month(ts)] || ' ' || strftime(ts, '%Y') "
+             "|| ' à ' || strftime(ts, '%H:%M'), "
+             f"translate(strftime(ts, '%-d'), '0123456789', '{D.ARABIC_INDIC_DIGITS}') || ' ' || ("
+             + str(D.MONTHS_AR_MAGHREB) + ")[month(ts)] || ' ' || "
+             f"translate(strftime(ts, '%Y'), '0123456789', '{D.ARABIC_INDIC_DIGITS}') || ' - ' || strftime(ts, '%H:%M'), "
+             "(" + str([m.capitalize() for m in D.MONTHS_EN]) + ")[month(ts)] || ' ' || strftime(ts, '%-d') || ', ' "
+             "|| strftime(ts, '%Y') || ' ' || strftime(ts, '%H:%M'), "
+             "strftime(ts, '%d/%m/%Y') || ' ' || strftime(ts, '%H:%M')]")
+
+
+@query("date_multilingual", f"""
+  SELECT event_id, variant, date_text, date_trunc('minute', ts) AS parsed
+  FROM (SELECT event_id, ts, unnest(range(0, 4)) AS variant, unnest({_FREE_SQL}) AS date_text FROM events)""")
+def q_date_multilingual(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    return (e.select("event_id", F.posexplode(_render_free(F.col("ts"))).alias("variant", "date_text"))
+             .select("event_id", F.col("variant").cast("bigint").alias("variant"), "date_text",
+                     D.parse_free(F.col("date_text")).alias("parsed")))
+
+
+@query("date_iso_or_free", f"""
+  SELECT event_id, variant, date_text, CASE WHEN variant = 0 THEN ts ELSE date_trunc('minute', ts) END AS parsed
+  FROM (SELECT event_id, ts, unnest([0, 1]) AS variant,
+               unnest([strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), ({_FREE_SQL})[1]]) AS date_text FROM events)""")
+def q_date_iso_or_free(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    texts = F.array(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), _render_free(F.col("ts"))[0])
+    return (e.select("event_id", F.posexplode(texts).alias("variant", "date_text"))
+             .select("event_id", F.col("variant").cast("bigint").alias("variant"), "date_text",
+                     D.parse_iso_or_free(F.col("date_text")).alias("parsed")))
+
+
+@query("json_time", """
+  SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S')
+         || CASE WHEN strftime(ts, '%f') <> '000000' THEN '.' || strftime(ts, '%f') ELSE '' END AS rendered
+  FROM events""")
+def q_json_time(spark, sf_dir):
+    return _events(spark, sf_dir).select("event_id", D.render_ts(F.col("ts")).alias("rendered"))
+
+
+# --- P1 / P2 / D5 / U1 / A2 / S4 / K1 / K2 -----------------------------------------
+
+@query("add_lineage", f"""
+  SELECT doc_id, site, art_category, inactive, country_code, scrapped_by, art_source, art_creation_date
+  FROM ({B.ARTICLES_SQL})""")
+def q_add_lineage(spark, sf_dir):
+    d = _docs(spark, sf_dir, "doc_id").withColumn("site", S.site_of(F.col("doc_id")))
+    out = L.add_lineage(L.add_constants(d), run_ts=B.TEST_RUN_TS)
+    return out.select("doc_id", "site", "art_category", "inactive", "country_code", "scrapped_by",
+                      "art_source", "art_creation_date")
+
+
+@query("article_counts", f"""
+  SELECT site, count(*) AS n_articles FROM ({B.ARTICLES_SQL}) GROUP BY site""")
+def q_article_counts(spark, sf_dir):
+    a = B.articles_from_documents(_docs(spark, sf_dir, "doc_id", "text", "source"))
+    return C.count_by_site(a, "n_articles")
+
+
+_JSON_COLS = ("art_url, art_title, art_published_at, art_type, art_content, art_category, inactive, "
+              "country_code, scrapped_by, art_source, art_creation_date")
+_ARTICLES_AS_JSON_SQL = f"""
+  SELECT site, art_url, art_title, strftime(art_published_at, '%Y-%m-%d %H:%M:%S') AS art_published_at,
+         art_type, art_content, art_category, inactive, country_code, scrapped_by, art_source,
+         strftime(art_creation_date, '%Y-%m-%d %H:%M:%S') AS art_creation_date
+  FROM ({B.ARTICLES_SQL})"""
+
+
+@query("json_roundtrip", f"SELECT {_JSON_COLS} FROM ({_ARTICLES_AS_JSON_SQL})")
+def q_json_roundtrip(spark, sf_dir):
+    """K2 combined JSON sink then S4 scan: the values survive the boundary."""
+    a = B.articles_from_documents(_docs(spark, sf_dir, "doc_id", "text", "source"))
+    path = scratch_path(spark, "articles-json")
+    J.write_articles_json(a.select(*L.ARTICLE_FIELDS), path, partition_by=None)
+    return J.read_articles_json(spark, path)
+
+
+@query("union_sites", f"""
+  SELECT CAST(list_position({list(S.UNION_ORDER)}, site) - 1 AS INTEGER) AS source_ord, {_JSON_COLS}
+  FROM ({_ARTICLES_AS_JSON_SQL})""")
+def q_union_sites(spark, sf_dir):
+    """K1 per-site JSON sink, S4 per-site scan (partition pruned), U1 union:
+    only webdo files carry art_type; the other sites get NULL."""
+    a = B.articles_from_documents(_docs(spark, sf_dir, "doc_id", "text", "source"))
+    path = scratch_path(spark, "site-json")
+    J.write_articles_json(a.select("site", *L.ARTICLE_FIELDS), path, partition_by="site")
+    no_type = J.T.StructType([f for f in J.ARTICLE_JSON.fields if f.name != "art_type"])
+    frames = {s.site: J.read_articles_json(spark, f"{path}/site={s.site}",
+                                           J.ARTICLE_JSON if s.type_sel else no_type)
+              for s in S.SITES}
+    return C.union_sites(frames).select("source_ord", *L.ARTICLE_FIELDS)
+
+
+# --- N4 / N5 / P3 / P4 / C1 / C2 / S5 --------------------------------------------
+
+# Test lexicon (word -> integer weight) chosen among words that occur in the
+# driver's invented text; a real deployment passes its own lexicon or model.
+FIXTURE_LEXICON = {"rewh": 2, "orre": 1, "inoran": -1, "thatin": -2, "ononst": 1, "hehely": -1,
+                   "orantion": 2, "and": 1, "of": -1, "to": 1, "der": 1, "und": -1, "that": -1,
+                   "license": -2, "licensed": -1, "version": 1, "que": 1, "de": -1, "sich": 2,
+                   "under": -2, "the": 0}
+# Fixed test key: the public Fernet specification's example key.
+FIXTURE_KEY = "cw_0x689RpI-jtRR7oE8h_eQsKImvJapLeSbXpwF4e4="
+
+_LEX_SQL = "(VALUES " + ", ".join(f"('{k}', {v})" for k, v in FIXTURE_LEXICON.items()) + ") AS lex(word, weight)"
+_SCORED_SQL = f"""
+  SELECT c.doc_id, c.sentence_no, c.chunk_no, c.persons, c.chunk,
+         CAST(coalesce(h.n, 0) AS BIGINT) AS hits,
+         CAST(CASE WHEN coalesce(h.n, 0) = 0 THEN 3
+                   WHEN 5 * h.s < -3 * h.n THEN 1
+                   WHEN 5 * h.s < -h.n THEN 2
+                   WHEN 5 * h.s <= h.n THEN 3
+                   WHEN 5 * h.s <= 3 * h.n THEN 4 ELSE 5 END AS BIGINT) AS stars
+  FROM ({Q.DOC_CHUNKS}) c
+  LEFT JOIN (SELECT doc_id, sentence_no, chunk_no, sum(weight) AS s, count(*) AS n
+             FROM (SELECT doc_id, sentence_no, chunk_no,
+                          unnest(regexp_extract_all(lower(chunk), '\\p{{L}}+')) AS w FROM ({Q.DOC_CHUNKS})) t
+             JOIN {_LEX_SQL} ON t.w = lex.word
+             GROUP BY ALL) h
+  USING (doc_id, sentence_no, chunk_no)"""
+_LABEL_SQL = "CASE stars " + " ".join(
+    f"WHEN {i} THEN '{v}'" for i, v in enumerate(SE.STAR_LABELS.values(), start=1)) + " END"
+
+
+def _mentions_clear(spark, sf_dir, with_meta: bool):
+    docs = _docs(spark, sf_dir, "doc_id", "text", "source")
+    arts = B.articles_from_documents(docs) if with_meta else docs.withColumnRenamed("text", "art_content")
+    keep = [c for c in arts.columns if c not in ("art_content", "source")]
+    return MJ.mention_rows(arts.select(*keep, "art_content"), SE.LexiconScorer(FIXTURE_LEXICON))
+
+
+@query("chunk_sentiment", f"SELECT doc_id, sentence_no, chunk_no, hits, stars FROM ({_SCORED_SQL})")
+def q_chunk_sentiment(spark, sf_dir):
+    pc = M.person_context(_docs(spark, sf_dir, "doc_id", "text"), text_col="text", keep=["doc_id"])
+    return SE.LexiconScorer(FIXTURE_LEXICON).score(pc).select("doc_id", "sentence_no", "chunk_no", "hits", "stars")
+
+
+@query("star_label", f"SELECT doc_id, sentence_no, chunk_no, {_LABEL_SQL} AS sentiment FROM ({_SCORED_SQL})")
+def q_star_label(spark, sf_dir):
+    pc = M.person_context(_docs(spark, sf_dir, "doc_id", "text"), text_col="text", keep=["doc_id"])
+    return SE.add_sentiment(pc, SE.LexiconScorer(FIXTURE_LEXICON)).select(
+        "doc_id", "sentence_no", "chunk_no", "sentiment")
+
+
+_META_COLS = ("doc_id, site, art_url, art_title, art_published_at, art_type, art_category, inactive, "
+              "country_code, scrapped_by, art_source, art_creation_date")
+
+
+@query("attach_metadata", f"""
+  SELECT {_META_COLS}, sentence_no, chunk_no, array_to_string(persons, ',') AS Persons,
+         chunk AS Context, {_LABEL_SQL} AS Sentiment
+  FROM ({_SCORED_SQL}) m JOIN ({B.ARTICLES_SQL}) a USING (doc_id)""")
+def q_attach_metadata(spark, sf_dir):
+    """P3 (content dropped) + P4 (metadata carried through, no join)."""
+    return _mentions_clear(spark, sf_dir, with_meta=True)
+
+
+@query("encrypt_roundtrip", f"""
+  SELECT doc_id, sentence_no, chunk_no, array_to_string(persons, ',') AS Persons, chunk AS Context,
+         {_LABEL_SQL} AS Sentiment,
+         CAST(((57 + 16 * (strlen(chunk) // 16 + 1) + 2) // 3) * 4 AS BIGINT) AS context_token_len,
+         'gAAAAA' AS token_prefix
+  FROM ({_SCORED_SQL})""")
+def q_encrypt_roundtrip(spark, sf_dir):
+    """C1 then C2 on the three mention fields: decrypt(encrypt(x)) == x."""
+    clear = _mentions_clear(spark, sf_dir, with_meta=False)
+    enc = CR.encrypt_columns(clear, ["Persons", "Context", "Sentiment"], FIXTURE_KEY)
+    return enc.select("doc_id", "sentence_no", "chunk_no",
+                      *[CR.decrypt(F.col(c), FIXTURE_KEY).alias(c) for c in ("Persons", "Context", "Sentiment")],
+                      F.length("Context").cast("bigint").alias("context_token_len"),
+                      F.substring("Context", 1, 6).alias("token_prefix"))
+
+
+@query("decrypt_invalid", f"""
+  SELECT doc_id, '{CR.INVALID_TOKEN_MESSAGE}' AS tampered, '{CR.INVALID_TOKEN_MESSAGE}' AS other_key,
+         '{CR.INVALID_TOKEN_MESSAGE}' AS not_base64
+  FROM documents""")
+def q_decrypt_invalid(spark, sf_dir):
+    """C2 failure paths: a changed body character, another key, non-base64 text."""
+    d = _docs(spark, sf_dir, "doc_id", "text")
+    tok = CR.encrypt_columns(d, ["text"], FIXTURE_KEY).withColumnRenamed("text", "tok")
+    c30 = F.substring("tok", 30, 1)
+    tampered = F.overlay("tok", F.when(c30 == "A", F.lit("B")).otherwise(F.lit("A")), 30, 1)
+    other = "TUFMe0YvZm9MTGM4V2R2bnFrWU5ZdjVRb1ZqNGhDTWM="
+    return tok.select("doc_id", CR.decrypt(tampered, FIXTURE_KEY).alias("tampered"),
+                      CR.decrypt(F.col("tok"), other).alias("other_key"),
+                      CR.decrypt(F.concat(F.lit("!"), F.col("tok")), FIXTURE_KEY).alias("not_base64"))
+
+
+@query("sample_mention", f"""
+  SELECT doc_id, sentence_no, chunk_no, array_to_string(persons, ',') AS Persons, chunk AS Context,
+         {_LABEL_SQL} AS Sentiment
+  FROM ({_SCORED_SQL}) ORDER BY doc_id, sentence_no, chunk_no LIMIT 1""")
+def q_sample_mention(spark, sf_dir):
+    """S5 find_one + decrypt: the first stored mention, decrypted."""
+    clear = _mentions_clear(spark, sf_dir, with_meta=False)
+    enc = CR.encrypt_columns(clear, ["Persons", "Context", "Sentiment"], FIXTURE_KEY)
+    one = J.sample(enc, ["doc_id", "sentence_no", "chunk_no"])
+    return one.select("doc_id", "sentence_no", "chunk_no",
+                      *[CR.decrypt(F.col(c), FIXTURE_KEY).alias(c) for c in ("Persons", "Context", "Sentiment")])

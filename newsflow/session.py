@@ -27,6 +27,7 @@ def build_session(master: str = "local[*]", app: str = "newsflow",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("NEWSFLOW_DRIVER_MEM", "8g")))
     for k, v in {**JOB_CONF, **(extra or {})}.items():
