@@ -75,9 +75,11 @@ class GazetteerTagger:
         self.names = names
         self.max_words = max(1, min(max_words, max(len(n.split()) for n in names) if names else 1))
 
-    def sentence_persons(self, sentence: Column) -> Column:
+    def tokens_persons(self, toks: Column) -> Column:
+        """Names in one sentence's word array (a bound lambda variable, so it is
+        evaluated once): longest match at each position, then a left-to-right
+        fold over the matching positions only, skipping overlaps."""
         lookup = F.create_map(*[x for n in self.names for x in (F.lit(n), F.lit(True))])
-        toks = F.regexp_extract_all(sentence, F.lit(WORD), 0)
         n = F.size(toks)
 
         def gram(i, k):
@@ -90,21 +92,28 @@ class GazetteerTagger:
                 out = F.when(hit, F.lit(k)).otherwise(out)
             return out
 
+        first = F.array(*[F.lit(w) for w in sorted({x.split()[0] for x in self.names})])
+        low = F.transform(toks, F.lower)
+        positions = F.filter(F.sequence(F.lit(0), n),
+                             lambda i: (i < n) & F.array_contains(first, F.element_at(low, i + 1)))
+        cands = F.filter(F.transform(positions, lambda i: F.struct(i.alias("i"), longest(i).alias("k"))),
+                         lambda c: c["k"] > 0)
         start = F.struct(F.lit(0).alias("nxt"), F.array().cast("array<string>").alias("out"))
 
-        def step(acc, i):
-            k = longest(i)
-            take = (i >= acc["nxt"]) & (k > 0)
-            return F.when(take, F.struct((i + k).alias("nxt"),
-                                         F.array_append(acc["out"], gram(i, k)).alias("out"))
+        def step(acc, c):
+            return F.when(c["i"] >= acc["nxt"],
+                          F.struct((c["i"] + c["k"]).alias("nxt"),
+                                   F.array_append(acc["out"], gram(c["i"], c["k"])).alias("out"))
                           ).otherwise(acc)
 
-        positions = F.filter(F.sequence(F.lit(0), n), lambda i: i < n)
-        return F.aggregate(positions, start, step, lambda acc: acc["out"])
+        found = F.aggregate(cands, start, step, lambda acc: acc["out"])
+        # Native pre-check: most sentences contain no first word of any name.
+        return F.when(F.arrays_overlap(low, first), found).otherwise(F.array().cast("array<string>"))
 
     def tag(self, df: DataFrame, text_col: str) -> DataFrame:
+        words = F.transform("sents", lambda s: F.regexp_extract_all(s, F.lit(WORD), 0))
         return (df.withColumn("sents", split_sentences(F.col(text_col)))
-                  .withColumn("persons", F.transform("sents", self.sentence_persons)))
+                  .withColumn("persons", F.transform(words, self.tokens_persons)))
 
 
 _MODELS: dict = {}

@@ -99,3 +99,36 @@ CRAWL_SQL = f"""
          {site_of_sql('page_id')} AS site
   FROM pages
 """
+
+
+# Markup of the driver's landed pages: links in nav/li/a, title h1, body the
+# paragraphs of <article> (last one dropped), no date or category element.
+# Each site keeps its own lineage, prefix and date mode.
+def pages_profiles() -> dict:
+    import dataclasses
+    return {s.site: dataclasses.replace(
+                s, container=("nav", None), card=("li", None), link=("a", None),
+                title=("h1", None), title_child=None, date=("time", "published"),
+                body_kind="paragraphs", body=(("article", None),),
+                type_sel=("a", "category") if s.type_sel else None)
+            for s in S.SITES}
+
+
+def html_text_sql(x: str) -> str:
+    """Oracle: tags removed, the entities present in the pages decoded."""
+    t = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        t = f"replace({t}, '{ent}', '{ch}')"
+    return t
+
+
+# Paragraph body of <article>: split on <p>, each piece up to </p>; text nodes
+# stripped and glued; all but the last paragraph joined by a space.
+def paragraphs_sql(html: str) -> str:
+    art = f"regexp_extract({html}, '(?s)<article>(.*?)</article>', 1)"
+    pieces = f"list_transform(string_split({art}, '<p>')[2:], lambda x: split_part(x, '</p>', 1))"
+    node = "list_filter(list_transform(regexp_split_to_array(y, '<[^>]*>'), lambda z: " + \
+           Q.strip(html_text_sql("z")) + "), lambda z: z <> '')"
+    texts = f"list_transform({pieces}, lambda y: array_to_string({node}, ''))"
+    return (f"CASE WHEN len({pieces}) = 0 THEN NULL ELSE "
+            f"{Q.collapse(f'array_to_string(({texts})[1:len({texts}) - 1], chr(32))')} END")

@@ -19,6 +19,10 @@ from newsflow.operators import extract as X
 from newsflow.operators import lineage as L
 from newsflow.operators import mentions as M
 from newsflow.operators import sentiment as SE
+from newsflow.operators import translate as TR
+from newsflow.operators.tagging import GazetteerTagger
+from newsflow.plans import articles_job as AJ
+from newsflow.sources import crawl as FR
 from newsflow.plans import mentions_job as MJ
 from newsflow.session import scratch_path
 from newsflow.sources import jsonio as J
@@ -386,3 +390,210 @@ def q_sample_mention(spark, sf_dir):
     one = J.sample(enc, ["doc_id", "sentence_no", "chunk_no"])
     return one.select("doc_id", "sentence_no", "chunk_no",
                       *[CR.decrypt(F.col(c), FIXTURE_KEY).alias(c) for c in ("Persons", "Context", "Sentiment")])
+
+
+# --- S1 / S2 / S3 / X1-X9 / A1 -------------------------------------------------------
+
+def _crawl(spark, sf_dir):
+    return B.crawl_from_pages(B.table(spark, sf_dir, "pages"))
+
+
+_TEMPLATE_SQL = B._case("list_template")
+
+
+def _frontier(spark, sf_dir):
+    """S1 with depth = number of landed pages per site."""
+    depth = C.count_by_site(_crawl(spark, sf_dir), "n_pages")
+    return FR.frontier(depth)
+
+
+@query("frontier_urls", f"""
+  SELECT site, page_no, replace({_TEMPLATE_SQL}, '{{i}}', CAST(page_no AS VARCHAR)) AS url
+  FROM (SELECT site, unnest(range(1, count(*) + 1)) AS page_no FROM ({B.CRAWL_SQL}) GROUP BY site)""")
+def q_frontier_urls(spark, sf_dir):
+    return _frontier(spark, sf_dir)
+
+
+@query("crawl_pages", f"""
+  SELECT r.site, r.url, c.status_code, CAST(length(c.html) AS BIGINT) AS html_chars
+  FROM (SELECT site, replace({_TEMPLATE_SQL}, '{{i}}', CAST(page_no AS VARCHAR)) AS url
+        FROM (SELECT site, unnest(range(1, count(*) + 1)) AS page_no FROM ({B.CRAWL_SQL}) GROUP BY site)
+        UNION ALL SELECT site, url FROM ({B.CRAWL_SQL})) r
+  LEFT JOIN ({B.CRAWL_SQL}) c ON r.url = c.url""")
+def q_crawl_pages(spark, sf_dir):
+    """Requested URLs (list frontier + article URLs) left-joined to the
+    landed crawl; a NULL status is a failed fetch."""
+    crawl = _crawl(spark, sf_dir)
+    requests = _frontier(spark, sf_dir).select("site", "url").unionByName(crawl.select("site", "url"))
+    got = FR.fetch(requests, crawl)
+    return got.select("site", "url", "status_code", F.length("html").cast("bigint").alias("html_chars"))
+
+
+@query("status_ok", f"SELECT page_id, site, url FROM ({B.CRAWL_SQL}) WHERE status_code = 200")
+def q_status_ok(spark, sf_dir):
+    return FR.status_ok(_crawl(spark, sf_dir)).select("page_id", "site", "url")
+
+
+_LINKS_SQL = f"""
+  SELECT site, page_id AS page_no, CAST(i + 1 AS BIGINT) AS card_no, hrefs[i + 1] AS href
+  FROM (SELECT site, page_id, hrefs, unnest(range(0, len(hrefs))) AS i
+        FROM (SELECT site, page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS hrefs
+              FROM ({B.CRAWL_SQL})))"""
+
+
+def _links(spark, sf_dir):
+    list_pages = _crawl(spark, sf_dir).select("site", F.col("page_id").alias("page_no"), "html")
+    return X.extract_links(list_pages, B.pages_profiles())
+
+
+@query("page_links", f"SELECT site, page_no, card_no, href, false AS failed FROM ({_LINKS_SQL})")
+def q_page_links(spark, sf_dir):
+    """X1 on every landed page (list pages are parsed whatever their status)."""
+    return _links(spark, sf_dir)
+
+
+@query("links_until_error", f"SELECT site, page_no, card_no, href FROM ({_LINKS_SQL})")
+def q_links_until_error(spark, sf_dir):
+    return X.links_until_error(_links(spark, sf_dir)).select("site", "page_no", "card_no", "href")
+
+
+@query("absolute_links", f"""
+  SELECT site, page_no, card_no, {B._case('link_prefix')} || href AS art_url FROM ({_LINKS_SQL})""")
+def q_absolute_links(spark, sf_dir):
+    return X.absolute_links(X.links_until_error(_links(spark, sf_dir))).select(
+        "site", "page_no", "card_no", "art_url")
+
+
+@query("link_counts", f"SELECT site, count(*) AS n_links FROM ({_LINKS_SQL}) GROUP BY site")
+def q_link_counts(spark, sf_dir):
+    return C.count_by_site(X.links_until_error(_links(spark, sf_dir)), "n_links")
+
+
+def _fields(spark, sf_dir):
+    pages = FR.status_ok(_crawl(spark, sf_dir))
+    return X.extract_fields(pages, B.pages_profiles())
+
+
+_TITLE_SQL = f"lower({Q.collapse(B.html_text_sql(chr(39).join(['regexp_extract(html, ', '(?s)<h1>(.*?)</h1>', ', 1)'])))})"
+
+
+@query("page_title", f"""
+  SELECT site, url AS art_url, {_TITLE_SQL} AS art_title FROM ({B.CRAWL_SQL}) WHERE status_code = 200""")
+def q_page_title(spark, sf_dir):
+    """X4 (+T1, T3): first h1, visible text, whitespace collapsed, lower case."""
+    return _fields(spark, sf_dir).select("site", "art_url",
+                                         T.lower(T.collapse_ws("title_raw")).alias("art_title"))
+
+
+@query("body_paragraphs", f"""
+  SELECT site, url AS art_url, {B.paragraphs_sql('html')} AS art_content
+  FROM ({B.CRAWL_SQL}) WHERE status_code = 200""")
+def q_body_paragraphs(spark, sf_dir):
+    """Paragraphs of <article> but the last, text nodes stripped, joined."""
+    return _fields(spark, sf_dir).select("site", "art_url",
+                                         X.clean_body(F.col("body_raw"), F.col("site")).alias("art_content"))
+
+
+@query("reject_split", f"""
+  SELECT site, url AS art_url,
+         CASE WHEN html NOT LIKE '%<h1>%' THEN 'missing title'
+              WHEN html NOT LIKE '%<article>%<p>%</article>%' THEN 'missing body' END AS reject_reason
+  FROM ({B.CRAWL_SQL}) WHERE status_code = 200""")
+def q_reject_split(spark, sf_dir):
+    """Accepted rows (reason NULL) plus rejects with their reason."""
+    ok, bad = X.fields_to_articles(_fields(spark, sf_dir), B.pages_profiles())
+    return (ok.select("site", "art_url", F.lit(None).cast("string").alias("reject_reason"))
+              .unionByName(bad.select("site", "art_url", "reject_reason")))
+
+
+@query("articles_from_pages", f"""
+  SELECT site, url AS art_url, {_TITLE_SQL} AS art_title, CAST(NULL AS TIMESTAMP) AS art_published_at,
+         CAST(NULL AS VARCHAR) AS art_type, {B.paragraphs_sql('html')} AS art_content,
+         '{S.ART_CATEGORY}' AS art_category, {str(S.INACTIVE).lower()} AS inactive,
+         '{S.COUNTRY_CODE}' AS country_code, {B._case('scrapped_by')} AS scrapped_by,
+         {B._case('art_source')} AS art_source, TIMESTAMP '{B.TEST_RUN_TS}' AS art_creation_date
+  FROM ({B.CRAWL_SQL}) WHERE status_code = 200""")
+def q_articles_from_pages(spark, sf_dir):
+    """The extraction job end to end (translation aside): status filter,
+    fields, cleaning, dates, constants, lineage. No date or category element
+    exists in these pages, so both are NULL and the rows are kept."""
+    arts, _ = AJ.articles_job(_crawl(spark, sf_dir), B.pages_profiles(), run_ts=B.TEST_RUN_TS)
+    return arts.select("site", *L.ARTICLE_FIELDS)
+
+
+# --- N7 translation memory --------------------------------------------------------
+
+def _memory(spark, sf_dir):
+    """A memory left by an earlier run: the documents that have quality labels
+    were translated then (by the marker provider below)."""
+    d = _docs(spark, sf_dir, "doc_id", "text", "lang").filter(F.col("lang") != "en")
+    seen = B.table(spark, sf_dir, "labels").select("doc_id").distinct()
+    return (d.join(seen, "doc_id", "left_semi")
+             .select(TR.tm_key(F.col("lang"), F.col("text")).alias("key"),
+                     F.concat(F.lit("["), F.col("lang"), F.lit("->en] "), F.col("text")).alias("text_en"))
+             .dropDuplicates(["key"]))
+
+
+_TM_SQL = """
+  SELECT DISTINCT sha256(lang || chr(1) || text) AS key, '[' || lang || '->en] ' || text AS text_en
+  FROM documents WHERE lang <> 'en' AND doc_id IN (SELECT doc_id FROM labels)"""
+
+
+@query("translate_hits", f"""
+  SELECT d.doc_id, d.lang, CASE WHEN d.lang = 'en' THEN d.text ELSE tm.text_en END AS text_en,
+         tm.text_en IS NOT NULL AS from_memory
+  FROM documents d LEFT JOIN ({_TM_SQL}) tm
+    ON d.lang <> 'en' AND tm.key = sha256(d.lang || chr(1) || d.text)""")
+def q_translate_hits(spark, sf_dir):
+    d = _docs(spark, sf_dir, "doc_id", "text", "lang")
+    out = TR.apply_memory(d, _memory(spark, sf_dir), "text", "lang")
+    return out.select("doc_id", "lang", "text_en", "from_memory")
+
+
+@query("translate_misses", f"""
+  SELECT key, any_value(lang) AS lang, CAST(count(*) AS BIGINT) AS n_rows
+  FROM (SELECT sha256(lang || chr(1) || text) AS key, lang FROM documents WHERE lang <> 'en')
+  WHERE key NOT IN (SELECT key FROM ({_TM_SQL}))
+  GROUP BY key""")
+def q_translate_misses(spark, sf_dir):
+    d = _docs(spark, sf_dir, "doc_id", "text", "lang")
+    return TR.memory_misses(d, _memory(spark, sf_dir), "text", "lang").select("key", "lang", "n_rows")
+
+
+# --- N2a gazetteer -----------------------------------------------------------------
+
+# Test gazetteer: names that occur in the driver's invented text, with a
+# one-word name inside a two-word one to exercise leftmost-longest matching.
+FIXTURE_NAMES = ["Stteen Erachtz", "Stteen", "Apache License", "General Public License",
+                 "Thshea Stteä", "Of Thblewh", "Erachtz"]
+
+
+def _gazetteer_sql() -> str:
+    g = GazetteerTagger(FIXTURE_NAMES)
+    names = "[" + ", ".join("'" + n.replace("'", "''") + "'" for n in g.names) + "]"
+
+    def gram(k):
+        return f"array_to_string(toks[i + 1 : i + {k}], ' ')"
+
+    longest = "CASE " + " ".join(
+        f"WHEN i + {k} <= len(toks) AND list_contains({names}, lower({gram(k)})) THEN {k}"
+        for k in range(g.max_words, 0, -1)) + " ELSE 0 END"
+    step = (f"CASE WHEN i >= acc.nxt AND ({longest}) > 0 THEN "
+            f"{{'nxt': i + ({longest}), 'out': list_append(acc.out, array_to_string(toks[i + 1 : i + ({longest})], ' '))}} "
+            f"ELSE acc END")
+    return f"""
+  SELECT doc_id, sentence_no, array_to_string(persons, ',') AS persons, CAST(len(persons) AS BIGINT) AS n_persons
+  FROM (SELECT doc_id, sentence_no,
+               (list_reduce(range(0, len(toks)), lambda acc, i: {step},
+                            {{'nxt': 0::BIGINT, 'out': []::VARCHAR[]}})).out AS persons
+        FROM (SELECT doc_id, sentence_no, regexp_extract_all(sents[sentence_no + 1], '\\p{{L}}+') AS toks
+              FROM ({Q.DOC_SENTENCES})))
+  WHERE len(persons) > 0"""
+
+
+@query("persons_gazetteer", _gazetteer_sql())
+def q_persons_gazetteer(spark, sf_dir):
+    tagged = GazetteerTagger(FIXTURE_NAMES).tag(_docs(spark, sf_dir, "doc_id", "text"), "text")
+    hits = M.sentences_with_persons(tagged, ["doc_id"])
+    return hits.select("doc_id", "sentence_no", M.persons_string(F.col("persons")).alias("persons"),
+                       F.size("persons").cast("bigint").alias("n_persons"))
