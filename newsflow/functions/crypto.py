@@ -74,15 +74,24 @@ def encrypt_columns(df: DataFrame, cols: list[str], key: str | bytes,
 
 
 def decrypt(token: Column, key: str | bytes) -> Column:
-    """Token -> text, or the fixed message for any invalid token."""
+    """Token -> text, or the fixed message for any invalid token.
+
+    The decoded token is bound once per row (a lambda variable), so the
+    length checks, the MAC and the cipher all read the same evaluated value.
+    """
     signing, enc = split_key(key)
+
+    def check(raw: Column) -> Column:
+        n = F.octet_length(raw)
+        body = F.substring(raw, F.lit(1), n - 32)
+        mac = F.substring(raw, n - 31, F.lit(32))
+        valid = ((n >= MIN_TOKEN_BYTES) & (((n - MIN_TOKEN_BYTES) % 16) == 0)
+                 & (F.substring(raw, 1, 1) == F.lit(bytearray(VERSION)))
+                 & (mac == hmac_sha256(body, signing)))
+        plain = F.try_aes_decrypt(F.substring(raw, F.lit(10), n - 9 - 32),
+                                  F.lit(bytearray(enc)), F.lit("CBC"), F.lit("PKCS"))
+        return F.when(valid, F.decode(plain, "UTF-8"))
+
     raw = F.try_to_binary(F.translate(token, "-_", "+/"), F.lit("base64"))
-    n = F.octet_length(raw)
-    body = F.substring(raw, F.lit(1), n - 32)
-    mac = F.substring(raw, n - 31, F.lit(32))
-    valid = ((n >= MIN_TOKEN_BYTES) & (((n - MIN_TOKEN_BYTES) % 16) == 0)
-             & (F.substring(raw, 1, 1) == F.lit(bytearray(VERSION)))
-             & (mac == hmac_sha256(body, signing)))
-    plain = F.try_aes_decrypt(F.substring(raw, F.lit(10), n - 9 - 32),
-                              F.lit(bytearray(enc)), F.lit("CBC"), F.lit("PKCS"))
-    return F.coalesce(F.when(valid, F.decode(plain, "UTF-8")), F.lit(INVALID_TOKEN_MESSAGE))
+    bound = F.element_at(F.transform(F.array(raw), check), 1)
+    return F.coalesce(bound, F.lit(INVALID_TOKEN_MESSAGE))

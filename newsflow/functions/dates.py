@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsflow.functions.text import WS_CLASS, collapse_ws, replace_char, strip_ws
+from newsflow.functions.text import WS_RE, collapse_ws, replace_char, strip_ws
 
 # --- fixed values: month names -------------------------------------------------
 MONTHS_FR = ["janvier", "février", "mars", "avril", "mai", "juin", "juillet", "août",
@@ -62,15 +62,22 @@ MONTH_DAY_YEAR = f"^([^ 0-9,]+) {_N}(?:st|nd|rd|th)?,? {_Y}{_TIME}$"
 NUMERIC_DMY = f"^{_N}[/.-]{_N}[/.-]{_Y}{_TIME}$"
 ISO_DATETIME = "^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})(?:[T ]([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2})(?:\\.([0-9]{1,6}))?)?)?$"
 # strptime turns the format's space into "one or more whitespace".
-STRICT_DMY_HM = "^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})" + WS_CLASS + "+([0-9]{1,2}):([0-9]{1,2})$"
+STRICT_DMY_HM = "^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})" + WS_RE + "+([0-9]{1,2}):([0-9]{1,2})$"
 
 
 def _int(c: Column) -> Column:
     return F.when(c != "", c.cast("int"))
 
 
-def _g(x: Column, pattern: str, i: int) -> Column:
-    return F.regexp_extract(x, pattern, i)
+def bind(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` as a lambda
+    variable. Conditional branches do not share common subexpressions, so
+    without this the normalised text would be recomputed in every branch."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _n(nums: Column, i: int) -> Column:
+    return F.try_element_at(nums, F.lit(i)).cast("int")
 
 
 def _ts(y, mo, d, h=None, mi=None, s=None) -> Column:
@@ -81,6 +88,10 @@ def _ts(y, mo, d, h=None, mi=None, s=None) -> Column:
     return F.try_make_timestamp_ntz(y, mo, d, F.coalesce(h, zero), F.coalesce(mi, zero), secs)
 
 
+def _frac_seconds(sec: Column, frac: Column) -> Column:
+    return F.when(sec.isNotNull(), F.concat(sec.cast("string"), F.lit("."), F.rpad(F.coalesce(frac, F.lit("")), 6, "0")))
+
+
 def normalise(text: Column) -> Column:
     """Digits to ASCII, whitespace collapsed, lower case."""
     t = F.translate(F.translate(text, ARABIC_INDIC_DIGITS, "0123456789"), EASTERN_ARABIC_DIGITS, "0123456789")
@@ -92,47 +103,47 @@ def month_number(word: Column) -> Column:
     return F.try_element_at(m, word)
 
 
+def _numbers(x: Column) -> Column:
+    return F.regexp_extract_all(x, F.lit("[0-9]+"), 0)
+
+
 def parse_strict_dmy_hm(text: Column) -> Column:
     """D1 + T5 + D2: ``strptime(x.strip().replace('à', ' '), '%d/%m/%Y %H:%M')``."""
-    x = replace_char(strip_ws(text), "à", " ")
-    g = [_int(_g(x, STRICT_DMY_HM, i)) for i in range(1, 6)]
-    return F.when(x.rlike(STRICT_DMY_HM), _ts(g[2], g[1], g[0], g[3], g[4]))
+    def body(x):
+        return F.when(x.rlike(STRICT_DMY_HM), bind(_numbers(x), lambda n: _ts(
+            _n(n, 3), _n(n, 2), _n(n, 1), _n(n, 4), _n(n, 5))))
+    return bind(replace_char(strip_ws(text), "à", " "), body)
+
+
+ISO_HINT = "^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2}) ([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})\\.([0-9]{1,6})$"
 
 
 def parse_iso(text: Column) -> Column:
     """The ISO hint ``%Y-%m-%d %H:%M:%S.%f`` (fraction of 1-6 digits)."""
-    x = strip_ws(text)
-    p = "^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2}) ([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})\\.([0-9]{1,6})$"
-    g = [_g(x, p, i) for i in range(1, 8)]
-    secs = F.concat(g[5], F.lit("."), F.rpad(g[6], 6, "0"))
-    return F.when(x.rlike(p), _ts(_int(g[0]), _int(g[1]), _int(g[2]), _int(g[3]), _int(g[4]), secs))
+    def body(x):
+        return F.when(x.rlike(ISO_HINT), bind(_numbers(x), lambda n: _ts(
+            _n(n, 1), _n(n, 2), _n(n, 3), _n(n, 4), _n(n, 5),
+            _frac_seconds(_n(n, 6), F.try_element_at(n, F.lit(7))))))
+    return bind(strip_ws(text), body)
 
 
 def parse_free(text: Column) -> Column:
     """D3: multilingual absolute dates; NULL when nothing matches."""
-    x = normalise(text)
-
-    def dmy():
-        g = [_g(x, DAY_MONTH_YEAR, i) for i in range(1, 7)]
-        return _ts(_int(g[2]), month_number(g[1]), _int(g[0]), _int(g[3]), _int(g[4]), _int(g[5]))
-
-    def mdy():
-        g = [_g(x, MONTH_DAY_YEAR, i) for i in range(1, 7)]
-        return _ts(_int(g[2]), month_number(g[0]), _int(g[1]), _int(g[3]), _int(g[4]), _int(g[5]))
-
-    def num():
-        g = [_g(x, NUMERIC_DMY, i) for i in range(1, 7)]
-        return _ts(_int(g[2]), _int(g[1]), _int(g[0]), _int(g[3]), _int(g[4]), _int(g[5]))
-
-    def iso():
-        g = [_g(x, ISO_DATETIME, i) for i in range(1, 8)]
-        secs = F.when(g[5] != "", F.concat(g[5], F.lit("."), F.rpad(g[6], 6, "0")))
-        return _ts(_int(g[0]), _int(g[1]), _int(g[2]), _int(g[3]), _int(g[4]), secs)
-
-    return (F.when(x.rlike(DAY_MONTH_YEAR), dmy())
-             .when(x.rlike(MONTH_DAY_YEAR), mdy())
-             .when(x.rlike(NUMERIC_DMY), num())
-             .when(x.rlike(ISO_DATETIME), iso()))
+    def body(x):
+        def fields(n):
+            dmy = _ts(_n(n, 2), month_number(F.regexp_extract(x, DAY_MONTH_YEAR, 2)), _n(n, 1),
+                      _n(n, 3), _n(n, 4), _n(n, 5))
+            mdy = _ts(_n(n, 2), month_number(F.regexp_extract(x, MONTH_DAY_YEAR, 1)), _n(n, 1),
+                      _n(n, 3), _n(n, 4), _n(n, 5))
+            num = _ts(_n(n, 3), _n(n, 2), _n(n, 1), _n(n, 4), _n(n, 5), _n(n, 6))
+            iso = _ts(_n(n, 1), _n(n, 2), _n(n, 3), _n(n, 4), _n(n, 5),
+                      _frac_seconds(_n(n, 6), F.try_element_at(n, F.lit(7))))
+            return (F.when(x.rlike(DAY_MONTH_YEAR), dmy)
+                     .when(x.rlike(MONTH_DAY_YEAR), mdy)
+                     .when(x.rlike(NUMERIC_DMY), num)
+                     .when(x.rlike(ISO_DATETIME), iso))
+        return bind(_numbers(x), fields)
+    return bind(normalise(text), body)
 
 
 def parse_iso_or_free(text: Column) -> Column:

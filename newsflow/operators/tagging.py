@@ -27,11 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsflow.functions.text import WS_CLASS
+from newsflow.functions.text import WS_CLASS, WS_RE
 
 SENT_MARK = "\u0001"
 # A sentence ends at . ! or ? followed by whitespace (rule segmentation).
-SENT_BREAK = "([.!?])" + WS_CLASS + "+"
+SENT_BREAK = "([.!?])" + WS_RE + "+"
+SENT_BREAK_PORTABLE = "([.!?])" + WS_CLASS + "+"
 # Two or more capitalised words separated by single spaces.
 PERSON_RULE = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)+"
 WORD = r"\p{L}+"

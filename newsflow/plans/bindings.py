@@ -24,8 +24,20 @@ TEST_RUN_TS = "2024-06-01 12:00:00"
 PUBLISHED_BASE = "2024-01-01 00:00:00"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """Scan one landed table, pruned to ``cols`` first, then spread over the
+    cluster if the files are too coarse (see ``spread``)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df.select(*cols) if cols else df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition only when the scan has fewer partitions than
+    the cluster has task slots (e.g. one large row group). On large inputs
+    the scan already has many splits and this is a no-op, so no shuffle is
+    added there."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
 def site_lookup(site: Column, attr: str) -> Column:

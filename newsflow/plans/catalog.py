@@ -44,8 +44,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _docs(spark, sf_dir, *cols):
-    d = B.table(spark, sf_dir, "documents")
-    return d.select(*cols) if cols else d
+    return B.table(spark, sf_dir, "documents", *cols)
 
 
 # --- N1 / N2 / N3 / P5 / P6 / W1 / T8 / N6 -----------------------------------
@@ -136,7 +135,7 @@ def q_person_context(spark, sf_dir):
          lower({Q.collapse('text')}) AS lowered
   FROM conversations""")
 def q_collapse_ws(spark, sf_dir):
-    c = B.table(spark, sf_dir, "conversations")
+    c = B.table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     return c.select("conv_id", "turn", T.collapse_ws("text").alias("collapsed"),
                     T.strip_ws("text").alias("stripped"), T.lower(T.collapse_ws("text")).alias("lowered"))
 
@@ -155,7 +154,7 @@ def q_strip_boilerplate(spark, sf_dir):
 # --- D1-D6 -------------------------------------------------------------------
 
 def _events(spark, sf_dir):
-    return B.table(spark, sf_dir, "events").select("event_id", "ts")
+    return B.table(spark, sf_dir, "events", "event_id", "ts")
 
 
 @query("date_strict", """
@@ -395,7 +394,7 @@ def q_sample_mention(spark, sf_dir):
 # --- S1 / S2 / S3 / X1-X9 / A1 -------------------------------------------------------
 
 def _crawl(spark, sf_dir):
-    return B.crawl_from_pages(B.table(spark, sf_dir, "pages"))
+    return B.crawl_from_pages(B.table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
 _TEMPLATE_SQL = B._case("list_template")
@@ -527,7 +526,7 @@ def _memory(spark, sf_dir):
     """A memory left by an earlier run: the documents that have quality labels
     were translated then (by the marker provider below)."""
     d = _docs(spark, sf_dir, "doc_id", "text", "lang").filter(F.col("lang") != "en")
-    seen = B.table(spark, sf_dir, "labels").select("doc_id").distinct()
+    seen = B.table(spark, sf_dir, "labels", "doc_id").distinct()
     return (d.join(seen, "doc_id", "left_semi")
              .select(TR.tm_key(F.col("lang"), F.col("text")).alias("key"),
                      F.concat(F.lit("["), F.col("lang"), F.lit("->en] "), F.col("text")).alias("text_en"))

@@ -6,7 +6,8 @@ write the independent oracle queries. They share only the constants
 from __future__ import annotations
 
 from newsflow.functions.text import CHUNK_LEN, WS_CHARS, WS_CLASS
-from newsflow.operators.tagging import PERSON_RULE, SENT_BREAK
+from newsflow.operators.tagging import PERSON_RULE
+from newsflow.operators.tagging import SENT_BREAK_PORTABLE as SENT_BREAK
 
 WS_SET = "(" + "||".join(f"chr({ord(c)})" for c in WS_CHARS) + ")"
 

@@ -61,3 +61,13 @@ def test_collapse_matches_python(spark, values):
     for i, v in enumerate(values):
         assert got[i] == (" ".join(v.split()), v.strip())
         assert " ".join(got[i][0].split()) == got[i][0]   # idempotent
+
+
+def test_java_class_is_python_whitespace(spark):
+    """The Spark-side class and the portable class both match exactly str.isspace."""
+    cps = [c for c in range(0x3001) if not 0xD800 <= c <= 0xDFFF] + [0xFEFF, 0x1F600, 0x10FFFF]
+    df = spark.createDataFrame([(c, chr(c)) for c in cps], "cp int, ch string")
+    got = {r["cp"]: (r["a"], r["b"]) for r in df.select(
+        "cp", F.col("ch").rlike("^" + T.WS_RE + "$").alias("a"),
+        F.col("ch").rlike("^" + T.WS_CLASS + "$").alias("b")).collect()}
+    assert all(got[c] == (chr(c).isspace(), chr(c).isspace()) for c in cps)
