@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow import sites as S
-from newsflow.functions.dates import parse_by_mode
+from newsflow.functions.dates import bind, parse_by_mode
 from newsflow.functions.text import collapse_ws, lower, remove_phrase
 from newsflow.operators import htmlwalk as H
 
@@ -151,16 +151,21 @@ def extract_fields(pages: DataFrame, profiles: dict[str, S.Site], url_col: str =
 def clean_body(body: Column, site: Column, profiles: dict[str, S.Site] | None = None) -> Column:
     """T1 then the site's boilerplate phrase (T4), if it has one."""
     profiles = profiles or S.BY_NAME
-    out = collapse_ws(body)
-    for s in profiles.values():
-        if s.boilerplate:
-            out = F.when(site == s.site, remove_phrase(out, s.boilerplate)).otherwise(out)
-    return out
+    phrases = [(s.site, s.boilerplate) for s in profiles.values() if s.boilerplate]
+    if not phrases:
+        return collapse_ws(body)
 
+    def strip_phrases(x):
+        out = x
+        for name, phrase in phrases:
+            out = F.when(site == name, remove_phrase(x, phrase)).otherwise(out)
+        return out
+    return bind(collapse_ws(body), strip_phrases)      # collapse once, not per branch
 
-def fields_to_articles(fields: DataFrame, profiles: dict[str, S.Site] | None = None):
-    """X4 (T1+T3), X6 (T1/T4), X5+D*, X7, X9: typed article columns, split
-    into accepted rows and rejects (missing title or body) with a reason."""
+
+def flag_fields(fields: DataFrame, profiles: dict[str, S.Site] | None = None) -> DataFrame:
+    """X4 (T1+T3), X6 (T1/T4), X5+D*, X7: typed article columns plus
+    ``reject_reason`` (X9: missing title or body; NULL = accepted)."""
     profiles = profiles or S.BY_NAME
     mode = F.create_map(*[x for s in profiles.values() for x in (F.lit(s.site), F.lit(s.date_mode))])
     typed = fields.select(
@@ -171,7 +176,13 @@ def fields_to_articles(fields: DataFrame, profiles: dict[str, S.Site] | None = N
         clean_body(F.col("body_raw"), F.col("site"), profiles).alias("art_content"))
     reason = (F.when(F.col("art_title").isNull(), F.lit("missing title"))
                .when(F.col("art_content").isNull(), F.lit("missing body")))
-    flagged = typed.withColumn("reject_reason", reason)
+    return typed.withColumn("reject_reason", reason)
+
+
+def fields_to_articles(fields: DataFrame, profiles: dict[str, S.Site] | None = None):
+    """(accepted, rejects) from :func:`flag_fields`. Both read the same flagged
+    frame; materialise it first (``session.materialize``) when both are used."""
+    flagged = flag_fields(fields, profiles)
     accepted = flagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     rejects = flagged.filter(F.col("reject_reason").isNotNull())
     return accepted, rejects

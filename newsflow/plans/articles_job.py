@@ -15,6 +15,7 @@ from newsflow import sites as S
 from newsflow.operators import extract as X
 from newsflow.operators.lineage import ARTICLE_FIELDS, add_constants, add_lineage
 from newsflow.operators.translate import translate_with_memory
+from newsflow.session import materialize
 from newsflow.sources.crawl import fetch, frontier, status_ok
 
 
@@ -28,14 +29,19 @@ def listing_job(depth: DataFrame, crawl: DataFrame, profiles: dict | None = None
 
 
 def articles_job(crawl: DataFrame, profiles: dict | None = None, run_ts: str | None = None,
-                 tm: DataFrame | None = None, translator=None, tm_path: str | None = None):
+                 tm: DataFrame | None = None, translator=None, tm_path: str | None = None,
+                 materialize_fields: bool = False):
     """Returns (articles, rejects). ``crawl`` rows need site, url, status_code, html.
 
     With ``tm`` the content is translated to English through the memory
     (and ``translator`` for misses); the article language is the site's.
+    ``materialize_fields`` writes the parsed fields to the shared folder once,
+    so consuming both outputs does not parse the HTML twice.
     """
     profiles = profiles or S.BY_NAME
     fields = X.extract_fields(status_ok(crawl), profiles)
+    if materialize_fields:
+        fields = materialize(fields, "article-fields")
     ok, rejects = X.fields_to_articles(fields, profiles)
     arts = add_lineage(add_constants(ok), run_ts=run_ts)
     if tm is not None:

@@ -32,12 +32,19 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition only when the scan has fewer partitions than
-    the cluster has task slots (e.g. one large row group). On large inputs
-    the scan already has many splits and this is a no-op, so no shuffle is
-    added there."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    """Round-robin repartition for coarse inputs: fewer files than task slots
+    and less data than one split per slot. Such a scan can sit in a single
+    task (a file with one row group is read by one task however it is split).
+    Large inputs (many files, or big files whose row groups already give one
+    split each) are left alone, so no shuffle is added at scale. The checks use
+    the file listing and the optimizer's size estimate only (no planning)."""
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= slots:
+        return df
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("bB") or 134217728)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(slots) if size < slots * split else df
 
 
 def site_lookup(site: Column, attr: str) -> Column:

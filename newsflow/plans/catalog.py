@@ -500,9 +500,7 @@ def q_body_paragraphs(spark, sf_dir):
   FROM ({B.CRAWL_SQL}) WHERE status_code = 200""")
 def q_reject_split(spark, sf_dir):
     """Accepted rows (reason NULL) plus rejects with their reason."""
-    ok, bad = X.fields_to_articles(_fields(spark, sf_dir), B.pages_profiles())
-    return (ok.select("site", "art_url", F.lit(None).cast("string").alias("reject_reason"))
-              .unionByName(bad.select("site", "art_url", "reject_reason")))
+    return X.flag_fields(_fields(spark, sf_dir), B.pages_profiles()).select("site", "art_url", "reject_reason")
 
 
 @query("articles_from_pages", f"""

@@ -109,7 +109,7 @@ ARTICLES = {
 
 def _articles(spark, rows):
     crawl = spark.createDataFrame(rows, "site string, url string, status_code int, html string")
-    arts, rejects = articles_job(crawl, run_ts="2024-06-01 12:00:00")
+    arts, rejects = articles_job(crawl, run_ts="2024-06-01 12:00:00", materialize_fields=True)
     return {r["art_url"]: r.asDict() for r in arts.collect()}, {r["art_url"]: r["reject_reason"] for r in rejects.collect()}
 
 
