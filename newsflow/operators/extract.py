@@ -112,16 +112,21 @@ def extract_links(list_pages: DataFrame, profiles: dict[str, S.Site]) -> DataFra
     return src.mapInPandas(run, LINKS_SCHEMA)
 
 
-def links_until_error(links: DataFrame, tolerant: bool = False) -> DataFrame:
+def links_until_error(links: DataFrame, tolerant: bool = False, materialize_links: bool = True) -> DataFrame:
     """The reference stops listing a site at its first failure.
 
     The first failure per site is found by a partial aggregation (one row
     per configured site, so its broadcast size is bounded by the config);
     rows before it are kept. ``tolerant`` only drops the failed rows.
+    Both passes read the links, so they are first written once to the shared
+    folder (small rows) instead of parsing the list pages twice.
     """
-    ok = links.filter(~F.col("failed"))
     if tolerant:
-        return ok
+        return links.filter(~F.col("failed"))
+    if materialize_links:
+        from newsflow.session import materialize
+        links = materialize(links, "links")
+    ok = links.filter(~F.col("failed"))
     first = (links.filter("failed").groupBy("site")
                   .agg(F.min(F.struct("page_no", "card_no")).alias("first_failure")))
     pos = F.struct("page_no", "card_no")
