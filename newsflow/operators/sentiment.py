@@ -2,10 +2,10 @@
 
 Providers return ``stars`` (1..5) per chunk:
 
-* :class:`LexiconScorer` - word weights compiled into the plan as a map
-  literal (size-checked); tokens are scored inside the row with
-  higher-order functions, so there is no explode, no join and no shuffle.
-  Integer weights keep the bucket thresholds exact.
+* :class:`LexiconScorer` - word weights compiled into the plan as hashed
+  literal sets, one per weight (size-checked); tokens are scored inside the
+  row with higher-order functions, so there is no explode, no join and no
+  shuffle. Integer weights keep the bucket thresholds exact.
 * :class:`ModelScorer` - any classifier returning labels like ``'4 stars'``,
   via ``mapInPandas``; the model is loaded once per Python worker.
 """
@@ -68,10 +68,21 @@ class LexiconScorer:
         self.weights = {k.lower(): int(v) for k, v in weights.items()}
 
     def hits(self, chunk: Column) -> Column:
-        m = F.create_map(*[x for k, v in sorted(self.weights.items())
-                           for x in (F.lit(k), F.lit(v).cast("bigint"))])
+        """Weights of the lexicon words in the chunk. One hashed set (``isin``
+        -> InSet) per distinct weight, so a lookup costs a few hash probes
+        whatever the lexicon size (a map literal is scanned linearly)."""
+        by_weight: dict[int, list[str]] = {}
+        for w, v in sorted(self.weights.items()):
+            by_weight.setdefault(v, []).append(w)
+
+        def weight(t):
+            out = F.lit(None).cast("bigint")
+            for v, words in sorted(by_weight.items(), reverse=True):
+                out = F.when(t.isin(words), F.lit(v).cast("bigint")).otherwise(out)
+            return out
+
         toks = F.regexp_extract_all(F.lower(chunk), F.lit(WORD), 0)
-        return F.filter(F.transform(toks, lambda t: F.try_element_at(m, t)), lambda w: w.isNotNull())
+        return F.filter(F.transform(toks, weight), lambda w: w.isNotNull())
 
     def score(self, df: DataFrame, chunk_col: str = "chunk") -> DataFrame:
         total = F.aggregate("_w", F.lit(0).cast("bigint"), lambda a, w: a + w)

@@ -79,8 +79,11 @@ class GazetteerTagger:
     def tokens_persons(self, toks: Column) -> Column:
         """Names in one sentence's word array (a bound lambda variable, so it is
         evaluated once): longest match at each position, then a left-to-right
-        fold over the matching positions only, skipping overlaps."""
-        lookup = F.create_map(*[x for n in self.names for x in (F.lit(n), F.lit(True))])
+        fold over the matching positions only, skipping overlaps. Membership
+        tests are ``isin`` over literals, which the optimizer turns into a
+        hashed InSet (a map literal would be scanned linearly)."""
+        names = list(self.names)
+        first_words = sorted({x.split()[0] for x in self.names})
         n = F.size(toks)
 
         def gram(i, k):
@@ -89,14 +92,13 @@ class GazetteerTagger:
         def longest(i):
             out = F.lit(0)
             for k in range(1, self.max_words + 1):
-                hit = (i + k <= n) & F.element_at(lookup, F.lower(gram(i, k))).isNotNull()
+                hit = (i + k <= n) & F.lower(gram(i, k)).isin(names)
                 out = F.when(hit, F.lit(k)).otherwise(out)
             return out
 
-        first = F.array(*[F.lit(w) for w in sorted({x.split()[0] for x in self.names})])
         low = F.transform(toks, F.lower)
         positions = F.filter(F.sequence(F.lit(0), n),
-                             lambda i: (i < n) & F.array_contains(first, F.element_at(low, i + 1)))
+                             lambda i: (i < n) & F.element_at(low, i + 1).isin(first_words))
         cands = F.filter(F.transform(positions, lambda i: F.struct(i.alias("i"), longest(i).alias("k"))),
                          lambda c: c["k"] > 0)
         start = F.struct(F.lit(0).alias("nxt"), F.array().cast("array<string>").alias("out"))
@@ -108,8 +110,9 @@ class GazetteerTagger:
                           ).otherwise(acc)
 
         found = F.aggregate(cands, start, step, lambda acc: acc["out"])
-        # Native pre-check: most sentences contain no first word of any name.
-        return F.when(F.arrays_overlap(low, first), found).otherwise(F.array().cast("array<string>"))
+        # Cheap pre-check: most sentences contain no first word of any name.
+        return F.when(F.exists(low, lambda t: t.isin(first_words)), found).otherwise(
+            F.array().cast("array<string>"))
 
     def tag(self, df: DataFrame, text_col: str) -> DataFrame:
         words = F.transform("sents", lambda s: F.regexp_extract_all(s, F.lit(WORD), 0))
