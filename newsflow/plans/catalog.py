@@ -64,9 +64,11 @@ def q_sentences(spark, sf_dir):
               FROM ({Q.DOC_SENTENCES})))""")
 def q_persons(spark, sf_dir):
     tagged = RuleTagger().tag(_docs(spark, sf_dir, "doc_id", "text"), "text")
-    s = tagged.select("doc_id", F.posexplode("persons").alias("sentence_no", "p"))
-    return s.select("doc_id", F.col("sentence_no").cast("bigint").alias("sentence_no"),
-                    F.posexplode("p").alias("person_no", "person")
+    hits = F.filter(F.transform("persons", lambda p, i: F.struct(i.cast("bigint").alias("sentence_no"),
+                                                                  p.alias("p"))),
+                    lambda h: F.size(h["p"]) > 0)            # explode only sentences with persons
+    s = tagged.select("doc_id", F.inline(hits))
+    return s.select("doc_id", "sentence_no", F.posexplode("p").alias("person_no", "person")
                     ).withColumn("person_no", F.col("person_no").cast("bigint"))
 
 
@@ -594,3 +596,20 @@ def q_persons_gazetteer(spark, sf_dir):
     hits = M.sentences_with_persons(tagged, ["doc_id"])
     return hits.select("doc_id", "sentence_no", M.persons_string(F.col("persons")).alias("persons"),
                        F.size("persons").cast("bigint").alias("n_persons"))
+
+
+
+@query("mentions_store", f"""
+  SELECT {_META_COLS}, sentence_no, chunk_no, array_to_string(persons, ',') AS Persons,
+         chunk AS Context, {_LABEL_SQL} AS Sentiment
+  FROM ({_SCORED_SQL}) m JOIN ({B.ARTICLES_SQL}) a USING (doc_id)""")
+def q_mentions_store(spark, sf_dir):
+    """The whole mentions job: encrypted rows appended to the store table
+    (K3, partitioned by art_source), read back and decrypted (S5's check)."""
+    docs = _docs(spark, sf_dir, "doc_id", "text", "source")
+    arts = B.articles_from_documents(docs).drop("source")
+    path = scratch_path(spark, "mentions")
+    MJ.mentions_job(arts, FIXTURE_KEY, SE.LexiconScorer(FIXTURE_LEXICON), out_path=path)
+    stored = spark.read.parquet(path)
+    return stored.select(*[c for c in stored.columns if c not in MJ.MENTION_FIELDS],
+                         *[CR.decrypt(F.col(c), FIXTURE_KEY).alias(c) for c in MJ.MENTION_FIELDS])
