@@ -103,3 +103,16 @@ def test_sentiment_buckets_and_labels(spark):
     got = {r["i"]: (r["stars"], r["sentiment"]) for r in out.collect()}
     assert got == {1: (5, "highly positive"), 2: (1, "highly negative"), 3: (3, "neutral"),
                    4: (3, "neutral"), 5: (4, "positive")}
+
+
+def _fake_stars():
+    def run(chunks):
+        return ["5 stars" if "good" in c else "1 star" for c in chunks]
+    return run
+
+
+def test_model_scorer_plugin(spark):
+    from newsflow.operators.sentiment import ModelScorer
+    df = spark.createDataFrame([(1, "good day"), (2, "bad day")], "i int, chunk string")
+    got = {r["i"]: r["sentiment"] for r in add_sentiment(df, ModelScorer(_fake_stars)).collect()}
+    assert got == {1: "highly positive", 2: "highly negative"}
