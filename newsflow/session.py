@@ -34,6 +34,7 @@ def build_session(master: str = "local[*]", app: str = "newsflow",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -42,6 +43,32 @@ def apply_job_conf(spark: SparkSession) -> None:
     for k, v in JOB_CONF.items():
         if k != "spark.sql.execution.arrow.pyspark.enabled":
             spark.conf.set(k, v)
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``newsflow`` importable in the Python workers: the functions run by
+    ``mapInPandas`` are pickled by module reference. The package is zipped on
+    the driver and distributed by Spark (``addPyFile``), once per application."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="newsflow-pkg-"), "newsflow.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
 
 
 def shared_dir(spark: SparkSession) -> str:
