@@ -11,8 +11,10 @@ reference drops the article when translation fails).
 Scale notes: the memory is joined with a sort-merge join on ``key``
 unless its row count is proven below ``broadcast_rows`` (then it is
 broadcast). Repeated texts make hot keys on the article side; the memory
-side is unique per key, so AQE's skew-join split applies, and the misses
-are de-duplicated by a partial aggregation before any shuffle.
+side is unique per key, so AQE's skew-join split applies at run time, or,
+with ``hot_rows``, an explicit salted join spreads each hot key over several
+tasks (``skew.salted_left_join``). Misses are de-duplicated by a partial
+aggregation before any shuffle.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsflow.operators.skew import salted_left_join
 from newsflow.operators.tagging import worker_model
 
 TARGET = "en"
@@ -42,11 +45,20 @@ def _tm_side(tm: DataFrame, broadcast_rows: int | None) -> DataFrame:
 
 
 def apply_memory(df: DataFrame, tm: DataFrame, text_col: str, lang_col: str,
-                 out_col: str = "text_en", broadcast_rows: int | None = None) -> DataFrame:
-    """Adds ``out_col`` (NULL = not in memory) and ``from_memory``."""
+                 out_col: str = "text_en", broadcast_rows: int | None = None,
+                 hot_rows: int | None = None) -> DataFrame:
+    """Adds ``out_col`` (NULL = not in memory) and ``from_memory``.
+
+    ``hot_rows``: keys with more rows than this (copies of one text) are
+    spread over salt buckets (``skew.salted_left_join``); otherwise AQE's
+    skew-join split handles hot partitions at run time.
+    """
     keyed = df.withColumn("_tm_key", F.when(F.col(lang_col) != TARGET, tm_key(F.col(lang_col), F.col(text_col))))
     side = _tm_side(tm, broadcast_rows).withColumnRenamed("key", "_tm_key").withColumnRenamed("text_en", "_tm_text")
-    j = keyed.join(side, "_tm_key", "left")
+    if hot_rows is not None:
+        j = salted_left_join(keyed, side, "_tm_key", hot_rows)
+    else:
+        j = keyed.join(side, "_tm_key", "left")
     return (j.withColumn(out_col, F.when(F.col(lang_col) == TARGET, F.col(text_col)).otherwise(F.col("_tm_text")))
              .withColumn("from_memory", F.col("_tm_text").isNotNull())
              .drop("_tm_key", "_tm_text"))
@@ -81,7 +93,8 @@ def translate_misses(misses: DataFrame, load: Callable[[], Callable[[list[str],
 
 
 def translate_with_memory(df: DataFrame, tm: DataFrame, text_col: str, lang_col: str, load=None,
-                          tm_path: str | None = None, broadcast_rows: int | None = None):
+                          tm_path: str | None = None, broadcast_rows: int | None = None,
+                          hot_rows: int | None = None):
     """Full N7 step -> (translated rows, rejects). New translations are
     appended to ``tm_path`` when given, then joined like memory hits."""
     if load is not None:
@@ -91,6 +104,6 @@ def translate_with_memory(df: DataFrame, tm: DataFrame, text_col: str, lang_col:
             tm = df.sparkSession.read.schema(TM_SCHEMA).parquet(tm_path)
         else:
             tm = tm.select("key", "text_en").unionByName(new.filter(F.col("text_en").isNotNull()))
-    out = apply_memory(df, tm, text_col, lang_col, broadcast_rows=broadcast_rows)
+    out = apply_memory(df, tm, text_col, lang_col, broadcast_rows=broadcast_rows, hot_rows=hot_rows)
     rejects = out.filter(F.col("text_en").isNull()).withColumn("reject_reason", F.lit("translation failed"))
     return out.filter(F.col("text_en").isNotNull()), rejects

@@ -24,3 +24,21 @@ def test_memory_hits_misses_and_provider(spark, tmp_out):
     assert got == {1: "good morning", 2: "good morning", 3: "EN[ar](salam)", 4: "hello"}
     assert [r["id"] for r in rejects.collect()] == [5]
     assert spark.read.parquet(tmp_out).count() == 2          # memory grew by the new translation
+
+
+def test_salted_memory_join_equals_plain(spark):
+    from tests.conftest import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    # one text copied 3000 times: a key holding most of the rows
+    hot = spark.range(3000).select((F.col("id") + 10**6).alias("doc_id"), F.lit("même texte").alias("text"),
+                                   F.lit("fr").alias("lang"))
+    d = docs.unionByName(hot)
+    tm = d.filter("lang <> 'en'").select(TR.tm_key(F.col("lang"), F.col("text")).alias("key"),
+                                         F.upper("text").alias("text_en")).dropDuplicates(["key"])
+    plain = TR.apply_memory(d, tm, "text", "lang")
+    salted = TR.apply_memory(d, tm, "text", "lang", hot_rows=100)
+    assert salted.count() == d.count()
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+    from newsflow.operators.skew import hot_keys
+    keyed = d.select(TR.tm_key(F.col("lang"), F.col("text")).alias("k"))
+    assert [r["_salts"] for r in hot_keys(keyed, "k", 100).collect()] == [30]
