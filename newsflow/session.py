@@ -20,6 +20,9 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Arrow batches to the Python stages: pages can be tens of KB each, so keep
+    # a batch to about 1000 rows (the default 10000 risks hundreds of MB).
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
@@ -41,8 +44,7 @@ def build_session(master: str = "local[*]", app: str = "newsflow",
 def apply_job_conf(spark: SparkSession) -> None:
     """Session-level settings the operators assume (safe to call repeatedly)."""
     for k, v in JOB_CONF.items():
-        if k != "spark.sql.execution.arrow.pyspark.enabled":
-            spark.conf.set(k, v)
+        spark.conf.set(k, v)
     ship_package(spark)
 
 
