@@ -147,6 +147,7 @@ def test_rejects_and_nulls(spark):
         ("webdo", "nodate", 200, ARTICLES["webdo"].replace("<time", "<span").replace("</time>", "</span>")),
     ]
     arts, rejects = _articles(spark, rows)
+    assert len(arts) + len(rejects) == len(rows)          # accepted + rejected = input
     assert rejects == {"exact": "missing title", "nocoprs": "missing body", "nop": "missing body"}
     assert arts["onep"]["art_content"] == ""
     assert arts["bigA"]["art_published_at"] is None
