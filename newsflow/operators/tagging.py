@@ -13,7 +13,9 @@ Providers:
 
 * :class:`RuleTagger` - native expressions only (whole-stage codegen).
 * :class:`GazetteerTagger` - a bounded name list, matched leftmost-longest on
-  word n-grams, native expressions only.
+  word n-grams, native expressions only (no shuffle).
+* :class:`GazetteerTableTagger` - the same matching for a name table of any
+  size: exploded n-grams joined to the names (shuffles; no size limit).
 * :class:`ModelTagger` - any NER model, run by ``mapInPandas`` and loaded once
   per Python worker (the reference reloads its model for every article).
 """
@@ -77,7 +79,7 @@ class GazetteerTagger:
         names = sorted({" ".join(n.lower().split()) for n in names if n and n.strip()})
         if len(names) > MAX_INLINE_NAMES:
             raise ValueError(f"gazetteer of {len(names)} names exceeds {MAX_INLINE_NAMES}; "
-                             "use a model provider or split the list")
+                             "use GazetteerTableTagger (join-based, no size limit)")
         self.names = names
         self.max_words = max(1, min(max_words, max(len(n.split()) for n in names) if names else 1))
 
@@ -125,6 +127,70 @@ class GazetteerTagger:
                   .withColumn("persons", F.transform(words, self.tokens_persons)))
 
 
+def leftmost_longest(cands: Column) -> Column:
+    """Fold candidate matches ``struct(i, rk, k, text)``, sorted by start ``i``
+    and then longest first (``rk = max - k``), into the non-overlapping
+    leftmost-longest list of texts."""
+    start = F.struct(F.lit(0).cast("bigint").alias("nxt"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc, c):
+        return F.when(c["i"] >= acc["nxt"],
+                      F.struct((c["i"] + c["k"]).cast("bigint").alias("nxt"),
+                               F.array_append(acc["out"], c["text"]).alias("out"))).otherwise(acc)
+    return F.aggregate(cands, start, step, lambda acc: acc["out"])
+
+
+class GazetteerTableTagger:
+    """Gazetteer of any size, given as a DataFrame with a ``name`` column.
+
+    Word n-grams (n <= max_words) of every sentence are exploded and joined
+    to the lower-cased names (broadcast when the table is proven small, else
+    a shuffle join); matches are folded leftmost-longest per sentence and
+    attached back to the article by ``key_col``. Same result as
+    :class:`GazetteerTagger`, without compiling the names into the plan.
+    Costs three shuffles (names join, per-sentence fold, re-attach).
+    """
+
+    name = "gazetteer-table"
+
+    def __init__(self, names: DataFrame, key_col: str = "doc_id", max_words: int = 3,
+                 broadcast_rows: int = 1_000_000):
+        self.names = (names.select(F.lower(F.array_join(F.split(F.trim(F.col("name")), "[ ]+"), " ")).alias("g"))
+                           .filter(F.col("g") != "").distinct())
+        self.key_col, self.max_words, self.broadcast_rows = key_col, max_words, broadcast_rows
+
+    def tag(self, df: DataFrame, text_col: str) -> DataFrame:
+        key, K = self.key_col, self.max_words
+        base = df.withColumn("sents", split_sentences(F.col(text_col)))
+        words = base.select(key, F.posexplode(F.transform("sents", lambda s: F.regexp_extract_all(
+            s, F.lit(WORD), 0))).alias("sentence_no", "toks")).filter(F.size("toks") > 0)
+
+        def grams(toks):
+            n = F.size(toks)
+            per_pos = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(
+                F.filter(F.sequence(F.lit(1), F.lit(K)), lambda k: i + k <= n),
+                lambda k: F.struct(i.cast("bigint").alias("i"), (F.lit(K) - k).cast("bigint").alias("rk"),
+                                   k.cast("bigint").alias("k"),
+                                   F.array_join(F.slice(toks, i + 1, k), " ").alias("text"))))
+            return F.flatten(per_pos)
+        # one row per n-gram, carrying only the n-gram (never the sentence array)
+        g = (words.select(key, "sentence_no", F.explode(grams(F.col("toks"))).alias("c"))
+                  .withColumn("g", F.lower(F.col("c.text"))))
+        names = self.names
+        if names.limit(self.broadcast_rows + 1).count() <= self.broadcast_rows:
+            names = F.broadcast(names)
+        hits = g.join(names, "g", "left_semi")
+        per_sentence = (hits.groupBy(key, "sentence_no")
+                            .agg(leftmost_longest(F.array_sort(F.collect_list("c"))).alias("p")))
+        per_doc = per_sentence.groupBy(key).agg(
+            F.map_from_entries(F.collect_list(F.struct("sentence_no", "p"))).alias("_pm"))
+        empty = F.array().cast("array<string>")
+        return (base.join(per_doc, key, "left")
+                    .withColumn("persons", F.transform("sents", lambda s, i: F.coalesce(
+                        F.try_element_at(F.col("_pm"), i.cast("int")), empty)))
+                    .drop("_pm"))
+
+
 _MODELS: dict = {}
 
 

@@ -76,10 +76,16 @@ def test_flagship_has_no_exchange(spark):
 
 
 def test_gazetteer_leftmost_longest(spark):
-    g = GazetteerTagger(["Stteen Erachtz", "Stteen", "Erachtz", "Ab Cd Ef"])
-    df = spark.createDataFrame([("x Stteen Erachtz y stteen and Erachtz. Ab Cd Ef Ab Cd",)], "t string")
-    got = g.tag(df, "t").select("persons").first()[0]
-    assert got == [["Stteen Erachtz", "stteen", "Erachtz"], ["Ab Cd Ef"]]
+    from newsflow.operators.tagging import GazetteerTableTagger
+    names = ["Stteen Erachtz", "Stteen", "Erachtz", "Ab Cd Ef", "Cd Ef Gh"]
+    df = spark.createDataFrame([(1, "x Stteen Erachtz y stteen and Erachtz. Ab Cd Ef Gh Ab Cd")],
+                               "doc_id long, t string")
+    want = [["Stteen Erachtz", "stteen", "Erachtz"], ["Ab Cd Ef"]]
+    assert GazetteerTagger(names).tag(df, "t").select("persons").first()[0] == want
+    table = spark.createDataFrame([(n,) for n in names], "name string")
+    for b in (10, 0):
+        got = GazetteerTableTagger(table, broadcast_rows=b).tag(df, "t").select("persons").first()[0]
+        assert got == want
 
 
 def _fake_ner():
@@ -116,3 +122,16 @@ def test_model_scorer_plugin(spark):
     df = spark.createDataFrame([(1, "good day"), (2, "bad day")], "i int, chunk string")
     got = {r["i"]: r["sentiment"] for r in add_sentiment(df, ModelScorer(_fake_stars)).collect()}
     assert got == {1: "highly positive", 2: "highly negative"}
+
+
+def test_gazetteer_table_equals_inline(spark):
+    from newsflow.operators.tagging import GazetteerTableTagger
+    from newsflow.plans.catalog import FIXTURE_NAMES
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    names = spark.createDataFrame([(n,) for n in FIXTURE_NAMES], "name string")
+    a = M.sentences_with_persons(GazetteerTagger(FIXTURE_NAMES).tag(docs, "text"), ["doc_id"])
+    b = M.sentences_with_persons(GazetteerTableTagger(names).tag(docs, "text"), ["doc_id"])
+    b2 = M.sentences_with_persons(GazetteerTableTagger(names, broadcast_rows=0).tag(docs, "text"), ["doc_id"])
+    assert a.count() > 0
+    for other in (b, b2):
+        assert a.exceptAll(other).count() == 0 and other.exceptAll(a).count() == 0
