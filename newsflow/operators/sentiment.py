@@ -64,7 +64,8 @@ class LexiconScorer:
 
     def __init__(self, weights: dict[str, int]):
         if len(weights) > MAX_INLINE_WORDS:
-            raise ValueError(f"lexicon of {len(weights)} words exceeds {MAX_INLINE_WORDS}")
+            raise ValueError(f"lexicon of {len(weights)} words exceeds {MAX_INLINE_WORDS}; "
+                             "use LexiconTableScorer (join-based, no size limit)")
         self.weights = {k.lower(): int(v) for k, v in weights.items()}
 
     def hits(self, chunk: Column) -> Column:
@@ -92,6 +93,32 @@ class LexiconScorer:
                   .drop("_w"))
 
 
+class LexiconTableScorer:
+    """The lexicon scorer for a weight table of any size (``word``,
+    ``weight`` integer): chunk tokens are exploded (carrying only the chunk
+    key), joined to the table (broadcast when proven small), summed per chunk
+    by a partial aggregation and joined back on the key."""
+
+    name = "lexicon-table"
+
+    def __init__(self, lexicon: DataFrame, key_cols: list[str], broadcast_rows: int = 1_000_000):
+        self.lexicon = lexicon.select(F.lower("word").alias("_w"), F.col("weight").cast("bigint").alias("_v"))
+        self.key_cols, self.broadcast_rows = list(key_cols), broadcast_rows
+
+    def score(self, df: DataFrame, chunk_col: str = "chunk") -> DataFrame:
+        keys = self.key_cols
+        toks = df.select(*keys, F.explode(F.regexp_extract_all(F.lower(chunk_col), F.lit(WORD), 0)).alias("_w"))
+        lex = self.lexicon
+        if lex.limit(self.broadcast_rows + 1).count() <= self.broadcast_rows:
+            lex = F.broadcast(lex)
+        agg = toks.join(lex, "_w").groupBy(*keys).agg(F.sum("_v").alias("_s"), F.count(F.lit(1)).alias("_n"))
+        out = df.join(agg, keys, "left")
+        hits = F.coalesce(F.col("_n"), F.lit(0)).cast("bigint")
+        return (out.withColumn("hits", hits)
+                   .withColumn("stars", bucket(F.coalesce(F.col("_s"), F.lit(0)), F.col("hits")).cast("bigint"))
+                   .drop("_s", "_n"))
+
+
 class ModelScorer:
     """``load()`` returns ``list[str] -> list[str]`` of labels such as '4 stars'."""
 

@@ -135,3 +135,16 @@ def test_gazetteer_table_equals_inline(spark):
     assert a.count() > 0
     for other in (b, b2):
         assert a.exceptAll(other).count() == 0 and other.exceptAll(a).count() == 0
+
+
+def test_lexicon_table_equals_inline(spark):
+    from newsflow.operators.sentiment import LexiconTableScorer
+    from newsflow.plans.catalog import FIXTURE_LEXICON
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    pc = M.person_context(docs, "text", ["doc_id"])
+    lex = spark.createDataFrame(list(FIXTURE_LEXICON.items()), "word string, weight int")
+    cols = ["doc_id", "sentence_no", "chunk_no", "hits", "stars"]
+    a = LexiconScorer(FIXTURE_LEXICON).score(pc).select(*cols)
+    for b in (10**6, 0):
+        t = LexiconTableScorer(lex, ["doc_id", "sentence_no", "chunk_no"], broadcast_rows=b).score(pc).select(*cols)
+        assert a.count() == t.count() and a.exceptAll(t).count() == 0
