@@ -21,14 +21,14 @@ from newsflow.operators import mentions as M
 from newsflow.operators import sentiment as SE
 from newsflow.operators import translate as TR
 from newsflow.operators.tagging import GazetteerTagger
+from newsflow.operators.tagging import RuleTagger, split_sentences
 from newsflow.plans import articles_job as AJ
-from newsflow.sources import crawl as FR
+from newsflow.plans import bindings as B
 from newsflow.plans import mentions_job as MJ
+from newsflow.plans import sqlkit as Q
 from newsflow.session import scratch_path
+from newsflow.sources import crawl as FR
 from newsflow.sources import jsonio as J
-from newsflow.operators.tagging import RuleTagger, rule_persons, split_sentences
-from newsflow.plans import bindings as B
-from newsflow.plans import sqlkit as Q
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

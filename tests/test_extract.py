@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from newsflow import sites as S
 from newsflow.operators import extract as X

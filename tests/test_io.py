@@ -3,7 +3,6 @@ import glob
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from newsflow import sites as S
 from newsflow.operators.combine import union_sites
