@@ -118,8 +118,13 @@ class GazetteerTagger:
 
         found = F.aggregate(cands, start, step, lambda acc: acc["out"])
         # Cheap pre-check: most sentences contain no first word of any name.
-        return F.when(F.exists(low, lambda t: t.isin(first_words)), found).otherwise(
-            F.array().cast("array<string>"))
+        # Few first words: native arrays_overlap; many: hashed isin per token
+        # (arrays_overlap would probe every listed word for every sentence).
+        if len(first_words) <= 64:
+            any_first = F.arrays_overlap(low, F.array(*[F.lit(w) for w in first_words]))
+        else:
+            any_first = F.exists(low, lambda t: t.isin(first_words))
+        return F.when(any_first, found).otherwise(F.array().cast("array<string>"))
 
     def tag(self, df: DataFrame, text_col: str) -> DataFrame:
         words = F.transform("sents", lambda s: F.regexp_extract_all(s, F.lit(WORD), 0))
