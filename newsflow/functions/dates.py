@@ -7,8 +7,9 @@ error (the reference sets the field to None in an ``except``).
 The free-form parser (D3) stands in for a multilingual date library: it reads
 absolute dates written as ``day month-word year [time]``, ``month-word day,
 year [time]``, numeric day-first ``d/m/yyyy [H:M]`` and ISO
-``yyyy-mm-dd[ H:M[:S[.f]]]``, with Arabic-Indic digits and French, English
-and Arabic (incl. Maghreb) month names. Relative dates give NULL.
+``yyyy-mm-dd[ H:M[:S[.f]]]`` (a zone designator is converted to UTC), with
+Arabic-Indic digits and French, English and Arabic (incl. Maghreb) month
+names. Relative dates give NULL.
 """
 
 from __future__ import annotations
@@ -60,7 +61,11 @@ _TIME = "(?:[^0-9]+([0-9]{1,2})[:h]([0-9]{2})(?::([0-9]{2}))?)?"
 DAY_MONTH_YEAR = f"^{_N}(?:er)? ([^ 0-9,]+),? {_Y}{_TIME}$"
 MONTH_DAY_YEAR = f"^([^ 0-9,]+) {_N}(?:st|nd|rd|th)?,? {_Y}{_TIME}$"
 NUMERIC_DMY = f"^{_N}[/.-]{_N}[/.-]{_Y}{_TIME}$"
-ISO_DATETIME = "^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})(?:[T ]([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2})(?:\\.([0-9]{1,6}))?)?)?$"
+ISO_DATETIME = "^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})(?:[tT ]([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2})(?:\\.([0-9]{1,6}))?)?)?$"
+# ISO with a time and a zone designator (normalised text is lower case: 'z').
+ZONE = "(z|[+-][0-9]{2}:?[0-9]{2})$"
+ISO_DATETIME_ZONE = ("^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})[tT ]([0-9]{1,2}):([0-9]{1,2})"
+                     "(?::([0-9]{1,2})(?:\\.([0-9]{1,6}))?)?" + ZONE)
 # strptime turns the format's space into "one or more whitespace".
 STRICT_DMY_HM = "^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})" + WS_RE + "+([0-9]{1,2}):([0-9]{1,2})$"
 
@@ -142,7 +147,20 @@ def parse_free(text: Column) -> Column:
                      .when(x.rlike(MONTH_DAY_YEAR), mdy)
                      .when(x.rlike(NUMERIC_DMY), num)
                      .when(x.rlike(ISO_DATETIME), iso))
-        return bind(_numbers(x), fields)
+
+        def zoned():
+            # numbers of the local part, then shift by the offset to UTC
+            local = bind(_numbers(F.regexp_replace(x, ZONE, "")), lambda n: _ts(
+                _n(n, 1), _n(n, 2), _n(n, 3), _n(n, 4), _n(n, 5),
+                _frac_seconds(_n(n, 6), F.try_element_at(n, F.lit(7)))))
+            z = F.regexp_extract(x, ZONE, 1)
+            digits = F.regexp_replace(z, "[^0-9]", "")
+            minutes = F.when(z == "z", F.lit(0)).otherwise(
+                (F.substring(digits, 1, 2).cast("int") * 60 + F.substring(digits, 3, 2).cast("int"))
+                * F.when(F.substring(z, 1, 1) == "-", F.lit(-1)).otherwise(F.lit(1)))
+            return F.timestamp_add("MINUTE", -minutes, local)
+
+        return F.when(x.rlike(ISO_DATETIME_ZONE), zoned()).otherwise(bind(_numbers(x), fields))
     return bind(normalise(text), body)
 
 

@@ -43,3 +43,15 @@ def test_render_like_python_str(spark):
 
 def test_month_table_has_maghreb_names():
     assert D.MONTHS["جانفي"] == 1 and D.MONTHS["أوت"] == 8 and D.MONTHS["aout"] == 8 and D.MONTHS["sept"] == 9
+
+
+def test_zoned_iso_converted_to_utc(spark):
+    got = parse(spark, D.parse_iso_or_free,
+                ["2023-09-01T10:30:00+01:00", "2023-09-01 10:30:00.250-0230", "2023-09-01T23:45Z",
+                 "2023-09-01 10:30:00.123"])
+    assert got == [dt.datetime(2023, 9, 1, 9, 30), dt.datetime(2023, 9, 1, 13, 0, 0, 250000),
+                   dt.datetime(2023, 9, 1, 23, 45), dt.datetime(2023, 9, 1, 10, 30, 0, 123000)]
+
+
+def test_iso_with_t_separator(spark):
+    assert parse(spark, D.parse_free, ["2023-09-01T10:30"]) == [dt.datetime(2023, 9, 1, 10, 30)]
