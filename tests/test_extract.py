@@ -1,5 +1,6 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
 
 from newsflow import sites as S
 from newsflow.operators import extract as X
@@ -152,3 +153,25 @@ def test_rejects_and_nulls(spark):
     assert arts["bigA"]["art_published_at"] is None
     assert arts["nocat"]["art_type"] is None
     assert arts["nodate"]["art_published_at"] is None
+
+
+def _translator():
+    def run(texts, lang):
+        return [None if "ici" in t else f"[{lang}] {t}" for t in texts]
+    return run
+
+
+def test_articles_job_with_translation(spark, tmp_out):
+    from newsflow.operators import translate as TR
+    rows = [(s, f"u/{s}", 200, h) for s, h in ARTICLES.items()]
+    crawl = spark.createDataFrame(rows, "site string, url string, status_code int, html string")
+    # the memory already knows the ifm body; jawhara's body ("Texte ici") fails to translate
+    tm = spark.createDataFrame([(None, None)], TR.TM_SCHEMA).filter("key IS NOT NULL").unionByName(
+        spark.createDataFrame([("ar", "A.B.")], "lang string, t string").select(
+            TR.tm_key(F.col("lang"), F.col("t")).alias("key"), F.lit("A.B. (en)").alias("text_en")))
+    tm.write.parquet(tmp_out)
+    arts, rejects = articles_job(crawl, run_ts="2024-06-01 12:00:00", tm=spark.read.parquet(tmp_out),
+                                 translator=_translator, tm_path=tmp_out, materialize_fields=True)
+    got = {r["site"]: r["art_content"] for r in arts.collect()}
+    assert got == {"ifm": "A.B. (en)", "nessma": "[ar] x  y", "kapitalis": "[fr] abc d", "webdo": "[fr] corps"}
+    assert [r["art_url"] for r in rejects.collect()] == ["u/jawhara"]
