@@ -175,3 +175,29 @@ def test_articles_job_with_translation(spark, tmp_out):
     got = {r["site"]: r["art_content"] for r in arts.collect()}
     assert got == {"ifm": "A.B. (en)", "nessma": "[ar] x  y", "kapitalis": "[fr] abc d", "webdo": "[fr] corps"}
     assert [r["art_url"] for r in rejects.collect()] == ["u/jawhara"]
+
+
+TRICKY = [
+    '<DIV Class="a  b"><P>x &amp; <B>y</B><BR/>z</P></DIV>',
+    '<div data-x="1 > 0" class=\'q\'><a href="/u?a=1&amp;b=2">l</a></div>',
+    '<p>a<!-- <p>hidden</p> -->b<script>if (a < b) { s = "</p>"; }</script><style>p>b{}</style>c</p>',
+    '<ul><li>1<li>2</ul><p>one<div>two</div>',
+    '<h1 >T</h1 ><input disabled><span class=x>s</span>a < b',
+]
+
+
+def test_fast_tokenizer_matches_stdlib(monkeypatch):
+    import pyarrow.parquet as pq
+    from newsflow.plans.bindings import pages_profiles
+    pages = pq.read_table("/root/testdata/sf0.001/pages.parquet", columns=["html"]).column("html").to_pylist()
+
+    def shape(el):
+        if isinstance(el, str):
+            return el
+        return (el.tag, tuple(sorted(el.attrs.items())), tuple(shape(c) for c in el.children))
+    for h in pages + TRICKY:
+        assert shape(H.parse(h)) == shape(H.parse_stdlib(h)), h[:200]
+    cfg = pages_profiles()["ifm"]
+    fast = [X.page_fields(h, cfg) for h in pages]
+    monkeypatch.setattr(H, "parse", H.parse_stdlib)
+    assert [X.page_fields(h, cfg) for h in pages] == fast
