@@ -105,7 +105,9 @@ def extract_links(list_pages: DataFrame, profiles: dict[str, S.Site]) -> DataFra
         for b in batches:
             rows = []
             for site, page_no, html in zip(b["site"], b["page_no"], b["html"]):
-                for card_no, href, failed in page_links(html, profiles[site]):
+                cfg = profiles.get(site)
+                found = page_links(html, cfg) if cfg is not None else [(0, None, True)]
+                for card_no, href, failed in found:
                     rows.append((site, int(page_no), card_no, href, failed))
             yield pd.DataFrame(rows, columns=[f.name for f in LINKS_SCHEMA.fields])
     src = list_pages.select("site", F.col("page_no").cast("bigint").alias("page_no"), "html")
@@ -147,7 +149,7 @@ def extract_fields(pages: DataFrame, profiles: dict[str, S.Site], url_col: str =
     """Article pages (site, url, html) -> raw field texts."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(site, url, *page_fields(html, profiles[site]))
+            rows = [(site, url, *(page_fields(html, profiles[site]) if site in profiles else (None,) * 4))
                     for site, url, html in zip(b["site"], b[url_col], b["html"])]
             yield pd.DataFrame(rows, columns=[f.name for f in FIELDS_SCHEMA.fields])
     return pages.select("site", url_col, "html").mapInPandas(run, FIELDS_SCHEMA)
@@ -179,7 +181,8 @@ def flag_fields(fields: DataFrame, profiles: dict[str, S.Site] | None = None) ->
         parse_by_mode(F.col("date_text"), F.element_at(mode, F.col("site"))).alias("art_published_at"),
         F.col("type_raw").alias("art_type"),
         clean_body(F.col("body_raw"), F.col("site"), profiles).alias("art_content"))
-    reason = (F.when(F.col("art_title").isNull(), F.lit("missing title"))
+    reason = (F.when(~F.col("site").isin(list(profiles)), F.lit("unknown site"))
+               .when(F.col("art_title").isNull(), F.lit("missing title"))
                .when(F.col("art_content").isNull(), F.lit("missing body")))
     return typed.withColumn("reject_reason", reason)
 

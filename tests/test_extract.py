@@ -145,10 +145,12 @@ def test_rejects_and_nulls(spark):
         ("jawhara", "bigA", 200, ARTICLES["jawhara"].replace("à", "À")),
         ("webdo", "nocat", 200, ARTICLES["webdo"].replace("entry-cat", "other")),
         ("webdo", "nodate", 200, ARTICLES["webdo"].replace("<time", "<span").replace("</time>", "</span>")),
+        ("newsite", "unknown", 200, ARTICLES["webdo"]),
     ]
     arts, rejects = _articles(spark, rows)
     assert len(arts) + len(rejects) == len(rows)          # accepted + rejected = input
-    assert rejects == {"exact": "missing title", "nocoprs": "missing body", "nop": "missing body"}
+    assert rejects == {"exact": "missing title", "nocoprs": "missing body", "nop": "missing body",
+                       "unknown": "unknown site"}
     assert arts["onep"]["art_content"] == ""
     assert arts["bigA"]["art_published_at"] is None
     assert arts["nocat"]["art_type"] is None
