@@ -40,11 +40,13 @@ def spread(df: DataFrame) -> DataFrame:
     the file listing and the optimizer's size estimate only (no planning)."""
     spark = df.sparkSession
     slots = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= slots:
-        return df
     split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("bB") or 134217728)
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(slots) if size < slots * split else df
+    if size >= slots * split:                  # large input: enough splits already
+        return df
+    if len(df._jdf.inputFiles()) >= slots:     # counted in the JVM, the list stays there
+        return df
+    return df.repartition(slots)
 
 
 def site_lookup(site: Column, attr: str) -> Column:

@@ -33,11 +33,20 @@ def latest_fetch(crawl: DataFrame) -> DataFrame:
     return crawl.groupBy("url").agg(best.alias("_r")).select("url", "_r.*")
 
 
-def fetch(requests: DataFrame, crawl: DataFrame) -> DataFrame:
+def fetch(requests: DataFrame, crawl: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
     """Requested URLs left-joined to the landed crawl on ``url``;
-    unmatched rows (NULL status) are failed fetches. Sort-merge join on url
-    (both sides grow with the crawl)."""
+    unmatched rows (NULL status) are failed fetches.
+
+    A left outer join cannot broadcast its left side, so a small request list
+    (e.g. a frontier) would make Spark shuffle the whole crawl. When the
+    request count is proven below ``broadcast_rows``, the crawl is first cut
+    to the requested URLs by a broadcast semi-join (no crawl shuffle); the
+    left join then runs on two small sides. Otherwise a sort-merge join on
+    url (both sides grow with the crawl)."""
     c = crawl.select("url", "status_code", "html")
+    if requests.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        wanted = F.broadcast(requests.select("url").distinct())
+        c = c.join(wanted, "url", "left_semi")
     return requests.join(c, "url", "left")
 
 
