@@ -90,8 +90,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder for one job output."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path for one intermediate table, under ``newsflow/`` in
+    the shared folder (kept apart from other applications' checkpoints)."""
+    return f"{shared_dir(spark)}/newsflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, name: str):
