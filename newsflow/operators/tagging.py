@@ -31,22 +31,18 @@ from pyspark.sql import types as T
 
 from newsflow.functions.text import WS_CLASS, WS_RE
 
-SENT_MARK = "\u0001"
 # A sentence ends at . ! or ? followed by whitespace (rule segmentation).
-SENT_BREAK = "([.!?])" + WS_RE + "+"
+# Java regex can look behind, so the Spark split is one pass; the portable
+# form (mark the break, then split on the mark) is what the RE2 oracle uses.
+SENT_SPLIT = "(?<=[.!?])" + WS_RE + "+"
 SENT_BREAK_PORTABLE = "([.!?])" + WS_CLASS + "+"
 # Two or more capitalised words separated by single spaces.
 PERSON_RULE = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)+"
 WORD = r"\p{L}+"
-# Size bound for a gazetteer compiled into the plan as a map literal.
+# Size bound for a gazetteer compiled into the plan as literal sets.
 MAX_INLINE_NAMES = 50_000
 
 
-# Java regex can look behind, so the split is one pass; the portable form
-# (mark, then split on the mark) is what the RE2 oracle uses.
-SENT_SPLIT = "(?<=[.!?])" + WS_RE + "+"
-
-
 def split_sentences(text: Column) -> Column:
     """N1 rule segmentation: ARRAY<STRING>, whitespace after the mark dropped."""
     return F.split(text, SENT_SPLIT)
