@@ -29,6 +29,8 @@ LINKS_SCHEMA = T.StructType([
     T.StructField("failed", T.BooleanType()),
 ])
 
+MAX_BROADCAST_SITES = 100_000
+
 FIELDS_SCHEMA = T.StructType([
     T.StructField("site", T.StringType()),
     T.StructField("art_url", T.StringType()),
@@ -131,8 +133,11 @@ def links_until_error(links: DataFrame, tolerant: bool = False, materialize_link
     ok = links.filter(~F.col("failed"))
     first = (links.filter("failed").groupBy("site")
                   .agg(F.min(F.struct("page_no", "card_no")).alias("first_failure")))
+    # one row per site that failed: broadcast after checking that bound
+    if first.limit(MAX_BROADCAST_SITES + 1).count() <= MAX_BROADCAST_SITES:
+        first = F.broadcast(first)
     pos = F.struct("page_no", "card_no")
-    return (ok.join(F.broadcast(first), "site", "left")
+    return (ok.join(first, "site", "left")
               .filter(F.col("first_failure").isNull() | (pos < F.col("first_failure")))
               .drop("first_failure"))
 
