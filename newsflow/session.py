@@ -53,23 +53,34 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``newsflow`` importable in the Python workers: the functions run by
-    ``mapInPandas`` are pickled by module reference. The package is zipped on
-    the driver and distributed by Spark (``addPyFile``), once per application."""
+    ``mapInPandas`` are pickled by module reference. The package is zipped in
+    memory, written to the shared folder through the Hadoop FileSystem API and
+    distributed by Spark (``addPyFile``), once per application."""
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    import io
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
-    path = os.path.join(tempfile.mkdtemp(prefix="newsflow-pkg-"), "newsflow.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for d, _, files in os.walk(pkg):
-            for f in files:
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(path)
+    target = f"{shared_dir(spark)}/newsflow/pkg-{uuid.uuid4().hex[:12]}/newsflow.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(str(fs.makeQualified(path).toString()))
     _SHIPPED.add(app)
 
 
