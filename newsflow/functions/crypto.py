@@ -61,6 +61,11 @@ def encrypt_columns(df: DataFrame, cols: list[str], key: str | bytes,
     def aes(c):
         data = F.encode(F.col(c), "UTF-8")
         if iv is None:
+            # A constant input would be constant-folded into one ciphertext (one
+            # IV for every row). This always-true guard is opaque to the
+            # optimizer (unlike rand() >= 0, which Catalyst simplifies), so the
+            # random IV is drawn per row.
+            data = F.when(F.spark_partition_id() >= 0, data)
             return F.aes_encrypt(data, ek, F.lit("CBC"), F.lit("PKCS"))
         return F.aes_encrypt(data, ek, F.lit("CBC"), F.lit("PKCS"), F.lit(bytearray(iv)))
 

@@ -44,3 +44,11 @@ def test_roundtrip_random_iv(spark, setting):
 def test_wrong_key_length():
     with pytest.raises(ValueError):
         C.split_key(base64.urlsafe_b64encode(b"short").decode())
+
+
+def test_constant_column_gets_fresh_ivs(spark):
+    df = spark.range(20).withColumn("c", F.lit("same text"))
+    toks = [r["c"] for r in C.encrypt_columns(df, ["c"], KEY).collect()]
+    assert len({t[12:34] for t in toks}) == 20          # one IV per row, not one per plan
+    back = C.encrypt_columns(df, ["c"], KEY).select(C.decrypt(F.col("c"), KEY).alias("p")).collect()
+    assert {r["p"] for r in back} == {"same text"}
