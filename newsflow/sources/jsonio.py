@@ -41,11 +41,25 @@ def to_json_record(df: DataFrame) -> DataFrame:
 
 def write_articles_json(df: DataFrame, path: str, partition_by: str | None = "site",
                         mode: str = "overwrite") -> None:
-    """K1 / K2: JSON lines, null fields written as ``null`` (not dropped)."""
-    w = to_json_record(df).write.mode(mode).option("ignoreNullFields", "false")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.json(path)
+    """K1 / K2: JSON lines, null fields written as ``null`` (not dropped).
+
+    Per-site output (K1): only sites configured with a category element carry
+    the ``art_type`` key, as in the reference's per-site files; the others are
+    written without it (two writes into the same partitioned directory).
+    """
+    def write(frame: DataFrame, how: str) -> None:
+        w = to_json_record(frame).write.mode(how).option("ignoreNullFields", "false")
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.json(path)
+
+    if partition_by == "site" and "art_type" in df.columns:
+        from newsflow import sites as S
+        typed = [s.site for s in S.SITES if s.type_sel]
+        write(df.filter(F.col("site").isin(typed)), mode)
+        write(df.filter(~F.col("site").isin(typed)).drop("art_type"), "append")
+    else:
+        write(df, mode)
 
 
 def read_articles_json(spark: SparkSession, path: str, schema: T.StructType = ARTICLE_JSON,

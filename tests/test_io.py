@@ -3,6 +3,7 @@ import glob
 import json
 import os
 
+from pyspark.sql import functions as F
 
 from newsflow import sites as S
 from newsflow.operators.combine import union_sites
@@ -38,11 +39,14 @@ def test_json_sink_writes_nulls_and_python_time(spark, tmp_out):
         [("webdo", "u", None, dt.datetime(2023, 9, 1, 10, 30), dt.datetime(2023, 9, 1, 10, 30, 0, 123000))],
         "site string, art_url string, art_type string, art_published_at timestamp_ntz, "
         "art_creation_date timestamp_ntz")
-    J.write_articles_json(df, tmp_out, partition_by="site")
+    other = df.withColumn("site", F.lit("ifm"))
+    J.write_articles_json(df.unionByName(other), tmp_out, partition_by="site")
     text = "".join(open(p, encoding="utf-8").read() for p in glob.glob(f"{tmp_out}/site=webdo/*.json"))
     rec = json.loads(text)
     assert rec == {"art_url": "u", "art_type": None, "art_published_at": "2023-09-01 10:30:00",
                    "art_creation_date": "2023-09-01 10:30:00.123000"}
+    text = "".join(open(p, encoding="utf-8").read() for p in glob.glob(f"{tmp_out}/site=ifm/*.json"))
+    assert "art_type" not in json.loads(text)               # only webdo files carry the key
 
 
 def test_union_order_and_missing_columns(spark):
