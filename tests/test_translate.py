@@ -42,3 +42,13 @@ def test_salted_memory_join_equals_plain(spark):
     from newsflow.operators.skew import hot_keys
     keyed = d.select(TR.tm_key(F.col("lang"), F.col("text")).alias("k"))
     assert [r["_salts"] for r in hot_keys(keyed, "k", 100).collect()] == [30]
+
+
+def test_salted_join_with_more_hot_keys_than_salted(spark):
+    from newsflow.operators.skew import salted_left_join
+    left = spark.range(4000).select((F.col("id") % 3).alias("k"), F.col("id"))     # three hot keys
+    right = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, v string")
+    plain = left.join(right, "k", "left")
+    capped = salted_left_join(left, right, "k", hot_rows=100, max_hot_keys=1)   # only one key salted
+    assert capped.count() == 4000
+    assert plain.exceptAll(capped).count() == 0 and capped.exceptAll(plain).count() == 0
