@@ -99,7 +99,7 @@ def _frac_seconds(sec: Column, frac: Column) -> Column:
 
 def normalise(text: Column) -> Column:
     """Digits to ASCII, whitespace collapsed, lower case."""
-    t = F.translate(F.translate(text, ARABIC_INDIC_DIGITS, "0123456789"), EASTERN_ARABIC_DIGITS, "0123456789")
+    t = F.translate(text, ARABIC_INDIC_DIGITS + EASTERN_ARABIC_DIGITS, "0123456789" * 2)
     return F.lower(collapse_ws(t))
 
 
