@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import quality_rules, token_counts
+from newsflow.llm import minhash, quality_rules, token_counts
 from newsflow.llm.common import table
 from newsflow.session import materialize
 
@@ -27,7 +27,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("tokens.n_tokens") > token_counts.MAX_TOKENS).alias("over_limit"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op6_token_counts)}
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
+                        F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op6_token_counts, op9_minhash)}
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -62,4 +68,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN r USING (source)
 """
 
-ORACLE = {"op1_quality_rules": OP1_SQL}
+OP9_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + least(len(ws), 5) - 1], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+rare AS (SELECT g FROM g GROUP BY g HAVING count(*) > 1),
+both_ AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+          FROM (SELECT * FROM g SEMI JOIN rare USING (g)) x JOIN (SELECT * FROM g SEMI JOIN rare USING (g)) y USING (g)
+          WHERE x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM both_ JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+          WHERE 100 * c >= {minhash.THRESHOLD} * (p.n + q.n - c)),
+near AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
+          UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a),
+low AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM low LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE = {"op9_minhash": OP9_SQL, "op1_quality_rules": OP1_SQL}
