@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import minhash, quality_rules, token_counts
+from newsflow.llm import decontaminate, minhash, quality_rules, token_counts
 from newsflow.llm.common import table
 from newsflow.session import materialize
 
@@ -19,6 +19,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "measures.*", "quality.kept", F.round("quality.host_rate", 9).alias("host_rate"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -33,7 +40,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op6_token_counts, op9_minhash)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_decontamination, op6_token_counts, op9_minhash)}
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -68,6 +75,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN r USING (source)
 """
 
+OP3_WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+OP3_SQL = f"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {OP3_WORDS_SQL} AS ws FROM benchmark),
+v AS (SELECT DISTINCT item, least(len(ws), 10) AS l, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') AS win
+      FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 8, 2))) AS i FROM b WHERE len(ws) > 0)),
+d AS (SELECT doc_id, {OP3_WORDS_SQL} AS ws FROM documents),
+places AS (SELECT doc_id, i, l, array_to_string(ws[i:i + l - 1], ' ') AS win
+       FROM (SELECT doc_id, ws, l, unnest(range(1, len(ws) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM v) WHERE len(ws) >= l)),
+hits AS (SELECT doc_id, i, l, item FROM places JOIN v USING (l, win)),
+words AS (SELECT doc_id, count(DISTINCT i + k) AS n
+          FROM (SELECT doc_id, i, unnest(range(0, l)) AS k FROM (SELECT DISTINCT doc_id, i, l FROM hits)) GROUP BY doc_id),
+items AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM hits WHERE item IS NOT NULL GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_hit, coalesce(len(items), 0) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 OP9_SQL = f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
 g AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + least(len(ws), 5) - 1], ' ') AS g
@@ -87,4 +112,4 @@ SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_
 FROM low LEFT JOIN n USING (doc_id)
 """
 
-ORACLE = {"op9_minhash": OP9_SQL, "op1_quality_rules": OP1_SQL}
+ORACLE = {"op3_decontamination": OP3_SQL, "op9_minhash": OP9_SQL, "op1_quality_rules": OP1_SQL}
