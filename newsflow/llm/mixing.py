@@ -7,15 +7,14 @@ source with ratio r = target / size is taken floor(r) times for certain and
 once more with inclusion probability r - floor(r).
 
 The fractional parts are settled by the cube method, source by source. The
-flight phase keeps three undecided documents at a time and moves their
-probabilities along the null space of the two balancing constraints (documents
-and words), until one of them is 0 or 1; totals never change. It runs in
-blocks of bounded size; what each block leaves (at most two documents) meets
-in the blocks of the next level, until a source is a single block. There the
-landing problem of at most two documents is solved by giving up the document
-constraint first, then by one draw. Documents are walked from large to small,
-so only small ones are left for the landing: a source's words miss the target
-by less than one such document.
+flight phase walks the documents from large to small. Each is moved to 0 or 1
+along a null-space vector of the two balancing constraints (documents and
+words) that spreads the compensation over all smaller undecided documents, so
+both totals stay as they are. It runs in blocks of bounded size; what each
+block leaves (three of its smallest documents) meets in the blocks of the next
+level, until a source is a single block. There the landing problem of those
+few small documents gives up the number of documents first, then takes one
+draw: a source's words miss the target by about one small document.
 
 All draws depend on the source, the level and the block only, and all orders
 are total, so reruns agree.
@@ -41,6 +40,7 @@ from newsflow.session import materialize
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 BLOCK = 1024      # documents that one block settles
+LEFT = 3          # documents that a block may leave undecided
 SEED = 20_260
 
 
@@ -76,44 +76,46 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     return s.select("source", "docs", "source_size", target.alias("target"))
 
 
+def direction(size: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """A null-space vector of the balancing constraints that moves the first
+    document by 1 and spreads the compensation over all others, most where
+    there is room. Documents and words are kept; where the others' sizes can
+    keep only one of them (or none is left to do so), words go first."""
+    v, s, lead = p[1:] * (1 - p[1:]), size[1:], size[0]
+    s0, s1, s2 = v.sum(), (v * s).sum(), (v * s * s).sum()
+    det = s0 * s2 - s1 * s1
+    if det > 1e-9 * s0 * s2:
+        rest = v * ((s2 - lead * s1) + (lead * s0 - s1) * s) / det
+    elif s1 > 0:
+        rest = v * (lead / s1)
+    else:
+        rest = v * (1 / s0 if lead == 0 and s0 > 0 else 0)
+    return np.concatenate(([1.0], -rest))
+
+
 def flight(size: np.ndarray, p: np.ndarray, draws: np.random.Generator, land: bool) -> np.ndarray:
-    """Moves the probabilities ``p`` until at most two (with ``land``: none)
-    are strictly between 0 and 1. Sums of p and of p * size are kept, but for
-    the landing."""
-    p, size = p.tolist(), size.tolist()
-    u = draws.random(len(p) + 4).tolist()
-    held: list[int] = []
-
-    def move(ids: list[int], way: list[float]) -> None:
-        up = min((1 - p[i]) / w if w > 0 else p[i] / -w for i, w in zip(ids, way, strict=True) if w)
-        down = min(p[i] / w if w > 0 else (1 - p[i]) / -w for i, w in zip(ids, way, strict=True) if w)
-        step = up if u.pop() * (up + down) < down else -down
-        gone = None
-        for i, w in zip(ids, way, strict=True):
-            if w:
-                p[i] = min(1.0, max(0.0, p[i] + step * w))
-                room = min(p[i], 1 - p[i]) / abs(w)
-                if gone is None or room < gone[0]:
-                    gone = (room, i)
-        p[gone[1]] = float(round(p[gone[1]]))   # the one that met its bound, but for rounding
-        held[:] = [i for i in held if 0.0 < p[i] < 1.0]
-
-    for i in range(len(p)):
-        if 0.0 < p[i] < 1.0:
-            held.append(i)
-        if len(held) == 3:
-            a, b, c = (size[k] for k in held)
-            way = [c - b, a - c, b - a]
-            scale = max(map(abs, way))
-            move(list(held), [w / scale for w in way] if scale else [1.0, -1.0, 0.0])
-    if land:
-        if len(held) == 2:   # give up the number of documents, keep the words
-            a, b = (size[k] for k in held)
-            scale = max(a, b)
-            move(list(held), [b / scale, -a / scale] if scale else [1.0, -1.0])
-        for i in list(held):
-            p[i] = 1.0 if u.pop() < p[i] else 0.0
-    return np.array(p)
+    """Moves the probabilities ``p`` of documents, ordered by falling size,
+    until at most ``LEFT`` (with ``land``: none) are strictly between 0 and 1.
+    The flight keeps the sums of p and of p * size; the landing keeps words as
+    long as two documents are open, then draws."""
+    size, p = size.astype(float), p.astype(float).copy()
+    open_ = np.flatnonzero((p > 0) & (p < 1))
+    while len(open_) > (1 if land else LEFT):
+        q, way = p[open_], direction(size[open_], p[open_])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            above, below = (1 - q) / np.abs(way), q / np.abs(way)
+        up, down = np.where(way > 0, above, below), np.where(way > 0, below, above)
+        up[way == 0] = down[way == 0] = np.inf
+        far, near = up.min(), down.min()
+        step, met = (far, up.argmin()) if draws.random() * (far + near) < near else (-near, down.argmin())
+        q = np.clip(q + step * way, 0.0, 1.0)
+        q[met] = np.round(q[met])
+        q[q < 1e-12], q[q > 1 - 1e-12] = 0.0, 1.0
+        p[open_] = q
+        open_ = open_[(q > 0) & (q < 1)]
+    if land and len(open_):
+        p[open_] = float(draws.random() < p[open_[0]])
+    return p
 
 
 def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -149,8 +151,8 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
                  .withColumn("block", F.pmod(F.xxhash64("h", F.lit(level)), F.col("blocks"))).withColumn("level", F.lit(level)))
         settled = materialize(dealt.groupBy("sh", "block").applyInPandas(_settle, schema), f"level{level}")
         done.append(settled.where("p = 0 or p = 1").select(*keep, "p"))
-        open_ = settled.where("p > 0 and p < 1").drop("block", "level").withColumn("blocks", F.ceil(2 * F.col("blocks") / block).cast("long"))
-        level, blocks = level + 1, 0 if blocks == 1 else math.ceil(2 * blocks / block)
+        open_ = settled.where("p > 0 and p < 1").drop("block", "level").withColumn("blocks", F.ceil(LEFT * F.col("blocks") / block).cast("long"))
+        level, blocks = level + 1, 0 if blocks == 1 else math.ceil(LEFT * blocks / block)
     kind, skind = docs.schema[id].dataType, docs.schema[source].dataType
     for d in done:
         certain = certain.union(d.select(F.col("id").cast(kind).alias("id"), F.col("source").cast(skind).alias("source"), "size", "source_size", "target",
