@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import decontaminate, minhash, mixing, quality_rules, token_counts
+from newsflow.llm import decontaminate, minhash, mixing, quality_classifier, quality_rules, token_counts
 from newsflow.llm.common import table
+from newsflow.llm.labels import held_out, training_labels
 from newsflow.session import materialize
 
 TOKENIZER = "word_bpe_49k.json"
@@ -40,13 +41,25 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("tokens.n_tokens") > token_counts.MAX_TOKENS).alias("over_limit"))
 
 
+QUALITY_CUT = 0.3
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", quality_classifier.statistics_column().alias("x"))
+    docs = materialize(docs, "op7_statistics")
+    labels = training_labels(table(spark, sf_dir, "labels"), "quality")
+    model = quality_classifier.fit(docs.join(labels, F.col("doc_id") == F.col("lid")))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), quality_classifier.score_column(model, "x").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
                         F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_decontamination, op6_token_counts, op9_minhash)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_decontamination, op6_token_counts, op7_quality_classifier, op9_minhash)}
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
