@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import decontaminate, minhash, mixing, quality_classifier, quality_rules, token_counts
+from newsflow.llm import decontaminate, minhash, mixing, quality_classifier, quality_rules, token_counts, toxicity
 from newsflow.llm.common import table
 from newsflow.llm.labels import held_out, training_labels
 from newsflow.session import materialize
@@ -33,6 +33,15 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+TOXIC_CUT = 0.5
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_CUT).cast("int").alias("predicted"), "evidence")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -59,7 +68,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_decontamination, op6_token_counts, op7_quality_classifier, op9_minhash)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_decontamination, op5_toxicity, op6_token_counts, op7_quality_classifier, op9_minhash)}
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
