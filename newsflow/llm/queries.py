@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import decontaminate, minhash, mixing, quality_classifier, quality_rules, token_counts, toxicity
+from newsflow.llm import decontaminate, html_blocks, minhash, mixing, quality_classifier, quality_rules, token_counts, toxicity
 from newsflow.llm.common import table
 from newsflow.llm.labels import held_out, training_labels
 from newsflow.session import materialize
@@ -33,6 +33,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_blocks.extract(pages).select("page_id", "url", F.col("main_text").alias("text"),
+                                             F.char_length("main_text").cast("long").alias("n_chars"))
+
+
 TOXIC_CUT = 0.5
 
 
@@ -68,7 +74,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_decontamination, op5_toxicity, op6_token_counts, op7_quality_classifier, op9_minhash)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_decontamination, op4_html_blocks, op5_toxicity, op6_token_counts, op7_quality_classifier, op9_minhash)}
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
