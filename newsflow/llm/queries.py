@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import decontaminate, html_blocks, minhash, mixing, quality_classifier, quality_rules, token_counts, toxicity
+from newsflow.llm import decontaminate, html_blocks, minhash, mixing, quality_classifier, quality_rules, token_counts, toxicity, url_filter
 from newsflow.llm.common import table
 from newsflow.llm.labels import held_out, training_labels
 from newsflow.session import materialize
@@ -68,13 +68,29 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
 
 
+# The contract's rules: (verdict, host, path).
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+# The list of blocked URLs: the canonical URLs of all pages on hosts of these
+# names, gathered from the table itself, so it grows with it.
+LISTED_NAMES = ("spam-farm", "cheap-pills", "casino-win", "adult-x", "free-bets", "ads-track")
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
+    on_list = F.arrays_overlap(F.split(host, r"\."), F.array(*map(F.lit, LISTED_NAMES)))
+    listed = pages.where(on_list).select(url_filter.canonical(host, path).alias("listed"))
+    judged = url_filter.judge(pages, URL_RULES, listed)
+    return judged.select("page_id", "filter.host", "filter.path", "filter.rule", "filter.verdict", "filter.listed")
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
                         F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_decontamination, op4_html_blocks, op5_toxicity, op6_token_counts, op7_quality_classifier, op9_minhash)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_decontamination, op4_html_blocks, op5_toxicity, op6_token_counts, op7_quality_classifier, op8_url_filter, op9_minhash)}
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -146,4 +162,21 @@ SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_
 FROM low LEFT JOIN n USING (doc_id)
 """
 
-ORACLE = {"op3_decontamination": OP3_SQL, "op9_minhash": OP9_SQL, "op1_quality_rules": OP1_SQL}
+_RULES_SQL = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+_NAMES_SQL = ", ".join(f"'{n}'" for n in LISTED_NAMES)
+OP8_SQL = f"""
+WITH u AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, url, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+             coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+c AS (SELECT *, regexp_replace(host, '^www\\.', '') || regexp_replace(path, '/+$', '') AS canon,
+             strpos(url, '://') > 0 AS has_host FROM p),
+l AS (SELECT DISTINCT canon FROM c WHERE list_has_any(string_split(host, '.'), [{_NAMES_SQL}])),
+r AS (SELECT * FROM (VALUES {_RULES_SQL}) t(verdict, h, p)),
+best AS (SELECT page_id, arg_max(struct_pack(rule := h || r.p, verdict := verdict), length(h || r.p) * 1000 + length(h)) AS b
+         FROM c JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p) GROUP BY page_id)
+SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, CASE WHEN l.canon IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+       l.canon IS NOT NULL AS listed
+FROM c LEFT JOIN best USING (page_id) LEFT JOIN l ON c.canon = l.canon AND has_host
+"""
+
+ORACLE = {"op8_url_filter": OP8_SQL, "op3_decontamination": OP3_SQL, "op9_minhash": OP9_SQL, "op1_quality_rules": OP1_SQL}
