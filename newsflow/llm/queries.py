@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import decontaminate, html_blocks, minhash, mixing, quality_classifier, quality_rules, token_counts, toxicity, url_filter
+from newsflow.llm import decontaminate, html_blocks, licenses, minhash, mixing, quality_classifier, quality_rules, token_counts, toxicity, url_filter
 from newsflow.llm.common import table
 from newsflow.llm.labels import held_out, training_labels
 from newsflow.session import materialize
@@ -90,7 +90,17 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_decontamination, op4_html_blocks, op5_toxicity, op6_token_counts, op7_quality_classifier, op8_url_filter, op9_minhash)}
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    sure = F.filter("licences", lambda x: x["confirmed"])
+    return found.select("doc_id", F.size("licences").cast("long").alias("n_findings"), F.size(sure).cast("long").alias("n_licences"),
+                        F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))), ",").alias("families"),
+                        F.array_join(F.transform(sure, lambda x: x["paragraph"].cast("string")), ",").alias("paragraphs"),
+                        F.array_max(F.transform("licences", lambda x: x["probability"])).alias("probability"),
+                        F.array_max(F.transform("licences", lambda x: x["similarity"])).alias("similarity"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_decontamination, op4_html_blocks, op5_toxicity, op6_token_counts, op7_quality_classifier, op8_url_filter, op9_minhash, op10_licenses)}
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
