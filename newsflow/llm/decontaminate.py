@@ -117,11 +117,11 @@ def prefix_hits(lookup):
 
 def contaminated_words(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text",
                        item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``row, id, n_words, n_hit, items, spans``: per document the number of
+    """``row, id, text_hash, n_words, n_hit, items, spans``: per document the number of
     its words inside an occurrence of a benchmark window, the sorted ids (as
     strings) of the items found, and the sorted (start, length) of the windows."""
     spark = docs.sparkSession
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("id"), F.col(text).alias("text"))
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
     shingles = materialize(benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text"))
                            .mapInPandas(_windows, "item string, win string, len int, size int, off int, h long"), "item_shingles")
     keys = materialize(shingles.select("size", "h").distinct(), "item_keys")
@@ -147,8 +147,8 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id"
 
     found = base = None
     for part in range(slices):
-        c = materialize(texts.select("row", "id", prefix_hits(lookup(used, part))("text").alias("c")).select("row", "id", "c.*"), "candidates")
-        base = c.select("row", "id", "n_words") if base is None else base
+        c = materialize(texts.select("row", "id", "text_hash", prefix_hits(lookup(used, part))("text").alias("c")).select("row", "id", "text_hash", "c.*"), "candidates")
+        base = c.select("row", "id", "text_hash", "n_words") if base is None else base
         hits = c.where(F.size("h") > 0).select("row", "n_words", F.inline(F.arrays_zip("h", "pos", "lo", "near")))
         found = hits if found is None else found.union(hits)
 
@@ -167,6 +167,6 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id"
                       F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"), F.array_sort("spans").alias("spans")))
     none = F.array().cast("array<string>")
     return (base.join(judged, F.col("row") == F.col("r"), "left")
-            .select("row", "id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+            .select("row", "id", "text_hash", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", none).alias("items"),
                     F.coalesce("spans", F.array().cast("array<struct<start:int,len:int>>")).alias("spans")))

@@ -214,12 +214,13 @@ def in_cells(members: DataFrame, group: str, cell: int = CELL) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``row, id, n_shingles, component``: one row per document; rows of one
-    group of near-duplicates share ``component``, its smallest id."""
+    """``row, id, text_hash, n_shingles, component, keeper``: one row per
+    document; rows of one group of near-duplicates share ``component``, its
+    smallest id, and ``keeper``, the row that has it (of several the first)."""
     docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     sketch = F.pandas_udf(_sketch, SKETCH)
-    sketches = materialize(docs.select(F.monotonically_increasing_id().alias("row"), "id", sketch("text").alias("s"))
-                           .select("row", "id", "s.*"), "sketches")
+    sketches = materialize(docs.select(F.monotonically_increasing_id().alias("row"), "id", F.xxhash64("text").alias("text_hash"), sketch("text").alias("s"))
+                           .select("row", "id", "text_hash", "s.*"), "sketches")
 
     # 2. one node for each set: its smallest (id, row); null ids come last
     nodes = materialize(
@@ -256,19 +257,20 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     unclear = labelled.join(groups.select(F.col("node").alias("label"), F.col("root").alias("grp")), "label")
     late = in_cells(unclear, "grp").join(sets, "node").groupBy("cell").applyInPandas(_confirm_cell, "a long, b long")
 
-    # 5. components, then back to all rows
+    # 5. components, then back to all rows; ``k`` orders null ids last
     roots = materialize(connected(stars.union(late)), "roots")
-    ids = nodes.select(F.col("node").alias("v"), F.col("id").alias("vid"))
-    best = roots.join(ids, F.col("node") == F.col("v")).groupBy(F.col("root").alias("r")).agg(F.min("vid").alias("component"))
-    moved = roots.join(best, F.col("root") == F.col("r")).select("node", "component")
-    final = materialize(nodes.select("node", "f1", "f2", F.col("id").alias("own"))
-                        .join(moved.withColumnRenamed("node", "v"), F.col("node") == F.col("v"), "left")
-                        .select(F.col("f1").alias("g1"), F.col("f2").alias("g2"),
-                                F.when(F.col("v").isNull(), F.col("own")).otherwise(F.col("component")).alias("component")), "final")
-    return (sketches.select("row", "id", "n", "f1", "f2")
-            .join(final, (F.col("n") > 0) & (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")), "left")
-            .select("row", "id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component")))
+    own = F.struct(F.isnull("id").alias("no_id"), "id", F.col("node").alias("row"))
+    ids = nodes.select(F.col("node").alias("v"), own.alias("k"))
+    best = roots.join(ids, F.col("node") == F.col("v")).groupBy(F.col("root").alias("r")).agg(F.min("k").alias("k"))
+    moved = roots.join(best, F.col("root") == F.col("r")).select(F.col("node").alias("v"), "k")
+    final = materialize(nodes.select("node", "f1", "f2", own.alias("own")).join(moved, F.col("node") == F.col("v"), "left")
+                        .select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), F.coalesce("k", "own").alias("k")), "final")
+    alone = F.col("n") == 0
+    return (sketches.select("row", "id", "text_hash", "n", "f1", "f2")
+            .join(final, ~alone & (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")), "left")
+            .select("row", "id", "text_hash", F.col("n").alias("n_shingles"),
+                    F.when(alone, F.col("id")).otherwise(F.col("k.id")).alias("component"),
+                    F.when(alone, F.col("row")).otherwise(F.col("k.row")).alias("keeper")))
 
 
 def shingle_sets(docs: DataFrame, needed: DataFrame, sketches: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ SEED = 20_260
 
 def sizes_of(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD_RE)), F.lit(0)).cast("long")
-    return docs.select(F.col(id).alias("id"), F.col(source).alias("source"), size.alias("size"))
+    return docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(source).alias("source"), size.alias("size"))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -128,7 +128,7 @@ def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, block: int = BLOCK) -> DataFrame:
-    """One row per document: ``id, source, size, source_size, target,
+    """One row per document: ``id, text_hash, source, size, source_size, target,
     repeats`` (how often the mix takes the document)."""
     sizes = materialize(sizes_of(docs, id, text, source), "sizes")
     targets = materialize(source_targets(sizes, weights, max_repeats), "targets")
@@ -136,14 +136,14 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = (sizes.join(side, F.col("source").eqNullSafe(F.col("s"))).drop("s")
             .withColumn("base", F.floor(ratio).cast("long")).withColumn("p", ratio - F.floor(ratio)))
-    certain = rows.where("p = 0").select("id", "source", "size", "source_size", "target", F.col("base").alias("repeats"))
+    certain = rows.where("p = 0").select("id", "text_hash", "source", "size", "source_size", "target", F.col("base").alias("repeats"))
 
     # ids travel as strings so that null and large ids come back as they were
-    keep = ["id", "source", "size", "source_size", "target", "base"]
+    keep = ["id", "text_hash", "source", "size", "source_size", "target", "base"]
     key = F.coalesce(F.col("id").cast("string"), F.lit(""))
     open_ = (rows.where("p > 0").withColumn("key", key).withColumn("h", F.xxhash64("key", "size"))
              .withColumn("sh", F.xxhash64("source")).withColumn("blocks", F.ceil(F.col("docs") / block).cast("long")).drop("docs"))
-    schema = "id string, source string, size long, source_size long, target double, base long, p double, key string, h long, sh long, blocks long, block long, level int"
+    schema = "id string, text_hash long, source string, size long, source_size long, target double, base long, p double, key string, h long, sh long, blocks long, block long, level int"
     most = targets.agg(F.max("docs")).first()[0] or 0
     done, level, blocks = [], 0, math.ceil(most / block)
     while blocks:
@@ -155,6 +155,6 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
         level, blocks = level + 1, 0 if blocks == 1 else math.ceil(LEFT * blocks / block)
     kind, skind = docs.schema[id].dataType, docs.schema[source].dataType
     for d in done:
-        certain = certain.union(d.select(F.col("id").cast(kind).alias("id"), F.col("source").cast(skind).alias("source"), "size", "source_size", "target",
+        certain = certain.union(d.select(F.col("id").cast(kind).alias("id"), "text_hash", F.col("source").cast(skind).alias("source"), "size", "source_size", "target",
                                          (F.col("base") + F.col("p").cast("long")).alias("repeats")))
     return certain
