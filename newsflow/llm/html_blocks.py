@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsflow.operators.markup import tidy
+
 # Elements whose start or end ends a block of text.
 BLOCK_TAGS = frozenset("""address article aside blockquote body button center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre
@@ -127,7 +129,7 @@ def blocks_of(html: str | None) -> list[tuple[str, float, tuple[int, ...]]]:
     if not html:
         return []
     parser = Blocks()
-    parser.feed(html)
+    parser.feed(tidy(html))
     parser.close()
     parser.cut()
     return parser.found
