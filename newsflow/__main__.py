@@ -1,7 +1,7 @@
 """Command line for the three steps of the reference, as Spark jobs.
 
     python -m newsflow links    --crawl CRAWL --pages 3 --out LINKS
-    python -m newsflow articles --crawl CRAWL --out ARTICLES --json-out SITE_JSON [--tm TM]
+    python -m newsflow articles --crawl CRAWL [--links LINKS] --out ARTICLES --json-out SITE_JSON [--tm TM]
     python -m newsflow concat   --json-in SITE_JSON --out COMBINED_JSON
     python -m newsflow mentions --articles ARTICLES --key-file KEY --lexicon LEX.json --out STORE
     python -m newsflow sample   --store STORE --key-file KEY
@@ -36,6 +36,13 @@ def _key(path: str) -> str:
         return f.read().strip()
 
 
+def _provider(name: str):
+    """``package.module:function``; the function is the loader of a translator."""
+    import importlib
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def cmd_links(spark, a) -> None:
     from newsflow import sites as S
     from newsflow.plans.articles_job import listing_job
@@ -46,12 +53,16 @@ def cmd_links(spark, a) -> None:
 
 
 def cmd_articles(spark, a) -> None:
-    from newsflow.plans.articles_job import articles_job
+    from newsflow.operators.translate import TM_SCHEMA
+    from newsflow.plans.articles_job import articles_job, linked_crawl
     from newsflow.sources.crawl import latest_fetch
     from newsflow.sources.jsonio import write_articles_json
     crawl = latest_fetch(spark.read.parquet(a.crawl))
-    tm = spark.read.parquet(a.tm) if a.tm else None
-    arts, rejects = articles_job(crawl, run_ts=a.run_ts, tm=tm, materialize_fields=True)
+    if a.links:                     # exactly the listed articles, repeats kept
+        crawl = linked_crawl(spark.read.parquet(a.links), crawl)
+    provider = _provider(a.provider) if a.provider else None
+    tm = spark.read.parquet(a.tm) if a.tm else spark.createDataFrame([], TM_SCHEMA) if provider else None
+    arts, rejects = articles_job(crawl, run_ts=a.run_ts, tm=tm, translator=provider, tm_path=a.tm_out, materialize_fields=True)
     arts.write.mode("overwrite").partitionBy("site").parquet(a.out)
     stored = spark.read.parquet(a.out)
     if a.json_out:
@@ -61,12 +72,10 @@ def cmd_articles(spark, a) -> None:
 
 
 def cmd_concat(spark, a) -> None:
-    from newsflow import sites as S
-    from newsflow.operators.combine import union_sites
-    from newsflow.sources.jsonio import ARTICLE_JSON, read_articles_json, write_articles_json
-    frames = {s.site: read_articles_json(spark, f"{a.json_in}/site={s.site}", ARTICLE_JSON, a.multiline)
-              for s in S.SITES}
-    write_articles_json(union_sites(frames), a.out, partition_by=None)
+    from newsflow.operators.combine import append_order
+    from newsflow.sources.jsonio import ARTICLE_JSON, read_site_json, write_articles_json
+    rows = append_order(read_site_json(spark, a.json_in, a.multiline)).sort(F.col("source_ord").asc_nulls_last())
+    write_articles_json(rows.select(*ARTICLE_JSON.fieldNames()), a.out, partition_by=None)
 
 
 def cmd_mentions(spark, a) -> None:
@@ -77,7 +86,9 @@ def cmd_mentions(spark, a) -> None:
                       .option("multiLine", a.multiline).json(a.articles))
     with open(a.lexicon, encoding="utf-8") as f:
         lexicon = json.load(f)
-    mentions_job(arts, _key(a.key_file), LexiconScorer(lexicon), out_path=a.out)
+    _, rejects = mentions_job(arts, _key(a.key_file), LexiconScorer(lexicon), out_path=a.out)
+    if a.rejects:
+        rejects.write.mode("overwrite").parquet(a.rejects)
 
 
 def cmd_sample(spark, a) -> None:
@@ -104,7 +115,10 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--out", required=True)
     s.add_argument("--json-out")
     s.add_argument("--rejects")
-    s.add_argument("--tm")
+    s.add_argument("--links", help="links table written by the links step")
+    s.add_argument("--tm", help="translation memory")
+    s.add_argument("--tm-out", help="folder that new translations are appended to")
+    s.add_argument("--provider", help="package.module:function that loads a translator")
     s.add_argument("--run-ts")
     s = sub.add_parser("concat")
     s.add_argument("--json-in", required=True)
@@ -116,14 +130,19 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--multiline", action="store_true")
     s.add_argument("--key-file", required=True)
     s.add_argument("--lexicon", required=True)
+    s.add_argument("--rejects")
     s.add_argument("--out", required=True)
     s = sub.add_parser("sample")
     s.add_argument("--store", required=True)
     s.add_argument("--key-file", required=True)
     a = p.parse_args(argv)
+    from newsflow.session import clean_scratch
+    own = SparkSession.getActiveSession() is None
     spark = _session(a.master)
     {"links": cmd_links, "articles": cmd_articles, "concat": cmd_concat,
      "mentions": cmd_mentions, "sample": cmd_sample}[a.cmd](spark, a)
+    if own:
+        clean_scratch(spark)
     return 0
 
 

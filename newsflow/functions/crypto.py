@@ -97,6 +97,8 @@ def decrypt(token: Column, key: str | bytes) -> Column:
                                   F.lit(bytearray(enc)), F.lit("CBC"), F.lit("PKCS"))
         return F.when(valid, F.decode(plain, "UTF-8"))
 
-    raw = F.try_to_binary(F.translate(token, "-_", "+/"), F.lit("base64"))
+    # url-safe decoding skips characters outside the alphabet
+    clean = F.regexp_replace(F.translate(token, "-_", "+/"), "[^A-Za-z0-9+/=]", "")
+    raw = F.try_to_binary(clean, F.lit("base64"))
     bound = F.element_at(F.transform(F.array(raw), check), 1)
     return F.coalesce(bound, F.lit(INVALID_TOKEN_MESSAGE))

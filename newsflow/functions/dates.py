@@ -6,7 +6,8 @@ error (the reference sets the field to None in an ``except``).
 
 The free-form parser (D3) stands in for a multilingual date library: it reads
 absolute dates written as ``day month-word year [time]``, ``month-word day,
-year [time]``, numeric day-first ``d/m/yyyy [H:M]`` and ISO
+year [time]``, each with an optional weekday before it, 24-hour, ``10h`` and
+AM/PM times, numeric day-first ``d/m/yyyy [H:M]`` and ISO
 ``yyyy-mm-dd[ H:M[:S[.f]]]`` (a zone designator is converted to UTC), with
 Arabic-Indic digits and French, English and Arabic (incl. Maghreb) month
 names. Relative dates give NULL.
@@ -31,6 +32,9 @@ MONTHS_AR = ["يناير", "فبراير", "مارس", "أبريل", "مايو",
              "سبتمبر", "أكتوبر", "نوفمبر", "ديسمبر"]
 MONTHS_AR_MAGHREB = ["جانفي", "فيفري", "مارس", "أفريل", "ماي", "جوان", "جويلية", "أوت",
                      "سبتمبر", "أكتوبر", "نوفمبر", "ديسمبر"]
+WEEKDAYS_FR = ["lundi", "mardi", "mercredi", "jeudi", "vendredi", "samedi", "dimanche"]
+WEEKDAYS_EN = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+WEEKDAYS_AR = ["الإثنين", "الثلاثاء", "الأربعاء", "الخميس", "الجمعة", "السبت", "الأحد"]
 ARABIC_INDIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
 EASTERN_ARABIC_DIGITS = "۰۱۲۳۴۵۶۷۸۹"
 # -----------------------------------------------------------------------------
@@ -46,6 +50,7 @@ def month_table() -> dict[str, int]:
     for names in (MONTHS_FR, MONTHS_FR_SHORT, MONTHS_EN, MONTHS_EN_SHORT, MONTHS_AR, MONTHS_AR_MAGHREB):
         for i, w in enumerate(names, start=1):
             out.setdefault(w, i)
+            out.setdefault(w.translate(str.maketrans("أإآ", "ااا")), i)     # as normalised texts are
             out.setdefault(_unaccented(w), i)
             out.setdefault(w + ".", i)
     out.setdefault("fév", 2)
@@ -57,7 +62,11 @@ MONTHS = month_table()
 
 _N = "([0-9]{1,2})"
 _Y = "([0-9]{4})"
-_TIME = "(?:[^0-9]+([0-9]{1,2})[:h]([0-9]{2})(?::([0-9]{2}))?)?"
+_TIME = ("(?:[^0-9]+([0-9]{1,2})(?:[:h]([0-9]{2})(?::([0-9]{2}))?|h|(?= ?[ap][.]?m))"
+         "(?: ?[ap][.]?m[.]?)?)?")
+PM, AM = "[0-9] ?p[.]?m[.]?$", "[0-9] ?a[.]?m[.]?$"
+_DAY_NAMES = "|".join(WEEKDAYS_FR + WEEKDAYS_EN + [w.translate(str.maketrans("أإآ", "ااا")) for w in WEEKDAYS_AR])
+WEEKDAY = f"^(?:يوم )?(?:{_DAY_NAMES})[,،.]? (?:le )?"
 DAY_MONTH_YEAR = f"^{_N}(?:er)? ([^ 0-9,]+),? {_Y}{_TIME}$"
 MONTH_DAY_YEAR = f"^([^ 0-9,]+) {_N}(?:st|nd|rd|th)?,? {_Y}{_TIME}$"
 NUMERIC_DMY = f"^{_N}[/.-]{_N}[/.-]{_Y}{_TIME}$"
@@ -98,9 +107,10 @@ def _frac_seconds(sec: Column, frac: Column) -> Column:
 
 
 def normalise(text: Column) -> Column:
-    """Digits to ASCII, whitespace collapsed, lower case."""
-    t = F.translate(text, ARABIC_INDIC_DIGITS + EASTERN_ARABIC_DIGITS, "0123456789" * 2)
-    return F.lower(collapse_ws(t))
+    """Digits to ASCII, alif without hamza, whitespace collapsed, lower case,
+    a leading weekday dropped."""
+    t = F.translate(text, ARABIC_INDIC_DIGITS + EASTERN_ARABIC_DIGITS + "أإآ", "0123456789" * 2 + "ااا")
+    return F.regexp_replace(F.lower(collapse_ws(t)), WEEKDAY, "")
 
 
 def month_number(word: Column) -> Column:
@@ -132,15 +142,27 @@ def parse_iso(text: Column) -> Column:
     return bind(strip_ws(text), body)
 
 
+def _hour(nums: Column, i: int, hour) -> Column:
+    """The hour; without one midnight. A bad 12-hour clock hour gives 99, which
+    makes no timestamp."""
+    h = _n(nums, i)
+    return F.when(h.isNotNull(), F.coalesce(hour(h), F.lit(99)))
+
+
 def parse_free(text: Column) -> Column:
     """D3: multilingual absolute dates; NULL when nothing matches."""
     def body(x):
+        def hour(h):
+            h = h.cast("int")
+            return (F.when(x.rlike(PM), F.when(h.between(1, 12), h % 12 + 12))
+                     .when(x.rlike(AM), F.when(h.between(1, 12), h % 12)).otherwise(h))
+
         def fields(n):
             dmy = _ts(_n(n, 2), month_number(F.regexp_extract(x, DAY_MONTH_YEAR, 2)), _n(n, 1),
-                      _n(n, 3), _n(n, 4), _n(n, 5))
+                      _hour(n, 3, hour), _n(n, 4), _n(n, 5))
             mdy = _ts(_n(n, 2), month_number(F.regexp_extract(x, MONTH_DAY_YEAR, 1)), _n(n, 1),
-                      _n(n, 3), _n(n, 4), _n(n, 5))
-            num = _ts(_n(n, 3), _n(n, 2), _n(n, 1), _n(n, 4), _n(n, 5), _n(n, 6))
+                      _hour(n, 3, hour), _n(n, 4), _n(n, 5))
+            num = _ts(_n(n, 3), _n(n, 2), _n(n, 1), _hour(n, 4, hour), _n(n, 5), _n(n, 6))
             iso = _ts(_n(n, 1), _n(n, 2), _n(n, 3), _n(n, 4), _n(n, 5),
                       _frac_seconds(_n(n, 6), F.try_element_at(n, F.lit(7))))
             return (F.when(x.rlike(DAY_MONTH_YEAR), dmy)

@@ -74,11 +74,6 @@ def drop_newlines(c) -> Column:
     return F.replace(_col(c), F.lit("\n"), F.lit(""))
 
 
-def join_list(c, sep: str) -> Column:
-    """T7 ``sep.join(list)``. ``array_join`` keeps the list semantics."""
-    return F.array_join(_col(c), sep)
-
-
 def chunks(c, size: int = CHUNK_LEN) -> Column:
     """T8 ``[x[j:j+size] for j in range(0, len(x), size)]`` by code point.
 
@@ -89,12 +84,3 @@ def chunks(c, size: int = CHUNK_LEN) -> Column:
     starts = F.filter(F.sequence(F.lit(0), n, F.lit(size)), lambda j: j < n)
     return F.transform(starts, lambda j: F.substring(x, j + 1, size))
 
-
-def utf8_encode(c) -> Column:
-    """T9 ``str.encode()``."""
-    return F.encode(_col(c), "UTF-8")
-
-
-def utf8_decode(c) -> Column:
-    """T9 ``bytes.decode('utf-8')``."""
-    return F.decode(_col(c), "UTF-8")

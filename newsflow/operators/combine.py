@@ -18,6 +18,14 @@ def union_sites(frames: dict[str, DataFrame], order=S.UNION_ORDER) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def append_order(df: DataFrame, site_col: str = "site", order=S.UNION_ORDER) -> DataFrame:
+    """U1 over one table of all sites (read with partition discovery): adds
+    ``source_ord``. A site without rows is simply absent; one outside the order
+    gets NULL."""
+    m = F.create_map(*[x for i, s in enumerate(order) for x in (F.lit(s), F.lit(i))])
+    return df.withColumn("source_ord", F.try_element_at(m, F.col(site_col)))
+
+
 def count_by_site(df: DataFrame, name: str = "n", site_col: str = "site") -> DataFrame:
     """A1 / A2: rows per site (partial aggregation before the shuffle, so a
     site holding most rows costs one small partial row per task)."""

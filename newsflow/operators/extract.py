@@ -2,7 +2,8 @@
 
 One job serves every site: each crawl row carries its ``site`` and the
 five-row configuration is shipped inside the task closure (fixed size).
-Only ``site``/key/``html`` cross to Python (``mapInPandas``, Arrow batches);
+Sites whose selectors are plain tags are read natively. For the others only
+``site``/key/``html`` cross to Python (``mapInPandas``, Arrow batches);
 everything after the parse (whitespace, case, dates, lineage, rejects) is
 native Spark.
 """
@@ -20,6 +21,7 @@ from newsflow import sites as S
 from newsflow.functions.dates import bind, parse_by_mode
 from newsflow.functions.text import collapse_ws, lower, remove_phrase
 from newsflow.operators import htmlwalk as H
+from newsflow.operators import nativehtml as N
 
 LINKS_SCHEMA = T.StructType([
     T.StructField("site", T.StringType()),
@@ -29,8 +31,6 @@ LINKS_SCHEMA = T.StructType([
     T.StructField("failed", T.BooleanType()),
 ])
 
-MAX_BROADCAST_SITES = 100_000
-
 FIELDS_SCHEMA = T.StructType([
     T.StructField("site", T.StringType()),
     T.StructField("art_url", T.StringType()),
@@ -101,8 +101,24 @@ def page_fields(html: str | None, cfg: S.Site) -> tuple:
 
 # --- Spark operators --------------------------------------------------------------
 
+def _native_profile(profiles: dict[str, S.Site]) -> S.Site | None:
+    """One profile that stands for all where the sites differ in nothing that
+    matters to extraction and no selector needs the element tree."""
+    shapes = {(p.container, p.card, p.link, p.title, p.date, p.body_kind, p.body) for p in profiles.values()}
+    one = next(iter(profiles.values()))
+    return one if len(shapes) == 1 and all(map(N.is_plain, profiles.values())) else None
+
+
 def extract_links(list_pages: DataFrame, profiles: dict[str, S.Site]) -> DataFrame:
     """List pages (site, page_no, html; html NULL = fetch failed) -> LINKS rows."""
+    if cfg := _native_profile(profiles):
+        import dataclasses
+        strict, lax = (N.page_links(F.col("html"), dataclasses.replace(cfg, link_prefix=p)) for p in ("x", ""))
+        prefixed = [s.site for s in profiles.values() if s.link_prefix]
+        unknown = F.array(F.struct(F.lit(0).cast("bigint").alias("card_no"), F.lit(None).cast("string").alias("href"), F.lit(True).alias("failed")))
+        rows = (F.when(F.col("site").isin(prefixed), strict).when(F.col("site").isin(list(profiles)), lax).otherwise(unknown))
+        return list_pages.select("site", F.col("page_no").cast("bigint").alias("page_no"), F.inline(rows))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
@@ -119,9 +135,9 @@ def extract_links(list_pages: DataFrame, profiles: dict[str, S.Site]) -> DataFra
 def links_until_error(links: DataFrame, tolerant: bool = False, materialize_links: bool = True) -> DataFrame:
     """The reference stops listing a site at its first failure.
 
-    The first failure per site is found by a partial aggregation (one row
-    per configured site, so its broadcast size is bounded by the config);
-    rows before it are kept. ``tolerant`` only drops the failed rows.
+    The first failure per site is found by a partial aggregation (one small
+    row per site; adaptive execution picks the join by its real size); rows
+    before it are kept. ``tolerant`` only drops the failed rows.
     Both passes read the links, so they are first written once to the shared
     folder (small rows) instead of parsing the list pages twice.
     """
@@ -133,9 +149,6 @@ def links_until_error(links: DataFrame, tolerant: bool = False, materialize_link
     ok = links.filter(~F.col("failed"))
     first = (links.filter("failed").groupBy("site")
                   .agg(F.min(F.struct("page_no", "card_no")).alias("first_failure")))
-    # one row per site that failed: broadcast after checking that bound
-    if first.limit(MAX_BROADCAST_SITES + 1).count() <= MAX_BROADCAST_SITES:
-        first = F.broadcast(first)
     pos = F.struct("page_no", "card_no")
     return (ok.join(first, "site", "left")
               .filter(F.col("first_failure").isNull() | (pos < F.col("first_failure")))
@@ -152,6 +165,11 @@ def absolute_links(links: DataFrame, profiles: dict[str, S.Site] | None = None)
 
 def extract_fields(pages: DataFrame, profiles: dict[str, S.Site], url_col: str = "url") -> DataFrame:
     """Article pages (site, url, html) -> raw field texts."""
+    if cfg := _native_profile(profiles):
+        known = F.col("site").isin(list(profiles))
+        fields = N.page_fields(F.col("html"), cfg)
+        return pages.select("site", F.col(url_col).alias("art_url"), *[F.when(known, v).alias(k) for k, v in fields.items()])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = [(site, url, *(page_fields(html, profiles[site]) if site in profiles else (None,) * 4))

@@ -1,7 +1,6 @@
 """A small element tree for the per-page helper inside the extraction job's
-``mapInPandas`` tasks. ``parse`` tokenizes with one compiled regex (about
-2x faster); ``parse_stdlib`` drives the same builder from ``html.parser``;
-both give the same tree (tested on the driver's pages and edge cases).
+``mapInPandas`` tasks, built by the standard ``html.parser``. It serves
+selectors by class; single-tag pages are read natively (``nativehtml``).
 Elements are indexed by tag with pre-order numbers, so ``find`` scans only
 elements of the wanted tag inside the subtree.
 
@@ -14,11 +13,11 @@ tag closes up to its matching open element and is ignored otherwise.
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_right
-from html import unescape
 from html.parser import HTMLParser
 
+from newsflow.operators.markup import tidy
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TEXT = frozenset(("script", "style", "template"))
 CLOSES_P = frozenset(("address article aside blockquote details dialog div dl fieldset figcaption figure "
@@ -182,60 +181,11 @@ class _Builder(HTMLParser):
         return self.root
 
 
-def parse_stdlib(html: str | None) -> Element:
+def parse(html: str | None) -> Element:
+    """The tree of a page. Incomplete markup is cleaned up first (``tidy``), so
+    truncated tags and open quotes cost linear time."""
     b = _Builder()
     if html:
-        b.feed(html)
+        b.feed(tidy(html))
         b.close()
     return b.finish()
-
-
-# --- faster tokenizer feeding the same builder ---------------------------------
-# One compiled regex finds the next markup token; text in between is data.
-# Script/style content is raw text up to the matching end tag, as in
-# html.parser. Used by default; ``parse_stdlib`` keeps the html.parser path
-# (the two agree on the driver's pages, see tests).
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"                                 # comment
-    r"|<![^>]*>"                                          # doctype, declarations
-    r"|<\?[^>]*>"                                         # processing instruction
-    r"|</([a-zA-Z][^\s/>]*)[^>]*>"                         # end tag: 1
-    r"|<([a-zA-Z][^\s/>]*)"                                # start tag name: 2
-    r"((?:[\s/]*[^\s/>=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+))?)*)"  # attributes: 3
-    r"[\s/]*?(/?)>",                                       # self-closing: 4
-    re.S)
-_ATTR = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style")}
-
-
-def parse(html: str | None) -> Element:
-    b = _Builder()
-    if not html:
-        return b.finish()
-    pos, n = 0, len(html)
-    while pos < n:
-        m = _TOKEN.search(html, pos)
-        if m is None:
-            b.handle_data(unescape(html[pos:]))
-            break
-        if m.start() > pos:
-            b.handle_data(unescape(html[pos:m.start()]))
-        pos = m.end()
-        if m.group(2) is not None:
-            tag = m.group(2).lower()
-            attrs = [(a.group(1).lower(), unescape(next((v for v in a.groups()[1:] if v is not None), "")))
-                     for a in _ATTR.finditer(m.group(3) or "")]
-            if m.group(4):
-                b.handle_startendtag(tag, attrs)
-            else:
-                b.handle_starttag(tag, attrs)
-                if tag in _RAW_END:                       # raw text up to </script> / </style>
-                    e = _RAW_END[tag].search(html, pos)
-                    end = e.start() if e else n
-                    if end > pos:
-                        b.handle_data(html[pos:end])
-                    b.handle_endtag(tag)
-                    pos = e.end() if e else n
-        elif m.group(1) is not None:
-            b.handle_endtag(m.group(1).lower())
-    return b.finish()

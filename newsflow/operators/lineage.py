@@ -31,6 +31,3 @@ def add_lineage(df: DataFrame, site_col: str = "site", run_ts: str | None = None
                            "art_source": lookup("art_source"),
                            "art_creation_date": ingestion_ts(run_ts)})
 
-
-def article_columns(df: DataFrame, with_type: bool = True) -> list[str]:
-    return [c for c in ARTICLE_FIELDS if c in df.columns and (with_type or c != "art_type")]

@@ -3,7 +3,8 @@
 Providers return ``stars`` (1..5) per chunk:
 
 * :class:`LexiconScorer` - word weights compiled into the plan as hashed
-  literal sets, one per weight (size-checked); tokens are scored inside the
+  literal sets, one per weight, for lexicons that a plan can hold
+  (:class:`LexiconTableScorer` takes a table of any size); tokens are scored inside the
   row with higher-order functions, so there is no explode, no join and no
   shuffle. Integer weights keep the bucket thresholds exact.
 * :class:`ModelScorer` - any classifier returning labels like ``'4 stars'``,
@@ -12,6 +13,7 @@ Providers return ``stars`` (1..5) per chunk:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -19,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsflow.operators.tagging import WORD, worker_model
+from newsflow.functions.dates import bind
+from newsflow.operators.tagging import WORD, model_key, worker_model
 
 # --- fixed values: the reference's star-label mapping --------------------------
 STAR_LABELS = {
@@ -31,8 +34,6 @@ STAR_LABELS = {
 }
 # -----------------------------------------------------------------------------
 
-MAX_INLINE_WORDS = 200_000
-
 
 def star_key(stars: Column) -> Column:
     """1 -> '1 star', n -> 'n stars' (the classifier's label text)."""
@@ -63,9 +64,6 @@ class LexiconScorer:
     name = "lexicon"
 
     def __init__(self, weights: dict[str, int]):
-        if len(weights) > MAX_INLINE_WORDS:
-            raise ValueError(f"lexicon of {len(weights)} words exceeds {MAX_INLINE_WORDS}; "
-                             "use LexiconTableScorer (join-based, no size limit)")
         self.weights = {k.lower(): int(v) for k, v in weights.items()}
 
     def hits(self, chunk: Column) -> Column:
@@ -86,32 +84,34 @@ class LexiconScorer:
         return F.filter(F.transform(toks, weight), lambda w: w.isNotNull())
 
     def score(self, df: DataFrame, chunk_col: str = "chunk") -> DataFrame:
-        total = F.aggregate("_w", F.lit(0).cast("bigint"), lambda a, w: a + w)
-        return (df.withColumn("_w", self.hits(F.col(chunk_col)))
-                  .withColumn("hits", F.size("_w").cast("bigint"))
-                  .withColumn("stars", bucket(total, F.col("hits")).cast("bigint"))
-                  .drop("_w"))
+        """The hit weights are bound once per row (a lambda variable): columns
+        derived from them, and filters pushed below, never repeat the
+        tokenizer (a generator; the outer form, for which no filter on the
+        array is inferred)."""
+        def scored(w):
+            total = F.aggregate(w, F.lit(0).cast("bigint"), lambda a, x: a + x)
+            return bind(F.size(w).cast("bigint"),
+                        lambda n: F.struct(n.alias("hits"), bucket(total, n).cast("bigint").alias("stars")))
+        rows = df.withColumn("_s", F.array(bind(self.hits(F.col(chunk_col)), scored)))
+        return rows.select(*df.columns, F.inline_outer("_s"))
 
 
 class LexiconTableScorer:
     """The lexicon scorer for a weight table of any size (``word``,
     ``weight`` integer): chunk tokens are exploded (carrying only the chunk
-    key), joined to the table (broadcast when proven small), summed per chunk
-    by a partial aggregation and joined back on the key."""
+    key), joined to the table (Spark broadcasts it if its statistics allow),
+    summed per chunk by a partial aggregation and joined back on the key."""
 
     name = "lexicon-table"
 
-    def __init__(self, lexicon: DataFrame, key_cols: list[str], broadcast_rows: int = 1_000_000):
+    def __init__(self, lexicon: DataFrame, key_cols: list[str]):
         self.lexicon = lexicon.select(F.lower("word").alias("_w"), F.col("weight").cast("bigint").alias("_v"))
-        self.key_cols, self.broadcast_rows = list(key_cols), broadcast_rows
+        self.key_cols = list(key_cols)
 
     def score(self, df: DataFrame, chunk_col: str = "chunk") -> DataFrame:
         keys = self.key_cols
         toks = df.select(*keys, F.explode(F.regexp_extract_all(F.lower(chunk_col), F.lit(WORD), 0)).alias("_w"))
-        lex = self.lexicon
-        if lex.limit(self.broadcast_rows + 1).count() <= self.broadcast_rows:
-            lex = F.broadcast(lex)
-        agg = toks.join(lex, "_w").groupBy(*keys).agg(F.sum("_v").alias("_s"), F.count(F.lit(1)).alias("_n"))
+        agg = toks.join(self.lexicon, "_w").groupBy(*keys).agg(F.sum("_v").alias("_s"), F.count(F.lit(1)).alias("_n"))
         out = df.join(agg, keys, "left")
         hits = F.coalesce(F.col("_n"), F.lit(0)).cast("bigint")
         return (out.withColumn("hits", hits)
@@ -119,6 +119,12 @@ class LexiconTableScorer:
                    .drop("_s", "_n"))
 
 
+def _stars(label) -> int:
+    """'4 stars' -> 4; any other text -> 0, which has no sentiment word."""
+    m = re.fullmatch(r"([1-5]) stars?", str(label))
+    return int(m[1]) if m else 0
+
+
 class ModelScorer:
     """``load()`` returns ``list[str] -> list[str]`` of labels such as '4 stars'."""
 
@@ -128,15 +134,14 @@ class ModelScorer:
         self.load = load
 
     def score(self, df: DataFrame, chunk_col: str = "chunk") -> DataFrame:
-        load = self.load
-        key = f"{getattr(load, '__module__', '')}.{getattr(load, '__qualname__', repr(load))}"
+        load, key = self.load, model_key(self.load)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             fn = worker_model(key, load)
             for b in batches:
                 labels = fn([c or "" for c in b[chunk_col]])
                 b = b.copy()
-                b["stars"] = [int(str(x).split()[0]) for x in labels]
+                b["stars"] = [_stars(x) for x in labels]
                 b["hits"] = -1
                 yield b
 

@@ -6,10 +6,9 @@ side must be unique per key.
 
 1. Key counts on the left by a partial aggregation (hot keys cost one
    partial row per task, no skew in this step).
-2. Keys above ``hot_rows`` get ``ceil(count / hot_rows)`` salt buckets
-   (at most ``max_salts``); only the ``max_hot_keys`` largest are salted, the
-   rest join normally, so the result is exact either way. This small table
-   is broadcast: its size is bounded by ``max_hot_keys``.
+2. Every key above ``hot_rows`` gets ``ceil(count / hot_rows)`` salt buckets,
+   as many as it needs. There are at most (rows / hot_rows) such keys; Spark
+   picks the joins with this table by its size.
 3. Left rows of a hot key get a salt from a hash of ``spread_col``; right
    rows of a hot key are replicated once per salt. Join on (key, salt).
 
@@ -24,23 +23,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(left: DataFrame, key: str, hot_rows: int, max_salts: int = 64,
-             max_hot_keys: int = 10_000) -> DataFrame:
+def hot_keys(left: DataFrame, key: str, hot_rows: int) -> DataFrame:
     counts = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows).orderBy(F.col("_n").desc()).limit(max_hot_keys)
-    return hot.select(key, F.least(F.ceil(F.col("_n") / hot_rows), F.lit(max_salts)).cast("int").alias("_salts"))
+    return counts.filter(F.col("_n") > hot_rows).select(key, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
 
 
 def salted_left_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int,
-                     spread_col: str | None = None, max_salts: int = 64,
-                     max_hot_keys: int = 10_000) -> DataFrame:
+                     spread_col: str | None = None) -> DataFrame:
     """``left`` LEFT JOIN ``right`` USING (key), with hot keys spread over salts.
 
     The salt of a left row only chooses which replica of its right row it
     meets, so any value is correct; without ``spread_col`` a random one is
     used (a retried task may pick other salts and still gets the same rows).
     """
-    hot = F.broadcast(hot_keys(left, key, hot_rows, max_salts, max_hot_keys))
+    hot = hot_keys(left, key, hot_rows)
     spread = (F.pmod(F.xxhash64(F.col(spread_col)), F.col("_salts")) if spread_col
               else F.floor(F.rand() * F.col("_salts")))
     l = (left.join(hot, key, "left")

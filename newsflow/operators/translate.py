@@ -8,13 +8,13 @@ memory are translated, each distinct key once, by a provider running in
 through unchanged. A text still without translation is rejected (the
 reference drops the article when translation fails).
 
-Scale notes: the memory is joined with a sort-merge join on ``key``
-unless its row count is proven below ``broadcast_rows`` (then it is
-broadcast). Repeated texts make hot keys on the article side; the memory
-side is unique per key, so AQE's skew-join split applies at run time, or,
-with ``hot_rows``, an explicit salted join spreads each hot key over several
-tasks (``skew.salted_left_join``). Misses are de-duplicated by a partial
-aggregation before any shuffle.
+Scale notes: English rows go around the join, so no NULL key gathers them in
+one partition. A key is unique in the memory (repeats are collapsed on read),
+so Spark may broadcast it, and adaptive execution can split hot article keys;
+with ``hot_rows`` an explicit salted join spreads them
+(``skew.salted_left_join``). Misses are found on keys alone: distinct keys
+(partial aggregation), anti-join of keys with keys, and only then the texts of
+the missing keys.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.operators.skew import salted_left_join
-from newsflow.operators.tagging import worker_model
+from newsflow.operators.tagging import model_key, worker_model
+from newsflow.session import materialize
 
 TARGET = "en"
 TM_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("text_en", T.StringType())])
@@ -37,48 +38,56 @@ def tm_key(lang: Column, text: Column) -> Column:
     return F.sha2(F.concat(lang, F.lit("\u0001"), text), 256)
 
 
-def _tm_side(tm: DataFrame, broadcast_rows: int | None) -> DataFrame:
-    tm = tm.select("key", "text_en")
-    if broadcast_rows is not None and tm.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return F.broadcast(tm)
-    return tm
+def unique_memory(tm: DataFrame) -> DataFrame:
+    """One row for each key that has a translation (the smallest text of
+    several), whatever was appended."""
+    return tm.where(F.col("key").isNotNull() & F.col("text_en").isNotNull()).groupBy("key").agg(F.min("text_en").alias("text_en"))
+
+
+def _needs_memory(lang: Column) -> Column:
+    """Rows that are not known to be English (a NULL language included)."""
+    return ~F.coalesce(lang == TARGET, F.lit(False))
 
 
 def apply_memory(df: DataFrame, tm: DataFrame, text_col: str, lang_col: str,
-                 out_col: str = "text_en", broadcast_rows: int | None = None,
-                 hot_rows: int | None = None) -> DataFrame:
+                 out_col: str = "text_en", hot_rows: int | None = None) -> DataFrame:
     """Adds ``out_col`` (NULL = not in memory) and ``from_memory``.
 
     ``hot_rows``: keys with more rows than this (copies of one text) are
     spread over salt buckets (``skew.salted_left_join``); otherwise AQE's
     skew-join split handles hot partitions at run time.
     """
-    keyed = df.withColumn("_tm_key", F.when(F.col(lang_col) != TARGET, tm_key(F.col(lang_col), F.col(text_col))))
-    side = _tm_side(tm, broadcast_rows).withColumnRenamed("key", "_tm_key").withColumnRenamed("text_en", "_tm_text")
+    foreign = _needs_memory(F.col(lang_col))
+    keyed = df.where(foreign).withColumn("_tm_key", tm_key(F.col(lang_col), F.col(text_col)))
+    side = unique_memory(tm).select(F.col("key").alias("_tm_key"), F.col("text_en").alias("_tm_text"))
     if hot_rows is not None:
         j = salted_left_join(keyed, side, "_tm_key", hot_rows)
     else:
         j = keyed.join(side, "_tm_key", "left")
-    return (j.withColumn(out_col, F.when(F.col(lang_col) == TARGET, F.col(text_col)).otherwise(F.col("_tm_text")))
-             .withColumn("from_memory", F.col("_tm_text").isNotNull())
-             .drop("_tm_key", "_tm_text"))
+    joined = j.withColumn(out_col, F.col("_tm_text")).withColumn("from_memory", F.col("_tm_text").isNotNull()).drop("_tm_key", "_tm_text")
+    english = df.where(~foreign).withColumn(out_col, F.col(text_col)).withColumn("from_memory", F.lit(False))
+    return english.unionByName(joined)
 
 
 def memory_misses(df: DataFrame, tm: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """Distinct (key, lang, text) not yet in the memory, with how many rows need it."""
-    keyed = (df.filter(F.col(lang_col) != TARGET)
-               .select(tm_key(F.col(lang_col), F.col(text_col)).alias("key"),
-                       F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
-    miss = keyed.join(tm.select("key"), "key", "left_anti")
-    return miss.groupBy("key").agg(F.first("lang").alias("lang"), F.first("text").alias("text"),
-                                   F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+    """Distinct (key, lang, text) not yet in the memory, with how many rows
+    need it. Keys are counted first (partial aggregation), cut to the missing
+    ones against the memory's keys, and the texts join only those. Rows without
+    a language or a text have no key and are no misses."""
+    rows = df.where(F.col(lang_col) != TARGET).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("text is not null")
+    key = tm_key(F.col("lang"), F.col("text"))
+    counts = rows.select(key.alias("key")).groupBy("key").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+    known = tm.where("text_en is not null").select("key")
+    missing = counts.join(known, "key", "left_anti")
+    texts = rows.withColumn("key", key).join(missing, "key")
+    return texts.groupBy("key").agg(F.first("lang").alias("lang"), F.first("text").alias("text"), F.first("n_rows").alias("n_rows"))
 
 
 def translate_misses(misses: DataFrame, load: Callable[[], Callable[[list[str], str], list[str | None]]]
                      ) -> DataFrame:
     """Provider step: ``load()`` (once per worker) returns ``(texts, src_lang) -> texts``.
     Returns new memory rows; failed translations come back as NULL text_en."""
-    key = f"{getattr(load, '__module__', '')}.{getattr(load, '__qualname__', repr(load))}"
+    key = model_key(load)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = worker_model(key, load)
@@ -93,17 +102,18 @@ def translate_misses(misses: DataFrame, load: Callable[[], Callable[[list[str],
 
 
 def translate_with_memory(df: DataFrame, tm: DataFrame, text_col: str, lang_col: str, load=None,
-                          tm_path: str | None = None, broadcast_rows: int | None = None,
-                          hot_rows: int | None = None):
-    """Full N7 step -> (translated rows, rejects). New translations are
-    appended to ``tm_path`` when given, then joined like memory hits."""
+                          tm_path: str | None = None, hot_rows: int | None = None):
+    """Full N7 step -> (translated rows, rejects). With a provider the misses
+    are translated once, written (appended to ``tm_path`` if given, else to the
+    shared folder) and joined together with the given memory, so both outputs
+    read the same translations."""
     if load is not None:
-        new = translate_misses(memory_misses(df, tm, text_col, lang_col), load)
+        spark = df.sparkSession
+        new = materialize(translate_misses(memory_misses(df, tm, text_col, lang_col), load).where("text_en is not null"), "translations")
         if tm_path:
-            new.filter(F.col("text_en").isNotNull()).write.mode("append").parquet(tm_path)
-            tm = df.sparkSession.read.schema(TM_SCHEMA).parquet(tm_path)
-        else:
-            tm = tm.select("key", "text_en").unionByName(new.filter(F.col("text_en").isNotNull()))
-    out = apply_memory(df, tm, text_col, lang_col, broadcast_rows=broadcast_rows, hot_rows=hot_rows)
+            new.write.mode("append").parquet(tm_path)
+            new = spark.read.schema(TM_SCHEMA).parquet(tm_path)
+        tm = tm.select("key", "text_en").unionByName(new)
+    out = apply_memory(df, tm, text_col, lang_col, hot_rows=hot_rows)
     rejects = out.filter(F.col("text_en").isNull()).withColumn("reject_reason", F.lit("translation failed"))
     return out.filter(F.col("text_en").isNotNull()), rejects

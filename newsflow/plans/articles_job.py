@@ -2,7 +2,7 @@
 -> clean/date -> constants/lineage -> (optional) translation -> articles.
 
 Python runs only inside ``extract_fields`` (one ``mapInPandas`` over the
-HTML); the only shuffles are the translation-memory join and, in the
+HTML, none for sites with plain-tag selectors); the only shuffles are the translation-memory join and, in the
 listing job, the url join and the first-failure aggregation.
 """
 
@@ -28,6 +28,19 @@ def listing_job(depth: DataFrame, crawl: DataFrame, profiles: dict | None = None
     return X.absolute_links(X.links_until_error(links, tolerant), profiles)
 
 
+def linked_crawl(links: DataFrame, crawl: DataFrame) -> DataFrame:
+    """S2 for the article step: exactly the listed links are fetched, repeats
+    kept (a site that lists a link three times gives three articles)."""
+    return fetch(links.select("site", F.col("art_url").alias("url")), crawl)
+
+
+def crawl_job(depth: DataFrame, crawl: DataFrame, profiles: dict | None = None, tolerant: bool = False, **options):
+    """The whole chain: frontier, list pages, links, stop rule, article pages,
+    fields. ``options`` as for :func:`articles_job`."""
+    links = materialize(listing_job(depth, crawl, profiles, tolerant), "article-links")
+    return articles_job(linked_crawl(links, crawl), profiles, **options)
+
+
 def articles_job(crawl: DataFrame, profiles: dict | None = None, run_ts: str | None = None,
                  tm: DataFrame | None = None, translator=None, tm_path: str | None = None,
                  materialize_fields: bool = False):

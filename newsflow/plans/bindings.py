@@ -2,7 +2,8 @@
 
 * ``documents`` stands for landed articles: ``art_content = text``; the
   article is assigned to one of the five sites by ``doc_id``; the category
-  (webdo only) is the document's ``source``.
+  (webdo only) is the document's ``source``. The tables have no title field:
+  as a test fixture, the title is the text's first line.
 * ``pages`` stands for the landed crawl table: ``url``, ``html`` and a status
   derived from the page id (every tenth page is a failed fetch).
 
@@ -25,28 +26,10 @@ PUBLISHED_BASE = "2024-01-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Scan one landed table, pruned to ``cols`` first, then spread over the
-    cluster if the files are too coarse (see ``spread``)."""
+    """Scan one landed table, pruned to ``cols``. How many tasks read it is
+    left to Spark's split settings."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df.select(*cols) if cols else df)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition for coarse inputs: fewer files than task slots
-    and less data than one split per slot. Such a scan can sit in a single
-    task (a file with one row group is read by one task however it is split).
-    Large inputs (many files, or big files whose row groups already give one
-    split each) are left alone, so no shuffle is added at scale. The checks use
-    the file listing and the optimizer's size estimate only (no planning)."""
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("bB") or 134217728)
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= slots * split:                  # large input: enough splits already
-        return df
-    if len(df._jdf.inputFiles()) >= slots:     # counted in the JVM, the list stays there
-        return df
-    return df.repartition(slots)
+    return df.select(*cols) if cols else df
 
 
 def site_lookup(site: Column, attr: str) -> Column:
@@ -124,17 +107,51 @@ CRAWL_SQL = f"""
 
 # Markup of the driver's landed pages: links in nav/li/a, title h1, body the
 # paragraphs of <article> (last one dropped), no date or category element.
-# Each site keeps its own lineage, prefix and date mode.
+# Each site keeps its own lineage, prefix and date mode. All selectors are
+# plain tags, so these pages are read natively.
 def pages_profiles() -> dict:
     import dataclasses
     return {s.site: dataclasses.replace(
                 s, container=("nav", None), card=("li", None), link=("a", None),
-                title=("h1", None), title_child=None, date=("time", "published"),
-                body_kind="paragraphs", body=(("article", None),),
-                type_sel=("a", "category") if s.type_sel else None)
+                title=("h1", None), title_child=None, date=("time", None),
+                body_kind="paragraphs", body=(("article", None),), type_sel=None)
             for s in S.SITES}
 
 
+# Elements found by class (X5, X6a, X6b, X7): the same pages with a date, a
+# category and body boxes put into them, which the element tree must find.
+CLASS_DATE, CLASS_TYPE = ("time", "entry-date published"), ("a", "entry-cat cat-theme")
+CLASS_ONE, CLASS_INTRO, CLASS_BODY = ("div", "single-body entry-content"), ("div", "intro"), ("div", "coprs")
+
+
+def class_profiles(body_kind: str) -> dict:
+    import dataclasses
+    body = (CLASS_ONE,) if body_kind == "one" else (CLASS_INTRO, CLASS_BODY)
+    return {s.site: dataclasses.replace(s, title=("h1", None), title_child=None, date=CLASS_DATE, date_mode="free",
+                                        body_kind=body_kind, body=body, type_sel=CLASS_TYPE)
+            for s in S.SITES}
+
+
+def with_class_elements(crawl: DataFrame) -> DataFrame:
+    day = F.date_format(F.timestamp_add("MINUTE", F.col("page_id"), ntz(PUBLISHED_BASE)), "d/M/yyyy HH:mm")
+    head = F.concat(F.lit(f'<time class="{CLASS_DATE[1]}"> '), day, F.lit(f'</time><a class="{CLASS_TYPE[1]}" href="/c">topic '),
+                    (F.col("page_id") % 7).cast("string"), F.lit('</a><div class="intro"> No <b>'), F.col("page_id").cast("string"),
+                    F.lit('</b> </div><div class="coprs"><div class="single-body   entry-content"><article>'))
+    html = F.replace(F.replace(F.col("html"), F.lit("<article>"), head), F.lit("</article>"), F.lit("</article></div></div>"))
+    return crawl.withColumn("html", html)
+
+
+def with_broken_pages(crawl: DataFrame) -> DataFrame:
+    """Some pages without a list container, a title, or a body."""
+    n, html = F.col("page_id"), F.col("html")
+
+    def renamed(tag: str, to: str) -> Column:
+        return F.replace(F.replace(html, F.lit(f"<{tag}>"), F.lit(f"<{to}>")), F.lit(f"</{tag}>"), F.lit(f"</{to}>"))
+
+    return crawl.withColumn("html", F.when(n % 97 == 96, renamed("nav", "section")).when(n % 7 == 1, renamed("h1", "h2"))
+                            .when(n % 7 == 3, renamed("article", "section")).otherwise(html))
+
+
 def html_text_sql(x: str) -> str:
     """Oracle: tags removed, the entities present in the pages decoded."""
     t = f"regexp_replace({x}, '<[^>]*>', '', 'g')"

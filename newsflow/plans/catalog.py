@@ -21,7 +21,7 @@ from newsflow.operators import mentions as M
 from newsflow.operators import sentiment as SE
 from newsflow.operators import translate as TR
 from newsflow.operators.tagging import GazetteerTagger
-from newsflow.operators.tagging import RuleTagger, split_sentences
+from newsflow.operators.tagging import PERSON, PERSON_RULE, RuleEntityTagger, RuleTagger, entity_texts, split_sentences
 from newsflow.plans import articles_job as AJ
 from newsflow.plans import bindings as B
 from newsflow.plans import mentions_job as MJ
@@ -72,17 +72,40 @@ def q_persons(spark, sf_dir):
                     ).withColumn("person_no", F.col("person_no").cast("bigint"))
 
 
+# Without sentence marks a text is one sentence, in which persons meet.
 @query("persons_joined", f"""
-  SELECT doc_id, sentence_no, array_to_string(persons, ',') AS persons,
+  SELECT doc_id, 0::BIGINT AS sentence_no, array_to_string(persons, ',') AS persons,
          CAST(len(persons) AS BIGINT) AS n_persons
-  FROM ({Q.DOC_HITS})""")
+  FROM (SELECT doc_id, {Q.persons("regexp_replace(text, '[.!?]', '', 'g')")} AS persons FROM documents)
+  WHERE len(persons) > 0""")
 def q_persons_joined(spark, sf_dir):
-    tagged = RuleTagger().tag(_docs(spark, sf_dir, "doc_id", "text"), "text")
+    """All persons of a sentence in one string, in text order."""
+    d = _docs(spark, sf_dir, "doc_id", "text").withColumn("text", F.regexp_replace("text", "[.!?]", ""))
+    tagged = RuleTagger().tag(d, "text")
     hits = M.sentences_with_persons(tagged, ["doc_id"])
     return hits.select("doc_id", "sentence_no", M.persons_string(F.col("persons")).alias("persons"),
                        F.size("persons").cast("bigint").alias("n_persons"))
 
 
+@query("persons_by_label", f"""
+  SELECT doc_id, sentence_no, CAST(len(list_filter(e, lambda x: regexp_matches(x, '^[0-9]'))) AS BIGINT) AS n_numbers,
+         array_to_string(list_filter(e, lambda x: NOT regexp_matches(x, '^[0-9]')), ',') AS persons,
+         strpos(s, list_filter(e, lambda x: NOT regexp_matches(x, '^[0-9]'))[1]) - 1 AS first_start
+  FROM (SELECT doc_id, sentence_no, sents[sentence_no + 1] AS s,
+               regexp_extract_all(sents[sentence_no + 1], '{PERSON_RULE}|[0-9]+') AS e FROM ({Q.DOC_SENTENCES}))
+  WHERE len(list_filter(e, lambda x: NOT regexp_matches(x, '^[0-9]'))) > 0""")
+def q_persons_by_label(spark, sf_dir):
+    """Labelled entities, of which the label filter keeps the persons."""
+    tagged = RuleEntityTagger().tag(_docs(spark, sf_dir, "doc_id", "text"), "text")
+    rows = F.transform("sents", lambda s, i: F.struct(i.cast("bigint").alias("sentence_no"),
+                                                      F.element_at("entities", i + 1).alias("entities"),
+                                                      F.element_at("persons", i + 1).alias("persons")))
+    hits = tagged.select("doc_id", F.inline(F.filter(rows, lambda r: F.size(r["persons"]) > 0)))
+    first = F.filter("entities", lambda e: e["label"] == PERSON)[0]
+    return hits.select("doc_id", "sentence_no", F.size(entity_texts(F.col("entities"), "CARDINAL")).cast("bigint").alias("n_numbers"),
+                       M.persons_string(F.col("persons")).alias("persons"), first["start"].cast("bigint").alias("first_start"))
+
+
 @query("sentences_with_person", f"""
   SELECT doc_id, sentence_no FROM ({Q.DOC_HITS})""")
 def q_sentences_with_person(spark, sf_dir):
@@ -142,14 +165,23 @@ def q_collapse_ws(spark, sf_dir):
                     T.strip_ws("text").alias("stripped"), T.lower(T.collapse_ws("text")).alias("lowered"))
 
 
+# The phrase does not occur in the tables; it is put before, inside and after
+# the texts of every second document, of all sites.
+_PHRASE = S.BY_NAME["nessma"].boilerplate
+_WITH_PHRASE_SQL = f"""CASE WHEN (doc_id // 5) % 2 = 0
+  THEN '{_PHRASE} ' || art_content || ' {_PHRASE} x{_PHRASE}' ELSE art_content END"""
+
+
 @query("strip_boilerplate", f"""
   SELECT doc_id, site,
          CASE WHEN site = 'nessma'
               THEN {Q.strip("replace(" + Q.collapse('art_content') + ", '" + S.BY_NAME['nessma'].boilerplate + "', '')")}
               ELSE {Q.collapse('art_content')} END AS art_content
-  FROM ({B.ARTICLES_SQL})""")
+  FROM (SELECT doc_id, site, {_WITH_PHRASE_SQL} AS art_content FROM ({B.ARTICLES_SQL}))""")
 def q_strip_boilerplate(spark, sf_dir):
     a = B.articles_from_documents(_docs(spark, sf_dir, "doc_id", "text", "source"))
+    marked = F.concat(F.lit(f"{_PHRASE} "), F.col("art_content"), F.lit(f" {_PHRASE} x{_PHRASE}"))
+    a = a.withColumn("art_content", F.when(F.floor(F.col("doc_id") / 5) % 2 == 0, marked).otherwise(F.col("art_content")))
     return a.select("doc_id", "site", X.clean_body(F.col("art_content"), F.col("site")).alias("art_content"))
 
 
@@ -176,8 +208,9 @@ def q_date_strict(spark, sf_dir):
 
 
 def _render_free(ts):
-    """Four spellings of one timestamp: French, Arabic (Maghreb names,
-    Arabic-Indic digits), English, numeric day-first."""
+    """Spellings of one timestamp: French, Arabic (Maghreb names, Arabic-Indic
+    digits), English, numeric day-first; with weekdays, hamza-less Arabic
+    months, AM/PM; the last has the hour only."""
     month = F.month(ts)
     fr = F.element_at(F.array(*[F.lit(m) for m in D.MONTHS_FR]), month)
     ar = F.element_at(F.array(*[F.lit(m) for m in D.MONTHS_AR_MAGHREB]), month)
@@ -188,7 +221,17 @@ def _render_free(ts):
         F.concat_ws(" ", day, fr, year, F.lit("à"), hm),
         F.concat_ws(" ", arabic(day), ar, arabic(year), F.lit("-"), hm),
         F.concat(en, F.lit(" "), day, F.lit(", "), year, F.lit(" "), hm),
-        F.concat(F.date_format(ts, "dd/MM/yyyy"), F.lit(" "), hm))
+        F.concat(F.date_format(ts, "dd/MM/yyyy"), F.lit(" "), hm),
+        F.concat_ws(" ", _named(D.WEEKDAYS_FR, F.weekday(ts) + 1), day, fr, year, F.lit("à"), F.date_format(ts, "H'h'mm")),
+        F.concat(_named(D.WEEKDAYS_AR, F.weekday(ts) + 1), F.lit("، "), arabic(day), F.lit(" "),
+                 F.translate(_named(D.MONTHS_AR, month), "أإ", "اا"), F.lit(" "), arabic(year), F.lit(" "), hm),
+        F.concat(_named([w.capitalize() for w in D.WEEKDAYS_EN], F.weekday(ts) + 1), F.lit(", "), en, F.lit(" "), day, F.lit(", "), year,
+                 F.lit(" "), F.date_format(ts, "h:mm a")),
+        F.concat_ws(" ", day, fr, year, F.date_format(ts, "H'h'")))
+
+
+def _named(names, number):
+    return F.element_at(F.array(*map(F.lit, names)), number)
 
 
 _FREE_SQL = ("[strftime(ts, '%-d') || ' ' || (" + str(D.MONTHS_FR) + ")[month(ts)] || ' ' || strftime(ts, '%Y') "
@@ -198,12 +241,20 @@ _FREE_SQL = ("[strftime(ts, '%-d') || ' ' || (" + str(D.MONTHS_FR) + ")[month(ts
              f"translate(strftime(ts, '%Y'), '0123456789', '{D.ARABIC_INDIC_DIGITS}') || ' - ' || strftime(ts, '%H:%M'), "
              "(" + str([m.capitalize() for m in D.MONTHS_EN]) + ")[month(ts)] || ' ' || strftime(ts, '%-d') || ', ' "
              "|| strftime(ts, '%Y') || ' ' || strftime(ts, '%H:%M'), "
-             "strftime(ts, '%d/%m/%Y') || ' ' || strftime(ts, '%H:%M')]")
+             "strftime(ts, '%d/%m/%Y') || ' ' || strftime(ts, '%H:%M'), "
+             f"({D.WEEKDAYS_FR})[isodow(ts)] || ' ' || strftime(ts, '%-d') || ' ' || ({D.MONTHS_FR})[month(ts)] || ' ' || strftime(ts, '%Y') "
+             "|| ' à ' || strftime(ts, '%-H') || 'h' || strftime(ts, '%M'), "
+             f"({D.WEEKDAYS_AR})[isodow(ts)] || '، ' || translate(strftime(ts, '%-d'), '0123456789', '{D.ARABIC_INDIC_DIGITS}') || ' ' "
+             f"|| translate(({D.MONTHS_AR})[month(ts)], 'أإ', 'اا') || ' ' || translate(strftime(ts, '%Y'), '0123456789', '{D.ARABIC_INDIC_DIGITS}') "
+             "|| ' ' || strftime(ts, '%H:%M'), "
+             f"({[w.capitalize() for w in D.WEEKDAYS_EN]})[isodow(ts)] || ', ' || ({[m.capitalize() for m in D.MONTHS_EN]})[month(ts)] || ' ' "
+             "|| strftime(ts, '%-d') || ', ' || strftime(ts, '%Y') || ' ' || strftime(ts, '%-I:%M %p'), "
+             f"strftime(ts, '%-d') || ' ' || ({D.MONTHS_FR})[month(ts)] || ' ' || strftime(ts, '%Y') || ' ' || strftime(ts, '%-H') || 'h']")
 
 
 @query("date_multilingual", f"""
-  SELECT event_id, variant, date_text, date_trunc('minute', ts) AS parsed
-  FROM (SELECT event_id, ts, unnest(range(0, 4)) AS variant, unnest({_FREE_SQL}) AS date_text FROM events)""")
+  SELECT event_id, variant, date_text, CASE WHEN variant = 7 THEN date_trunc('hour', ts) ELSE date_trunc('minute', ts) END AS parsed
+  FROM (SELECT event_id, ts, unnest(range(0, 8)) AS variant, unnest({_FREE_SQL}) AS date_text FROM events)""")
 def q_date_multilingual(spark, sf_dir):
     e = _events(spark, sf_dir)
     return (e.select("event_id", F.posexplode(_render_free(F.col("ts"))).alias("variant", "date_text"))
@@ -272,16 +323,12 @@ def q_json_roundtrip(spark, sf_dir):
   SELECT CAST(list_position({list(S.UNION_ORDER)}, site) - 1 AS INTEGER) AS source_ord, {_JSON_COLS}
   FROM ({_ARTICLES_AS_JSON_SQL})""")
 def q_union_sites(spark, sf_dir):
-    """K1 per-site JSON sink, S4 per-site scan (partition pruned), U1 union:
-    only webdo files carry art_type; the other sites get NULL."""
+    """K1 per-site JSON sink (one write), S4 scan of all sites with partition
+    discovery, U1 order: only webdo files carry art_type; others get NULL."""
     a = B.articles_from_documents(_docs(spark, sf_dir, "doc_id", "text", "source"))
     path = scratch_path(spark, "site-json")
     J.write_articles_json(a.select("site", *L.ARTICLE_FIELDS), path, partition_by="site")
-    no_type = J.T.StructType([f for f in J.ARTICLE_JSON.fields if f.name != "art_type"])
-    frames = {s.site: J.read_articles_json(spark, f"{path}/site={s.site}",
-                                           J.ARTICLE_JSON if s.type_sel else no_type)
-              for s in S.SITES}
-    return C.union_sites(frames).select("source_ord", *L.ARTICLE_FIELDS)
+    return C.append_order(J.read_site_json(spark, path)).select("source_ord", *L.ARTICLE_FIELDS)
 
 
 # --- N4 / N5 / P3 / P4 / C1 / C2 / S5 --------------------------------------------
@@ -319,7 +366,8 @@ def _mentions_clear(spark, sf_dir, with_meta: bool):
     docs = _docs(spark, sf_dir, "doc_id", "text", "source")
     arts = B.articles_from_documents(docs) if with_meta else docs.withColumnRenamed("text", "art_content")
     keep = [c for c in arts.columns if c not in ("art_content", "source")]
-    return MJ.mention_rows(arts.select(*keep, "art_content"), SE.LexiconScorer(FIXTURE_LEXICON))
+    rows, _ = MJ.mention_rows(arts.select(*keep, "art_content"), SE.LexiconScorer(FIXTURE_LEXICON))
+    return rows
 
 
 @query("chunk_sentiment", f"SELECT doc_id, sentence_no, chunk_no, hits, stars FROM ({_SCORED_SQL})")
@@ -366,18 +414,21 @@ def q_encrypt_roundtrip(spark, sf_dir):
 
 @query("decrypt_invalid", f"""
   SELECT doc_id, '{CR.INVALID_TOKEN_MESSAGE}' AS tampered, '{CR.INVALID_TOKEN_MESSAGE}' AS other_key,
-         '{CR.INVALID_TOKEN_MESSAGE}' AS not_base64
+         text AS stray_character, '{CR.INVALID_TOKEN_MESSAGE}' AS not_a_token
   FROM documents""")
 def q_decrypt_invalid(spark, sf_dir):
-    """C2 failure paths: a changed body character, another key, non-base64 text."""
-    d = _docs(spark, sf_dir, "doc_id", "text")
+    """C2 failure paths: a changed body character, another key, a text that is
+    no token. A character outside the alphabet is skipped, as url-safe
+    base64 decoding does."""
+    d = _docs(spark, sf_dir, "doc_id", "text").withColumn("plain", F.col("text"))
     tok = CR.encrypt_columns(d, ["text"], FIXTURE_KEY).withColumnRenamed("text", "tok")
     c30 = F.substring("tok", 30, 1)
     tampered = F.overlay("tok", F.when(c30 == "A", F.lit("B")).otherwise(F.lit("A")), 30, 1)
     other = "TUFMe0YvZm9MTGM4V2R2bnFrWU5ZdjVRb1ZqNGhDTWM="
     return tok.select("doc_id", CR.decrypt(tampered, FIXTURE_KEY).alias("tampered"),
                       CR.decrypt(F.col("tok"), other).alias("other_key"),
-                      CR.decrypt(F.concat(F.lit("!"), F.col("tok")), FIXTURE_KEY).alias("not_base64"))
+                      CR.decrypt(F.concat(F.lit("!"), F.col("tok")), FIXTURE_KEY).alias("stray_character"),
+                      CR.decrypt(F.col("plain"), FIXTURE_KEY).alias("not_a_token"))
 
 
 @query("sample_mention", f"""
@@ -385,11 +436,14 @@ def q_decrypt_invalid(spark, sf_dir):
          {_LABEL_SQL} AS Sentiment
   FROM ({_SCORED_SQL}) ORDER BY doc_id, sentence_no, chunk_no LIMIT 1""")
 def q_sample_mention(spark, sf_dir):
-    """S5 find_one + decrypt: the first stored mention, decrypted."""
-    clear = _mentions_clear(spark, sf_dir, with_meta=False)
+    """S5 find_one + decrypt: the first mention. It is taken from the unscored
+    chunks, so one row is scored, encrypted and decrypted."""
+    pc = M.person_context(_docs(spark, sf_dir, "doc_id", "text"), text_col="text", keep=["doc_id"])
+    one = SE.add_sentiment(J.sample(pc, ["doc_id", "sentence_no", "chunk_no"]), SE.LexiconScorer(FIXTURE_LEXICON))
+    clear = one.select("doc_id", "sentence_no", "chunk_no", M.persons_string(F.col("persons")).alias("Persons"),
+                       F.col("chunk").alias("Context"), F.col("sentiment").alias("Sentiment"))
     enc = CR.encrypt_columns(clear, ["Persons", "Context", "Sentiment"], FIXTURE_KEY)
-    one = J.sample(enc, ["doc_id", "sentence_no", "chunk_no"])
-    return one.select("doc_id", "sentence_no", "chunk_no",
+    return enc.select("doc_id", "sentence_no", "chunk_no",
                       *[CR.decrypt(F.col(c), FIXTURE_KEY).alias(c) for c in ("Persons", "Context", "Sentiment")])
 
 
@@ -426,8 +480,8 @@ def q_crawl_pages(spark, sf_dir):
     landed crawl; a NULL status is a failed fetch."""
     crawl = _crawl(spark, sf_dir)
     requests = _frontier(spark, sf_dir).select("site", "url").unionByName(crawl.select("site", "url"))
-    got = FR.fetch(requests, crawl)
-    return got.select("site", "url", "status_code", F.length("html").cast("bigint").alias("html_chars"))
+    lengths = crawl.withColumn("html_chars", F.length("html").cast("bigint"))
+    return FR.fetch(requests, lengths, "status_code", "html_chars").select("site", "url", "status_code", "html_chars")
 
 
 @query("status_ok", f"SELECT page_id, site, url FROM ({B.CRAWL_SQL}) WHERE status_code = 200")
@@ -453,21 +507,50 @@ def q_page_links(spark, sf_dir):
     return _links(spark, sf_dir)
 
 
-@query("links_until_error", f"SELECT site, page_no, card_no, href FROM ({_LINKS_SQL})")
+# Some list pages have no container (bindings.with_broken_pages); a
+# site's listing ends there. The oracle states the rule as a running flag.
+_BROKEN_SQL = f"""
+  SELECT page_id, url, status_code, site,
+         CASE WHEN page_id % 97 = 96 THEN replace(replace(html, '<nav>', '<section>'), '</nav>', '</section>')
+              WHEN page_id % 7 = 1 THEN replace(replace(html, '<h1>', '<h2>'), '</h1>', '</h2>')
+              WHEN page_id % 7 = 3 THEN replace(replace(html, '<article>', '<section>'), '</article>', '</section>')
+              ELSE html END AS html
+  FROM ({B.CRAWL_SQL})"""
+_UNTIL_SQL = f"""
+  SELECT site, page_no, card_no, href FROM ({_LINKS_SQL}) l
+  SEMI JOIN (SELECT page_id FROM (
+      SELECT page_id, max(CASE WHEN html LIKE '%<nav>%' THEN 0 ELSE 1 END)
+                        OVER (PARTITION BY site ORDER BY page_id) AS stopped FROM ({_BROKEN_SQL})) WHERE stopped = 0) ok
+    ON ok.page_id = l.page_no"""
+
+
+def _broken_links(spark, sf_dir):
+    pages = B.with_broken_pages(_crawl(spark, sf_dir)).select("site", F.col("page_id").alias("page_no"), "html")
+    return X.extract_links(pages, B.pages_profiles())
+
+
+@query("links_until_error", _UNTIL_SQL)
 def q_links_until_error(spark, sf_dir):
-    return X.links_until_error(_links(spark, sf_dir)).select("site", "page_no", "card_no", "href")
+    return X.links_until_error(_broken_links(spark, sf_dir)).select("site", "page_no", "card_no", "href")
+
+
+@query("links_failed", f"""
+  SELECT site, page_id AS page_no, 0::BIGINT AS card_no FROM ({_BROKEN_SQL}) WHERE html NOT LIKE '%<nav>%'""")
+def q_links_failed(spark, sf_dir):
+    """The failure flag, one row for each page without the container."""
+    return _broken_links(spark, sf_dir).where("failed").select("site", "page_no", "card_no")
 
 
 @query("absolute_links", f"""
   SELECT site, page_no, card_no, {B._case('link_prefix')} || href AS art_url FROM ({_LINKS_SQL})""")
 def q_absolute_links(spark, sf_dir):
-    return X.absolute_links(X.links_until_error(_links(spark, sf_dir))).select(
+    return X.absolute_links(_links(spark, sf_dir).where("not failed")).select(
         "site", "page_no", "card_no", "art_url")
 
 
-@query("link_counts", f"SELECT site, count(*) AS n_links FROM ({_LINKS_SQL}) GROUP BY site")
+@query("link_counts", f"SELECT site, count(*) AS n_links FROM ({_UNTIL_SQL}) GROUP BY site")
 def q_link_counts(spark, sf_dir):
-    return C.count_by_site(X.links_until_error(_links(spark, sf_dir)), "n_links")
+    return C.count_by_site(X.links_until_error(_broken_links(spark, sf_dir)), "n_links")
 
 
 def _fields(spark, sf_dir):
@@ -499,10 +582,92 @@ def q_body_paragraphs(spark, sf_dir):
   SELECT site, url AS art_url,
          CASE WHEN html NOT LIKE '%<h1>%' THEN 'missing title'
               WHEN html NOT LIKE '%<article>%<p>%</article>%' THEN 'missing body' END AS reject_reason
-  FROM ({B.CRAWL_SQL}) WHERE status_code = 200""")
+  FROM ({_BROKEN_SQL}) WHERE status_code = 200""")
 def q_reject_split(spark, sf_dir):
     """Accepted rows (reason NULL) plus rejects with their reason."""
-    return X.flag_fields(_fields(spark, sf_dir), B.pages_profiles()).select("site", "art_url", "reject_reason")
+    pages = FR.status_ok(B.with_broken_pages(_crawl(spark, sf_dir)))
+    fields = X.extract_fields(pages, B.pages_profiles())
+    return X.flag_fields(fields, B.pages_profiles()).select("site", "art_url", "reject_reason")
+
+
+# Elements found by class, put into the pages by
+# bindings.with_class_elements; these go through the element tree.
+_ARTICLE_TEXT_SQL = B.html_text_sql("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)")
+_CLASS_SQL = f"SELECT *, {Q.strip(_ARTICLE_TEXT_SQL)} AS body FROM ({B.CRAWL_SQL}) WHERE status_code = 200"
+
+
+def _class_fields(spark, sf_dir, body_kind):
+    pages = FR.status_ok(B.with_class_elements(_crawl(spark, sf_dir)))
+    return X.extract_fields(pages, B.class_profiles(body_kind))
+
+
+@query("page_date", f"""
+  SELECT site, url AS art_url, TIMESTAMP '{B.PUBLISHED_BASE}' + to_minutes(page_id) AS art_published_at FROM ({_CLASS_SQL})""")
+def q_page_date(spark, sf_dir):
+    """The date element's text, parsed."""
+    return _class_fields(spark, sf_dir, "one").select("site", "art_url", D.parse_free(F.col("date_text")).alias("art_published_at"))
+
+
+@query("page_category", f"""
+  SELECT site, url AS art_url, 'topic ' || CAST(page_id % 7 AS VARCHAR) AS art_type FROM ({_CLASS_SQL})""")
+def q_page_category(spark, sf_dir):
+    """The category element's text."""
+    return _class_fields(spark, sf_dir, "one").select("site", "art_url", F.col("type_raw").alias("art_type"))
+
+
+@query("body_one", f"SELECT site, url AS art_url, body FROM ({_CLASS_SQL})")
+def q_body_one(spark, sf_dir):
+    """All visible text of one element found by its whole class attribute."""
+    return _class_fields(spark, sf_dir, "one").select("site", "art_url", F.col("body_raw").alias("body"))
+
+
+@query("body_two", f"""
+  SELECT site, url AS art_url, 'No ' || CAST(page_id AS VARCHAR) || body AS body FROM ({_CLASS_SQL})""")
+def q_body_two(spark, sf_dir):
+    """The texts of two elements, glued."""
+    return _class_fields(spark, sf_dir, "two").select("site", "art_url", F.col("body_raw").alias("body"))
+
+
+# S1, S2, X1-X3, X9 in one job: list pages are built from the pages' own URLs
+# (ten links each), and the articles are exactly the listed ones.
+_PER_LIST = 10
+_LISTED_SQL = f"""
+  SELECT site, url, page_id // 5 // {_PER_LIST} + 1 AS page_no FROM ({B.CRAWL_SQL})"""
+_DEPTH_SQL = f"SELECT site, max(page_no) AS depth FROM ({_LISTED_SQL}) GROUP BY site"
+
+
+def _list_crawl(crawl):
+    """Landed list pages and article pages of the same tables."""
+    page_no = (F.floor(F.floor(F.col("page_id") / 5) / _PER_LIST) + 1).cast("bigint")
+    links = crawl.select("site", "page_id", page_no.alias("page_no"), "url")
+    item = F.concat(F.lit('<li><a href="'), F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit('">x</a></li>'))
+    lists = (links.groupBy("site", "page_no").agg(F.array_sort(F.collect_list(F.struct("page_id", item.alias("li")))).alias("li"))
+                  .withColumn("html", F.concat(F.lit("<nav><ul>"), F.array_join(F.col("li.li"), ""), F.lit("</ul></nav>"))))
+    depth = lists.groupBy("site").agg(F.max("page_no").alias("n_pages"))
+    tmpl, prefix = B.site_lookup(F.col("site"), "list_template"), B.site_lookup(F.col("site"), "link_prefix")
+    url = F.replace(tmpl, F.lit("{i}"), F.col("page_no").cast("string"))
+    # a template without a page number has one landed page, the first
+    landed = lists.where(tmpl.contains("{i}") | (F.col("page_no") == 1)).select("site", url.alias("url"), F.lit(200).alias("status_code"), "html")
+    articles = crawl.select("site", F.concat(prefix, F.col("url")).alias("url"), "status_code", "html")
+    return depth, landed.unionByName(articles)
+
+
+@query("articles_from_links", f"""
+  WITH listed AS (SELECT site, url, page_no FROM ({_LISTED_SQL})),
+  requests AS (SELECT l.site, {B._case('link_prefix', 'l.site')} || l.url AS art_url
+               FROM ({_DEPTH_SQL}) d, unnest(range(1, d.depth + 1)) r(n)
+               JOIN listed l ON l.site = d.site
+                AND l.page_no = CASE WHEN {B._case('list_template', 'd.site')} LIKE '%{{i}}%' THEN r.n ELSE 1 END),
+  pages AS (SELECT {B._case('link_prefix')} || url AS art_url, status_code, html FROM ({B.CRAWL_SQL}))
+  SELECT r.site, r.art_url, {_TITLE_SQL} AS art_title, {B.paragraphs_sql('html')} AS art_content
+  FROM requests r JOIN pages p USING (art_url) WHERE p.status_code = 200""")
+def q_articles_from_links(spark, sf_dir):
+    """Frontier -> list pages -> links -> stop rule -> article pages -> fields.
+    A site whose template has no page number lists its first page again and
+    again, and so repeats its articles."""
+    depth, crawl = _list_crawl(_crawl(spark, sf_dir))
+    arts, _ = AJ.crawl_job(depth, crawl, B.pages_profiles(), run_ts=B.TEST_RUN_TS)
+    return arts.select("site", "art_url", "art_title", "art_content")
 
 
 @query("articles_from_pages", f"""
@@ -559,12 +724,29 @@ def q_translate_misses(spark, sf_dir):
     return TR.memory_misses(d, _memory(spark, sf_dir), "text", "lang").select("key", "lang", "n_rows")
 
 
+def _marker():
+    """The provider of these queries: marks a text with its language."""
+    return lambda texts, lang: [f"[{lang}->en] {t}" for t in texts]
+
+
+@query("translate_writeback", """
+  SELECT doc_id, lang, CASE WHEN lang = 'en' THEN text ELSE '[' || lang || '->en] ' || text END AS text_en,
+         lang <> 'en' AS from_memory
+  FROM documents""")
+def q_translate_writeback(spark, sf_dir):
+    """N7 whole: memory hits, each distinct miss translated once and appended
+    to the stored memory, English passed through."""
+    d = _docs(spark, sf_dir, "doc_id", "text", "lang")
+    done, _ = TR.translate_with_memory(d, _memory(spark, sf_dir), "text", "lang", _marker, scratch_path(spark, "memory"))
+    return done.select("doc_id", "lang", "text_en", "from_memory")
+
+
 # --- N2a gazetteer -----------------------------------------------------------------
 
 # Test gazetteer: names that occur in the driver's invented text, with a
 # one-word name inside a two-word one to exercise leftmost-longest matching.
 FIXTURE_NAMES = ["Stteen Erachtz", "Stteen", "Apache License", "General Public License",
-                 "Thshea Stteä", "Of Thblewh", "Erachtz"]
+                 "Thshea Stteä", "Of Thblewh", "Erachtz", "under the GNU General Public-License", "Rights' reserved"]
 
 
 def _gazetteer_sql() -> str:

@@ -17,13 +17,11 @@ from newsflow.sinks.tables import append_mentions
 MENTION_FIELDS = ("Persons", "Context", "Sentiment")
 
 
-def mention_rows(articles: DataFrame, scorer, tagger=None, text_col: str = "art_content",
-                 with_rejects: bool = False):
-    """Clear-text mention rows: metadata (all article columns but the content,
-    P3), sentence_no, chunk_no, Persons, Context, Sentiment.
-
-    A sentiment label outside the star map is routed to the rejects frame
-    (the reference raises on it).
+def mention_rows(articles: DataFrame, scorer, tagger=None, text_col: str = "art_content"):
+    """(rows, rejects). Rows: clear-text mention rows: metadata (all article columns but the content,
+    P3), sentence_no, chunk_no, Persons, Context, Sentiment. Rejects: chunks
+    whose sentiment label is outside the star map (the reference raises on
+    it); always returned, so no row is lost silently.
     """
     meta = [c for c in articles.columns if c != text_col]
     pc = person_context(articles, text_col=text_col, keep=meta, tagger=tagger)
@@ -34,18 +32,17 @@ def mention_rows(articles: DataFrame, scorer, tagger=None, text_col: str = "art_
     cols = [*meta, "sentence_no", "chunk_no"] + [v.alias(k) for k, v in mention.items() if k not in meta]
     rows = scored.select(*cols)
     good = rows.filter(F.col("Sentiment").isNotNull()) if "Sentiment" not in meta else rows
-    if not with_rejects:
-        return good
     rejects = scored.filter(F.col("sentiment").isNull()).select(*meta, "sentence_no", "chunk_no",
                                                                 F.lit("unknown sentiment label").alias("reason"))
     return good, rejects
 
 
 def mentions_job(articles: DataFrame, key: str | bytes, scorer, out_path: str | None = None,
-                 tagger=None) -> DataFrame:
-    """Full job: encrypted mention documents; appended to ``out_path`` if given (K3)."""
-    rows = mention_rows(articles, scorer, tagger)
+                 tagger=None):
+    """Full job -> (encrypted mention documents, rejects); the documents are
+    appended to ``out_path`` if given (K3)."""
+    rows, rejects = mention_rows(articles, scorer, tagger)
     enc = encrypt_columns(rows, [c for c in MENTION_FIELDS if c in rows.columns], key)
     if out_path:
         append_mentions(enc, out_path)
-    return enc
+    return enc, rejects

@@ -87,23 +87,38 @@ def ship_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the launcher and is read, never replaced.
-    Only when it is unset (local tests) a private folder is created and set.
+    On a cluster this is set by the launcher and is read, never replaced; if it
+    is missing there, this raises, since a private folder of the driver is none
+    that executors see. Only a local session (tests) gets one of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="newsflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/newsflow/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path for one intermediate table, under ``newsflow/`` in
-    the shared folder (kept apart from other applications' checkpoints)."""
-    return f"{shared_dir(spark)}/newsflow/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path for one intermediate table, in the application's
+    own part of the shared folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Deletes the application's intermediate tables. Call it when no result
+    that was read from them is needed any more; the command line does at its end."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str):

@@ -12,9 +12,3 @@ from pyspark.sql import DataFrame
 def append_mentions(df: DataFrame, path: str, partition_by: str = "art_source") -> None:
     df.write.mode("append").partitionBy(partition_by).parquet(path)
 
-
-def overwrite_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)

@@ -34,7 +34,6 @@ class Site:
     type_sel: tuple | None      # optional category element (webdo)
     art_source: str
     scrapped_by: str
-    output_name: str
     extra: dict = field(default_factory=dict)
 
 
@@ -48,8 +47,7 @@ SITES: tuple[Site, ...] = (
          date=("span", "date"), date_mode="free",
          body_kind="two", body=(("div", "intro"), ("div", "coprs")),
          boilerplate=None, type_sel=None,
-         art_source="https://www.ifm.tn/ar", scrapped_by="ifm-ar.bot",
-         output_name="ifm_articles"),
+         art_source="https://www.ifm.tn/ar", scrapped_by="ifm-ar.bot"),
     Site(site="nessma", lang="ar",
          list_template="https://www.nessma.tv/ar",
          container=("div", "site-content"),
@@ -58,8 +56,7 @@ SITES: tuple[Site, ...] = (
          date=("li", "publish-date"), date_mode="free",
          body_kind="one", body=(("div", "entry-content disabled_text"),),
          boilerplate="email facebook pinterest twitter print", type_sel=None,
-         art_source="https://www.nessma.tv/ar", scrapped_by="nessma-ar.bot",
-         output_name="nessma_articles"),
+         art_source="https://www.nessma.tv/ar", scrapped_by="nessma-ar.bot"),
     Site(site="jawhara", lang="fr",
          list_template="https://www.jawharafm.net/fr/articles/actualite/politique/44/{i}",
          container=("div", "article"),
@@ -69,8 +66,7 @@ SITES: tuple[Site, ...] = (
          date=("span", "dat_ev"), date_mode="strict_dmy",
          body_kind="one", body=(("div", "article_text"),),
          boilerplate=None, type_sel=None,
-         art_source="https://www.jawharafm.net/fr/", scrapped_by="jawharafm.bot",
-         output_name="jawharafm_articles"),
+         art_source="https://www.jawharafm.net/fr/", scrapped_by="jawharafm.bot"),
     Site(site="kapitalis", lang="fr",
          list_template="https://kapitalis.com/tunisie/category/politique/page/{i}/",
          container=("div", "cmsmasters_archive"),
@@ -79,8 +75,7 @@ SITES: tuple[Site, ...] = (
          date=("abbr", "published"), date_mode="iso_or_free",
          body_kind="paragraphs", body=(("div", "cmsmasters_post_content entry-content"),),
          boilerplate=None, type_sel=None,
-         art_source="https://kapitalis.com/tunisie/", scrapped_by="kapitalis.bot",
-         output_name="kapitalis_articles"),
+         art_source="https://kapitalis.com/tunisie/", scrapped_by="kapitalis.bot"),
     Site(site="webdo", lang="fr",
          list_template="https://www.webdo.tn/fr/search?q=politique&page={i}",
          container=("div", "posts-listing"),
@@ -90,8 +85,7 @@ SITES: tuple[Site, ...] = (
          date=("time", "entry-date published"), date_mode="iso_or_free",
          body_kind="one", body=(("div", "single-body entry-content typography-copy"),),
          boilerplate=None, type_sel=("a", "entry-cat cat-theme cat-5"),
-         art_source="https://www.webdo.tn/fr", scrapped_by="webdo_tn.bot",
-         output_name="webdo_articles"),
+         art_source="https://www.webdo.tn/fr", scrapped_by="webdo_tn.bot"),
 )
 # Order in which the combined file appends the per-site files.
 UNION_ORDER = ("webdo", "nessma", "kapitalis", "jawhara", "ifm")
@@ -105,18 +99,6 @@ PAGES_PER_RUN = 3
 BY_NAME = {s.site: s for s in SITES}
 
 
-def site_frame(spark: SparkSession, sites=SITES) -> DataFrame:
-    """The site configuration as a (tiny, fixed-size) DataFrame."""
-    rows = [(s.site, s.lang, s.list_template, s.link_prefix, s.boilerplate, s.date_mode,
-             s.art_source, s.scrapped_by, s.output_name,
-             UNION_ORDER.index(s.site) if s.site in UNION_ORDER else len(UNION_ORDER))
-            for s in sites]
-    return spark.createDataFrame(rows, "site string, lang string, list_template string, "
-                                       "link_prefix string, boilerplate string, date_mode string, "
-                                       "art_source string, scrapped_by string, output_name string, "
-                                       "source_ord int")
-
-
 def site_of(index_col, sites=SITES):
     """Column: site name for a 0-based index into ``sites``."""
     return F.element_at(F.array(*[F.lit(s.site) for s in sites]), (index_col % len(sites)).cast("int") + 1)

@@ -24,30 +24,35 @@ def frontier(depth: DataFrame, sites=S.SITES) -> DataFrame:
 
 
 def latest_fetch(crawl: DataFrame) -> DataFrame:
-    """One row per URL, the most recent fetch (partial aggregation, so a URL
-    fetched very often costs one partial row per task, not one hot task)."""
+    """One row per (site, url), the most recent fetch; a fetch without a time
+    is older than any with one. The winner is found on its time and a hash of
+    the row (partial aggregation: a URL fetched very often costs one partial
+    row per task), and the pages are then cut to the winners, so no HTML goes
+    through the aggregation. Equal rows of a winner collapse."""
     if "fetched_at" not in crawl.columns:
         return crawl
-    cols = [c for c in crawl.columns if c != "url"]
-    best = F.max_by(F.struct(*cols), F.col("fetched_at"))
-    return crawl.groupBy("url").agg(best.alias("_r")).select("url", "_r.*")
-
-
-def fetch(requests: DataFrame, crawl: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+    keys = [c for c in ("site", "url") if c in crawl.columns]
+    rest = [c for c in crawl.columns if c not in keys]
+    age = F.struct(F.col("fetched_at").isNotNull().alias("dated"), "fetched_at", F.xxhash64(*rest).alias("h"))
+    rows = crawl.withColumn("_age", age)
+    best = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max("_age").alias("_best"))
+    same = F.col("_age").eqNullSafe(F.col("_best"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return rows.join(best, same, "left_semi").dropDuplicates([*keys, "_age"]).drop("_age")
+
+
+def fetch(requests: DataFrame, crawl: DataFrame, *values: str) -> DataFrame:
     """Requested URLs left-joined to the landed crawl on ``url``;
-    unmatched rows (NULL status) are failed fetches.
-
-    A left outer join cannot broadcast its left side, so a small request list
-    (e.g. a frontier) would make Spark shuffle the whole crawl. When the
-    request count is proven below ``broadcast_rows``, the crawl is first cut
-    to the requested URLs by a broadcast semi-join (no crawl shuffle); the
-    left join then runs on two small sides. Otherwise a sort-merge join on
-    url (both sides grow with the crawl)."""
-    c = crawl.select("url", "status_code", "html")
-    if requests.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        wanted = F.broadcast(requests.select("url").distinct())
-        c = c.join(wanted, "url", "left_semi")
-    return requests.join(c, "url", "left")
+    unmatched rows (NULL status) are failed fetches. ``values``: the crawl
+    columns wanted (status and HTML if none are named).
+
+    The crawl is first cut to the requested URLs by a semi-join against the
+    distinct URLs. Spark broadcasts those if its statistics allow, and then
+    only the requested pages are shuffled to the left join; otherwise both
+    joins run as shuffle joins whose skew adaptive execution splits."""
+    c = crawl.select("url", *(values or ("status_code", "html")))
+    return requests.join(c.join(requests.select("url").distinct(), "url", "left_semi"), "url", "left")
 
 
 def status_ok(crawl: DataFrame) -> DataFrame:

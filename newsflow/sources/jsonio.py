@@ -44,22 +44,26 @@ def write_articles_json(df: DataFrame, path: str, partition_by: str | None = "si
     """K1 / K2: JSON lines, null fields written as ``null`` (not dropped).
 
     Per-site output (K1): only sites configured with a category element carry
-    the ``art_type`` key, as in the reference's per-site files; the others are
-    written without it (two writes into the same partitioned directory).
+    the ``art_type`` key; the records of the others, of unknown sites and of no
+    site are written without it. One pass over the input: each record is
+    rendered to its JSON text and written to its site's folder.
     """
-    def write(frame: DataFrame, how: str) -> None:
-        w = to_json_record(frame).write.mode(how).option("ignoreNullFields", "false")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.json(path)
-
+    record = to_json_record(df)
     if partition_by == "site" and "art_type" in df.columns:
         from newsflow import sites as S
         typed = [s.site for s in S.SITES if s.type_sel]
-        write(df.filter(F.col("site").isin(typed)), mode)
-        write(df.filter(~F.col("site").isin(typed)).drop("art_type"), "append")
-    else:
-        write(df, mode)
+        cols = [c for c in record.columns if c != "site"]
+
+        def text(names):
+            return F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+
+        line = F.when(F.col("site").isin(typed), text(cols)).otherwise(text([c for c in cols if c != "art_type"]))
+        record.select("site", line.alias("value")).write.mode(mode).partitionBy("site").text(path)
+        return
+    w = record.write.mode(mode).option("ignoreNullFields", "false")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.json(path)
 
 
 def read_articles_json(spark: SparkSession, path: str, schema: T.StructType = ARTICLE_JSON,
@@ -68,6 +72,13 @@ def read_articles_json(spark: SparkSession, path: str, schema: T.StructType = AR
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
+def read_site_json(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """S4 over a directory of per-site folders: one scan, ``site`` from the
+    folder names. Sites without a folder are absent."""
+    schema = T.StructType([*ARTICLE_JSON.fields, T.StructField("site", T.StringType())])
+    return read_articles_json(spark, path, schema, multiline)
+
+
 def sample(df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     """S5 ``find_one()``: any one row; deterministic when ``order_by`` is given."""
     return (df.orderBy(*order_by) if order_by else df).limit(1)

@@ -57,11 +57,19 @@ def start_articles_stream(spark: SparkSession, landing_dir: str, out_dir: str, r
 
 def start_mentions_stream(spark: SparkSession, articles_dir: str, articles_schema: T.StructType,
                           out_dir: str, checkpoint: str, key: str | bytes, scorer, tagger=None,
-                          available_now: bool = True) -> StreamingQuery:
+                          available_now: bool = True, rejects_dir: str | None = None) -> StreamingQuery:
+    """``rejects_dir``: a second query writes the chunks with an unknown label
+    there (its progress is kept under ``<checkpoint>-rejects``)."""
     arts = spark.readStream.schema(articles_schema).parquet(articles_dir)
-    rows = mention_rows(arts, scorer, tagger)
+    rows, rejects = mention_rows(arts, scorer, tagger)
     enc = encrypt_columns(rows, [c for c in MENTION_FIELDS if c in rows.columns], key)
-    w = (enc.writeStream.format("parquet").option("path", out_dir)
-            .option("checkpointLocation", checkpoint).outputMode("append"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+
+    def start(df: DataFrame, path: str, progress: str) -> StreamingQuery:
+        w = (df.writeStream.format("parquet").option("path", path)
+               .option("checkpointLocation", progress).outputMode("append"))
+        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+        return w.start()
+
+    if rejects_dir:
+        start(rejects, rejects_dir, f"{checkpoint.rstrip('/')}-rejects")
+    return start(enc, out_dir, checkpoint)

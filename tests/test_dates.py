@@ -29,6 +29,15 @@ def test_free_form(spark):
                    None, None, None]
 
 
+def test_usual_spellings(spark):
+    got = parse(spark, D.parse_free,
+                ["mardi 12 septembre 2023", "الثلاثاء، ١٢ سبتمبر ٢٠٢٣", "September 12, 2023 3:30 PM", "5 avril 2023 10h", "12 اكتوبر 2023",
+                 "Tuesday, September 12, 2023 12:05 a.m.", "12/09/2023 12:05 pm", "September 12, 2023 13:30 PM", "الاربعاء 3 ابريل 2024 8:05", "5 avril 2023 10h30"])
+    d = dt.datetime
+    assert got == [d(2023, 9, 12), d(2023, 9, 12), d(2023, 9, 12, 15, 30), d(2023, 4, 5, 10), d(2023, 10, 12),
+                   d(2023, 9, 12, 0, 5), d(2023, 9, 12, 12, 5), None, d(2024, 4, 3, 8, 5), d(2023, 4, 5, 10, 30)]
+
+
 def test_iso_hint_first(spark):
     got = parse(spark, D.parse_iso_or_free, ["2023-09-01 10:30:00.123", "01/02/2023 10:00"])
     assert got == [dt.datetime(2023, 9, 1, 10, 30, 0, 123000), dt.datetime(2023, 2, 1, 10, 0)]

@@ -41,11 +41,11 @@ def test_json_sink_writes_nulls_and_python_time(spark, tmp_out):
         "art_creation_date timestamp_ntz")
     other = df.withColumn("site", F.lit("ifm"))
     J.write_articles_json(df.unionByName(other), tmp_out, partition_by="site")
-    text = "".join(open(p, encoding="utf-8").read() for p in glob.glob(f"{tmp_out}/site=webdo/*.json"))
+    text = "".join(open(p, encoding="utf-8").read() for p in glob.glob(f"{tmp_out}/site=webdo/part-*"))
     rec = json.loads(text)
     assert rec == {"art_url": "u", "art_type": None, "art_published_at": "2023-09-01 10:30:00",
                    "art_creation_date": "2023-09-01 10:30:00.123000"}
-    text = "".join(open(p, encoding="utf-8").read() for p in glob.glob(f"{tmp_out}/site=ifm/*.json"))
+    text = "".join(open(p, encoding="utf-8").read() for p in glob.glob(f"{tmp_out}/site=ifm/part-*"))
     assert "art_type" not in json.loads(text)               # only webdo files carry the key
 
 
@@ -62,6 +62,22 @@ def test_union_order_and_missing_columns(spark):
     assert sum(f.count() for f in frames.values()) == len(out)
 
 
+def test_rows_without_a_known_site_are_written(spark, tmp_out):
+    df = spark.createDataFrame([("webdo", "u1", "t"), (None, "u2", "t"), ("other", "u3", "t")], "site string, art_url string, art_type string")
+    J.write_articles_json(df, tmp_out, partition_by="site")
+    J.write_articles_json(df, tmp_out, partition_by="site", mode="append")
+    assert sorted(r["art_url"] for r in J.read_site_json(spark, tmp_out).collect()) == ["u1", "u1", "u2", "u2", "u3", "u3"]
+
+
+def test_order_over_one_scan_with_an_absent_site(spark, tmp_out):
+    from newsflow.operators.combine import append_order
+    rows = [(s.site, _article(s.site)["art_url"], "x") for s in S.SITES if s.site != "kapitalis"]
+    J.write_articles_json(spark.createDataFrame(rows, "site string, art_url string, art_type string"), tmp_out, partition_by="site")
+    got = append_order(J.read_site_json(spark, tmp_out)).orderBy("source_ord").collect()
+    assert [r["site"] for r in got] == [s for s in S.UNION_ORDER if s != "kapitalis"]
+    assert [r["art_type"] for r in got] == ["x", None, None, None]
+
+
 def test_append_sink_twice(spark, tmp_out):
     df = spark.createDataFrame([("a", "p", "c", "s", "https://src")],
                                "art_url string, Persons string, Context string, Sentiment string, art_source string")

@@ -70,7 +70,7 @@ def test_array_window_equals_lag_lead(spark):
 
 def test_flagship_has_no_exchange(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "source")
-    rows = mention_rows(docs.withColumnRenamed("text", "art_content"), LexiconScorer({"the": 1}))
+    rows, _ = mention_rows(docs.withColumnRenamed("text", "art_content"), LexiconScorer({"the": 1}))
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
@@ -83,9 +83,64 @@ def test_gazetteer_leftmost_longest(spark):
     want = [["Stteen Erachtz", "stteen", "Erachtz"], ["Ab Cd Ef"]]
     assert GazetteerTagger(names).tag(df, "t").select("persons").first()[0] == want
     table = spark.createDataFrame([(n,) for n in names], "name string")
-    for b in (10, 0):
-        got = GazetteerTableTagger(table, broadcast_rows=b).tag(df, "t").select("persons").first()[0]
-        assert got == want
+    assert GazetteerTableTagger(table).tag(df, "t").select("persons").first()[0] == want
+
+
+def test_long_and_hyphenated_names(spark):
+    from newsflow.operators.tagging import GazetteerTableTagger
+    names = ["Zine El Abidine Ben", "Jean-Luc Martin", "d'Arc"]
+    df = spark.createDataFrame([(1, "Then zine el abidine ben met Jean-Luc Martin and Jeanne d'Arc here")], "doc_id long, t string")
+    want = [["zine el abidine ben", "Jean Luc Martin", "d Arc"]]
+    assert GazetteerTagger(names).tag(df, "t").select("persons").first()[0] == want
+    table = spark.createDataFrame([(n,) for n in names], "name string")
+    assert GazetteerTableTagger(table).tag(df, "t").select("persons").first()[0] == want
+
+
+def test_long_sentence_is_linear(spark):
+    import time
+    df = spark.createDataFrame([(1, "Jean-Luc Martin " * 10_000)], "doc_id long, t string")
+    tagger = GazetteerTagger(["Jean-Luc Martin", "Nobody"])
+    t = time.time()
+    assert len(tagger.tag(df, "t").select("persons").first()[0][0]) == 10_000
+    assert time.time() - t < 60
+
+
+def test_label_filter(spark):
+    from newsflow.operators.tagging import ModelEntityTagger, RuleEntityTagger
+    df = spark.createDataFrame([(1, "Ann Bo saw 12 cats. Cy Dee saw 3.")], "doc_id long, text string")
+    out = RuleEntityTagger().tag(df, "text").first()
+    assert out["persons"] == [["Ann Bo"], ["Cy Dee"]]
+    assert [[tuple(e) for e in s] for s in out["entities"]] == [[("Ann Bo", "PERSON", 0), ("12", "CARDINAL", 11)], [("Cy Dee", "PERSON", 0), ("3", "CARDINAL", 11)]]
+    assert RuleEntityTagger("CARDINAL").tag(df, "text").first()["persons"] == [["12"], ["3"]]
+
+    def load():
+        return lambda text: ([text], [[("Ann Bo", "PERSON", 0), ("Rome", "LOC", 9), ("Cy", "PERSON", 20)]])
+    got = M.person_context(df, "text", ["doc_id"], tagger=ModelEntityTagger(load)).first()
+    assert list(got["persons"]) == ["Ann Bo", "Cy"]
+
+
+def test_two_loaders_of_one_factory_do_not_share_a_model(spark):
+    from newsflow.operators.sentiment import ModelScorer
+
+    def factory(label):
+        def load():
+            return lambda chunks: [label for _ in chunks]
+        return load
+    df = spark.createDataFrame([(1, "x")], "i int, chunk string").coalesce(1)
+    got = [ModelScorer(factory(x)).score(df).first()["stars"] for x in ("5 stars", "1 star")]
+    assert got == [5, 1]
+
+
+def test_unknown_labels_are_rejected(spark):
+    from newsflow.operators.sentiment import ModelScorer
+    from newsflow.plans.mentions_job import mentions_job
+
+    def load():
+        return lambda chunks: ["6 stars" if "bad" in c else "good" if "odd" in c else "4 stars" for c in chunks]
+    arts = spark.createDataFrame([("a", "Ann Bo is bad."), ("b", "Cy Dee is ok."), ("c", "Ed Fo is odd.")], "art_url string, art_content string")
+    good, rejects = mentions_job(arts, "cw_0x689RpI-jtRR7oE8h_eQsKImvJapLeSbXpwF4e4=", ModelScorer(load))
+    assert [r["art_url"] for r in good.collect()] == ["b"]
+    assert sorted((r["art_url"], r["reason"]) for r in rejects.collect()) == [(u, "unknown sentiment label") for u in "ac"]
 
 
 def _fake_ner():
@@ -131,10 +186,8 @@ def test_gazetteer_table_equals_inline(spark):
     names = spark.createDataFrame([(n,) for n in FIXTURE_NAMES], "name string")
     a = M.sentences_with_persons(GazetteerTagger(FIXTURE_NAMES).tag(docs, "text"), ["doc_id"])
     b = M.sentences_with_persons(GazetteerTableTagger(names).tag(docs, "text"), ["doc_id"])
-    b2 = M.sentences_with_persons(GazetteerTableTagger(names, broadcast_rows=0).tag(docs, "text"), ["doc_id"])
     assert a.count() > 0
-    for other in (b, b2):
-        assert a.exceptAll(other).count() == 0 and other.exceptAll(a).count() == 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def test_lexicon_table_equals_inline(spark):
@@ -145,6 +198,5 @@ def test_lexicon_table_equals_inline(spark):
     lex = spark.createDataFrame(list(FIXTURE_LEXICON.items()), "word string, weight int")
     cols = ["doc_id", "sentence_no", "chunk_no", "hits", "stars"]
     a = LexiconScorer(FIXTURE_LEXICON).score(pc).select(*cols)
-    for b in (10**6, 0):
-        t = LexiconTableScorer(lex, ["doc_id", "sentence_no", "chunk_no"], broadcast_rows=b).score(pc).select(*cols)
+    for t in [LexiconTableScorer(lex, ["doc_id", "sentence_no", "chunk_no"]).score(pc).select(*cols)]:
         assert a.count() == t.count() and a.exceptAll(t).count() == 0

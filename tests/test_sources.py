@@ -1,6 +1,5 @@
 import datetime as dt
 
-from newsflow.plans.bindings import spread
 from newsflow.sources.crawl import latest_fetch
 from tests.conftest import SF_SMALL
 
@@ -13,12 +12,30 @@ def test_latest_fetch_keeps_newest(spark):
     assert got == {"u1": (200, "new"), "u2": (200, "only")}
 
 
-def test_spread_only_coarse_inputs(spark, tmp_out):
-    slots = spark.sparkContext.defaultParallelism
-    small = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id")
-    assert spread(small).rdd.getNumPartitions() == slots
-    # As many files as slots: left as scanned, no shuffle added.
-    small.repartition(slots).write.parquet(tmp_out)
-    many = spark.read.parquet(tmp_out)
-    assert len(many.inputFiles()) >= slots
-    assert "Exchange" not in spread(many)._jdf.queryExecution().executedPlan().toString()
+def test_latest_fetch_by_site_with_missing_times(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [("a", "u", 200, "a1", None), ("a", "u", 200, "a2", t), ("b", "u", 200, "b", None), ("b", "v", 200, "v", None), ("b", "v", 200, "v", None)]
+    df = spark.createDataFrame(rows, "site string, url string, status_code int, html string, fetched_at timestamp_ntz")
+    got = sorted((r["site"], r["url"], r["html"]) for r in latest_fetch(df).collect())
+    assert got == [("a", "u", "a2"), ("b", "u", "b"), ("b", "v", "v")]
+
+
+def test_scan_is_left_to_spark(spark):
+    from newsflow.plans.bindings import table
+    plan = table(spark, SF_SMALL, "documents", "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark):
+    import pytest
+    from newsflow import session
+
+    class Fake:
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Fake)
