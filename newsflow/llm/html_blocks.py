@@ -41,6 +41,9 @@ NOISE_NAME = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|adbox|banner|sponsor\w
     related|recommend\w*|comments?|commentlist|replies|reply|respond|disqus|pagination|pager|tags?|meta|copyright|legal|search|skip|alert|
     navigation|complementary|contentinfo|dialog)(?=$|[\s_-])""", re.I | re.X)
 TEXT_NAME = re.compile(r"(?:^|[\s_-])(?:article\w*|content|entry|post|story|body|text|main|prose)(?=$|[\s_-])", re.I)
+# Names that only look like furniture: an article's own header, and layout flags.
+OWN_NAME = re.compile(r"(?:article|entry|post|story|page|content|main)[_-]{0,2}(?:header|head|heading|title|text)(?=$|[\s_-])"
+                      r"|(?:^|(?<=\s))(?:no|has|with|without|hide|show)-[\w-]+", re.I)
 COMMENT_NAME = re.compile(r"(?:^|[\s_-])comments?(?=$|[\s_-])", re.I)
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none", re.I)
 SPACE = re.compile(r"\s+")
@@ -80,7 +83,7 @@ class Blocks(HTMLParser):
                 self.leave(tag, frozenset(("ul", "ol", "menu", "table", "tbody", "dl", "select")))
         if tag in VOID or tag not in BLOCK_TAGS and tag not in SILENT:
             return
-        names = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
+        names = OWN_NAME.sub(" post ", " ".join(v for k, v in attrs if v and k in ("class", "id", "role")))
         noise = NOISE_NAME if tag not in ("html", "body", "article", "main") else COMMENT_NAME
         hidden = any(k == "hidden" or k == "style" and v and HIDDEN_STYLE.search(v) for k, v in attrs)
         furniture = tag in FURNITURE and not (tag == "header" and self.marks[0])   # an article's header holds its title

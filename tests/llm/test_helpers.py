@@ -352,3 +352,9 @@ def test_token_counts_match_the_library(spark):
         assert (r["tokens"]["n_tokens"], r["tokens"]["n_bytes"]) == (len(tok.encode(t, add_special_tokens=False).ids), len(t.encode()))
     empty_table = token_counts.count_tokens(df, path, table={}).collect()
     assert sum(r["tokens"]["n_tokens"] for r in empty_table) == sum(len(tok.encode(t or "", add_special_tokens=False).ids) for t in rows)
+
+
+def test_own_header_names_are_no_furniture():
+    html = """<div class="site-header">Paper</div><div class="content no-sidebar"><div class="entry-header"><h2>Head of it</h2></div>
+    <p>The story goes on for a while and then it ends.</p></div><div class="left-sidebar">Links of the week and of all the weeks before</div>"""
+    assert html_blocks.main_text(html) == "Head of it\nThe story goes on for a while and then it ends."
