@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -91,7 +89,3 @@ def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
         if j % 64 == 63:
             s = mix64(s)
     return mix64(s)
-
-
-def per_partition(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    return df.mapInPandas(fn, schema)
