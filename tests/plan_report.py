@@ -11,7 +11,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-NAMES = ["person_context", "attach_metadata", "persons_gazetteer", "articles_from_pages", "link_counts",
+NAMES = ["person_context", "attach_metadata", "persons_gazetteer", "articles_from_pages", "page_category", "link_counts",
          "crawl_pages", "translate_hits", "translate_misses", "article_counts", "union_sites"]
 
 
