@@ -39,10 +39,15 @@ def test_stages_take_effect(spark):
     assert all(kept[n] for n in kept)
 
 
-def test_run_gives_the_stages_result(spark):
+def test_run_chains_the_stages(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [corpus_pipeline.STAGES[0], corpus_pipeline.STAGES[-1]])
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == [*table(spark, SF, "documents").columns, "repeats"]
-    assert np.all([r.repeats > 0 for r in out.collect()])
+    assert np.all([r.repeats > 0 and quality_rules.measure_text(r.text)[0] >= 10 for r in out.collect()])
+
+
+def test_stages_are_the_dealt_ones():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "quality classifier", "near-dedup", "benchmark decontamination", "mixing"]
 
 
 def test_words_differ_between_operators():
