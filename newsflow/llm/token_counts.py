@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from newsflow.llm.common import fresh
 
 TABLE_WORDS = 50_000      # entries of the broadcast table
-TABLE_DOCS = 4_000        # documents that the table's pre-tokens are taken from
+TABLE_DOCS = 1_000        # documents that the table's pre-tokens are taken from,
+TABLE_BYTES = 65_536      # each of at most so many bytes: 64 MB in all
 CACHE_WORDS = 300_000     # pre-tokens that a worker remembers
 MAX_TOKENS = 2048
 
@@ -97,17 +98,13 @@ def counting(path: str) -> Counting:
 def frequent_lengths(docs: DataFrame, tokenizer: str, text: str = "text",
                      words: int = TABLE_WORDS, sample: int = TABLE_DOCS) -> dict[str, int]:
     """The hash table of tier one. It decides how many look-ups miss, never a
-    count, so a bounded number of documents is enough to fill it."""
-    def top(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c, seen = counting(tokenizer), Counter()
-        for b in batches:
-            for t in b.iloc[:, 0]:
-                seen.update(c.pretokens(t) or () if t else ())
-        best = [w for w, n in seen.most_common(words) if n > 1]
-        yield pd.DataFrame({"w": best, "n": c.lengths(best) if best else []}).astype({"n": "int64"})
-
-    rows = docs.select(F.col(text).alias("t")).limit(sample).mapInPandas(top, "w string, n long").collect()
-    return {r["w"]: r["n"] for r in rows}
+    count, so a bounded number of documents is enough to fill it. ``take``
+    reads as few partitions as it needs and shuffles nothing."""
+    c, seen = counting(tokenizer), Counter()
+    for r in docs.select(F.col(text).alias("t")).where(F.octet_length("t").between(1, TABLE_BYTES)).take(sample):
+        seen.update(c.pretokens(r["t"]) or ())
+    best = [w for w, n in seen.most_common(words) if n > 1]
+    return dict(zip(best, c.lengths(best), strict=True)) if best else {}
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "tokens",
