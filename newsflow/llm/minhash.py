@@ -11,7 +11,8 @@
    chance collisions; pairs far below the threshold go, the others are
    confirmed on the full shingle sets. This is linear in the bucket.
 4. Buckets whose members are not all under one label then are looked at again.
-   Cells of bounded size estimate all their pairs by bit counts and report
+   Buckets of the same members (a pair meets in many bands) count once. Cells
+   of bounded size estimate all their pairs by bit counts and report
    which labels may touch (a spanning forest, never the pairs); the groups of
    labels that may touch are confirmed on the full sets, in cells of bounded
    size as well. So no candidate is left out however large a bucket is, and a
@@ -250,7 +251,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     labelled = materialize(needed.select("node").join(labels, F.col("node") == F.col("a"), "left")
                            .select("node", F.coalesce("to", "node").alias("label")), "labels")
     members = materialize(shared.select("key", "node").join(labelled, "node"), "members")
-    open_ = members.groupBy(F.col("key").alias("k")).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("k")
+    open_ = (members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"),
+                                        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+             .where("lo <> hi").groupBy("m", "x", "y").agg(F.min("key").alias("k")).select("k"))   # equal buckets once
     touching = (in_cells(members.join(open_, F.col("key") == F.col("k")).drop("k"), "key").join(light, "node")
                 .groupBy("cell").applyInPandas(_may_touch, "a long, b long"))
     groups = connected(touching)
