@@ -18,7 +18,7 @@ SPACES = " \t\n\x0b\x0c\r"
 BROADCAST_BYTES = 16 << 20
 
 # Words whose hashes a Python worker remembers at a time.
-HASH_CACHE = 400_000
+HASH_CACHE = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

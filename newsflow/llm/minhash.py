@@ -49,7 +49,7 @@ BITS = 2                  # low bits kept of each minimum
 LONGS = HASHES * BITS // 64
 SIGMAS = 5.0
 CELL = 512                # nodes on one side of a comparison cell
-CHUNK_WORDS = 2_000_000   # words sketched at a time in one task
+CHUNK_WORDS = 100_000     # words sketched at a time in one task (fits a core's cache)
 
 _CHANCE = 2.0 ** -BITS
 _P = THRESHOLD / 100 + (1 - THRESHOLD / 100) * _CHANCE
