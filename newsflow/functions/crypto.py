@@ -97,8 +97,12 @@ def decrypt(token: Column, key: str | bytes) -> Column:
                                   F.lit(bytearray(enc)), F.lit("CBC"), F.lit("PKCS"))
         return F.when(valid, F.decode(plain, "UTF-8"))
 
-    # url-safe decoding skips characters outside the alphabet
-    clean = F.regexp_replace(F.translate(token, "-_", "+/"), "[^A-Za-z0-9+/=]", "")
-    raw = F.try_to_binary(clean, F.lit("base64"))
+    # url-safe decoding skips characters outside the alphabet; only a token
+    # that does not decode as it is gets cleaned. The version byte makes "g" the
+    # first character, so other texts are not decoded at all.
+    plain64 = F.translate(token, "-_", "+/")
+    clean = F.regexp_replace(plain64, "[^A-Za-z0-9+/=]+", "")
+    raw = F.when(plain64.rlike("^[^A-Za-z0-9+/]*g"),
+                 F.coalesce(F.try_to_binary(plain64, F.lit("base64")), F.try_to_binary(clean, F.lit("base64"))))
     bound = F.element_at(F.transform(F.array(raw), check), 1)
     return F.coalesce(bound, F.lit(INVALID_TOKEN_MESSAGE))
