@@ -1,22 +1,23 @@
 """Toxicity by nearest labelled examples.
 
-Terms are words and short stems of words, chosen on labelled documents by their association with the toxic
-label (log-likelihood ratio). Every document becomes a TF-IDF vector over
-these terms; document frequencies are counted over all documents. The
-labelled examples form an inverted index in blocks, with the largest weight of
-each term in each block: for a query, blocks are visited by falling upper
-bound until no block can beat the k-th neighbour, which gives the exact k
-nearest by cosine. Neighbours vote with their similarity; votes are calibrated
-on the examples themselves (each without itself in the index), and the
-neighbours' ids are the evidence.
+Terms are words and short stems of words. Every document becomes a TF-IDF vector
+over all terms that the labelled examples have (a term that no example has
+changes no neighbour and no vote); document frequencies are counted over all
+documents. All labelled examples, clean ones too, form an index in blocks of
+alike examples, with the largest weight of each common term in each block:
+blocks whose upper bound is below the k-th neighbour of the most promising
+block are skipped, which gives the exact k nearest by cosine. Neighbours vote
+with their similarity; votes are calibrated on the examples themselves (each
+without itself in the index), and the neighbours' ids are the evidence.
 
 Examples are a bounded sample, ``EXAMPLES`` labelled rows outside the held-out
-fold, taken by a hash of the id. Text passes twice through Python: for the
-examples and for all documents.
+fold, taken by a hash of the id; their terms are not bounded. Terms are told
+apart by 64-bit hashes. Text passes twice through Python: for the examples and
+for all documents.
 
-Defined results: null and empty texts, and texts without a chosen term, have
-no neighbours; they get the rate of toxic rows among the examples without a
-term. Of equal neighbours the smaller id (as text) comes first. A label whose
+Defined results: null and empty texts, and texts without a term of an example,
+have no neighbours; they get the rate of toxic rows among the examples without a
+term, drawn to the rate of all examples by one row. Of equal neighbours the smaller id (as text) comes first. A label whose
 document is missing, or a null label, is ignored; repeated documents are scored
 one by one and count once as an example; without labelled rows every score is
 0.0; an empty table gives an empty result.
@@ -32,19 +33,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import if_small
+from newsflow.llm.common import if_small, word_hashes
 from newsflow.llm.decontaminate import words_of
 from newsflow.llm.labels import Isotonic, training_labels
 from newsflow.session import materialize
 
-EXAMPLES = 12_000     # labelled rows that the index and the terms are fitted on
-TERMS = 4_096         # terms at most
-MIN_DOCS = 5          # examples that a term is in, at least
-MIN_G2 = 30.0         # log-likelihood ratio of term and label, at least
-MIN_LIFT = 3.0        # times as frequent in toxic examples, at least
+EXAMPLES = 12_000     # labelled rows that the index is made of
 STEMS = (4, 5)        # letters of a stem; stems catch inflected forms
 K = 15
-BLOCK = 64
+BLOCK = 256
+DENSE = 1_024         # terms of most examples that are kept as dense columns
+BATCH = 256           # documents searched at a time
+CALIBRATORS = 12      # tasks that the examples' own votes are computed in
+ROUNDING = 1e-4       # more than the error of single precision sums
 EVIDENCE = 5
 
 
@@ -60,62 +61,141 @@ def terms_of(text: str | None) -> Counter:
 
 
 class BlockMaxIndex:
-    """Unit vectors of the examples as postings by term, in blocks of examples,
-    with each term's largest weight by block."""
-
-    def __init__(self, vectors: list[dict[int, float]], terms: int, block: int = BLOCK):
-        # examples with the same heaviest term share blocks: tighter bounds
-        self.rank = sorted(range(len(vectors)), key=lambda i: (max(vectors[i], key=vectors[i].get), i))
-        self.block, self.blocks = block, -(-len(vectors) // block)
-        self.top = np.zeros((terms, self.blocks))
-        posts: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for at, i in enumerate(self.rank):
-            for t, w in vectors[i].items():
-                posts[t].append((at, w))
-                self.top[t, at // block] = max(self.top[t, at // block], w)
-        self.ids = [np.array([a for a, _ in p], np.int64) for p in posts]
-        self.weights = [np.array([w for _, w in p]) for p in posts]
-        edges = np.arange(self.blocks + 1) * block
-        self.edges = [np.searchsorted(p, edges) for p in self.ids]
+    """Unit vectors of the examples, in blocks of alike examples. Terms of many
+    examples are dense columns, with each one's largest weight in each block;
+    the others are postings by term."""
+
+    def __init__(self, vectors: list, terms: int, block: int = BLOCK):
+        """``vectors``: for each example a dict, or arrays of its terms and weights."""
+        pairs = [(np.fromiter(v, np.int64, len(v)), np.fromiter(v.values(), float, len(v))) if isinstance(v, dict) else v for v in vectors]
+        self.n, self.block, self.terms = len(pairs), block, terms
+        sizes = np.array([len(t) for t, _ in pairs], np.int64)
+        self.start = np.concatenate([[0], np.cumsum(sizes)])
+        self.t = np.concatenate([t for t, _ in pairs]).astype(np.int32)
+        self.w = np.concatenate([w for _, w in pairs]).astype(np.float32)
+        of = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+        rows = np.bincount(self.t, minlength=terms)
+        common = np.argsort(-rows, kind="stable")[:DENSE]
+        self.column = np.full(terms, -1, np.int32)
+        self.column[common[rows[common] > 0]] = np.arange((rows[common] > 0).sum())
+        col = self.column[self.t]
+        dense = np.zeros((self.n, min(DENSE, terms)), np.float32)
+        dense[of[col >= 0], col[col >= 0]] = self.w[col >= 0]
+        self.rank = self._alike(dense)
+        place = np.empty(self.n, np.int32)
+        place[self.rank] = np.arange(self.n, dtype=np.int32)
+        self.dense = dense[self.rank]
+        del dense
+        self.blocks = -(-self.n // block)
+        self.top = np.stack([self.dense[b * block:(b + 1) * block].max(axis=0) for b in range(self.blocks)])
+        rare = np.flatnonzero(col < 0)
+        rare = rare[np.argsort(self.t[rare], kind="stable")]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.t[rare], minlength=terms))])
+        self.at, self.weight = place[of[rare]], self.w[rare]
+        self.query = np.zeros(terms)      # weights of one query's terms, else 0
+
+    @staticmethod
+    def _alike(dense: np.ndarray, groups: int = 16, rounds: int = 4) -> np.ndarray:
+        """An order of the examples in which alike ones are next to each other."""
+        centres = dense[np.linspace(0, len(dense) - 1, min(groups, len(dense))).astype(int)]
+        for _ in range(rounds):
+            near = (dense @ centres.T).argmax(axis=1)
+            sums = np.stack([dense[near == g].sum(axis=0) for g in range(len(centres))])
+            centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+        return np.argsort(near, kind="stable")
+
+    def _rare_part(self, t: np.ndarray, w: np.ndarray) -> np.ndarray:
+        lo, size = self.first[t], self.first[t + 1] - self.first[t]
+        ends = np.cumsum(size)
+        flat = np.repeat(lo - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+        return np.bincount(self.at[flat], self.weight[flat] * np.repeat(w, size), minlength=self.n)
+
+    def search_many(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """For each query (terms, weights) the k examples of largest cosine
+        above 0: (cosine, example), ties by example number."""
+        m, step = len(queries), self.block
+        q = np.zeros((m, self.dense.shape[1]), np.float32)
+        score = np.zeros((m, self.blocks * step), np.float32)
+        for i, (t, w) in enumerate(queries):
+            c = self.column[t]
+            q[i, c[c >= 0]] = w[c >= 0]
+            score[i, :self.n] = self._rare_part(t[c < 0], w[c < 0])
+        bound = q @ self.top.T + score.reshape(m, self.blocks, step).max(axis=2)
+        best = bound.argmax(axis=1)
+        done = np.zeros((m, self.blocks), bool)
+
+        def visit(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(axis=0)):
+                who, rows = np.flatnonzero(wanted[:, b]), self.dense[b * step:(b + 1) * step]
+                score[who, b * step:b * step + len(rows)] += q[who] @ rows.T
+            done[wanted] = True
+
+        keep = k + (without is not None)
+        visit(np.arange(self.blocks) == best[:, None])
+        least = np.zeros(m, np.float32)       # the k-th best of a query's best block
+        for i, b in enumerate(best):
+            found = score[i, b * step:min((b + 1) * step, self.n)]
+            if len(found) >= keep:
+                least[i] = np.partition(found, len(found) - keep)[len(found) - keep]
+        visit(~done & (bound >= least[:, None] - ROUNDING) & (bound > 0))
+        out = []
+        for i, (t, w) in enumerate(queries):
+            s = np.where(np.repeat(done[i], step)[:self.n], score[i, :self.n], 0)
+            edge = np.partition(s, self.n - keep)[self.n - keep] if self.n > keep else 0.0
+            near = self.rank[np.flatnonzero((s >= edge - ROUNDING) & (s > 0))]
+            exact = self._cosines(t, w, near)
+            order = sorted((-float(x), int(e)) for x, e in zip(exact, near, strict=True) if x > 0 and (without is None or e != without[i]))
+            out.append([(-s, e) for s, e in order[:k]])
+        return out
+
+    def _cosines(self, t: np.ndarray, w: np.ndarray, examples: np.ndarray) -> np.ndarray:
+        """The cosines in double precision, so that equal examples tie."""
+        self.query[t] = w
+        out = np.zeros(len(examples))
+        for j, e in enumerate(examples):
+            mine = slice(self.start[e], self.start[e + 1])
+            out[j] = (self.query[self.t[mine]] * self.w[mine]).sum()
+        self.query[t] = 0.0
+        return out
 
     def search(self, query: dict[int, float], k: int, without: int | None = None) -> list[tuple[float, int]]:
-        """The k examples of largest cosine above 0: (cosine, example), ties by
-        example number."""
-        terms = list(query)
-        bound = np.array([query[t] for t in terms]) @ self.top[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-9:
-                break
-            score = np.zeros(self.block)
-            for t in terms:
-                lo, hi = self.edges[t][b], self.edges[t][b + 1]
-                if hi > lo:
-                    score[self.ids[t][lo:hi] - b * self.block] += query[t] * self.weights[t][lo:hi]
-            at = np.flatnonzero(score > 0)
-            found = [(-float(score[i]), self.rank[b * self.block + i]) for i in at]
-            best = sorted(best + [f for f in found if f[1] != without])[:k]
-        return [(-s, i) for s, i in best]
+        pair = (np.fromiter(query, np.int64, len(query)), np.fromiter(query.values(), float, len(query)))
+        return self.search_many([pair], k, None if without is None else [without])[0]
 
 
 class Model:
-    def __init__(self, idf: np.ndarray, ids: list[str], labels: list[int], bags: list[dict[int, int]], base: float):
-        self.idf, self.base = idf, base
+    """``bags``: for each example its term numbers and counts. Only these travel;
+    each Python worker builds the index from them once."""
+
+    def __init__(self, idf: np.ndarray, ids: list[str], labels: list[int], bags: list[tuple[np.ndarray, np.ndarray]], base: float):
+        self.idf, self.base, self.built = idf, base, None
         order = sorted(range(len(ids)), key=lambda i: (ids[i], i))
         self.ids, self.labels = [ids[i] for i in order], np.array([labels[i] for i in order], float)
-        vectors = [self.vector(bags[i]) for i in order]
-        self.index = BlockMaxIndex(vectors, len(idf)) if vectors else None
-        self.calibrated = None
-        if vectors:
-            votes = [self.vote(self.index.search(v, K, without=i))[0] for i, v in enumerate(vectors)]
-            seen = [(v, y) for v, y in zip(votes, self.labels, strict=True) if v is not None]
-            if seen:
-                self.calibrated = Isotonic([v for v, _ in seen], [y for _, y in seen], [1.0] * len(seen))
-
-    def vector(self, bag: dict[int, int]) -> dict[int, float]:
-        w = {t: (1 + np.log(n)) * self.idf[t] for t, n in bag.items()}
-        norm = np.sqrt(sum(x * x for x in w.values()))
-        return {t: float(x / norm) for t, x in w.items()} if norm > 0 else {}
+        self.edges = np.cumsum([0] + [len(bags[i][0]) for i in order])
+        self.t = np.concatenate([bags[i][0] for i in order] + [np.empty(0, np.int32)]).astype(np.int32)
+        self.counts = np.concatenate([bags[i][1] for i in order] + [np.empty(0, np.int32)]).astype(np.int32)
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "built": None}
+
+    def examples(self, lo: int, hi: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        e = self.edges
+        return [self.vector(self.t[e[i]:e[i + 1]], self.counts[e[i]:e[i + 1]]) for i in range(lo, hi)]
+
+    @property
+    def index(self) -> BlockMaxIndex:
+        if self.built is None:
+            self.built = BlockMaxIndex(self.examples(0, len(self.ids)), len(self.idf))
+        return self.built
+
+    def own_votes(self, lo: int, hi: int) -> list[tuple[float | None, float]]:
+        """Vote and label of examples, each without itself in the index."""
+        found = self.index.search_many(self.examples(lo, hi), K, list(range(lo, hi)))
+        return [(self.vote(near)[0], y) for near, y in zip(found, self.labels[lo:hi], strict=True)]
+
+    def vector(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(n)) * self.idf[t]
+        return t, (w / np.sqrt(w @ w) if len(w) else w)
 
     def vote(self, near: list[tuple[float, int]]) -> tuple[float | None, list[str]]:
         if not near:
@@ -123,26 +203,21 @@ class Model:
         sim = np.array([s for s, _ in near])
         return float(sim @ self.labels[[i for _, i in near]] / sim.sum()), [self.ids[i] for _, i in near[:EVIDENCE]]
 
-    def score(self, bag: dict[int, int]) -> tuple[float, list[str]]:
-        v, ids = self.vote(self.index.search(q, K)) if self.index and (q := self.vector(bag)) else (None, [])
-        if v is None or self.calibrated is None:
-            return self.base, ids
-        return float(self.calibrated(np.array([v]))[0]), ids
+    def score_many(self, bags: list[tuple[np.ndarray, np.ndarray]], calibrated: Isotonic | None) -> list[tuple[float, list[str]]]:
+        if calibrated is None:
+            return [(self.base, [])] * len(bags)
+        out = []
+        for at in range(0, len(bags), BATCH):
+            for near in self.index.search_many([self.vector(*b) for b in bags[at:at + BATCH]], K):
+                v, ids = self.vote(near)
+                out.append((self.base if v is None else float(calibrated(np.array([v]))[0]), ids))
+        return out
 
 
-def choose_terms(words: DataFrame, toxic: int, clean: int) -> list[str]:
-    """``words``: distinct ``w`` with ``y`` for each example. Counts and scores
-    by aggregation; only the chosen terms come to the driver."""
-    c = words.groupBy("w").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).where(F.col("a") + F.col("b") >= MIN_DOCS)
-
-    def part(k, of, share):
-        return F.when(k > 0, k * F.log(k / (of * share))).otherwise(0.0) + F.when(of - k > 0, (of - k) * F.log((of - k) / (of * (1 - share)))).otherwise(0.0)
-
-    share = (F.col("a") + F.col("b")) / F.lit(float(toxic + clean))
-    g2 = 2 * (part(F.col("a"), F.lit(float(toxic)), share) + part(F.col("b"), F.lit(float(clean)), share))
-    lift = F.col("a") * clean >= MIN_LIFT * toxic * F.col("b")
-    rows = c.where((share < 1) & lift).withColumn("g2", g2).where(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "w").limit(TERMS).collect()
-    return [r["w"] for r in rows]
+def hashed_terms(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of a text as 64-bit hashes, and their counts."""
+    bag = terms_of(text)
+    return word_hashes(list(bag)), np.fromiter(bag.values(), np.int32, len(bag))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
@@ -151,41 +226,56 @@ def score_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     chosen = materialize(training_labels(labels, label).orderBy(F.xxhash64("lid"), "lid").limit(EXAMPLES), "examples")
 
-    def bag(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted(w.decode() for w in terms_of(t)) for t in texts], dtype=object)
+    def bag(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(h.tobytes(), n.tobytes()) for h, n in map(hashed_terms, texts)], columns=["h", "n"])
+
+    # a bounded number of examples: their terms are numbered on the driver
+    known = (docs.join(if_small(chosen), F.col("id") == F.col("lid")).dropDuplicates(["id"])
+             .select(F.col("id").cast("string").alias("id"), "y", F.pandas_udf(bag, "h binary, n binary")("text").alias("c"))
+             .select("id", "y", "c.*").toArrow())
+    ids, labelled = known.column("id").to_pylist(), known.column("y").to_pylist()
 
-    examples = materialize(docs.join(if_small(chosen), F.col("id") == F.col("lid")).select("id", "y", F.pandas_udf(bag, "array<string>")("text").alias("words"))
-                           .dropDuplicates(["id"]), "example_words")
-    counts = {r["y"]: r["count"] for r in examples.groupBy("y").count().collect()}
-    toxic, clean = counts.get(1, 0), counts.get(0, 0)
-    terms = choose_terms(examples.select("y", F.explode("words").alias("w")), toxic, clean) if toxic and clean else []
+    def arrays(name: str, kind: type) -> list[np.ndarray]:
+        return [np.frombuffer(b.as_py(), kind) for b in known.column(name)]
 
-    number = spark.sparkContext.broadcast({t.encode(): i for i, t in enumerate(terms)})
+    hashes, counts = arrays("h", np.uint64), arrays("n", np.int32)
+    del known
+    terms = np.unique(np.concatenate([*hashes, np.empty(0, np.uint64)]))
+    numbers = [np.searchsorted(terms, h).astype(np.int32) for h in hashes]
+    del hashes
+    number = spark.sparkContext.broadcast(terms)
 
     def count_terms(texts: pd.Series) -> pd.DataFrame:
         known, out = number.value, []
-        for t in texts:
-            c = sorted((known[w], n) for w, n in terms_of(t).items() if w in known) if known else []
-            out.append(([i for i, _ in c], [n for _, n in c]))
+        for h, n in map(hashed_terms, texts):
+            at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
+            is_known = known[at] == h if len(known) else np.zeros(len(h), bool)
+            out.append((at[is_known].astype(np.int32), n[is_known]))
         return pd.DataFrame(out, columns=["t", "n"])
 
     bags = materialize(docs.select("id", F.pandas_udf(count_terms, "t array<int>, n array<int>")("text").alias("c")).select("id", "c.*"), "bags")
     total = bags.count()
-    idf = np.zeros(max(len(terms), 1))
-    for r in bags.select(F.explode("t").alias("t")).groupBy("t").count().collect():
-        idf[r["t"]] = np.log((1 + total) / (1 + r["count"])) + 1
-
-    known = if_small(examples.select(F.col("id").alias("lid"), "y"))
-    rows = (bags.join(known, F.col("id") == F.col("lid")).select(F.col("id").cast("string").alias("id"), "y", "t", "n")
-            .dropDuplicates(["id"]).where(F.size("t") > 0).collect())
-    with_terms = sum(r["y"] for r in rows)
-    base = (toxic - with_terms + 0.5) / (toxic + clean - len(rows) + 1) if toxic + clean else 0.0
-    model = spark.sparkContext.broadcast(Model(idf, [r["id"] for r in rows], [r["y"] for r in rows],
-                                               [dict(zip(r["t"], r["n"], strict=True)) for r in rows], min(base, 0.5)))
+    found = bags.select(F.explode("t").alias("t")).groupBy("t").count().toArrow()
+    idf = np.ones(max(len(terms), 1))
+    idf[found.column("t").to_numpy()] = np.log((1 + total) / (1 + found.column("count").to_numpy())) + 1
+
+    some = [i for i, t in enumerate(numbers) if len(t)]
+    toxic, empty = sum(labelled), len(ids) - len(some)
+    rate = toxic / len(ids) if ids else 0.0
+    base = (toxic - sum(labelled[i] for i in some) + rate) / (empty + 1)
+    model = spark.sparkContext.broadcast(Model(idf, [ids[i] for i in some], [labelled[i] for i in some], [(numbers[i], counts[i]) for i in some], base))
+
+    def own_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for lo in b["id"]:
+                yield pd.DataFrame(model.value.own_votes(lo, min(lo + BATCH, len(some))), columns=["v", "y"]).astype(float)
+
+    votes = spark.range(0, len(some), BATCH, numPartitions=min(CALIBRATORS, -(-len(some) // BATCH))).mapInPandas(own_votes, "v double, y double").collect() if some else []
+    seen = [(r["v"], r["y"]) for r in votes if r["v"] is not None and not np.isnan(r["v"])]
+    calibrated = Isotonic([v for v, _ in seen], [y for _, y in seen], [1.0] * len(seen)) if seen else None
 
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        m = model.value
         for t, n in batches:
-            yield pd.DataFrame([m.score(dict(zip(a.tolist(), b.tolist(), strict=True))) for a, b in zip(t, n, strict=True)], columns=["score", "evidence"])
+            yield pd.DataFrame(model.value.score_many(list(zip(t, n, strict=True)), calibrated), columns=["score", "evidence"])
 
     return bags.select("id", F.pandas_udf(score, "score double, evidence array<string>")("t", "n").alias("s")).select("id", "s.*")

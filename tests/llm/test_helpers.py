@@ -223,6 +223,20 @@ def test_block_max_search_is_exact():
         assert np.allclose([s for s, _ in got], [s for s, _ in want]) and len(got) == len(want)
 
 
+def test_copies_of_toxic_texts_are_found_by_all_their_words(spark):
+    draw = random.Random(7)
+    text = lambda: " ".join(f"w{draw.randrange(3000)}" for _ in range(40))
+    docs = [(i, text()) for i in range(200)]
+    rows = [(i, int(i % 8 == 0)) for i in range(200)]
+    train = [i for i, y in rows if y and __import__("zlib").crc32(str(i).encode()) % 5]
+    copies = {1000 + i: i for i in train[:5]}
+    docs += [(c, dict(docs)[i] + " tail") for c, i in copies.items()]
+    got = {r["id"]: r for r in toxicity.score_documents(spark.createDataFrame(docs, "doc_id long, text string"),
+                                                        spark.createDataFrame(rows, "doc_id long, toxic int")).collect()}
+    assert all(got[c]["evidence"][0] == str(i) for c, i in copies.items())
+    assert all(len(r["evidence"]) == toxicity.EVIDENCE for r in got.values())
+
+
 def test_isotonic():
     draws = np.random.default_rng(3)
     v, y = draws.random(200), draws.integers(0, 2, 200)
