@@ -2,27 +2,67 @@
 
 The standard parser retries after every ``<`` that does not start a complete
 tag, each time up to the end of the page. ``tidy`` leaves complete constructs
-as they are, ends the page before a construct that is cut off (as browsers do
-with a truncated tag), and turns every other ``<`` into ``&lt;``.
+as they are, whatever the length of their quoted values, ends the page before a
+construct that is cut off (as browsers do with a truncated tag or comment), and
+turns every other ``<`` into ``&lt;``.
 """
 
 from __future__ import annotations
 
 import re
 
-QUOTED = 4096     # characters of an attribute value that may hold < or >
-
 _CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
-_CONSTRUCT = re.compile(
-    rf"""<(?:!--.*?-->|[!?][^>]*+>|/?[a-zA-Z](?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+'|"[^"]{{0,{QUOTED}}}+"|'[^']{{0,{QUOTED}}}+')*+>)|<""", re.S)
+_SHORT = re.compile(r"""</?[a-zA-Z](?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+')*+>""")
+_START = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
+_PLAIN = re.compile(r"""[^<>"']*+""")
+_COMMENT = re.compile(r"<!--(?:-?>|.*?--!?>)", re.S)
+
+
+def _tag_end(html: str, at: int, failed: set[int]) -> int:
+    """End of the tag that starts at ``at``; -1 if it is none. ``failed`` are the
+    opening quotes from which no tag ends, so that none is followed twice."""
+    passed, at = [], at + 1
+    while True:
+        at = _PLAIN.match(html, at).end()
+        c = html[at:at + 1]
+        if c == ">":
+            return at + 1
+        close = html.find(c, at + 1) if c in ('"', "'") and at not in failed else -1
+        if close < 0:
+            failed.update(passed)
+            if c in ('"', "'"):
+                failed.add(at)
+            return -1
+        passed.append(at)
+        at = close + 1
 
 
 def tidy(html: str) -> str:
     """No ``<`` of the result is part of an incomplete construct."""
-    end = html.rfind("-->")
-    cut = html.find("<!--", end + 3 if end >= 0 else 0)
-    if cut >= 0:
-        html = html[:cut]
     if m := _CUT_OFF.search(html, html.rfind(">") + 1):
         html = html[:m.start()]
-    return _CONSTRUCT.sub(lambda m: m[0] if len(m[0]) > 1 else "&lt;", html)
+    out, at, failed = [], 0, set()
+    while (start := html.find("<", at)) >= 0:
+        out.append(html[at:start])
+        if not (m := _START.match(html, start)):
+            end = -1
+        elif html.startswith("<!--", start):
+            m = _COMMENT.match(html, start)
+            if not m:
+                return "".join(out)
+            out.append("<!-- -->")      # html.parser does not know all of a comment's ends
+            at = m.end()
+            continue
+        elif m[0][1] in "!?":
+            end = html.find(">", start) + 1 or -1
+        else:
+            m = _SHORT.match(html, start)
+            end = m.end() if m else _tag_end(html, start, failed)
+        if end < 0:
+            out.append("&lt;")
+            at = start + 1
+            continue
+        out.append(html[start:end])
+        at = end
+    out.append(html[at:])
+    return "".join(out)

@@ -65,3 +65,21 @@ def test_tidy_changes_no_complete_markup(html):
 def test_truncated_pages_parse(html, cut):
     H.parse(html[:-cut])
     H.parse(html + '<a href="' + "x" * cut)
+
+
+def test_long_quoted_values_belong_to_their_tag():
+    for n in (3_000, 5_000, 1_000_000):
+        for quote in "\"'":
+            html = f"<div class={quote}c{quote} data-x={quote}<b>{'x' * n}</p>{quote}><p>in</p></div><p>out</p>"
+            root = H.parse(html)
+            assert shape(root) == shape(plain_parse(html))
+            assert root.find("div", "c").text() == "in" and root.text() == "inout"
+
+
+def test_quotes_are_followed_in_linear_time():
+    import time
+    for html in ("<a " + "\"<a '\" " * 50_000, "<a b=\"<" * 50_000 + ">", "<a b='<x>" * 50_000 + "\"", "<a \"<b '" * 50_000 + ">", "<title><script" * 50_000 + ">",
+                 "<title>" * 50_000, "<textarea><a x=\"" * 50_000):
+        t = time.time()
+        H.parse(html)
+        assert time.time() - t < 5
