@@ -83,3 +83,10 @@ def test_quotes_are_followed_in_linear_time():
         t = time.time()
         H.parse(html)
         assert time.time() - t < 5
+
+
+def test_comment_marks_in_raw_text_end_no_page():
+    for raw in ('<script>var s="<!--";</script>', "<style><!-- p{} </style>", "<SCRIPT>a<b</SCRIPT >", "<title>a <!-- b</title>", "<textarea><!-- <p></textarea>"):
+        root = H.parse(raw + "<article><p>text</p></article>")
+        assert root.find("article").text() == "text"
+    assert H.parse("<p>a</p><!--><p>b</p><!-- open <p>c</p>").text() == "ab"
