@@ -1,7 +1,8 @@
 """Licence scans: a trained paragraph classifier in DataFrame functions.
 
-Every paragraph (line) of a text that holds an anchor, one of a few word stems
-that all licence lines have one of, is cut into word 1-, 2- and 3-grams and
+Every paragraph (line) of a text that holds an anchor, an n-gram whose weight
+speaks for some licence against "no licence" (without one no paragraph can
+become a finding), is cut into word 1-, 2- and 3-grams and
 scored by sparse multinomial logistic regression over licence families, with a
 class for "no licence". Probabilities are calibrated by a temperature fitted on
 cross-validated scores; below ``MIN_PROBABILITY`` a paragraph is ``unknown``.
@@ -35,8 +36,6 @@ ROUNDS = 1500
 MIN_PROBABILITY = 0.5
 MIN_SIMILARITY = 0.5     # share of a template's word pairs that confirms
 
-# Every licence paragraph has one of these in lower case.
-ANCHORS = r"licen[cs]|copyright|all rights|permission|warrant|redistribut|public domain|creative ?commons|spdx"
 WORD = r"[^\x00-\x60\x7B-\x7F]+"      # letters a-z and anything beyond ASCII, after lower-casing
 
 # The labelled table: (family, paragraph).
@@ -62,6 +61,9 @@ LABELLED = (
     ("gpl", "Licensed under the GPL, version 2 or later."),
     ("gpl", "Released under the GNU Lesser General Public License."),
     ("gpl", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("gpl", "GNU GPL v3"),
+    ("gpl", "Distributed under GPLv2 or later."),
+    ("gpl", "GPLv3"),
     ("mit", "Released under the MIT License."),
     ("mit", "Licensed under the MIT license."),
     ("mit", "SPDX-License-Identifier: MIT"),
@@ -70,6 +72,9 @@ LABELLED = (
     ("mozilla", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("mozilla", "Licensed under the Mozilla Public License 2.0."),
     ("mozilla", "SPDX-License-Identifier: MPL-2.0"),
+    ("mozilla", "MPL 2.0"),
+    ("public-domain", "CC0 1.0 Universal"),
+    ("public-domain", "Dedicated under CC0 1.0"),
     ("public-domain", "This work has been dedicated to the public domain."),
     ("public-domain", "To the extent possible under law, the author has waived all copyright and related rights to this work, which is in the public domain."),
     ("public-domain", "Released into the public domain under CC0."),
@@ -92,6 +97,17 @@ LABELLED = (
     (NONE, "They fought for equal rights, and all rights were theirs in the end."),
     (NONE, "The public domain name was registered by an unknown company."),
     (NONE, "You may not leave without permission, this rule is subject to terms."),
+    (NONE, "The following day she went under this bridge and came back later."),
+    (NONE, "Sooner or later this has to end, or so they said in the following week."),
+    (NONE, "He took a copy of the letter free of charge to any person under the age of ten."),
+    (NONE, "This table was reserved for the following guests."),
+    (NONE, "Under the general public order of that year this was the law."),
+    (NONE, "Er fuhr mit dem Zug in die Stadt und kam mit den Kindern zurück."),
+    (NONE, "Sie sprach mit der Frau, die in dem Haus am Ende der Straße wohnte."),
+    (NONE, "Das Kind spielt mit einem Ball, und die Katze ist mit im Garten."),
+    (NONE, "Auf der Reise mit seinem Vater sah er die Berge."),
+    (NONE, "Geht er mit, so geht sie auch mit."),
+    (NONE, "Mit der Zeit wird es besser, mit ihm nicht."),
     (NONE, "The licence fee of the broadcaster was raised in January."),
 )
 FAMILIES = sorted({f for f, _ in LABELLED if f != NONE}) + [NONE]
@@ -146,6 +162,28 @@ def trained() -> tuple[dict[str, list[float]], list[float]]:
     return {g: w[i].tolist() for i, g in enumerate(vocabulary) if w[i].any()}, w[-1].tolist()
 
 
+@lru_cache(1)
+def anchors() -> str:
+    """An expression (Java and Python) for the paragraphs, in lower case, that
+    the classifier can take for a licence. The intercepts favour "no licence",
+    so a paragraph needs an n-gram that raises some family against it."""
+    weights, bias = trained()
+    none = FAMILIES.index(NONE)
+    if max(bias) > bias[none]:
+        return ""
+    raising = {g for g, w in weights.items() if max(w) > w[none]}
+    # an n-gram is there only if its parts are; the shortest are enough
+    least = [g for g in sorted(raising) if not any(h != g and f" {h} " in f" {g} " for h in raising)]
+    other = r"[\x00-\x60\x7B-\x7F]"
+    return f"(?:^|{other})(?:" + "|".join(re.escape(g).replace(r"\ ", other + "+") for g in least) + f")(?:{other}|$)"
+
+
+def __getattr__(name: str) -> str:
+    if name == "ANCHORS":
+        return anchors()
+    raise AttributeError(name)
+
+
 def templates() -> dict[str, list[list[str]]]:
     return {f: [p for g, t in LABELLED if g == f and (p := pairs_of(words_of(t)))] for f in FAMILIES if f != NONE}
 
@@ -200,6 +238,6 @@ def scan(docs: DataFrame, text: str = "text", out: str = "licences") -> DataFram
     low = F.translate(F.col(text), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     kind = "array<struct<paragraph:int,family:string,probability:double,similarity:double,confirmed:boolean>>"
     lines = F.transform(F.split(low, "\n"), lambda p, i: F.struct(i.alias("i"), p.alias("p")))
-    anchored = F.filter(lines, lambda x: x["p"].rlike(ANCHORS))
+    anchored = F.filter(lines, lambda x: x["p"].rlike(anchors()))
     found = F.filter(F.transform(anchored, lambda x: _findings(x["p"], x["i"])), lambda f: f["family"] != NONE)
-    return docs.withColumn(out, F.when(low.rlike(ANCHORS), found).otherwise(F.array().cast(kind)))
+    return docs.withColumn(out, F.when(low.rlike(anchors()), found).otherwise(F.array().cast(kind)))

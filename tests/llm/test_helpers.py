@@ -322,6 +322,24 @@ def test_licence_scores_match_python(spark):
     assert [x["family"] for r in got for x in r["licences"] if x["confirmed"]][:2] == ["apache", "reserved"]
 
 
+def test_notices_without_the_word_licence_are_found(spark):
+    want = {"CC BY-SA 4.0": "creative-commons", "GNU GPL v3": "gpl", "Distributed under GPLv2 or later": "gpl", "Apache-2.0": "apache",
+            "BSD 3-Clause": "bsd", "Dedicated under CC0 1.0": "public-domain", "MPL 2.0": "mozilla", "MIT License": "mit"}
+    got = licenses.scan(spark.createDataFrame([(t,) for t in want], "text string")).collect()
+    assert {r["text"]: [x["family"] for x in r["licences"]] for r in got} == {t: [f] for t, f in want.items()}
+    prose = ["Er kam mit dem Rad und ging mit ihr unter die Brücke", "It is or has been under this", "The following day"]
+    assert all(not r["licences"] for r in licenses.scan(spark.createDataFrame([(t,) for t in prose], "text string")).collect())
+
+
+def test_no_paragraph_without_an_anchor_could_be_a_finding():
+    weights, bias = licenses.trained()
+    draw, grams = random.Random(3), sorted(weights)
+    for _ in range(3000):
+        p = " ".join(draw.choice([*grams, "word", "é"]) for _ in range(draw.randrange(6)))
+        z = np.array(bias) + sum((np.array(weights[g]) for g in licenses.grams_of(licenses.words_of(p)) if g in weights), np.zeros(len(bias)))
+        assert __import__("re").search(licenses.ANCHORS, p) or licenses.FAMILIES[z.argmax()] == licenses.NONE
+
+
 def test_bloom_filter_has_no_false_negatives_and_few_positives(spark):
     from pyspark.sql import functions as F
     from newsflow.llm import url_filter
