@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import decontaminate, html_blocks, licenses, minhash, mixing, quality_classifier, quality_rules, token_counts, toxicity, url_filter
+from newsflow.llm import (
+    decontaminate,
+    html_blocks,
+    licenses,
+    minhash,
+    mixing,
+    periodic_runs,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    url_filter,
+    vector_codes,
+)
 from newsflow.llm.common import table
 from newsflow.llm.labels import held_out, training_labels
 from newsflow.session import materialize
@@ -100,7 +115,42 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_max(F.transform("licences", lambda x: x["similarity"])).alias("similarity"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_decontamination, op4_html_blocks, op5_toxicity, op6_token_counts, op7_quality_classifier, op8_url_filter, op9_minhash, op10_licenses)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    kept = F.col("removed.kept")
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.octet_length(kept)).alias("n_removed"),
+                        F.size("removed.spans").cast("long").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"))
+
+
+def repeat_tail(words: list[bytes], h: int | None) -> list[bytes]:
+    """The contract's planted tail: in every tenth text by ``h``, words repeat
+    with some period from some word on."""
+    n = len(words)
+    if h is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i] for i in (np.arange(n - a) % p).tolist()]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find_runs(docs, edit=repeat_tail, key=F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    lines = F.transform("periodic.runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    best = found.select("doc_id", F.size("periodic.runs").cast("long").alias("n_runs"), periodic_runs.strongest(F.col("periodic.runs")).alias("b"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2(F.col("periodic.collapsed"), 256).alias("collapsed_sha256"))
+    return best.select("doc_id", "n_runs", "b.start", "b.length", "b.period", F.expr("1000 * b.length div b.period").alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_mixing, op3_decontamination, op4_html_blocks, op5_toxicity, op6_token_counts, op7_quality_classifier, op8_url_filter, op9_minhash,
+                                   op10_licenses, op11_vector_codes, op12_suffix_dedup, op13_periodic_runs)}
 
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -189,4 +239,45 @@ SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, CASE WHEN l.cano
 FROM c LEFT JOIN best USING (page_id) LEFT JOIN l ON c.canon = l.canon AND has_host
 """
 
-ORACLE = {"op8_url_filter": OP8_SQL, "op3_decontamination": OP3_SQL, "op9_minhash": OP9_SQL, "op1_quality_rules": OP1_SQL}
+# Two rounds of moves, written out; positions within a vector are c.
+def _op11_assign(book: str) -> str:
+    return f"""(SELECT vec_id, p, arg_min(e, d * 1000 + e) AS e, min(d) AS d
+               FROM (SELECT x.vec_id, x.p, b.e, sum((x.v - b.v) * (x.v - b.v)) AS d FROM x JOIN {book} b USING (p, c) GROUP BY ALL) GROUP BY ALL)"""
+
+
+def _op11_move(book: str) -> str:
+    return f"""(SELECT b.p, b.e, b.c, coalesce(m.v, b.v) AS v FROM {book} b LEFT JOIN
+                (SELECT a.p, a.e, x.c, CAST(floor(sum(x.v) / count(*)) AS BIGINT) AS v FROM {_op11_assign(book)} a JOIN x USING (vec_id, p) GROUP BY ALL) m USING (p, e, c))"""
+
+
+OP11_SQL = f"""
+WITH k AS (SELECT vec_id, label, embedding FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+x AS MATERIALIZED (SELECT vec_id, c // (len // {vector_codes.PARTS}) AS p, c, CAST(floor({vector_codes.SCALE} * CAST(embedding[c + 1] AS DOUBLE)) AS BIGINT) AS v
+      FROM (SELECT vec_id, embedding, len(embedding) AS len, unnest(range(0, len(embedding))) AS c FROM k)),
+s AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k ORDER BY vec_id LIMIT {vector_codes.ENTRIES}),
+b0 AS MATERIALIZED (SELECT p, e, c, v FROM x JOIN s USING (vec_id)),
+b1 AS MATERIALIZED {_op11_move("b0")},
+b2 AS MATERIALIZED {_op11_move("b1")},
+r AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM {_op11_assign("b2")} GROUP BY vec_id),
+l AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM r JOIN k USING (vec_id) GROUP BY label)
+SELECT r.vec_id, code, error, label_error, (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY p, e, c)) FROM b2) AS codebooks_sha256
+FROM r JOIN k USING (vec_id) JOIN l ON l.label IS NOT DISTINCT FROM k.label
+"""
+
+# All windows of all texts, as hexadecimal digits: two a byte.
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT r, i, md5(substr(x, 2 * i + 1, {2 * suffix_dedup.WINDOW})) AS w
+      FROM (SELECT r, x, unnest(range(0, len(x) // 2 - {suffix_dedup.WINDOW - 1})) AS i FROM d WHERE len(x) >= {2 * suffix_dedup.WINDOW})),
+f AS (SELECT r, i FROM w WHERE w IN (SELECT w FROM w GROUP BY w HAVING count(*) > 1)),
+g AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= {suffix_dedup.WINDOW} THEN 0 ELSE 1 END AS fresh FROM f),
+runs AS (SELECT r, min(i) AS a, max(i) + {suffix_dedup.WINDOW} AS b FROM (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS k FROM g) GROUP BY r, k),
+gaps AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS z FROM runs),
+cut AS (SELECT r, count(*) AS n, sum(b - a) AS removed, max(b) AS last, string_agg(substr(x, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS kept FROM gaps JOIN d USING (r) GROUP BY r)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
+
+ORACLE = {"op11_vector_codes": OP11_SQL, "op12_suffix_dedup": OP12_SQL, "op8_url_filter": OP8_SQL, "op3_decontamination": OP3_SQL, "op9_minhash": OP9_SQL, "op1_quality_rules": OP1_SQL}
