@@ -40,6 +40,17 @@ def if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if size <= limit else df
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes intermediate tables (as ``materialize`` returns them) that nothing
+    needs any more."""
+    for t in tables:
+        sc = t.sparkSession.sparkContext
+        for folder in {f.rpartition("/")[0] for f in t.inputFiles()}:
+            if f"/newsflow/{sc.applicationId}/" in folder:
+                path = sc._jvm.org.apache.hadoop.fs.Path(sc._jvm.java.net.URI(folder))
+                path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class WordHash(dict):
     """64-bit hash of a word (bytes), remembered for up to HASH_CACHE words."""
 

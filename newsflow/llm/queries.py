@@ -121,10 +121,13 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
-    kept = F.col("removed.kept")
-    return found.select(F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.octet_length(kept)).alias("n_removed"),
-                        F.size("removed.spans").cast("long").alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    texts = suffix_dedup.remove_repeats(docs)
+    digest = texts.select("h", "n", (F.col("n") - F.octet_length("kept")).alias("gone"), F.size("spans").alias("runs"), F.sha2("kept", 256).alias("sha"))
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    return suffix_dedup.of_rows(docs, digest).select(
+        F.col("id").alias("doc_id"), "n_bytes", F.coalesce("gone", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("runs", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("sha", none).alias("kept_sha256"))
 
 
 def repeat_tail(words: list[bytes], h: int | None) -> list[bytes]:

@@ -8,8 +8,9 @@ into the same block form a piece; the bytes that all possible windows of such a
 block share are the piece's core. Equal windows therefore lie in pieces of equal
 core, and a suffix array needs one entry a piece, not one a byte.
 
-1. One pass over the texts writes the pieces: core, hull (all bytes that its
-   windows cover), place.
+1. Equal texts become one, with the number of its copies, in a table bucketed by
+   text: the only time texts are shuffled. One pass over it writes the pieces:
+   core, hull (all bytes that its windows cover), place.
 2. Documents come in batches. Each batch gets its suffix array: the cores in
    fingerprint order, one entry each with the number of its places (map-side
    sums, so a core of any frequency is one entry). The array is merge-scanned
@@ -19,9 +20,11 @@ core, and a suffix array needs one entry a piece, not one a byte.
    every array is a written table.
 3. Pieces whose core occurs once are done: nothing of them repeats. Pieces whose
    whole hull occurs again are done as well: all of their windows repeat.
-4. What is left are the borders of matches. Their windows, and those of one
-   piece for each other hull of the same core, are compared one by one, by
-   grouping on core and window.
+4. What is left are the borders of matches. Their hulls, and one piece for each
+   other hull of the same core, are dealt by core; the windows of a deal are
+   sorted and neighbours compared. A core with more than ``HOT`` hulls does not
+   go to one task: its windows are dealt by themselves and counted with map-side
+   sums.
 
 Order is by 64-bit fingerprints, not by bytes: only equality of whole windows is
 asked for, and any order brings equal ones together. Two different windows are
@@ -37,6 +40,7 @@ read in chunks of windows, at no loss.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,12 +49,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import if_small, mix64, odd_multipliers
-from newsflow.session import materialize
+from newsflow.llm.common import discard, mix64, odd_multipliers
+from newsflow.session import materialize, scratch_path
 
 WINDOW = 400
 BATCHES = 4
 CHUNK = 1 << 20          # windows looked at together
+HOT = 2000               # hulls of one core that a task compares by itself
+DEAL = 4 << 20           # bytes of hulls in a deal, about
 
 _BYTE = odd_multipliers(256, 17)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 5)
@@ -117,36 +123,75 @@ def pieces_of(raw: bytes, window: int = WINDOW, chunk: int = CHUNK) -> Iterator[
         yield first + low, last - first + 1, core.view(np.int64), hull.view(np.int64)
 
 
-_PIECES = pa.schema([("h", pa.int64()), ("n", pa.int32()), ("start", pa.int32()), ("count", pa.int32()), ("core", pa.int64()), ("hull", pa.int64())])
+_PIECES = pa.schema([("h", pa.int64()), ("n", pa.int32()), ("copies", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("core", pa.int64()), ("hull", pa.int64())])
+
+
+def _ddl(schema: pa.Schema) -> str:
+    names = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
+    return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
 def _pieces(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for h, raw in zip(batch.column(0).to_numpy(zero_copy_only=False).tolist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+            for h, copies, raw in zip(batch.column("h").to_pylist(), batch.column("copies").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 for start, count, core, hull in pieces_of(raw, window):
-                    found.append((np.full(len(start), h), np.full(len(start), len(raw)), start, count, core, hull))
+                    found.append((*(np.full(len(start), v) for v in (h, len(raw), copies)), start, count, core, hull))
             for k in range(0, len(found), 1000):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(zip(*found[k:k + 1000], strict=True), _PIECES, strict=True)], schema=_PIECES)
     return run
 
 
-_WINDOWS = pa.schema([("h", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("core", pa.int64()), ("places", pa.int64()), ("win", pa.int64())])
+_HULLS = pa.schema([("core", pa.int64()), ("places", pa.int64()), ("h", pa.int64()), ("n", pa.int32()), ("start", pa.int32()), ("bytes", pa.binary())])
 
 
-def _windows(window: int):
-    """A row for each window of the pieces asked for."""
+def _hull_bytes(window: int):
+    """The bytes of the pieces asked for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for h, raw, wanted in zip(batch.column("h").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("wanted").to_pylist(), strict=True):
-                found = []
-                for p in wanted:
-                    fp = Fingerprints(raw[p["start"]:p["start"] + p["count"] + window - 1]).all(window)
-                    at = np.arange(p["start"], p["start"] + p["count"])
-                    found.append((at, np.full(len(at), p["core"]), np.full(len(at), p["places"]), fp.view(np.int64)))
-                pos, core, places, win = map(np.concatenate, zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((np.full(len(pos), h), np.full(len(pos), len(raw)), pos, core, places, win), _WINDOWS, strict=True)], schema=_WINDOWS)
+                rows = [(p["core"], p["places"], h, len(raw), p["start"], raw[p["start"]:p["start"] + p["count"] + window - 1]) for p in wanted]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _HULLS, strict=True)], schema=_HULLS)
+    return run
+
+
+def _windows_of(hulls: pd.DataFrame, window: int) -> pd.DataFrame:
+    """A row for each window: the hull's row number, position in the text, and
+    fingerprint."""
+    fps = [Fingerprints(raw).all(window).view(np.int64) for raw in hulls["bytes"]]
+    sizes = np.array([len(f) for f in fps], np.int64)
+    row = np.repeat(np.arange(len(hulls)), sizes)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return pd.DataFrame({"row": row, "pos": hulls["start"].to_numpy()[row] + step, "win": np.concatenate(fps)})
+
+
+def _compare(window: int):
+    """Spans of the repeated windows among the hulls of a deal: windows sorted by
+    core and fingerprint, equal neighbours summed."""
+    def run(hulls: pd.DataFrame) -> pd.DataFrame:
+        w = _windows_of(hulls, window)
+        core, places = hulls["core"].to_numpy()[w["row"]], hulls["places"].to_numpy()
+        order = np.lexsort((w["win"], core))
+        win, core = w["win"].to_numpy()[order], core[order]
+        group = np.cumsum(np.r_[0, (win[1:] != win[:-1]) | (core[1:] != core[:-1])]) if len(order) else np.empty(0, np.int64)
+        total = np.bincount(group, places[w["row"].to_numpy()[order]])
+        again = np.zeros(len(order), bool)
+        again[order] = total[group] > 1
+        found = w[again & (places[w["row"]] == 1)]
+        row, pos = found["row"].to_numpy(), found["pos"].to_numpy()
+        cut = np.flatnonzero((np.diff(row) != 0) | (np.diff(pos) != 1))
+        first, last = (np.r_[0, cut + 1], np.r_[cut, len(pos) - 1]) if len(pos) else (cut, cut)
+        return pd.DataFrame({"h": hulls["h"].to_numpy()[row[first]], "n": hulls["n"].to_numpy()[row[first]], "start": pos[first], "end": pos[last] + window})
+    return run
+
+
+def _single_windows(window: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for hulls in batches:
+            w = _windows_of(hulls, window)
+            of = hulls.iloc[w["row"]].reset_index(drop=True)
+            yield pd.DataFrame({"core": of["core"], "places": of["places"], "h": of["h"], "n": of["n"], "pos": w["pos"], "win": w["win"]})
     return run
 
 
@@ -157,17 +202,20 @@ class Family:
         self.levels: list[tuple[int, DataFrame]] = []     # doublings, (core, places)
         self.matches: list[DataFrame] = []
 
-    def add(self, cores: DataFrame) -> None:
-        """A batch: its array, the scan of all levels, the merges due."""
-        array = materialize(cores.groupBy("core").agg(F.count(F.lit(1)).alias("places")).sortWithinPartitions("core"), "suffix_array")
-        self.matches.append(array.where("places > 1").select("core"))
+    def add(self, entries: DataFrame) -> None:
+        """A batch of ``core, places``: its array, the scan of all levels, the
+        merges due."""
+        array = materialize(_sorted(entries), "suffix_array")
+        found = array.where("places > 1").select("core")
         for _, level in self.levels:
-            self.matches.append(materialize(array.join(level, "core", "left_semi").select("core"), "suffix_matches"))
+            found = found.union(array.join(level, "core", "left_semi").select("core"))
+        self.matches.append(materialize(found, "suffix_matches"))
         size = 0
         while self.levels and self.levels[-1][0] == size:
             _, level = self.levels.pop()
-            merged = level.union(array).groupBy("core").agg(F.sum("places").alias("places")).sortWithinPartitions("core")
-            array, size = materialize(merged, "suffix_level"), size + 1
+            both = materialize(_sorted(level.union(array)), "suffix_level")
+            discard(level, array)
+            array, size = both, size + 1
         self.levels.append((size, array))
 
     def repeated(self) -> DataFrame:
@@ -177,33 +225,61 @@ class Family:
             found = found.union(m)
         return materialize(found.distinct(), "repeated_cores")
 
+    def close(self) -> None:
+        discard(*self.matches, *(level for _, level in self.levels))
+
 
-def repeated_spans(texts: DataFrame, window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
-    """``h, n, spans``: for the texts (``h`` hash, ``n`` bytes, ``text``) with
-    repeated windows, the places (start, end) that these cover, not merged."""
+def _sorted(entries: DataFrame) -> DataFrame:
+    return entries.groupBy("core").agg(F.sum("places").alias("places")).sortWithinPartitions("core")
+
+
+def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``h, n, text, copies``: each text once (null ones not), in a table bucketed
+    by hash and bytes, so that later joins on these move no text."""
+    spark = docs.sparkSession
+    keyed = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("h"), F.octet_length(F.col(text)).alias("n"), F.col(text).alias("text"))
+    name = f"newsflow_texts_{uuid.uuid4().hex}"
+    (keyed.groupBy("h", "n").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+     .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "h", "n").option("path", scratch_path(spark, "texts")).saveAsTable(name))
+    return spark.table(name)
+
+
+def repeated_spans(texts: DataFrame, window: int = WINDOW, batches: int = BATCHES, hot: int = HOT) -> DataFrame:
+    """``h, n, spans``: for the distinct texts with repeated windows, the places
+    (start, end) that these cover, not merged."""
     long = texts.where(F.col("n") >= window)
-    pieces = materialize(long.select("h", "text").mapInArrow(_pieces(window), "h long, n int, start int, count int, core long, hull long"), "pieces")
+    pieces = materialize(long.select("h", "copies", "text").mapInArrow(_pieces(window), _ddl(_PIECES)), "pieces")
     family = Family()
     for b in range(batches):
-        family.add(pieces.where(F.pmod("h", F.lit(batches)) == b).select("core"))
+        family.add(pieces.where(F.pmod("h", F.lit(batches)) == b).select("core", F.col("copies").alias("places")))
     known = family.repeated()
-    near = materialize(pieces.join(if_small(known), "core", "left_semi"), "matched_pieces")
-
-    hulls = materialize(near.groupBy("core", "hull").agg(F.count(F.lit(1)).alias("places"), F.min(F.struct("h", "n", "start", "count")).alias("one")), "hulls")
-    unsure = materialize(hulls.where("places = 1").select("core").distinct(), "unsure_cores")
-    one = hulls.join(if_small(unsure), "core", "left_semi").select("one.h", "one.n", F.struct("core", "places", "one.start", "one.count").alias("p"))
-    wanted = materialize(one.groupBy("h", "n").agg(F.collect_list("p").alias("wanted")), "wanted_pieces")
-    needed = long.join(if_small(wanted), ["h", "n"]).dropDuplicates(["h", "n"])
-    windows = materialize(needed.select("h", "text", "wanted").mapInArrow(_windows(window), "h long, n int, pos int, core long, places long, win long"), "windows")
-    again = materialize(windows.groupBy("core", "win").agg(F.sum("places").alias("places")).where("places > 1").select("core", "win"), "repeated_windows")
-
-    span = lambda start, end: F.struct(start.cast("int").alias("start"), end.cast("int").alias("end")).alias("span")
-    sure = hulls.where("places > 1").select("core", "hull")
-    whole = (near.join(if_small(materialize(sure, "repeated_hulls")), ["core", "hull"], "left_semi")
-             .select("h", "n", span(F.col("start"), F.col("start") + F.col("count") - 1 + window)))
-    border = (windows.where("places = 1").join(if_small(again), ["core", "win"], "left_semi")
-              .select("h", "n", span(F.col("pos"), F.col("pos") + window)))
-    return materialize(materialize(whole.union(border), "spans").groupBy("h", "n").agg(F.collect_set("span").alias("spans")), "spans_of_texts")
+    family.close()
+    near = materialize(pieces.join(known, "core", "left_semi"), "matched_pieces")
+    discard(pieces, known)
+
+    hulls = materialize(near.groupBy("core", "hull").agg(F.sum("copies").alias("places"), F.min(F.struct("h", "n", "start", "count")).alias("one")), "hulls")
+    unsure = materialize(hulls.groupBy("core").agg(F.min("places").alias("least"), F.count(F.lit(1)).alias("hulls"), F.sum("one.count").alias("wins"))
+                         .where("least = 1 and hulls > 1").select("core", "wins", (F.col("hulls") > hot).alias("hot")), "unsure_cores")
+    one = hulls.join(unsure, "core", "left_semi").select("one.h", "one.n", F.struct("core", "places", "one.start", "one.count").alias("p"))
+    wanted = one.groupBy("h", "n").agg(F.collect_list("p").alias("wanted"))
+    asked = materialize(long.join(wanted, ["h", "n"]).select("h", "text", "wanted").mapInArrow(_hull_bytes(window), _ddl(_HULLS)), "border_hulls")
+
+    total = unsure.agg(F.sum(F.col("wins") + window), F.max("hot")).first()
+    deals = max(1, (total[0] or 0) // DEAL)
+    often = unsure.where("hot").select("core")
+    cool = asked.join(often, "core", "left_anti") if total[1] else asked
+    spans = cool.groupBy(F.pmod(F.xxhash64("core"), F.lit(deals))).applyInPandas(_compare(window), "h long, n int, start int, end int")
+    if total[1]:
+        windows = materialize(asked.join(often, "core", "left_semi").mapInPandas(_single_windows(window), "core long, places long, h long, n int, pos int, win long"), "windows")
+        again = windows.groupBy("core", "win").agg(F.sum("places").alias("p")).where("p > 1").select("core", "win")
+        spans = spans.union(windows.where("places = 1").join(materialize(again, "repeated_windows"), ["core", "win"], "left_semi")
+                            .select("h", "n", F.col("pos").alias("start"), (F.col("pos") + window).cast("int").alias("end")))
+    sure = materialize(hulls.where("places > 1").select("core", "hull"), "repeated_hulls")
+    whole = (near.join(sure, ["core", "hull"], "left_semi")
+             .select("h", "n", "start", (F.col("start") + F.col("count") - 1 + window).cast("int").alias("end")))
+    found = materialize(whole.union(spans).groupBy("h", "n").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
+    discard(near, hulls, unsure, asked, sure)
+    return found
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -219,7 +295,7 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 def _cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
     out = []
     for text, found in zip(texts, spans, strict=True):
-        raw, kept, at = (text or "").encode(), [], 0
+        raw, kept, at = text.encode(), [], 0
         runs = merged(found) if found is not None else []
         for start, end in runs:
             kept.append(raw[at:start])
@@ -228,13 +304,19 @@ def _cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["spans", "kept"])
 
 
-def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
-    """``id, n_bytes, removed`` for each row: ``removed.spans``, the maximal runs
-    of bytes (start, end) covered by repeated windows, and ``removed.kept``, the
-    bytes that remain (not always whole UTF-8 characters)."""
-    texts = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("h"), F.octet_length(F.col(text)).alias("n"), F.col(text).alias("text"))
-    spans = repeated_spans(texts.select("h", "n", "text"), window, batches)
-    side = if_small(spans.withColumnsRenamed({"h": "sh", "n": "sn"}))
+def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, batches: int = BATCHES, hot: int = HOT) -> DataFrame:
+    """``h, n, spans, kept`` for each distinct text: the maximal runs of bytes
+    (start, end) covered by repeated windows, and the bytes that remain (not
+    always whole UTF-8 characters)."""
+    texts = distinct_texts(docs, text)
+    spans = repeated_spans(texts, window, batches, hot)
     cut = F.pandas_udf(_cut, "spans array<struct<start:int,end:int>>, kept binary")
-    return (texts.join(side, (F.col("h") == F.col("sh")) & (F.col("n") == F.col("sn")), "left")
-            .select("id", F.coalesce("n", F.lit(0)).cast("long").alias("n_bytes"), cut("text", "spans").alias("removed")))
+    return texts.join(spans, ["h", "n"], "left").select("h", "n", cut("text", "spans").alias("c")).select("h", "n", "c.spans", "c.kept")
+
+
+def of_rows(docs: DataFrame, texts: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Each row's ``id`` and ``n_bytes`` with the columns of its text in
+    ``texts`` (null for null texts)."""
+    rows = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("rh"), F.octet_length(F.col(text)).alias("rn"))
+    found = rows.join(texts, (F.col("rh") == F.col("h")) & (F.col("rn") == F.col("n")), "left")
+    return found.withColumn("n_bytes", F.coalesce("rn", F.lit(0)).cast("long")).drop("h", "n", "rh", "rn")

@@ -121,10 +121,10 @@ def test_repeats_equal_brute_force(spark, monkeypatch):
     raws = [(t or "").encode() for t in texts]
     want = brute_repeats(raws, 40)
     docs = spark.createDataFrame([(i % 50, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
-    for batches in (1, 3, 5):
-        got = suffix_dedup.remove_repeats(docs, window=40, batches=batches).collect()
-        expect = Counter((i % 50, len(raw), tuple(runs_of_cover(c)), bytes(np.frombuffer(raw, np.uint8)[~c])) for i, (raw, c) in enumerate(zip(raws, want, strict=True)))
-        assert Counter((r.id, r.n_bytes, tuple((s.start, s.end) for s in r.removed.spans), bytes(r.removed.kept)) for r in got) == expect
+    expect = Counter((i % 50, len(raw), tuple(runs_of_cover(c)), bytes(np.frombuffer(raw, np.uint8)[~c])) for i, (raw, c) in enumerate(zip(raws, want, strict=True)))
+    for batches, hot in ((1, 2000), (3, 3), (5, 0)):
+        got = suffix_dedup.of_rows(docs, suffix_dedup.remove_repeats(docs, window=40, batches=batches, hot=hot)).collect()
+        assert Counter((r.id, r.n_bytes, tuple((s.start, s.end) for s in r.spans or []), bytes(r.kept or b"")) for r in got) == expect
 
 
 def test_pieces_hold_every_window_once_and_share_cores():
@@ -144,7 +144,7 @@ def test_levels_merge_geometrically(spark):
     apply_job_conf(spark)
     family = suffix_dedup.Family()
     for k in range(7):
-        family.add(spark.range(10 * k, 10 * k + 12).selectExpr("id as core"))
+        family.add(spark.range(10 * k, 10 * k + 12).selectExpr("id as core", "1L as places"))
     assert [size for size, _ in family.levels] == [2, 1, 0]
     assert sorted(r.core for r in family.repeated().collect()) == sorted(10 * k + d for k in range(1, 7) for d in (0, 1))
 
