@@ -28,6 +28,7 @@ from newsflow.plans import mentions_job as MJ
 from newsflow.plans import sqlkit as Q
 from newsflow.session import scratch_path
 from newsflow.sources import crawl as FR
+from newsflow.sources import jsonarray as JA
 from newsflow.sources import jsonio as J
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -319,6 +320,15 @@ def q_json_roundtrip(spark, sf_dir):
     return J.read_articles_json(spark, path)
 
 
+@query("json_arrays", f"SELECT {_JSON_COLS} FROM ({_ARTICLES_AS_JSON_SQL})")
+def q_json_arrays(spark, sf_dir):
+    """K2 as the reference writes it, one array a file, then S4 by byte ranges."""
+    a = B.articles_from_documents(_docs(spark, sf_dir, "doc_id", "text", "source"))
+    path = scratch_path(spark, "articles-arrays")
+    JA.write_json_arrays(J.to_json_record(a.select(*L.ARTICLE_FIELDS)), path)
+    return JA.read_json_arrays(spark, path, J.ARTICLE_JSON, range_bytes=1 << 20)
+
+
 @query("union_sites", f"""
   SELECT CAST(list_position({list(S.UNION_ORDER)}, site) - 1 AS INTEGER) AS source_ord, {_JSON_COLS}
   FROM ({_ARTICLES_AS_JSON_SQL})""")
