@@ -20,8 +20,9 @@ from newsflow.operators import lineage as L
 from newsflow.operators import mentions as M
 from newsflow.operators import sentiment as SE
 from newsflow.operators import translate as TR
+from newsflow.operators.automaton import AutomatonTagger
 from newsflow.operators.tagging import GazetteerTagger
-from newsflow.operators.tagging import PERSON, PERSON_RULE, RuleEntityTagger, RuleTagger, entity_texts, split_sentences
+from newsflow.operators.tagging import PERSON, PERSON_RULE, WORD, RuleEntityTagger, RuleTagger, entity_texts, split_sentences
 from newsflow.plans import articles_job as AJ
 from newsflow.plans import bindings as B
 from newsflow.plans import mentions_job as MJ
@@ -805,3 +806,35 @@ def q_mentions_store(spark, sf_dir):
     stored = spark.read.parquet(path)
     return stored.select(*[c for c in stored.columns if c not in MJ.MENTION_FIELDS],
                          *[CR.decrypt(F.col(c), FIXTURE_KEY).alias(c) for c in MJ.MENTION_FIELDS])
+
+
+# N2, a name table of any size: the first words of all documents, as names of two
+# and three words that contain and overlap each other.
+_NAME_TABLE_SQL = """
+  SELECT DISTINCT lower(array_to_string(n, ' ')) AS g
+  FROM (SELECT unnest([ws[1:2], ws[2:3], ws[1:3]]) AS n FROM (SELECT regexp_extract_all(text, '\\p{L}+') AS ws FROM documents))
+  WHERE len(n) > 1"""
+
+
+@query("persons_automaton", f"""
+  WITH names AS ({_NAME_TABLE_SQL}),
+  s AS (SELECT doc_id, sentence_no, regexp_extract_all(sents[sentence_no + 1], '\\p{{L}}+') AS toks FROM ({Q.DOC_SENTENCES})),
+  g AS (SELECT doc_id, sentence_no, i, k, lower(array_to_string(toks[i + 1 : i + k], ' ')) AS g
+        FROM (SELECT *, unnest(range(0, len(toks))) AS i FROM s), (VALUES (2), (3)) v(k) WHERE i + k <= len(toks)),
+  c AS (SELECT doc_id, sentence_no, list(struct_pack(i, k) ORDER BY i) AS c
+        FROM (SELECT doc_id, sentence_no, i, max(k) AS k FROM g SEMI JOIN names USING (g) GROUP BY ALL) GROUP BY ALL)
+  SELECT doc_id, sentence_no, array_to_string(persons, ',') AS persons, CAST(len(persons) AS BIGINT) AS n_persons
+  FROM (SELECT doc_id, sentence_no,
+               list_reduce(c, lambda acc, x: CASE WHEN x.i >= acc.nxt THEN
+                   {{'nxt': x.i + x.k, 'out': list_append(acc.out, array_to_string(toks[x.i + 1 : x.i + x.k], ' '))}} ELSE acc END,
+                   {{'nxt': 0::BIGINT, 'out': []::VARCHAR[]}}).out AS persons
+        FROM c JOIN s USING (doc_id, sentence_no))""")
+def q_persons_automaton(spark, sf_dir):
+    """N2 with the names in a table: one automaton, matched on the map side."""
+    docs = _docs(spark, sf_dir, "doc_id", "text")
+    words = F.regexp_extract_all("text", F.lit(WORD), 0)
+    names = (docs.select(words.alias("w")).select(F.explode(F.array(F.slice("w", 1, 2), F.slice("w", 2, 2), F.slice("w", 1, 3))).alias("n"))
+             .where(F.size("n") > 1).select(F.array_join("n", " ").alias("name")))
+    hits = M.sentences_with_persons(AutomatonTagger(names).tag(docs, "text"), ["doc_id"])
+    return hits.select("doc_id", "sentence_no", M.persons_string(F.col("persons")).alias("persons"),
+                       F.size("persons").cast("bigint").alias("n_persons"))
