@@ -14,6 +14,7 @@ from newsflow import sites as S
 from newsflow.functions import crypto as CR
 from newsflow.functions import dates as D
 from newsflow.functions import text as T
+from newsflow.operators import borders as BD
 from newsflow.operators import combine as C
 from newsflow.operators import extract as X
 from newsflow.operators import lineage as L
@@ -59,6 +60,72 @@ def q_sentences(spark, sf_dir):
              .withColumn("sentence_no", F.col("sentence_no").cast("bigint")))
 
 
+# N1 with learnt abbreviations. The texts have none, so some of their words are
+# turned into ones that a border may or may not follow.
+ABBREVIATED = ((" of ", " cf. "), (" de ", " Dr. "), (" und ", " Nr. Sa "), (" and ", " etc. The "), (" by ", " A. "), (" le ", " e.g. "))
+
+
+def _abbreviated_sql() -> str:
+    text = "text"
+    for a, b in ABBREVIATED:
+        text = f"replace({text}, '{a}', '{b}')"
+    return f"SELECT doc_id, {text} AS text FROM documents"
+
+
+def _l(k: str, n: str, p: str) -> str:
+    return f"(CASE WHEN {k} > 0 THEN ({k}) * ln({p}) ELSE 0 END + CASE WHEN ({n}) - ({k}) > 0 THEN (({n}) - ({k})) * ln(1 - ({p})) ELSE 0 END)"
+
+
+def _association_sql(both: str, first: str, second: str, total: str) -> str:
+    p, p1, p2 = f"CAST({second} AS DOUBLE) / {total}", f"CAST({both} AS DOUBLE) / {first}", f"CAST(({second} - {both}) AS DOUBLE) / greatest({total} - {first}, 1)"
+    ratio = f"2 * ({_l(both, first, p1)} + {_l(f'{second} - {both}', f'{total} - {first}', p2)} - {_l(both, first, p)} - {_l(f'{second} - {both}', f'{total} - {first}', p)})"
+    return f"CASE WHEN {p1} > {p} THEN {ratio} ELSE 0 END"
+
+
+def _learned_sql() -> str:
+    ws = f"{Q.WS_CLASS}"
+    return f"""
+  WITH d AS ({_abbreviated_sql()}),
+  t AS (SELECT doc_id, i, lower(regexp_replace(tok, '[.!?]$', '')) AS w, regexp_extract(tok, '[.!?]$') AS mark, regexp_matches(tok, '^\\p{{Lu}}') AS cap
+        FROM (SELECT doc_id, unnest(toks) AS tok, unnest(range(0, len(toks))) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{BD.TOKEN_RE}') AS toks FROM d))),
+  x AS (SELECT *, lag(mark) OVER o AS before, lead(w) OVER o AS nw, lead(cap) OVER o AS ncap FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+  words AS (SELECT w, count(*) AS n, count(*) FILTER (mark = '.') AS dots, count(*) FILTER (NOT cap) AS low, count(*) FILTER (cap AND before = '') AS inside FROM x GROUP BY w),
+  pairs AS (SELECT CASE WHEN mark = '.' THEN w ELSE '' END AS a, nw AS b, count(*) AS n, count(*) FILTER (ncap) AS capital FROM x WHERE mark <> '' AND nw IS NOT NULL GROUP BY ALL),
+  tot AS (SELECT sum(n) AS total, sum(dots) AS all_dots FROM words),
+  abbr AS (SELECT w AS a FROM (SELECT w, n, dots, total, all_dots, length(replace(w, '.', '')) AS letters, length(w) - length(replace(w, '.', '')) + 1 AS inner_ FROM words, tot)
+           WHERE dots > 0 AND all_dots < total
+             AND 2 * ({_l('dots', 'n', str(BD.DOTTED))} - {_l('dots', 'n', 'CAST(all_dots AS DOUBLE) / total')}) * exp(-letters) * inner_ * pow(CAST(letters AS DOUBLE), dots - n) >= {BD.ABBREVIATION}),
+  marked AS (SELECT *, a IN (SELECT a FROM abbr) OR length(a) = 1 AS doubtful FROM pairs),
+  starts AS (SELECT b, sum(n) AS starts FROM marked WHERE NOT doubtful GROUP BY b),
+  sure AS (SELECT coalesce(sum(n) FILTER (NOT doubtful), 0) AS sure FROM marked),
+  parted AS (SELECT m.a, m.b FROM marked m JOIN words wa ON wa.w = m.a JOIN words wb ON wb.w = m.b LEFT JOIN starts s ON s.b = m.b, tot, sure
+             WHERE m.doubtful AND m.capital > 0
+               AND ((sure > 0 AND ({_association_sql('coalesce(starts, 0)', 'greatest(sure, 1)', 'wb.n', 'total')}) >= {BD.STARTER})
+                    OR (wb.low > 0 AND wb.inside = 0 AND NOT ({_association_sql('m.n', 'wa.dots', 'wb.n', 'total')}) >= {BD.COLLOCATION}))),
+  p AS (SELECT doc_id, unnest(ps) AS p, unnest(range(0, len(ps))) AS i
+        FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?])({ws})', '\\1' || chr(1) || '\\2', 'g'), chr(1)) AS ps FROM d)),
+  q AS (SELECT doc_id, i, p, regexp_extract(lag(p) OVER (PARTITION BY doc_id ORDER BY i), '({BD.WORD_RE})\\.$', 1) AS w, regexp_extract(p, '^{ws}*([\\p{{L}}\\p{{N}}]+)', 1) AS first FROM p),
+  r AS (SELECT doc_id, i, p, CASE WHEN i = 0 THEN 1 WHEN w <> '' AND (lower(w) IN (SELECT a FROM abbr) OR regexp_matches(w, '^\\p{{Lu}}$'))
+                 AND NOT (regexp_matches(first, '^\\p{{Lu}}') AND (lower(w), lower(first)) IN (SELECT (a, b) FROM parted)) THEN 0 ELSE 1 END AS fresh FROM q),
+  s AS (SELECT doc_id, i, CASE WHEN fresh = 1 AND i > 0 THEN regexp_replace(p, '^{ws}+', '') ELSE p END AS p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k FROM r)
+  SELECT doc_id, CAST(k AS BIGINT) AS sentence_no, string_agg(p, '' ORDER BY i) AS sentence FROM s GROUP BY doc_id, k"""
+
+
+def _abbreviated(spark, sf_dir):
+    text = F.col("text")
+    for a, b in ABBREVIATED:
+        text = F.replace(text, F.lit(a), F.lit(b))
+    return _docs(spark, sf_dir, "doc_id", "text").select("doc_id", text.alias("text"))
+
+
+@query("sentences_learned", _learned_sql())
+def q_sentences_learned(spark, sf_dir):
+    """Abbreviations and collocations counted over all texts, then borders."""
+    docs = _abbreviated(spark, sf_dir)
+    split = BD.Borders.learn(docs).split(docs)
+    return split.select("doc_id", F.posexplode("sents").alias("sentence_no", "sentence")).withColumn("sentence_no", F.col("sentence_no").cast("bigint"))
+
+
 @query("persons", f"""
   SELECT doc_id, sentence_no, person_no, persons[person_no + 1] AS person
   FROM (SELECT doc_id, sentence_no, persons, unnest(range(0, len(persons))) AS person_no
