@@ -4,41 +4,48 @@ Terms are words and short stems of words. Every document becomes a TF-IDF vector
 over all terms that the labelled examples have (a term that no example has
 changes no neighbour and no vote); document frequencies are counted over all
 documents. All labelled examples, clean ones too, form an index in blocks of
-alike examples, with the largest weight of each common term in each block:
-blocks whose upper bound is below the k-th neighbour of the most promising
-block are skipped, which gives the exact k nearest by cosine. Neighbours vote
+alike examples, with the largest weight of each term in each block: blocks whose
+upper bound is below the k-th neighbour of the most promising block are skipped,
+their postings unread, which gives the exact k nearest by cosine. Neighbours vote
 with their similarity; votes are calibrated on the examples themselves (each
 without itself in the index), and the neighbours' ids are the evidence.
 
-Examples are a bounded sample, ``EXAMPLES`` labelled rows outside the held-out
-fold, taken by a hash of the id; their terms are not bounded. Terms are told
-apart by 64-bit hashes. Text passes twice through Python: for the examples and
+Examples are a bounded sample of the labelled rows outside the held-out fold, by
+a hash of the id: at most ``EXAMPLES`` rows, half of them toxic as far as there
+are as many, and at most ``POSTINGS`` different terms in all. In calibration an
+example weighs as many rows of its label as it stands for. Terms are told apart
+by 64-bit hashes. Text passes twice through Python: for the examples and
 for all documents.
 
 Defined results: null and empty texts, and texts without a term of an example,
 have no neighbours; they get the rate of toxic rows among the examples without a
 term, drawn to the rate of all examples by one row. Of equal neighbours the smaller id (as text) comes first. A label whose
 document is missing, or a null label, is ignored; repeated documents are scored
-one by one and count once as an example; without labelled rows every score is
+one by one and count once as an example; where an id has several texts, the
+smallest is the example; without labelled rows every score is
 0.0; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import if_small, word_hashes
+from newsflow.llm.common import HASH_CACHE, if_small
 from newsflow.llm.decontaminate import words_of
 from newsflow.llm.labels import Isotonic, training_labels
 from newsflow.session import materialize
 
-EXAMPLES = 12_000     # labelled rows that the index is made of
+EXAMPLES = 4_000      # labelled rows that the index is made of
+POSTINGS = 4_000_000  # and their different terms, added up
 STEMS = (4, 5)        # letters of a stem; stems catch inflected forms
 K = 15
 BLOCK = 256
@@ -49,31 +56,36 @@ ROUNDING = 1e-4       # more than the error of single precision sums
 EVIDENCE = 5
 
 
-def terms_of(text: str | None) -> Counter:
-    """Words and, for longer ones, their stems of STEMS letters, with counts."""
-    bag = Counter(words_of(text.lower()) if text else ())
-    for w, n in [(w, n) for w, n in bag.items() if len(w) > STEMS[0]]:
-        w = w.decode()
-        for k in STEMS:
-            if len(w) > k:
-                bag[w[:k].encode() + b"*"] += n
-    return bag
+def terms_of_word(word: bytes) -> list[bytes]:
+    """The word and, if it is longer, its stems of STEMS letters."""
+    if len(word) <= STEMS[0]:
+        return [word]
+    text = word.decode()
+    return [word, *(text[:k].encode() + b"*" for k in STEMS if len(text) > k)]
+
+
+class Flat(NamedTuple):
+    """Vectors one after the other: vector i has the terms and weights from
+    ``start[i]`` to ``start[i + 1]``."""
+    start: np.ndarray
+    t: np.ndarray
+    w: np.ndarray
+
+    @classmethod
+    def of(cls, vectors: list[dict[int, float]]) -> Flat:
+        return cls(np.cumsum([0] + [len(v) for v in vectors]), np.array([t for v in vectors for t in v], np.int32),
+                   np.array([w for v in vectors for w in v.values()], np.float32))
 
 
 class BlockMaxIndex:
     """Unit vectors of the examples, in blocks of alike examples. Terms of many
-    examples are dense columns, with each one's largest weight in each block;
-    the others are postings by term."""
-
-    def __init__(self, vectors: list, terms: int, block: int = BLOCK):
-        """``vectors``: for each example a dict, or arrays of its terms and weights."""
-        pairs = [(np.fromiter(v, np.int64, len(v)), np.fromiter(v.values(), float, len(v))) if isinstance(v, dict) else v for v in vectors]
-        self.n, self.block, self.terms = len(pairs), block, terms
-        sizes = np.array([len(t) for t, _ in pairs], np.int64)
-        self.start = np.concatenate([[0], np.cumsum(sizes)])
-        self.t = np.concatenate([t for t, _ in pairs]).astype(np.int32)
-        self.w = np.concatenate([w for _, w in pairs]).astype(np.float32)
-        of = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+    examples are dense columns; the others are postings by term and block. Both
+    have each term's largest weight in each block, which bounds the block."""
+
+    def __init__(self, vectors: list[dict[int, float]] | Flat, terms: int, block: int = BLOCK):
+        self.start, self.t, self.w = vectors if isinstance(vectors, Flat) else Flat.of(vectors)
+        self.n, self.block, self.terms = len(self.start) - 1, block, terms
+        of = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.start))
         rows = np.bincount(self.t, minlength=terms)
         common = np.argsort(-rows, kind="stable")[:DENSE]
         self.column = np.full(terms, -1, np.int32)
@@ -89,9 +101,15 @@ class BlockMaxIndex:
         self.blocks = -(-self.n // block)
         self.top = np.stack([self.dense[b * block:(b + 1) * block].max(axis=0) for b in range(self.blocks)])
         rare = np.flatnonzero(col < 0)
-        rare = rare[np.argsort(self.t[rare], kind="stable")]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.t[rare], minlength=terms))])
+        rare = rare[np.lexsort((place[of[rare]], self.t[rare]))]
         self.at, self.weight = place[of[rare]], self.w[rare]
+        # an entry for each term and block: its block, largest weight, first posting
+        of_term, of_block = self.t[rare], self.at // block
+        first = np.flatnonzero(np.r_[True, (of_term[1:] != of_term[:-1]) | (of_block[1:] != of_block[:-1])]) if len(rare) else rare
+        self.posting = np.r_[first, len(rare)]
+        self.in_block = of_block[first]
+        self.most = np.maximum.reduceat(self.weight, first) if len(rare) else self.weight
+        self.entry = np.concatenate([[0], np.cumsum(np.bincount(of_term[first], minlength=terms))])
         self.query = np.zeros(terms)      # weights of one query's terms, else 0
 
     @staticmethod
@@ -104,10 +122,21 @@ class BlockMaxIndex:
             centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
         return np.argsort(near, kind="stable")
 
-    def _rare_part(self, t: np.ndarray, w: np.ndarray) -> np.ndarray:
-        lo, size = self.first[t], self.first[t + 1] - self.first[t]
+    @staticmethod
+    def _ranges(low: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """All numbers of the ranges that start at ``low``, one after the other."""
         ends = np.cumsum(size)
-        flat = np.repeat(lo - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+        return np.repeat(low - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+    def _entries(self, t: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The entries of a query's rare terms, and the query's weight for each."""
+        size = self.entry[t + 1] - self.entry[t]
+        return self._ranges(self.entry[t], size), np.repeat(w, size)
+
+    def _rare_part(self, entries: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What the postings of some entries add to each example."""
+        size = self.posting[entries + 1] - self.posting[entries]
+        flat = self._ranges(self.posting[entries], size)
         return np.bincount(self.at[flat], self.weight[flat] * np.repeat(w, size), minlength=self.n)
 
     def search_many(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
@@ -116,11 +145,14 @@ class BlockMaxIndex:
         m, step = len(queries), self.block
         q = np.zeros((m, self.dense.shape[1]), np.float32)
         score = np.zeros((m, self.blocks * step), np.float32)
+        bound, rare = np.zeros((m, self.blocks)), []
         for i, (t, w) in enumerate(queries):
             c = self.column[t]
             q[i, c[c >= 0]] = w[c >= 0]
-            score[i, :self.n] = self._rare_part(t[c < 0], w[c < 0])
-        bound = q @ self.top.T + score.reshape(m, self.blocks, step).max(axis=2)
+            rare.append(self._entries(t[c < 0], w[c < 0]))
+            e, of = rare[-1]
+            bound[i] = np.bincount(self.in_block[e], self.most[e] * of, minlength=self.blocks)
+        bound += q @ self.top.T
         best = bound.argmax(axis=1)
         done = np.zeros((m, self.blocks), bool)
 
@@ -128,6 +160,10 @@ class BlockMaxIndex:
             for b in np.flatnonzero(wanted.any(axis=0)):
                 who, rows = np.flatnonzero(wanted[:, b]), self.dense[b * step:(b + 1) * step]
                 score[who, b * step:b * step + len(rows)] += q[who] @ rows.T
+            for i in np.flatnonzero(wanted.any(axis=1)):
+                e, of = rare[i]
+                here = wanted[i][self.in_block[e]]
+                score[i, :self.n] += self._rare_part(e[here], of[here])
             done[wanted] = True
 
         keep = k + (without is not None)
@@ -151,10 +187,9 @@ class BlockMaxIndex:
     def _cosines(self, t: np.ndarray, w: np.ndarray, examples: np.ndarray) -> np.ndarray:
         """The cosines in double precision, so that equal examples tie."""
         self.query[t] = w
-        out = np.zeros(len(examples))
-        for j, e in enumerate(examples):
-            mine = slice(self.start[e], self.start[e + 1])
-            out[j] = (self.query[self.t[mine]] * self.w[mine]).sum()
+        size = self.start[examples + 1] - self.start[examples]
+        flat = self._ranges(self.start[examples], size)
+        out = np.bincount(np.repeat(np.arange(len(examples)), size), self.query[self.t[flat]] * self.w[flat], minlength=len(examples))
         self.query[t] = 0.0
         return out
 
@@ -168,7 +203,7 @@ class Model:
     each Python worker builds the index from them once."""
 
     def __init__(self, idf: np.ndarray, ids: list[str], labels: list[int], bags: list[tuple[np.ndarray, np.ndarray]], base: float):
-        self.idf, self.base, self.built = idf, base, None
+        self.idf, self.base, self.built = idf.astype(np.float32), base, None
         order = sorted(range(len(ids)), key=lambda i: (ids[i], i))
         self.ids, self.labels = [ids[i] for i in order], np.array([labels[i] for i in order], float)
         self.edges = np.cumsum([0] + [len(bags[i][0]) for i in order])
@@ -185,7 +220,10 @@ class Model:
     @property
     def index(self) -> BlockMaxIndex:
         if self.built is None:
-            self.built = BlockMaxIndex(self.examples(0, len(self.ids)), len(self.idf))
+            w = (1 + np.log(self.counts.astype(np.float32))) * self.idf[self.t]
+            norm = np.sqrt(np.add.reduceat(w.astype(float) ** 2, self.edges[:-1]))
+            w /= np.repeat(norm, np.diff(self.edges)).astype(np.float32)
+            self.built = BlockMaxIndex(Flat(self.edges, self.t, w), len(self.idf))
         return self.built
 
     def own_votes(self, lo: int, hi: int) -> list[tuple[float | None, float]]:
@@ -214,25 +252,84 @@ class Model:
         return out
 
 
-def hashed_terms(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The terms of a text as 64-bit hashes, and their counts."""
-    bag = terms_of(text)
-    return word_hashes(list(bag)), np.fromiter(bag.values(), np.int32, len(bag))
-
-
-def score_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+class TermNumbers(dict):
+    """For a word the numbers of its terms, remembered for some words: their
+    64-bit hashes, or, given the examples' sorted terms, places among these."""
+
+    def __init__(self, terms: np.ndarray | None = None):
+        super().__init__()
+        self.terms = terms
+
+    def learn(self, words: set[bytes]) -> None:
+        """Looks up all words of a batch that are not remembered, together."""
+        missing = [w for w in words if w not in self]
+        if len(self) + len(missing) > HASH_CACHE:
+            self.clear()
+            missing = list(words)
+        found = [terms_of_word(w) for w in missing]
+        h = np.fromiter((xxhash.xxh64_intdigest(t) for ts in found for t in ts), np.uint64)
+        numbers = h.tolist()
+        if self.terms is not None:
+            at = np.minimum(np.searchsorted(self.terms, h), max(len(self.terms) - 1, 0))
+            numbers = np.where(self.terms[at] == h, at, -1).tolist() if len(self.terms) else [-1] * len(h)
+        at = 0
+        for w, ts in zip(missing, found, strict=True):
+            self[w] = [n for n in numbers[at:at + len(ts)] if n >= 0]
+            at += len(ts)
+
+
+_HASHES = TermNumbers()
+
+
+def counted(texts: Iterable[str | None], terms: TermNumbers) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each text its terms, as ``terms`` numbers them, and their counts."""
+    bags = [Counter(words_of(t.lower()) if t else ()) for t in texts]
+    terms.learn(set().union(*bags))
+    out = []
+    for bag in bags:
+        found = list(map(terms.__getitem__, bag))
+        t = np.array(list(chain.from_iterable(found)), np.uint64)
+        n = np.repeat(np.fromiter(bag.values(), np.int32, len(bag)), np.fromiter(map(len, found), np.int32, len(found)))
+        order = np.argsort(t)
+        first = np.flatnonzero(np.r_[True, np.diff(t[order]) != 0]) if len(t) else order
+        out.append((t[order[first]], np.add.reduceat(n[order], first).astype(np.int32) if len(t) else n))
+    return out
+
+
+def sampled(labels: DataFrame, label: str, examples: int) -> tuple[DataFrame, dict[int, float]]:
+    """At most ``examples`` labelled rows, half of each label as far as there
+    are as many, and how many rows each one stands for, by label."""
+    train = materialize(training_labels(labels, label), "labelled")
+    there = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    toxic = min(there.get(1, 0), max(examples // 2, examples - there.get(0, 0)))
+    take = {1: toxic, 0: min(there.get(0, 0), examples - toxic)}
+    some = [train.where(F.col("y") == y).orderBy(F.xxhash64("lid"), "lid").limit(n) for y, n in take.items()]
+    return materialize(some[0].union(some[1]), "examples"), {y: there.get(y, 0) / max(n, 1) for y, n in take.items()}
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", examples: int = EXAMPLES,
+                    postings: int = POSTINGS) -> DataFrame:
     """``id, score, evidence``: one row per document."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    chosen = materialize(training_labels(labels, label).orderBy(F.xxhash64("lid"), "lid").limit(EXAMPLES), "examples")
+    chosen, weight = sampled(labels, label, examples)
 
     def bag(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([(h.tobytes(), n.tobytes()) for h, n in map(hashed_terms, texts)], columns=["h", "n"])
-
-    # a bounded number of examples: their terms are numbered on the driver
-    known = (docs.join(if_small(chosen), F.col("id") == F.col("lid")).dropDuplicates(["id"])
-             .select(F.col("id").cast("string").alias("id"), "y", F.pandas_udf(bag, "h binary, n binary")("text").alias("c"))
-             .select("id", "y", "c.*").toArrow())
+        return pd.DataFrame([(h.tobytes(), n.tobytes()) for h, n in counted(texts, _HASHES)], columns=["h", "n"])
+
+    # a bounded number of examples and terms: these are numbered on the driver
+    known = materialize(docs.join(if_small(chosen), F.col("id") == F.col("lid")).groupBy("lid", "y").agg(F.min("text").alias("text"))
+                        .select(F.xxhash64("lid").alias("o"), F.col("lid").cast("string").alias("id"), "y", F.pandas_udf(bag, "h binary, n binary")("text").alias("c"))
+                        .select("o", "id", "y", "c.*"), "example_terms")
+    room, last = postings, None
+    for r in known.select("o", "id", (F.octet_length("n") / 4).cast("long").alias("terms")).orderBy("o", "id").toLocalIterator():
+        room -= r["terms"]
+        if room < 0:
+            break
+        last = r["o"]
+    if room < 0:
+        known = known.where(F.col("o") <= F.lit(last)) if last is not None else known.where("false")
+    known = known.orderBy("o", "id").toArrow()
     ids, labelled = known.column("id").to_pylist(), known.column("y").to_pylist()
 
     def arrays(name: str, kind: type) -> list[np.ndarray]:
@@ -245,13 +342,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     del hashes
     number = spark.sparkContext.broadcast(terms)
 
-    def count_terms(texts: pd.Series) -> pd.DataFrame:
-        known, out = number.value, []
-        for h, n in map(hashed_terms, texts):
-            at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
-            is_known = known[at] == h if len(known) else np.zeros(len(h), bool)
-            out.append((at[is_known].astype(np.int32), n[is_known]))
-        return pd.DataFrame(out, columns=["t", "n"])
+    def count_terms(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        of = TermNumbers(number.value)
+        for some in texts:
+            yield pd.DataFrame([(t.astype(np.int32), n) for t, n in counted(some, of)], columns=["t", "n"])
 
     bags = materialize(docs.select("id", F.pandas_udf(count_terms, "t array<int>, n array<int>")("text").alias("c")).select("id", "c.*"), "bags")
     total = bags.count()
@@ -260,9 +354,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     idf[found.column("t").to_numpy()] = np.log((1 + total) / (1 + found.column("count").to_numpy())) + 1
 
     some = [i for i, t in enumerate(numbers) if len(t)]
-    toxic, empty = sum(labelled), len(ids) - len(some)
-    rate = toxic / len(ids) if ids else 0.0
-    base = (toxic - sum(labelled[i] for i in some) + rate) / (empty + 1)
+    rows = [weight[y] for y in labelled]
+    blank = [i for i, t in enumerate(numbers) if not len(t)]
+    rate = sum(w * y for w, y in zip(rows, labelled, strict=True)) / sum(rows) if ids else 0.0
+    base = (sum(rows[i] * labelled[i] for i in blank) + rate) / (sum(rows[i] for i in blank) + 1)
     model = spark.sparkContext.broadcast(Model(idf, [ids[i] for i in some], [labelled[i] for i in some], [(numbers[i], counts[i]) for i in some], base))
 
     def own_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -272,7 +367,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
 
     votes = spark.range(0, len(some), BATCH, numPartitions=min(CALIBRATORS, -(-len(some) // BATCH))).mapInPandas(own_votes, "v double, y double").collect() if some else []
     seen = [(r["v"], r["y"]) for r in votes if r["v"] is not None and not np.isnan(r["v"])]
-    calibrated = Isotonic([v for v, _ in seen], [y for _, y in seen], [1.0] * len(seen)) if seen else None
+    calibrated = Isotonic([v for v, _ in seen], [y * weight[int(y)] for _, y in seen], [weight[int(y)] for _, y in seen]) if seen else None
 
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for t, n in batches:
