@@ -132,6 +132,25 @@ def class_profiles(body_kind: str) -> dict:
             for s in S.SITES}
 
 
+# The same pages with the classes that sites put on their elements: whole class
+# attributes and single ones, so links, title and paragraphs need the tree (X1,
+# X4, X6c as the five sites use them).
+CLASSED = (("nav", "menu  main", "menu main"), ("li", "card first", "card"), ("h1", "entry-title big", "entry-title"), ("article", "post body", "post body"))
+
+
+def classed_profiles() -> dict:
+    import dataclasses
+    box, card, title, body = ((tag, find) for tag, _, find in CLASSED)
+    return {n: dataclasses.replace(p, container=box, card=card, title=title, body=(body,)) for n, p in pages_profiles().items()}
+
+
+def with_classes(crawl: DataFrame) -> DataFrame:
+    html = F.col("html")
+    for tag, attr, _ in CLASSED:
+        html = F.replace(html, F.lit(f"<{tag}>"), F.lit(f'<{tag} class="{attr}" title="a > b">'))
+    return crawl.withColumn("html", html)
+
+
 def with_class_elements(crawl: DataFrame) -> DataFrame:
     day = F.date_format(F.timestamp_add("MINUTE", F.col("page_id"), ntz(PUBLISHED_BASE)), "d/M/yyyy HH:mm")
     head = F.concat(F.lit(f'<time class="{CLASS_DATE[1]}"> '), day, F.lit(f'</time><a class="{CLASS_TYPE[1]}" href="/c">topic '),

@@ -29,6 +29,7 @@ from newsflow.plans import bindings as B
 from newsflow.plans import mentions_job as MJ
 from newsflow.plans import sqlkit as Q
 from newsflow.session import scratch_path
+from newsflow.sinks import tables as TB
 from newsflow.sources import crawl as FR
 from newsflow.sources import jsonarray as JA
 from newsflow.sources import jsonio as J
@@ -585,6 +586,13 @@ def q_page_links(spark, sf_dir):
     return _links(spark, sf_dir)
 
 
+@query("page_links_by_class", f"SELECT site, page_no, card_no, href, false AS failed FROM ({_LINKS_SQL})")
+def q_page_links_by_class(spark, sf_dir):
+    """X1 with class selectors, as the five sites have them."""
+    pages = B.with_classes(_crawl(spark, sf_dir)).select("site", F.col("page_id").alias("page_no"), "html")
+    return X.extract_links(pages, B.classed_profiles())
+
+
 # Some list pages have no container (bindings.with_broken_pages); a
 # site's listing ends there. The oracle states the rule as a running flag.
 _BROKEN_SQL = f"""
@@ -656,6 +664,16 @@ def q_body_paragraphs(spark, sf_dir):
                                          X.clean_body(F.col("body_raw"), F.col("site")).alias("art_content"))
 
 
+@query("fields_by_class", f"""
+  SELECT site, url AS art_url, {_TITLE_SQL} AS art_title, {B.paragraphs_sql('html')} AS art_content
+  FROM ({B.CRAWL_SQL}) WHERE status_code = 200""")
+def q_fields_by_class(spark, sf_dir):
+    """X4 and X6c with class selectors, as the five sites have them."""
+    fields = X.extract_fields(FR.status_ok(B.with_classes(_crawl(spark, sf_dir))), B.classed_profiles())
+    return fields.select("site", "art_url", T.lower(T.collapse_ws("title_raw")).alias("art_title"),
+                         X.clean_body(F.col("body_raw"), F.col("site")).alias("art_content"))
+
+
 @query("reject_split", f"""
   SELECT site, url AS art_url,
          CASE WHEN html NOT LIKE '%<h1>%' THEN 'missing title'
@@ -905,3 +923,19 @@ def q_persons_automaton(spark, sf_dir):
     hits = M.sentences_with_persons(AutomatonTagger(names).tag(docs, "text"), ["doc_id"])
     return hits.select("doc_id", "sentence_no", M.persons_string(F.col("persons")).alias("persons"),
                        F.size("persons").cast("bigint").alias("n_persons"))
+
+
+@query("mentions_store_once", ORACLE["mentions_store"])
+def q_mentions_store_once(spark, sf_dir):
+    """K3 exactly once: an attempt that dies before its commit, the run, and the
+    run started again store the mentions once."""
+    docs = _docs(spark, sf_dir, "doc_id", "text", "source")
+    arts = B.articles_from_documents(docs).drop("source")
+    path, scorer = scratch_path(spark, "mentions-once"), SE.LexiconScorer(FIXTURE_LEXICON)
+    enc, _ = MJ.mentions_job(arts, FIXTURE_KEY, scorer)
+    enc.write.partitionBy("art_source").parquet(f"{path}/{TB.DATA}/{TB.ATTEMPT}=run-1-dead")
+    for _ in range(2):
+        MJ.mentions_job(arts, FIXTURE_KEY, scorer, out_path=path, run_id="run-1")
+    stored = TB.read_committed(spark, path, enc.schema)
+    return stored.select(*[c for c in stored.columns if c not in MJ.MENTION_FIELDS],
+                         *[CR.decrypt(F.col(c), FIXTURE_KEY).alias(c) for c in MJ.MENTION_FIELDS])

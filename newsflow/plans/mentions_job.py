@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from newsflow.functions.crypto import encrypt_columns
 from newsflow.operators.mentions import person_context, persons_string
 from newsflow.operators.sentiment import add_sentiment
-from newsflow.sinks.tables import append_mentions
+from newsflow.sinks.tables import append_mentions, append_once
 
 MENTION_FIELDS = ("Persons", "Context", "Sentiment")
 
@@ -38,11 +38,13 @@ def mention_rows(articles: DataFrame, scorer, tagger=None, text_col: str = "art_
 
 
 def mentions_job(articles: DataFrame, key: str | bytes, scorer, out_path: str | None = None,
-                 tagger=None):
+                 tagger=None, run_id: str | None = None):
     """Full job -> (encrypted mention documents, rejects); the documents are
-    appended to ``out_path`` if given (K3)."""
+    appended to ``out_path`` if given (K3), once for each ``run_id`` if given."""
     rows, rejects = mention_rows(articles, scorer, tagger)
     enc = encrypt_columns(rows, [c for c in MENTION_FIELDS if c in rows.columns], key)
-    if out_path:
+    if out_path and run_id:
+        append_once(enc, out_path, run_id)
+    elif out_path:
         append_mentions(enc, out_path)
     return enc, rejects
