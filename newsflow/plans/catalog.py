@@ -939,3 +939,15 @@ def q_mentions_store_once(spark, sf_dir):
     stored = TB.read_committed(spark, path, enc.schema)
     return stored.select(*[c for c in stored.columns if c not in MJ.MENTION_FIELDS],
                          *[CR.decrypt(F.col(c), FIXTURE_KEY).alias(c) for c in MJ.MENTION_FIELDS])
+
+
+@query("counts_while_writing", f"""
+  SELECT 'links' AS kind, site, n_links AS n FROM ({ORACLE["link_counts"]})
+  UNION ALL SELECT 'articles', site, n_articles FROM ({ORACLE["article_counts"]})""")
+def q_counts_while_writing(spark, sf_dir):
+    """A1, A2: counted while the links and the articles are written."""
+    links = X.links_until_error(_broken_links(spark, sf_dir))
+    articles = B.articles_from_documents(_docs(spark, sf_dir, "doc_id", "text", "source"))
+    n_links = C.write_with_counts(links, scratch_path(spark, "counted-links"))
+    n_articles = C.write_with_counts(articles, scratch_path(spark, "counted-articles"))
+    return n_links.select(F.lit("links").alias("kind"), "site", "n").union(n_articles.select(F.lit("articles"), "site", "n"))
