@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.operators.tagging import WORD, GazetteerTableTagger, split_sentences
@@ -160,6 +160,27 @@ class Matcher:
 SPANS = "array<array<struct<i:int,k:int>>>"
 
 
+def sentence_bounds(sentences: pa.Array) -> np.ndarray:
+    """Where each list of words starts among all words, and the end."""
+    sizes = np.array([len(s) for s in sentences], np.int64) if sentences.null_count else np.diff(sentences.offsets.to_numpy())
+    return np.r_[0, np.cumsum(sizes)]
+
+
+def span_lists(texts: pa.Array, per: np.ndarray, i: list[int], k: list[int]) -> pa.Array:
+    """Spans (first word, words) in text order as ``SPANS``: ``per`` of them in
+    each sentence of ``texts``."""
+    pairs = pa.StructArray.from_arrays([pa.array(i, pa.int32()), pa.array(k, pa.int32())], names=["i", "k"])
+    inner = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(per)], pa.int32()), pairs)
+    counts = texts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), inner)
+
+
+def span_texts(words: str, spans: str) -> Column:
+    """The texts of each sentence's spans."""
+    return F.transform(words, lambda t, s: F.transform(
+        F.element_at(spans, s + 1), lambda m: F.array_join(F.slice(t, m["i"] + 1, m["k"]), " ")))
+
+
 def _match(shared):
     made: list[Matcher] = []
 
@@ -170,14 +191,9 @@ def _match(shared):
         sentences = tokens.flatten()                     # lists of words
         coded = sentences.flatten().dictionary_encode()
         ids = matcher.a.word_ids(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.empty(0, np.int64)
-        sizes = np.array([len(s) for s in sentences], np.int64) if sentences.null_count else np.diff(sentences.offsets.to_numpy())
-        found = matcher.spans(ids, np.r_[0, np.cumsum(sizes)])
-        per = np.array([len(f) for f in found], np.int64)
+        found = matcher.spans(ids, sentence_bounds(sentences))
         flat = [x for f in found for x in f]
-        pairs = pa.StructArray.from_arrays([pa.array([x[j] for x in flat], pa.int32()) for j in (0, 1)], names=["i", "k"])
-        inner = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(per)], pa.int32()), pairs)
-        counts = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), inner)
+        return span_lists(tokens, np.array([len(f) for f in found], np.int64), [i for i, _ in flat], [k for _, k in flat])
     return run
 
 
@@ -196,13 +212,18 @@ class AutomatonTagger:
             automaton = TokenAutomaton([r["w"] for r in listed.toLocalIterator()])
             self.shared = names.sparkSession.sparkContext.broadcast(automaton)
 
-    def tag(self, df: DataFrame, text_col: str) -> DataFrame:
+    def spans(self, df: DataFrame, text_col: str) -> DataFrame:
+        """``df`` with ``sents``, their words ``_toks`` and the names' places
+        ``_spans``; only for names that fit the automaton."""
         if self.dealt:
-            return self.dealt.tag(df, text_col)
+            raise ValueError("places are told for names of at most max_words words")
         match = F.arrow_udf(_match(self.shared), SPANS)
         cut = (df.withColumn("sents", split_sentences(F.col(text_col)))
                .withColumn("_toks", F.transform("sents", lambda s: F.regexp_extract_all(s, F.lit(WORD), 0))))
         low = F.coalesce(F.transform("_toks", lambda t: F.transform(t, F.lower)), F.array().cast("array<array<string>>"))
-        texts = F.transform("_toks", lambda t, s: F.transform(
-            F.element_at("_spans", s + 1), lambda m: F.array_join(F.slice(t, m["i"] + 1, m["k"]), " ")))
-        return cut.withColumn("_spans", match(low)).withColumn("persons", texts).drop("_toks", "_spans")
+        return cut.withColumn("_spans", match(low))
+
+    def tag(self, df: DataFrame, text_col: str) -> DataFrame:
+        if self.dealt:
+            return self.dealt.tag(df, text_col)
+        return self.spans(df, text_col).withColumn("persons", span_texts("_toks", "_spans")).drop("_toks", "_spans")

@@ -20,6 +20,7 @@ from newsflow.operators import extract as X
 from newsflow.operators import lineage as L
 from newsflow.operators import mentions as M
 from newsflow.operators import sentiment as SE
+from newsflow.operators import sequence as SQ
 from newsflow.operators import translate as TR
 from newsflow.operators.automaton import AutomatonTagger
 from newsflow.operators.tagging import GazetteerTagger
@@ -901,13 +902,18 @@ _NAME_TABLE_SQL = """
   WHERE len(n) > 1"""
 
 
-@query("persons_automaton", f"""
-  WITH names AS ({_NAME_TABLE_SQL}),
+# Sentences' words ``toks`` and the places of the table's names in them.
+_NAMES_FOUND_SQL = f"""
+  names AS ({_NAME_TABLE_SQL}),
   s AS (SELECT doc_id, sentence_no, regexp_extract_all(sents[sentence_no + 1], '\\p{{L}}+') AS toks FROM ({Q.DOC_SENTENCES})),
   g AS (SELECT doc_id, sentence_no, i, k, lower(array_to_string(toks[i + 1 : i + k], ' ')) AS g
         FROM (SELECT *, unnest(range(0, len(toks))) AS i FROM s), (VALUES (2), (3)) v(k) WHERE i + k <= len(toks)),
   c AS (SELECT doc_id, sentence_no, list(struct_pack(i, k) ORDER BY i) AS c
-        FROM (SELECT doc_id, sentence_no, i, max(k) AS k FROM g SEMI JOIN names USING (g) GROUP BY ALL) GROUP BY ALL)
+        FROM (SELECT doc_id, sentence_no, i, max(k) AS k FROM g SEMI JOIN names USING (g) GROUP BY ALL) GROUP BY ALL)"""
+
+
+@query("persons_automaton", f"""
+  WITH {_NAMES_FOUND_SQL}
   SELECT doc_id, sentence_no, array_to_string(persons, ',') AS persons, CAST(len(persons) AS BIGINT) AS n_persons
   FROM (SELECT doc_id, sentence_no,
                list_reduce(c, lambda acc, x: CASE WHEN x.i >= acc.nxt THEN
@@ -917,10 +923,70 @@ _NAME_TABLE_SQL = """
 def q_persons_automaton(spark, sf_dir):
     """N2 with the names in a table: one automaton, matched on the map side."""
     docs = _docs(spark, sf_dir, "doc_id", "text")
+    hits = M.sentences_with_persons(AutomatonTagger(_name_table(docs)).tag(docs, "text"), ["doc_id"])
+    return hits.select("doc_id", "sentence_no", M.persons_string(F.col("persons")).alias("persons"),
+                       F.size("persons").cast("bigint").alias("n_persons"))
+
+
+def _name_table(docs):
     words = F.regexp_extract_all("text", F.lit(WORD), 0)
-    names = (docs.select(words.alias("w")).select(F.explode(F.array(F.slice("w", 1, 2), F.slice("w", 2, 2), F.slice("w", 1, 3))).alias("n"))
-             .where(F.size("n") > 1).select(F.array_join("n", " ").alias("name")))
-    hits = M.sentences_with_persons(AutomatonTagger(names).tag(docs, "text"), ["doc_id"])
+    return (docs.select(words.alias("w")).select(F.explode(F.array(F.slice("w", 1, 2), F.slice("w", 2, 2), F.slice("w", 1, 3))).alias("n"))
+            .where(F.size("n") > 1).select(F.array_join("n", " ").alias("name")))
+
+
+# N2 by a hidden Markov model, counted from the table's names in all texts. Tags and
+# paths are strings of the digits 0 to 2; 3 is before and after a sentence.
+def _step_sql(now: int) -> str:
+    """Cost and path of the cheapest way on to tag ``now``."""
+    def way(before):
+        return f"{{'c': acc[{before + 1}].c + st.s{before}{now} + x.e[{now + 1}], 'p': acc[{before + 1}].p || '{now}'}}"
+    least = f"least({', '.join(f'acc[{b + 1}].c + st.s{b}{now}' for b in range(SQ.TAGS))})"
+    first, second, third = (way(b) for b in range(SQ.TAGS))
+    return (f"CASE WHEN acc[1].c + st.s0{now} = {least} THEN {first} WHEN acc[2].c + st.s1{now} = {least} THEN {second} ELSE {third} END")
+
+
+def _sequence_sql() -> str:
+    never = {(SQ.OUTSIDE, SQ.LATER), (SQ.EDGE, SQ.LATER)}
+    steps = ", ".join(f"{SQ.NEVER if (a, b) in never else f'max(cost) FILTER (before = {a} AND tag = {b})'} AS s{a}{b}"
+                      for a in range(SQ.TAGS + 1) for b in range(SQ.TAGS + 1))
+    return f"""
+  WITH {_NAMES_FOUND_SQL},
+  k AS (SELECT doc_id, sentence_no,
+               list_reduce(c, lambda acc, x: CASE WHEN x.i >= acc.nxt THEN {{'nxt': x.i + x.k, 'out': acc.out || repeat('0', CAST(x.i - acc.nxt AS BIGINT)) || '1' || repeat('2', CAST(x.k - 1 AS BIGINT))}}
+                           ELSE acc END, {{'nxt': 0::BIGINT, 'out': ''}}).out AS tags FROM c),
+  w AS (SELECT doc_id, sentence_no, i, toks[i + 1] AS w, CAST(coalesce(nullif(substr(tags, CAST(i + 1 AS BIGINT), 1), ''), '0') AS INT) AS tag
+        FROM (SELECT *, unnest(range(0, len(toks))) AS i FROM s LEFT JOIN k USING (doc_id, sentence_no))),
+  x AS (SELECT doc_id, sentence_no, i, tag, substr(md5(w), 1, {SQ.HEX}) AS bucket,
+               CASE WHEN regexp_matches(w, '^\\p{{Lu}}$') THEN 0 WHEN regexp_matches(w, '^\\p{{Lu}}+$') THEN 1 WHEN regexp_matches(w, '^\\p{{Lu}}') THEN 2 ELSE 3 END
+                 + CASE WHEN i = 0 THEN 4 ELSE 0 END AS shape,
+               coalesce(lag(tag) OVER o, 3) AS before, lead(tag) OVER o IS NULL AS last
+        FROM w WINDOW o AS (PARTITION BY doc_id, sentence_no ORDER BY i)),
+  pairs AS (SELECT before, tag, count(*) AS n FROM (SELECT before, tag FROM x UNION ALL SELECT tag, 3 FROM x WHERE last) GROUP BY ALL),
+  st AS (SELECT {steps} FROM (SELECT before, tag, CAST(floor(-1000 * ln((coalesce(n, 0) + 1.0) / (sum(coalesce(n, 0)) OVER (PARTITION BY before) + {SQ.TAGS + 1})) + 0.5) AS BIGINT) AS cost
+                 FROM (SELECT CAST(a.range AS INT) AS before, CAST(b.range AS INT) AS tag FROM range(4) a, range(4) b) LEFT JOIN pairs USING (before, tag))),
+  often AS (SELECT bucket FROM x GROUP BY bucket HAVING count(*) >= {SQ.RARE}),
+  y AS (SELECT x.*, CASE WHEN o.bucket IS NULL THEN CAST(shape AS VARCHAR) ELSE 'w' || x.bucket END AS sym FROM x LEFT JOIN often o USING (bucket)),
+  size AS (SELECT (SELECT count(*) FROM often) + {SQ.SHAPES} AS symbols, {', '.join(f'count(*) FILTER (tag = {t}) AS n{t}' for t in range(SQ.TAGS))} FROM x),
+  e AS (SELECT sym, [{', '.join(f"CAST(floor(-1000 * ln((count(*) FILTER (tag = {t}) + {SQ.SMOOTH}) / (any_value(n{t}) + {SQ.SMOOTH} * any_value(symbols))) + 0.5) AS BIGINT)" for t in range(SQ.TAGS))}] AS e
+        FROM y, size GROUP BY sym),
+  z AS (SELECT doc_id, sentence_no, list({{'e': e}} ORDER BY i) AS es FROM y JOIN e USING (sym) GROUP BY ALL),
+  v AS (SELECT doc_id, sentence_no, st, list_reduce(es[2:], lambda acc, x: [{', '.join(_step_sql(t) for t in range(SQ.TAGS))}],
+               [{', '.join(f"{{'c': st.s3{t} + es[1].e[{t + 1}], 'p': '{t}'}}" for t in range(SQ.TAGS))}]) AS best FROM z, st),
+  f AS (SELECT doc_id, sentence_no, list_reduce(best, lambda a, b: CASE WHEN b.c < a.c THEN b ELSE a END).p AS path
+        FROM (SELECT doc_id, sentence_no, [{', '.join(f"{{'c': best[{t + 1}].c + st.s{t}3, 'p': best[{t + 1}].p}}" for t in range(SQ.TAGS))}] AS best FROM v)),
+  m AS (SELECT doc_id, sentence_no, i, substr(path, CAST(i + 1 AS BIGINT), 1) AS t, toks[i + 1] AS w
+        FROM (SELECT *, unnest(range(0, len(toks))) AS i FROM f JOIN s USING (doc_id, sentence_no))),
+  n AS (SELECT *, sum(CASE WHEN t = '1' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, sentence_no ORDER BY i) AS no FROM m)
+  SELECT doc_id, sentence_no, string_agg(name, ',' ORDER BY no) AS persons, count(*) AS n_persons
+  FROM (SELECT doc_id, sentence_no, no, string_agg(w, ' ' ORDER BY i) AS name FROM n WHERE t <> '0' GROUP BY ALL) GROUP BY ALL"""
+
+
+@query("persons_sequence", _sequence_sql())
+def q_persons_sequence(spark, sf_dir):
+    """N2 by a hidden Markov model counted where the names of a table stand."""
+    docs = _docs(spark, sf_dir, "doc_id", "text")
+    model = SQ.SequenceModel.learn(SQ.tagged_sentences(AutomatonTagger(_name_table(docs)).spans(docs, "text")))
+    hits = M.sentences_with_persons(SQ.SequenceTagger(model).tag(docs, "text"), ["doc_id"])
     return hits.select("doc_id", "sentence_no", M.persons_string(F.col("persons")).alias("persons"),
                        F.size("persons").cast("bigint").alias("n_persons"))
 
