@@ -34,6 +34,7 @@ from newsflow.sinks import tables as TB
 from newsflow.sources import crawl as FR
 from newsflow.sources import jsonarray as JA
 from newsflow.sources import jsonio as J
+from newsflow.streaming import state as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -1017,3 +1018,56 @@ def q_counts_while_writing(spark, sf_dir):
     n_links = C.write_with_counts(links, scratch_path(spark, "counted-links"))
     n_articles = C.write_with_counts(articles, scratch_path(spark, "counted-articles"))
     return n_links.select(F.lit("links").alias("kind"), "site", "n").union(n_articles.select(F.lit("articles"), "site", "n"))
+
+
+LANDINGS = 2
+
+
+def _landed(df, key, path):
+    """Lands a table in ``LANDINGS`` parts, dealt by a hash, and yields after each."""
+    for k in range(LANDINGS):
+        df.where(F.pmod(F.xxhash64(key), F.lit(LANDINGS)) == k).write.mode("append").parquet(path)
+        yield k
+
+
+@query("links_until_error_stream", _UNTIL_SQL)
+def q_links_until_error_stream(spark, sf_dir):
+    """X3, W2 over a stream: list pages land out of order, the query stops and goes
+    on between the landings, and the first failures are remembered."""
+    pages = B.with_broken_pages(_crawl(spark, sf_dir)).select("site", F.col("page_id").cast("bigint").alias("page_no"), "html")
+    landing, log, progress = (scratch_path(spark, f"listing-{x}") for x in ("pages", "log", "progress"))
+    for _ in _landed(pages, "page_no", landing):
+        _finish(ST.start_links_stream(spark, landing, log, progress, B.pages_profiles()))
+    return ST.links_so_far(spark, log)
+
+
+@query("crawl_pages_stream", ORACLE["crawl_pages"])
+def q_crawl_pages_stream(spark, sf_dir):
+    """S2 as a stream-stream join: requests wait for their pages; a last row much
+    later on both sides lets those go that still wait."""
+    crawl = _crawl(spark, sf_dir)
+    base, hour = F.lit("2024-01-01 00:00:00").cast("timestamp"), 3600
+
+    def at(key, hours):
+        return base + F.make_dt_interval(secs=(F.pmod(F.xxhash64(key), F.lit(hour)) + hours * hour).cast("decimal(18,6)"))
+    requests = (_frontier(spark, sf_dir).select("site", "url", at("page_no", 0).alias("requested_at"))
+                .unionByName(crawl.select("site", "url", at("page_id", 0).alias("requested_at"))))
+    pages = crawl.select("url", "status_code", F.length("html").cast("bigint").alias("html_chars"), at("page_id", 1).alias("fetched_at"))
+    asked, landed, out, progress = (scratch_path(spark, f"fetch-{x}") for x in ("requests", "pages", "out", "progress"))
+    end = spark.range(1).select((base + F.expr("INTERVAL 3 DAYS")).alias("at"))
+    requests_end = end.select(F.lit(None).cast("string").alias("site"), F.lit("last request").alias("url"), F.col("at").alias("requested_at"))
+    pages_end = end.select(F.lit("last page").alias("url"), *(F.lit(None).cast(pages.schema[c].dataType).alias(c) for c in ("status_code", "html_chars")), F.col("at").alias("fetched_at"))
+
+    def run():
+        _finish(ST.start_fetch_stream(spark.readStream.schema(requests.schema).parquet(asked), spark.readStream.schema(pages.schema).parquet(landed),
+                                      out, progress, "status_code", "html_chars", salts=8))
+    for _ in zip(_landed(requests, "url", asked), _landed(pages, "fetched_at", landed), strict=True):
+        run()
+    requests_end.write.mode("append").parquet(asked)
+    pages_end.write.mode("append").parquet(landed)
+    run()
+    return spark.read.parquet(out).select("site", "url", "status_code", "html_chars")
+
+
+def _finish(query):
+    query.awaitTermination()
