@@ -19,6 +19,7 @@ from newsflow.operators import combine as C
 from newsflow.operators import extract as X
 from newsflow.operators import lineage as L
 from newsflow.operators import mentions as M
+from newsflow.operators import ordinal as OR
 from newsflow.operators import sentiment as SE
 from newsflow.operators import sequence as SQ
 from newsflow.operators import translate as TR
@@ -38,6 +39,7 @@ from newsflow.streaming import state as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+NO_SQL = {"chunk_stars_learned"}       # fitted by rounds of gradients: tested against a direct fit
 
 
 def query(name: str, sql: str | None = None):
@@ -1071,3 +1073,14 @@ def q_crawl_pages_stream(spark, sf_dir):
 
 def _finish(query):
     query.awaitTermination()
+
+
+@query("chunk_stars_learned")
+def q_chunk_stars_learned(spark, sf_dir):
+    """N4 by an ordinal model fitted on all labelled documents: toxic ones have one
+    or two stars, others three or four, the higher of the two if of good quality."""
+    docs, labels = _docs(spark, sf_dir, "doc_id", "text"), B.table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    stars = labels.select("doc_id", (3 - 2 * F.col("toxic") + F.col("quality")).alias("stars"))
+    model = OR.OrdinalModel.fit(docs.join(stars, "doc_id"), levels=4)
+    chunks = M.person_context(docs, text_col="text", keep=["doc_id"])
+    return OR.OrdinalScorer(model).score(chunks).select("doc_id", "sentence_no", "chunk_no", "hits", "stars")
