@@ -22,6 +22,7 @@ from newsflow.operators import mentions as M
 from newsflow.operators import ordinal as OR
 from newsflow.operators import sentiment as SE
 from newsflow.operators import sequence as SQ
+from newsflow.operators import shapes as SH
 from newsflow.operators import translate as TR
 from newsflow.operators.automaton import AutomatonTagger
 from newsflow.operators.tagging import GazetteerTagger
@@ -1084,3 +1085,47 @@ def q_chunk_stars_learned(spark, sf_dir):
     model = OR.OrdinalModel.fit(docs.join(stars, "doc_id"), levels=4)
     chunks = M.person_context(docs, text_col="text", keep=["doc_id"])
     return OR.OrdinalScorer(model).score(chunks).select("doc_id", "sentence_no", "chunk_no", "hits", "stars")
+
+
+# U1 with sites that write the same fields in other types, more fields, or no JSON.
+_SHAPE = "CASE WHEN doc_id % 10 = 9 THEN 'd' WHEN doc_id % 3 = 0 THEN 'a' WHEN doc_id % 3 = 1 THEN 'b' ELSE 'c' END"
+_SHAPED_SQL = f"""
+  SELECT doc_id, {_SHAPE} AS site, doc_id AS id, CASE WHEN {_SHAPE} = 'b' THEN n_chars || ' signs' ELSE CAST(n_chars AS VARCHAR) END AS chars,
+         CASE WHEN {_SHAPE} = 'c' THEN '["' || lang || '"]' ELSE lang END AS lang,
+         CASE WHEN {_SHAPE} = 'b' THEN doc_id + 0.5 WHEN {_SHAPE} = 'c' THEN doc_id END AS part, CASE WHEN {_SHAPE} = 'c' THEN source END AS extra
+  FROM documents"""
+
+
+def _shaped(spark, sf_dir):
+    docs = _docs(spark, sf_dir, "doc_id", "n_chars", "lang", "source").withColumn("site", F.expr(_SHAPE))
+    chars, text = F.col("n_chars"), F.concat(F.col("n_chars").cast("string"), F.lit(" signs"))
+    wrote = {"a": (chars.alias("chars"), "lang"),
+             "b": (text.alias("chars"), "lang", (F.col("doc_id") + F.lit(0.5).cast("decimal(2,1)")).alias("part")),
+             "c": (chars.alias("chars"), F.array("lang").alias("lang"), F.col("doc_id").alias("part"), F.col("source").alias("extra"))}
+    json = F.lit("{cut off")
+    for site, fields in wrote.items():
+        json = F.when(F.col("site") == site, F.to_json(F.struct(F.col("doc_id").alias("id"), *fields))).otherwise(json)
+    return docs.select("doc_id", "site", json.alias("json"))
+
+
+@query("union_shapes", f"""
+  SELECT doc_id, site, id, chars, lang, CAST(part AS DOUBLE) AS part, extra, NULL AS unread FROM ({_SHAPED_SQL}) WHERE site <> 'd'
+  UNION ALL SELECT doc_id, site, NULL, NULL, NULL, NULL, NULL, '{{cut off' FROM ({_SHAPED_SQL}) WHERE site = 'd'""")
+def q_union_shapes(spark, sf_dir):
+    """U1 over unlike records: the schema is gathered from them, and widened."""
+    rows = _shaped(spark, sf_dir)
+    union = SH.union_shapes(rows, SH.shape_report(rows))
+    return union.select("doc_id", "site", "fields.id", "fields.chars", "fields.lang", F.col("fields.part").cast("double").alias("part"), "fields.extra", "unread")
+
+
+@query("shape_report", f"""
+  WITH s AS (SELECT * FROM ({_SHAPED_SQL}) WHERE site <> 'd')
+  SELECT site, field, kinds, n, type FROM (
+    SELECT site, 'id' AS field, 'bigint' AS kinds, count(id) AS n, 'bigint' AS type FROM s GROUP BY site
+    UNION ALL SELECT site, 'chars', CASE WHEN site = 'b' THEN 'string' ELSE 'bigint' END, count(chars), 'string' FROM s GROUP BY site
+    UNION ALL SELECT site, 'lang', CASE WHEN site = 'c' THEN 'json' ELSE 'string' END, count(lang), 'string' FROM s GROUP BY site
+    UNION ALL SELECT site, 'part', CASE WHEN site = 'b' THEN 'decimal' ELSE 'bigint' END, count(part), 'decimal(20,1)' FROM s GROUP BY site
+    UNION ALL SELECT site, 'extra', 'string', count(extra), 'string' FROM s GROUP BY site) WHERE n > 0""")
+def q_shape_report(spark, sf_dir):
+    """What each site wrote for each field, and what the union reads it as."""
+    return SH.shape_report(_shaped(spark, sf_dir))
