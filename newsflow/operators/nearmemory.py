@@ -7,7 +7,8 @@ even segments; at most ``distance`` edits leave one of them whole, moved by at m
 ``distance`` characters. So segments are looked up at those places for each length
 within reach, by an equality join of hashes, and no pair within the distance is lost,
 however short or long the texts are. Pairs that meet are told apart first, then
-compared by the built-in bounded edit distance, which fills a band of the table only.
+compared by a bounded edit distance between their common start and end, linear in the
+length (the built-in one took 45 ms for two texts of 3,000 characters).
 
 Texts are shuffled once each for the comparison; the join of segments moves a hash and
 a key. Equal texts are one row on both sides. A segment that very many texts of the
@@ -21,6 +22,9 @@ translations of a remembered text the smallest stands; characters are code point
 
 from __future__ import annotations
 
+from os.path import commonprefix
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +67,34 @@ def sought_segments(lang: Column, text: Column, distance: int) -> Column:
     return F.array_compact(F.array_distinct(bind(F.char_length(text), all_lengths)))
 
 
+def bounded_distance(a: str, b: str, limit: int) -> int:
+    """The edit distance; -1 above the limit. Between the common start and end of
+    the texts, row i of the table is filled where the column is within the limit of i."""
+    if abs(len(a) - len(b)) > limit:
+        return -1
+    start = len(commonprefix((a, b)))
+    a, b = a[start:], b[start:]
+    end = len(commonprefix((a[::-1], b[::-1])))
+    a, b = a[:len(a) - end], b[:len(b) - end]
+    far, columns = limit + 1, len(b)
+    band = [k if 0 <= k <= columns else far for k in range(-limit, limit + 1)]
+    for i, char in enumerate(a, 1):
+        above = [*band, far]                     # the cell above is one place to the right
+        for place in range(2 * limit + 1):
+            j = i + place - limit
+            if j == 0:
+                band[place] = min(i, far)
+            elif 0 < j <= columns:
+                left = band[place - 1] if place else far
+                band[place] = min(above[place] + (char != b[j - 1]), above[place + 1] + 1, left + 1, far)
+            else:
+                band[place] = far
+        if min(band) > limit:
+            return -1
+    found = band[columns - len(a) + limit]
+    return found if found <= limit else -1
+
+
 def near_translations(texts: DataFrame, memory: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``key, text_en, near_text, distance``: for texts (``key, lang, text``) the
     nearest remembered one (``key, lang, text, text_en``) within the distance."""
@@ -70,8 +102,10 @@ def near_translations(texts: DataFrame, memory: DataFrame, distance: int = DISTA
     sought = texts.select("key", F.explode(sought_segments(F.col("lang"), F.col("text"), distance)).alias("h"))
     index = m.select("m_key", F.explode(F.array_distinct(remembered_segments(F.col("m_lang"), F.col("near_text"), distance))).alias("h"))
     pairs = sought.join(index, "h").select("key", "m_key").distinct()
+    told = F.arrow_udf(lambda a, b: pa.array(
+        [bounded_distance(x, y, distance) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.int32()), "int")
     found = (pairs.join(texts.select("key", "lang", "text"), "key").join(m, "m_key").where("lang = m_lang")
-             .withColumn("distance", F.levenshtein("text", "near_text", distance)).where("distance >= 0"))
+             .withColumn("distance", told("text", "near_text")).where("distance >= 0"))
     best = found.groupBy("key").agg(F.min(F.struct("distance", "near_text", "text_en")).alias("b"))
     return best.select("key", "b.text_en", "b.near_text", "b.distance")
 
@@ -82,7 +116,7 @@ def apply_near_memory(df: DataFrame, memory: DataFrame, text_col: str, lang_col:
     known = (memory.where("lang is not null and text is not null and text_en is not null").withColumn("key", tm_key(F.col("lang"), F.col("text")))
              .groupBy("key").agg(F.min(F.struct("lang", "text", "text_en")).alias("m")).select("key", "m.*"))
     known = materialize(known, "memory")
-    near = near_translations(materialize(memory_misses(df, known, text_col, lang_col), "misses"), known, distance)
+    near = materialize(near_translations(materialize(memory_misses(df, known, text_col, lang_col), "misses"), known, distance), "near")
     side = (known.select("key", "text_en", F.lit(0).alias("distance")).unionByName(near.select("key", "text_en", "distance"))
             .select(F.col("key").alias("_key"), F.col("text_en").alias("_en"), F.col("distance").alias("_distance")))
     foreign = F.coalesce(F.col(lang_col) != TARGET, F.lit(True))
