@@ -6,10 +6,11 @@ followed while a name may still grow, else the failure link leads to the longest
 suffix that may; every name that ends at a word is reported, and the reports are
 folded leftmost-longest. No n-gram is built and no text is shuffled.
 
-The automaton is broadcast, so its size is checked first: names of more words in
-all than ``max_words`` are not gathered; they are matched by
-:class:`~newsflow.operators.tagging.GazetteerTableTagger`, which deals the
-n-grams of the text to the names by a join. Both give the same rows.
+The automaton is broadcast, so its size is checked first. Names of more words in
+all than ``max_words`` are not gathered but dealt (:class:`DealtNames`): a bitmap of
+their hashes, of at most ``2 ** MAX_BITS`` bits, tells on the map side which places
+of a text may hold a name; only those are joined to the names, and what is found is
+joined back to the texts. Both give the same rows.
 
 Defined results: null texts have no sentences; names are compared in lower case
 by their words (runs of letters); null names and names without a word match
@@ -18,15 +19,19 @@ nothing; repeated names count once; persons keep the text's spelling.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.operators.tagging import WORD, GazetteerTableTagger, split_sentences
+from newsflow.operators.tagging import WORD, split_sentences
+from newsflow.session import materialize
 
 MAX_WORDS = 2_000_000     # words of all names: about 100 MB of arrays
+MAX_BITS = 29             # of the dealt form's bitmap: 64 MB; a fuller one lets more places pass, all of them checked
 _REMEMBERED = 1_000_000   # transitions a Python worker remembers
 
 
@@ -197,33 +202,144 @@ def _match(shared):
     return run
 
 
+def gram_hashes(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """A hash of the ``k`` words from each place on, from the words' hashes."""
+    out = np.full(len(at), k, np.uint64)
+    for j in range(k):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + words[at + j]
+    return out ^ (out >> np.uint64(32))
+
+
+def hashed_words(words: pa.Array) -> np.ndarray:
+    coded = words.dictionary_encode()
+    if not len(coded):
+        return np.empty(0, np.uint64)
+    return np.array([word_hash(w) for w in coded.dictionary.to_pylist()], np.uint64)[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def bit_pair(h: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a hash in a bitmap of ``2 ** n_bits``."""
+    mask = np.uint64(2 ** n_bits - 1)
+    return (h & mask).astype(np.int64), (h >> np.uint64(64 - n_bits)).astype(np.int64)
+
+
+def _name_bits(n_bits: int):
+    def run(names: pa.Array) -> pa.Array:
+        words, size = hashed_words(names.flatten()), names.value_lengths().to_numpy(zero_copy_only=False)
+        first, out = np.cumsum(size) - size, np.empty((len(size), 2), np.int64)
+        for k in np.unique(size).tolist():
+            mine = np.flatnonzero(size == k)
+            out[mine] = np.stack(bit_pair(gram_hashes(words, first[mine], k), n_bits), axis=1)
+        return pa.ListArray.from_arrays(pa.array(2 * np.arange(len(size) + 1), pa.int32()), pa.array(out.ravel()))
+    return run
+
+
+def _may_be_names(shared):
+    """Places of a text's sentences whose hash the bitmap of the names holds."""
+    def run(tokens: pa.Array) -> pa.Array:
+        bitmap, n_bits, sizes = shared.value
+        sentences = tokens.flatten()
+        words, bounds = hashed_words(sentences.flatten()), sentence_bounds(sentences)
+        left = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(len(words))      # words to the sentence's end
+        places, lengths = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for k in sizes:
+            at = np.flatnonzero(left >= k)
+            one, two = bit_pair(gram_hashes(words, at, k), n_bits)
+            held = bitmap[one >> 3] >> (one & 7).astype(np.uint8) & bitmap[two >> 3] >> (two & 7).astype(np.uint8) & 1
+            places.append(at[held > 0])
+            lengths.append(np.full(len(places[-1]), k))
+        at, k = np.concatenate(places), np.concatenate(lengths)
+        order = np.argsort(at, kind="stable")
+        at, k = at[order], k[order]
+        sentence = np.searchsorted(bounds, at, "right") - 1
+        return span_lists(tokens, np.bincount(sentence, minlength=len(bounds) - 1), at - bounds[sentence], k)
+    return run
+
+
+def _leftmost_longest(found: pa.Array, sentences: pa.Array) -> pa.Array:
+    """The names found in a text (sentence, first word, words) as ``SPANS``."""
+    counts, per, first, size = np.maximum(sentences.to_numpy(zero_copy_only=False), 0), [], [], []
+    for names, n in zip(found.to_pylist(), counts.tolist(), strict=True):
+        kept = [0] * n
+        for s, mine in itertools.groupby(sorted((x["s"], x["i"], -x["k"]) for x in names or []), lambda x: x[0]):
+            end = 0
+            for _, i, k in mine:
+                if i >= end:
+                    first.append(i)
+                    size.append(-k)
+                    kept[s] += 1
+                    end = i - k
+        per += kept
+    pairs = pa.StructArray.from_arrays([pa.array(first, pa.int32()), pa.array(size, pa.int32())], names=["i", "k"])
+    inner = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(per)], pa.int32()), pairs)
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), inner)
+
+
+class DealtNames:
+    """Names that are too many for an automaton, in a table with their words ``w``
+    in lower case. Texts are told apart by their MD5, so keys may repeat."""
+
+    def __init__(self, listed: DataFrame, max_bits: int = MAX_BITS):
+        sizes = {r["k"]: r["n"] for r in listed.groupBy(F.size("w").alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        n_bits = max(15, min(max_bits, (16 * sum(sizes.values())).bit_length()))
+        bits = (listed.select(F.explode(F.arrow_udf(_name_bits(n_bits), "array<bigint>")("w")).alias("bit"))
+                .select(F.shiftright("bit", 15).alias("part"), F.col("bit").bitwiseAND(2 ** 15 - 1).alias("bit"))
+                .repartition("part").groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")))
+        bitmap = np.zeros((2 ** (n_bits - 15), 2 ** 12), np.uint8)
+        for r in bits.toLocalIterator():
+            bitmap[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+        self.names = listed.select(F.array_join("w", " ").alias("_name"))
+        self.shared = listed.sparkSession.sparkContext.broadcast((bitmap.ravel(), n_bits, sorted(sizes)))
+
+    def spans(self, df: DataFrame, text_col: str) -> DataFrame:
+        """``df`` with ``sents``, ``_toks`` and ``_spans``."""
+        text_id = F.md5(F.col(text_col).cast("binary"))
+        maybe = F.arrow_udf(_may_be_names(self.shared), SPANS)
+        low = with_words(df.select(text_col).where(F.col(text_col).isNotNull()), text_col).select(
+            text_id.alias("_text_id"), lowered("_toks").alias("_low"))
+        place = F.flatten(F.transform("_places", lambda places, s: F.transform(places, lambda m: F.struct(
+            s.alias("s"), m["i"].alias("i"), m["k"].alias("k"),
+            F.array_join(F.slice(F.get("_low", s), m["i"] + 1, m["k"]), " ").alias("_name")))))
+        found = (low.withColumn("_places", maybe("_low")).select("_text_id", F.inline(place))
+                 .join(self.names, "_name", "left_semi")
+                 .groupBy("_text_id").agg(F.collect_set(F.struct("s", "i", "k")).alias("_found")))
+        joined = df.withColumn("_text_id", text_id).join(found, "_text_id", "left")
+        fold = F.arrow_udf(_leftmost_longest, SPANS)
+        return (with_words(joined, text_col).withColumn("_spans", fold("_found", F.coalesce(F.size("sents"), F.lit(0))))
+                .drop("_text_id", "_found"))
+
+
+def with_words(df: DataFrame, text_col: str) -> DataFrame:
+    return (df.withColumn("sents", split_sentences(F.col(text_col)))
+            .withColumn("_toks", F.transform("sents", lambda s: F.regexp_extract_all(s, F.lit(WORD), 0))))
+
+
+def lowered(toks: str) -> Column:
+    return F.coalesce(F.transform(toks, lambda t: F.transform(t, F.lower)), F.array().cast("array<array<string>>"))
+
+
 class AutomatonTagger:
-    """Gazetteer given as a DataFrame with a ``name`` column. ``key_col`` is a
-    unique column of the texts, needed only by the dealt form."""
+    """Gazetteer given as a DataFrame with a ``name`` column. ``key_col`` is not
+    needed any more; it stays for callers that name it."""
 
     name = "gazetteer-automaton"
 
     def __init__(self, names: DataFrame, key_col: str = "doc_id", max_words: int = MAX_WORDS):
         words = F.transform(F.regexp_extract_all(F.col("name"), F.lit(WORD), 0), F.lower)
-        listed = names.where("name is not null").select(words.alias("w")).where(F.size("w") > 0).distinct()
+        listed = materialize(names.where("name is not null").select(words.alias("w")).where(F.size("w") > 0).distinct(), "names")
         total = listed.agg(F.sum(F.size("w"))).first()[0] or 0
-        self.dealt = GazetteerTableTagger(names, key_col) if total > max_words else None
+        self.dealt = DealtNames(listed) if total > max_words else None
         if not self.dealt:
             automaton = TokenAutomaton([r["w"] for r in listed.toLocalIterator()])
             self.shared = names.sparkSession.sparkContext.broadcast(automaton)
 
     def spans(self, df: DataFrame, text_col: str) -> DataFrame:
         """``df`` with ``sents``, their words ``_toks`` and the names' places
-        ``_spans``; only for names that fit the automaton."""
+        ``_spans``."""
         if self.dealt:
-            raise ValueError("places are told for names of at most max_words words")
+            return self.dealt.spans(df, text_col)
         match = F.arrow_udf(_match(self.shared), SPANS)
-        cut = (df.withColumn("sents", split_sentences(F.col(text_col)))
-               .withColumn("_toks", F.transform("sents", lambda s: F.regexp_extract_all(s, F.lit(WORD), 0))))
-        low = F.coalesce(F.transform("_toks", lambda t: F.transform(t, F.lower)), F.array().cast("array<array<string>>"))
-        return cut.withColumn("_spans", match(low))
+        return with_words(df, text_col).withColumn("_spans", match(lowered("_toks")))
 
     def tag(self, df: DataFrame, text_col: str) -> DataFrame:
-        if self.dealt:
-            return self.dealt.tag(df, text_col)
         return self.spans(df, text_col).withColumn("persons", span_texts("_toks", "_spans")).drop("_toks", "_spans")

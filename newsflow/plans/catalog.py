@@ -936,7 +936,8 @@ def q_persons_automaton(spark, sf_dir):
 
 
 def _name_table(docs):
-    words = F.regexp_extract_all("text", F.lit(WORD), 0)
+    start = F.regexp_extract("text", r"^(?:\P{L}*+\p{L}++){0,3}", 0)      # only the first three words are looked for
+    words = F.regexp_extract_all(start, F.lit(WORD), 0)
     return (docs.select(words.alias("w")).select(F.explode(F.array(F.slice("w", 1, 2), F.slice("w", 2, 2), F.slice("w", 1, 3))).alias("n"))
             .where(F.size("n") > 1).select(F.array_join("n", " ").alias("name")))
 

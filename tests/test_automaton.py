@@ -4,6 +4,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+from newsflow.operators import automaton as A
 from newsflow.operators.automaton import AutomatonTagger, Matcher, TokenAutomaton
 from newsflow.operators.tagging import GazetteerTagger
 
@@ -66,3 +67,29 @@ def test_no_names_and_extra_columns(spark):
     assert got.persons == [[], []] and got.doc_id == 1
     empty = AutomatonTagger(docs.select(F.col("text").alias("name"))).tag(docs.where("false"), "text")
     assert empty.collect() == []
+
+
+def test_dealt_names_give_the_same_places(spark):
+    draw = random.Random(8)
+    say = lambda n: " ".join(draw.choice(["Ab", "cd", "É", "x", "no"]) for _ in range(n))
+    texts = [say(draw.randrange(0, 30)).replace("no", "no. ") for _ in range(40)] + [None, "", "...", "Ab cd. " * 30]
+    keys = [None if i % 7 == 0 else i % 5 for i in range(len(texts))]                    # repeated and null
+    docs = spark.createDataFrame(list(zip(keys, texts, strict=True)) * 2, "doc_id long, text string").repartition(3)
+    names = spark.createDataFrame([(say(draw.randrange(1, 5)),) for _ in range(12)] + [("Ab cd Ab",), (None,)], "name string")
+    rows = lambda t: sorted(repr((r.doc_id, r.sents, r._toks, r._spans)) for r in t.spans(docs, "text").collect())
+    dealt = AutomatonTagger(names, max_words=3)
+    assert dealt.dealt and rows(dealt) == rows(AutomatonTagger(names))
+    persons = lambda t: sorted(repr((r.doc_id, r.persons)) for r in t.tag(docs, "text").collect())
+    assert persons(dealt) == persons(AutomatonTagger(names))
+
+
+def test_few_places_but_the_names_pass_the_bitmap(spark):
+    listed = spark.createDataFrame([([f"a{i}", f"b{i}"],) for i in range(3000)], "w array<string>")
+    dealt = A.DealtNames(listed)
+    told = A._may_be_names(dealt.shared)
+    count = lambda words: sum(len(s) for t in told(A.pa.array([[words]])).to_pylist() for s in t)
+    assert all(count([f"a{i}", f"b{i}"]) == 1 for i in range(0, 3000, 100))
+    assert count([f"{c}{i}" for i in range(10_000) for c in "cd"]) < 1000      # of 19,999 pairs
+    full = A.DealtNames(listed, max_bits=15)                                   # a smaller bitmap lets more pass, the join drops them
+    docs = spark.createDataFrame([(1, "Aa bb." * 3)], "doc_id long, text string")
+    assert full.spans(docs, "text").first()._spans == [[]]
