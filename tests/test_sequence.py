@@ -83,3 +83,10 @@ def test_edges(spark):
     plan = SQ.SequenceTagger(model).tag(docs.coalesce(1), "text")._jdf.queryExecution().optimizedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
     assert SQ.SequenceTagger(model).tag(docs.where("false"), "text").collect() == []
+
+
+def test_counts_from_names_too_many_for_an_automaton(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["Al Bo met Cy. Al Bo went", "Cy Di. no", None])], "doc_id long, text string")
+    names = spark.createDataFrame([("Al Bo",), ("Cy Di",), ("Cy",)], "name string")
+    rows = lambda m: sorted(map(repr, SQ.tag_counts(SQ.tagged_sentences(AutomatonTagger(names, max_words=m).spans(docs, "text"))).collect()))
+    assert rows(2) == rows(100)
