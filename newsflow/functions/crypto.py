@@ -13,6 +13,7 @@ keep ``explain`` output of these plans out of logs.
 from __future__ import annotations
 
 import base64
+import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ INVALID_TOKEN_MESSAGE = "Invalid token encountered during decryption"
 
 VERSION = b"\x80"
 MIN_TOKEN_BYTES = 1 + 8 + 16 + 16 + 32
+# Characters outside the alphabet. Each one of it is named: a class of single
+# characters is looked up in a table, one of ranges is tried range by range.
+STRAY = f"[^{string.ascii_letters}{string.digits}+/=]+"
 
 
 def split_key(key: str | bytes) -> tuple[bytes, bytes]:
@@ -45,6 +49,14 @@ def _seconds_be(seconds: Column) -> Column:
     return F.unhex(F.lpad(F.hex(seconds.cast("bigint")), 16, "0"))
 
 
+def _replaced(text: Column, by: dict[str, str]) -> Column:
+    """Each character replaced; a search in the bytes for each, while ``translate``
+    looks up every character."""
+    for old, new in by.items():
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def encrypt_columns(df: DataFrame, cols: list[str], key: str | bytes,
                     seconds: Column | None = None, iv: bytes | None = None) -> DataFrame:
     """Replace each string column by its Fernet token.
@@ -71,9 +83,9 @@ def encrypt_columns(df: DataFrame, cols: list[str], key: str | bytes,
 
     step1 = df.select("*", *[F.concat(F.lit(bytearray(VERSION)), ts, aes(c)).alias(tmp[c]) for c in cols])
     step1 = step1.drop(*cols)
-    tokens = {c: F.when(F.col(tmp[c]).isNotNull(), F.translate(F.regexp_replace(
-        F.base64(F.concat(F.col(tmp[c]), hmac_sha256(F.col(tmp[c]), signing))), "[\\r\\n]", ""),
-        "+/", "-_")) for c in cols}
+    tokens = {c: F.when(F.col(tmp[c]).isNotNull(), _replaced(
+        F.base64(F.concat(F.col(tmp[c]), hmac_sha256(F.col(tmp[c]), signing))),
+        {"\r": "", "\n": "", "+": "-", "/": "_"})) for c in cols}
     out = step1.select("*", *[tokens[c].alias(c) for c in cols]).drop(*tmp.values())
     return out.select(*df.columns)
 
@@ -99,10 +111,10 @@ def decrypt(token: Column, key: str | bytes) -> Column:
 
     # url-safe decoding skips characters outside the alphabet; only a token
     # that does not decode as it is gets cleaned. The version byte makes "g" the
-    # first character, so other texts are not decoded at all.
-    plain64 = F.translate(token, "-_", "+/")
-    clean = F.regexp_replace(plain64, "[^A-Za-z0-9+/=]+", "")
-    raw = F.when(plain64.rlike("^[^A-Za-z0-9+/]*g"),
+    # first character, so other texts are not decoded at all, nor rewritten.
+    plain64 = _replaced(token, {"-": "+", "_": "/"})
+    clean = F.regexp_replace(plain64, STRAY, "")
+    raw = F.when(token.rlike("^[^A-Za-z0-9+/_-]*g"),
                  F.coalesce(F.try_to_binary(plain64, F.lit("base64")), F.try_to_binary(clean, F.lit("base64"))))
     bound = F.element_at(F.transform(F.array(raw), check), 1)
     return F.coalesce(bound, F.lit(INVALID_TOKEN_MESSAGE))

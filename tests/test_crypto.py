@@ -52,3 +52,18 @@ def test_constant_column_gets_fresh_ivs(spark):
     assert len({t[12:34] for t in toks}) == 20          # one IV per row, not one per plan
     back = C.encrypt_columns(df, ["c"], KEY).select(C.decrypt(F.col("c"), KEY).alias("p")).collect()
     assert {r["p"] for r in back} == {"same text"}
+
+
+def test_decoding_looks_up_no_character_twice(spark):
+    """Tokens and other texts against Python's decoding; no step maps character by character."""
+    key = base64.urlsafe_b64encode(bytes(range(32))).decode()
+    text = "né\r\n+/-_= " * 40
+    df = C.encrypt_columns(spark.createDataFrame([(text,), ("",), (None,)], "t string"), ["t"], key)
+    plan = df.select(C.decrypt(F.col("t"), key))._jdf.queryExecution().analyzed().toString()
+    assert "translate(" not in plan and "a-z" not in C.STRAY
+    stray = "".join(chr(c) for c in range(1, 128) if not (chr(c).isalnum() or chr(c) in "-_+/=")) + "é€😀"
+    forms = [F.col("t"), F.concat(F.lit(stray), F.col("t")), F.concat(F.substring("t", 1, 33), F.lit(stray), F.expr("substring(t, 34)"))]
+    for row, want in zip(df.select(*[C.decrypt(f, key) for f in forms]).collect(), [text, "", C.INVALID_TOKEN_MESSAGE], strict=True):
+        assert list(row) == [want] * 3
+    tok = df.first()[0]
+    assert "\n" not in tok and "+" not in tok and "/" not in tok and base64.urlsafe_b64decode(tok)[0] == 0x80
