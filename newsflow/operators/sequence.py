@@ -9,6 +9,7 @@ own words, and by the shape of words that are rare.
   a fixed greatest size whatever the vocabulary); words of buckets seen fewer
   than ``RARE`` times are their shape instead (a capital, all capitals,
   capitalised, other; apart at the start of a sentence).
+* A task looks at each different word of a batch once (Arrow), not at each word.
 * Counting is one aggregation with map-side sums over (tag before, tag, bucket,
   shape); a frequent word costs a row a task. What reaches the driver has at most
   a row for each bucket.
@@ -24,7 +25,11 @@ persons; a model of no texts tags nothing; I follows B or I only.
 
 from __future__ import annotations
 
+import hashlib
+import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,22 +43,39 @@ from newsflow.session import materialize
 OUTSIDE, FIRST, LATER, EDGE = 0, 1, 2, 3     # tags; EDGE is before and after a sentence
 TAGS, SHAPES = 3, 8
 HEX = 5                                      # digits of the MD5: 2 ** 20 buckets
+CODES = 16 ** HEX * SHAPES + 1               # of words, and one for the end of a sentence
+HELD = 1 << 19                               # rows of counts that a task keeps
 RARE = 5
 SMOOTH = 0.5                                 # added to the counts of words
 NEVER = 10 ** 9
 
 
-def shape(word: Column, at: Column) -> Column:
-    kind = (F.when(word.rlike(r"^\p{Lu}$"), 0).when(word.rlike(r"^\p{Lu}+$"), 1).when(word.rlike(r"^\p{Lu}"), 2).otherwise(3))
-    return kind + F.when(at == 0, 4).otherwise(0)
+@lru_cache(maxsize=100_000)
+def word_code(word: str) -> int:
+    """bucket * SHAPES + shape of a word inside a sentence."""
+    shape = 3
+    if word and not word.islower() and unicodedata.category(word[0]) == "Lu":
+        shape = 0 if len(word) == 1 else 1 if all(unicodedata.category(c) == "Lu" for c in word) else 2
+    return (int.from_bytes(hashlib.md5(word.encode(), usedforsecurity=False).digest()[:4]) >> 32 - 4 * HEX) * SHAPES + shape
+
+
+def sentence_codes(words: pa.Array, bounds: np.ndarray) -> np.ndarray:
+    """Each word of sentences (words ``bounds[k]`` to ``bounds[k + 1]``) as bucket * SHAPES +
+    shape; different words are looked at once."""
+    coded = words.dictionary_encode()
+    if not len(coded):
+        return np.empty(0, np.int64)
+    out = np.fromiter(map(word_code, coded.dictionary.to_numpy(zero_copy_only=False)), np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+    out[bounds[:-1][np.diff(bounds) > 0]] += 4
+    return out
 
 
 def codes(words: Column) -> Column:
-    """Each word of a sentence as bucket * SHAPES + shape."""
-    def code(w, i):
-        bucket = F.conv(F.substring(F.md5(w.cast("binary")), 1, HEX), 16, 10).cast("int")
-        return bucket * SHAPES + shape(w, i)
-    return F.transform(words, code)
+    """The codes of a sentence's words."""
+    def run(sentences: pa.Array) -> pa.Array:
+        bounds = sentence_bounds(sentences)
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(sentence_codes(sentences.flatten(), bounds), pa.int32()))
+    return F.arrow_udf(run, "array<int>")(words)
 
 
 def tags(words: Column, spans: Column) -> Column:
@@ -67,18 +89,45 @@ def tags(words: Column, spans: Column) -> Column:
     return F.concat(F.flatten(parts), F.array_repeat(F.lit(OUTSIDE), F.size(words) - last))
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``step, code, n``: how often each step (tag before * 4 + tag) to a word comes
+    (code -1: to the end), summed over a task as far as ``HELD`` rows hold it."""
+    def table(key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(key // CODES, pa.int32()), pa.array(key % CODES - 1, pa.int32()), pa.array(n, pa.int64())], ["step", "code", "n"])
+
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        key, which = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        n = np.zeros(len(key), np.int64)
+        np.add.at(n, which, np.concatenate([n for _, n in parts]))
+        return key, n
+
+    parts, held = [], 0
+    for batch in batches:
+        words, bounds = batch.column(0).flatten(), sentence_bounds(batch.column(0))
+        tag = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        before, (first, end) = np.r_[EDGE, tag[:-1]], (bounds[:-1], bounds[1:])
+        before[first] = EDGE
+        key = np.r_[(before * 4 + tag) * CODES + sentence_codes(words, bounds) + 1, (tag[end - 1] * 4 + EDGE) * CODES]
+        parts.append(np.unique(key, return_counts=True))
+        held += len(parts[-1][0])
+        if held > HELD:
+            parts = [merged(parts)]
+            held = len(parts[0][0])
+            if held > HELD // 2:
+                yield table(*parts[0])
+                parts, held = [], 0
+    if parts:
+        yield table(*merged(parts))
+
+
 def tag_counts(tagged: DataFrame, words: str = "words", tag: str = "tags") -> DataFrame:
     """``before, tag, bucket, shape, n`` over sentences with an array of words
-    and one of tags. Rows with tag EDGE (bucket null) count the sentences' ends."""
-    def row(before, now, code):
-        return F.struct(before.cast("int").alias("before"), now.cast("int").alias("tag"), code.cast("int").alias("code"))
-
-    steps = F.transform("c", lambda c, i: row(F.coalesce(F.get("t", i - 1), F.lit(EDGE)), F.get("t", i), c))
-    end = F.array(row(F.get("t", F.size("t") - 1), F.lit(EDGE), F.lit(None)))
-    found = (tagged.where(F.size(words) > 0).select(codes(F.col(words)).alias("c"), F.col(tag).alias("t"))
-             .select(F.inline(F.concat(steps, end))))
-    return (found.groupBy("before", "tag", "code").agg(F.count(F.lit(1)).alias("n"))
-            .select("before", "tag", F.floor(F.col("code") / SHAPES).cast("int").alias("bucket"), (F.col("code") % SHAPES).alias("shape"), "n"))
+    and one of as many tags. Rows with tag EDGE (bucket null) count the sentences' ends."""
+    code = F.when(F.col("code") >= 0, F.col("code"))
+    return (tagged.where(F.size(words) > 0).select(words, tag).mapInArrow(_summed, "step int, code int, n long")
+            .groupBy("step", "code").agg(F.sum("n").alias("n"))
+            .select(F.floor(F.col("step") / 4).cast("int").alias("before"), (F.col("step") % 4).alias("tag"),
+                    F.floor(code / SHAPES).cast("int").alias("bucket"), (code % SHAPES).alias("shape"), "n"))
 
 
 def cost(n: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -157,14 +206,14 @@ def cheapest(costs: np.ndarray, bounds: np.ndarray, steps: np.ndarray) -> np.nda
 
 
 def _decode(shared):
-    def run(coded: pa.Array) -> pa.Array:
-        model, sentences = shared.value, coded.flatten()
+    def run(tokens: pa.Array) -> pa.Array:
+        model, sentences = shared.value, tokens.flatten()
         bounds = sentence_bounds(sentences)
-        found = cheapest(model.of(sentences.flatten().to_numpy(zero_copy_only=False).astype(np.int64)), bounds, model.steps)
+        found = cheapest(model.of(sentence_codes(sentences.flatten(), bounds)), bounds, model.steps)
         first, no_later = np.flatnonzero(found == FIRST), np.r_[np.flatnonzero(found != LATER), len(found)]
         size = no_later[np.searchsorted(no_later, first, "right")] - first
         sentence = np.searchsorted(bounds, first, "right") - 1
-        return span_lists(coded, np.bincount(sentence, minlength=len(bounds) - 1), first - bounds[sentence], size)
+        return span_lists(tokens, np.bincount(sentence, minlength=len(bounds) - 1), first - bounds[sentence], size)
     return run
 
 
@@ -180,8 +229,7 @@ class SequenceTagger:
         decode = F.arrow_udf(_decode(df.sparkSession.sparkContext.broadcast(self.model)), SPANS)
         cut = (df.withColumn("sents", self.sentences(F.col(text_col)))
                .withColumn("_toks", F.transform("sents", lambda s: F.regexp_extract_all(s, F.lit(WORD), 0))))
-        coded = F.coalesce(F.transform("_toks", codes), F.array().cast("array<array<int>>"))
-        return cut.withColumn("_spans", decode(coded)).withColumn("persons", span_texts("_toks", "_spans")).drop("_toks", "_spans")
+        return cut.withColumn("_spans", decode("_toks")).withColumn("persons", span_texts("_toks", "_spans")).drop("_toks", "_spans")
 
 
 def tagged_sentences(found: DataFrame) -> DataFrame:

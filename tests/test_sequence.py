@@ -90,3 +90,27 @@ def test_counts_from_names_too_many_for_an_automaton(spark):
     names = spark.createDataFrame([("Al Bo",), ("Cy Di",), ("Cy",)], "name string")
     rows = lambda m: sorted(map(repr, SQ.tag_counts(SQ.tagged_sentences(AutomatonTagger(names, max_words=m).spans(docs, "text"))).collect()))
     assert rows(2) == rows(100)
+
+
+def test_counts_in_parts_and_codes_by_expression(spark, monkeypatch):
+    """Tasks sum their counts, in parts where they are many; a word's code is that of Spark's own functions."""
+    draw = random.Random(5)
+    words = ["Al", "x", "X", "XY", "Éa", "ÉÀ", "𝒜b", "𐐀", "ǅa", "ⅷ", "ß", "", "名", "aB"]
+    rows = [([w for w in draw.choices(words, k=draw.randrange(0, 9))],) for _ in range(300)]
+    rows = [(w, [draw.randrange(SQ.TAGS) for _ in w]) for w, in rows]
+    df = spark.createDataFrame(rows, "words array<string>, tags array<int>").coalesce(1)
+    want = {}
+    for w, t in rows:
+        for i, (a, b) in enumerate(zip([SQ.EDGE, *t], [*t, SQ.EDGE], strict=True)):
+            key = (a, b, SQ.word_code(w[i]) + 4 * (i == 0) if i < len(w) else None)
+            want[key] = want.get(key, 0) + (len(w) > 0)
+    want = sorted((a, b, *((None, None) if c is None else divmod(c, SQ.SHAPES)), n) for (a, b, c), n in want.items() if n)
+    assert sorted(map(tuple, SQ.tag_counts(df).collect()), key=str) == sorted(want, key=str)
+    batches = [spark.createDataFrame(rows[k:k + 50], df.schema).where("size(words) > 0").toArrow().combine_chunks().to_batches()[0] for k in range(0, 300, 50)]
+    monkeypatch.setattr(SQ, "HELD", 8)
+    parts = [r for b in SQ._summed(iter(batches)) for r in b.to_pylist()]
+    assert len(parts) > len(want) and sum(r["n"] for r in parts) == sum(n for *_, n in want)
+    kind = (F.when(F.col("w").rlike(r"^\p{Lu}$"), 0).when(F.col("w").rlike(r"^\p{Lu}+$"), 1).when(F.col("w").rlike(r"^\p{Lu}"), 2).otherwise(3))
+    by_spark = spark.createDataFrame([(w,) for w in words], "w string").select(
+        "w", (F.conv(F.substring(F.md5(F.col("w").cast("binary")), 1, SQ.HEX), 16, 10).cast("int") * SQ.SHAPES + kind).alias("c")).collect()
+    assert [r.c for r in by_spark] == [SQ.word_code(r.w) for r in by_spark]
