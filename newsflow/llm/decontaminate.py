@@ -41,8 +41,13 @@ SLICE = 4_000_000   # 64-bit hashes broadcast at a time: 32 MB
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
+def folded(text: str) -> bytes:
+    """The text in UTF-8 with its words in lower case and spaces between them."""
+    return text.encode().translate(_FOLD)
+
+
 def words_of(text: str | None) -> list[bytes]:
-    return text.encode().translate(_FOLD).split() if text else []
+    return folded(text).split() if text else []
 
 
 def item_windows(words: list[bytes]) -> list[list[bytes]]:

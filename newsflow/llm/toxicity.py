@@ -28,9 +28,8 @@ smallest is the example; without labelled rows every score is
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -39,8 +38,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import HASH_CACHE, if_small
-from newsflow.llm.decontaminate import words_of
+from newsflow.llm.common import if_small
+from newsflow.llm.decontaminate import folded
 from newsflow.llm.labels import Isotonic, training_labels
 from newsflow.session import materialize
 
@@ -48,20 +47,18 @@ EXAMPLES = 4_000      # labelled rows that the index is made of
 POSTINGS = 4_000_000  # and their different terms, added up
 STEMS = (4, 5)        # letters of a stem; stems catch inflected forms
 K = 15
-BLOCK = 256
-DENSE = 1_024         # terms of most examples that are kept as dense columns
+BLOCK = 512
+DENSE = 2_048         # terms of most examples that are kept as dense columns
 BATCH = 256           # documents searched at a time
 CALIBRATORS = 12      # tasks that the examples' own votes are computed in
-ROUNDING = 1e-4       # more than the error of single precision sums
+ROUNDING = 2e-4       # more than the error of single precision sums of DENSE terms
 EVIDENCE = 5
-
-
-def terms_of_word(word: bytes) -> list[bytes]:
-    """The word and, if it is longer, its stems of STEMS letters."""
-    if len(word) <= STEMS[0]:
-        return [word]
-    text = word.decode()
-    return [word, *(text[:k].encode() + b"*" for k in STEMS if len(text) > k)]
+PAIR = np.dtype([("number", np.int32), ("weight", np.float32)])
+TOGETHER = 1 << 20    # characters of the texts whose words are counted together
+SLICE = 1 << 15       # words hashed at a time
+WIDTH = 32            # strings of fewer bytes are hashed as arrays
+PRIMES = [np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)    # masks of the first n bytes
 
 
 class Flat(NamedTuple):
@@ -83,16 +80,16 @@ class BlockMaxIndex:
     have each term's largest weight in each block, which bounds the block."""
 
     def __init__(self, vectors: list[dict[int, float]] | Flat, terms: int, block: int = BLOCK):
-        self.start, self.t, self.w = vectors if isinstance(vectors, Flat) else Flat.of(vectors)
-        self.n, self.block, self.terms = len(self.start) - 1, block, terms
-        of = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.start))
-        rows = np.bincount(self.t, minlength=terms)
+        start, t, w = vectors if isinstance(vectors, Flat) else Flat.of(vectors)
+        self.n, self.block = len(start) - 1, block
+        of = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(start))
+        rows = np.bincount(t, minlength=terms)
         common = np.argsort(-rows, kind="stable")[:DENSE]
-        self.column = np.full(terms, -1, np.int32)
-        self.column[common[rows[common] > 0]] = np.arange((rows[common] > 0).sum())
-        col = self.column[self.t]
+        column = np.full(terms, -1, np.int32)
+        column[common[rows[common] > 0]] = np.arange((rows[common] > 0).sum())
+        col = column[t]
         dense = np.zeros((self.n, min(DENSE, terms)), np.float32)
-        dense[of[col >= 0], col[col >= 0]] = self.w[col >= 0]
+        dense[of[col >= 0], col[col >= 0]] = w[col >= 0]
         self.rank = self._alike(dense)
         place = np.empty(self.n, np.int32)
         place[self.rank] = np.arange(self.n, dtype=np.int32)
@@ -100,17 +97,32 @@ class BlockMaxIndex:
         del dense
         self.blocks = -(-self.n // block)
         self.top = np.stack([self.dense[b * block:(b + 1) * block].max(axis=0) for b in range(self.blocks)])
-        rare = np.flatnonzero(col < 0)
-        rare = rare[np.lexsort((place[of[rare]], self.t[rare]))]
-        self.at, self.weight = place[of[rare]], self.w[rare]
-        # an entry for each term and block: its block, largest weight, first posting
-        of_term, of_block = self.t[rare], self.at // block
+        rare = np.flatnonzero(col < 0)      # most frequent terms first, as queries mostly read these
+        rare = rare[np.lexsort((place[of[rare]], t[rare], -rows[t[rare]]))]
+        self.postings = self._pairs(place[of[rare]], w[rare])
+        # an entry for each term and block: its block and largest weight, and its first posting
+        of_term, of_block = t[rare], place[of[rare]] // block
         first = np.flatnonzero(np.r_[True, (of_term[1:] != of_term[:-1]) | (of_block[1:] != of_block[:-1])]) if len(rare) else rare
         self.posting = np.r_[first, len(rare)]
-        self.in_block = of_block[first]
-        self.most = np.maximum.reduceat(self.weight, first) if len(rare) else self.weight
-        self.entry = np.concatenate([[0], np.cumsum(np.bincount(of_term[first], minlength=terms))])
-        self.query = np.zeros(terms)      # weights of one query's terms, else 0
+        self.entries = self._pairs(of_block[first], np.maximum.reduceat(w[rare], first) if len(rare) else w[rare])
+        # for each term together: dense column or -1, first entry, entries, first posting, postings
+        self.table = np.zeros((terms, 5), np.int32)
+        self.table[:, 0] = column
+        for j, x in (1, of_term[first]), (3, of_term):
+            at = np.flatnonzero(np.diff(x, prepend=-1))
+            self.table[x[at], j], self.table[x[at], j + 1] = at, np.diff(at, append=len(x))
+
+    @staticmethod
+    def _pairs(number: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Numbers and weights side by side, to be read together by ``_read``."""
+        pairs = np.empty(len(number), PAIR)
+        pairs["number"], pairs["weight"] = number, weight
+        return pairs.view(np.int64)
+
+    @staticmethod
+    def _read(pairs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = pairs.take(at).view(PAIR)
+        return found["number"].astype(np.int64), found["weight"]
 
     @staticmethod
     def _alike(dense: np.ndarray, groups: int = 16, rounds: int = 4) -> np.ndarray:
@@ -125,73 +137,72 @@ class BlockMaxIndex:
     @staticmethod
     def _ranges(low: np.ndarray, size: np.ndarray) -> np.ndarray:
         """All numbers of the ranges that start at ``low``, one after the other."""
-        ends = np.cumsum(size)
-        return np.repeat(low - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-
-    def _entries(self, t: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The entries of a query's rare terms, and the query's weight for each."""
-        size = self.entry[t + 1] - self.entry[t]
-        return self._ranges(self.entry[t], size), np.repeat(w, size)
-
-    def _rare_part(self, entries: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """What the postings of some entries add to each example."""
-        size = self.posting[entries + 1] - self.posting[entries]
-        flat = self._ranges(self.posting[entries], size)
-        return np.bincount(self.at[flat], self.weight[flat] * np.repeat(w, size), minlength=self.n)
+        low, size = low[size > 0], size[size > 0]
+        flat = np.ones(size.sum(), np.int64)
+        flat[:1] = low[:1]
+        flat[np.cumsum(size[:-1])] = low[1:] - low[:-1] - size[:-1] + 1
+        return np.cumsum(flat, out=flat)
 
     def search_many(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
         """For each query (terms, weights) the k examples of largest cosine
         above 0: (cosine, example), ties by example number."""
         m, step = len(queries), self.block
         q = np.zeros((m, self.dense.shape[1]), np.float32)
-        score = np.zeros((m, self.blocks * step), np.float32)
-        bound, rare = np.zeros((m, self.blocks)), []
+        score = np.zeros((m, self.n), np.float32)     # what the dense columns add
+        bound, parts = np.zeros((m, self.blocks)), []
         for i, (t, w) in enumerate(queries):
-            c = self.column[t]
-            q[i, c[c >= 0]] = w[c >= 0]
-            rare.append(self._entries(t[c < 0], w[c < 0]))
-            e, of = rare[-1]
-            bound[i] = np.bincount(self.in_block[e], self.most[e] * of, minlength=self.blocks)
+            part = self.table.take(t, axis=0).T
+            is_rare = part[0] < 0
+            common, rare = np.flatnonzero(~is_rare), np.flatnonzero(is_rare)
+            columns = part[0, common]
+            q[i, columns] = w[common]
+            _, low, size, *postings = part[:, rare]
+            block, most = self._read(self.entries, self._ranges(low, size))
+            bound[i] = np.bincount(block, most * np.repeat(w[rare], size), minlength=self.blocks)
+            parts.append((common, columns, rare, low, size, *postings))
         bound += q @ self.top.T
         best = bound.argmax(axis=1)
-        done = np.zeros((m, self.blocks), bool)
 
         def visit(wanted: np.ndarray) -> None:
             for b in np.flatnonzero(wanted.any(axis=0)):
                 who, rows = np.flatnonzero(wanted[:, b]), self.dense[b * step:(b + 1) * step]
-                score[who, b * step:b * step + len(rows)] += q[who] @ rows.T
-            for i in np.flatnonzero(wanted.any(axis=1)):
-                e, of = rare[i]
-                here = wanted[i][self.in_block[e]]
-                score[i, :self.n] += self._rare_part(e[here], of[here])
-            done[wanted] = True
+                if 2 * len(who) > m:      # dearer to pick than to do all
+                    who = slice(None)
+                score[who, b * step:b * step + len(rows)] = q[who] @ rows.T
 
         keep = k + (without is not None)
-        visit(np.arange(self.blocks) == best[:, None])
-        least = np.zeros(m, np.float32)       # the k-th best of a query's best block
+        done = np.arange(self.blocks) == best[:, None]
+        visit(done)
+        least = np.zeros(m, np.float32)       # no weight is negative: the k-th best of a query's best block is no less
         for i, b in enumerate(best):
-            found = score[i, b * step:min((b + 1) * step, self.n)]
+            found = score[i, b * step:(b + 1) * step]
             if len(found) >= keep:
                 least[i] = np.partition(found, len(found) - keep)[len(found) - keep]
-        visit(~done & (bound >= least[:, None] - ROUNDING) & (bound > 0))
-        out = []
-        for i, (t, w) in enumerate(queries):
-            s = np.where(np.repeat(done[i], step)[:self.n], score[i, :self.n], 0)
-            edge = np.partition(s, self.n - keep)[self.n - keep] if self.n > keep else 0.0
-            near = self.rank[np.flatnonzero((s >= edge - ROUNDING) & (s > 0))]
-            exact = self._cosines(t, w, near)
-            order = sorted((-float(x), int(e)) for x, e in zip(exact, near, strict=True) if x > 0 and (without is None or e != without[i]))
-            out.append([(-s, e) for s, e in order[:k]])
-        return out
-
-    def _cosines(self, t: np.ndarray, w: np.ndarray, examples: np.ndarray) -> np.ndarray:
-        """The cosines in double precision, so that equal examples tie."""
-        self.query[t] = w
-        size = self.start[examples + 1] - self.start[examples]
-        flat = self._ranges(self.start[examples], size)
-        out = np.bincount(np.repeat(np.arange(len(examples)), size), self.query[self.t[flat]] * self.w[flat], minlength=len(examples))
-        self.query[t] = 0.0
-        return out
+        more = ~done & (bound >= least[:, None] - ROUNDING) & (bound > 0)
+        visit(more)
+        done |= more
+        return [self._nearest(w, score[i], done[i], parts[i], k, keep, None if without is None else without[i]) for i, (_, w) in enumerate(queries)]
+
+    def _nearest(self, w: np.ndarray, score: np.ndarray, done: np.ndarray, part: tuple[np.ndarray, ...], k: int, keep: int, without: int | None) -> list[tuple[float, int]]:
+        """The k nearest in the blocks that are ``done``, of which ``score`` has
+        the dense part."""
+        common, columns, rare, entry, entries, low, size = part
+        if not done.all():      # else all postings of a term, which lie together
+            e = self._ranges(entry, entries)
+            here = done[self._read(self.entries, e)[0]]
+            e, rare = e[here], np.repeat(rare, entries)[here]
+            low, size = self.posting[e], self.posting[e + 1] - self.posting[e]
+            score = np.where(np.repeat(done, self.block)[:self.n], score, 0)
+        at, adds = self._read(self.postings, self._ranges(low, size))
+        adds = adds * np.repeat(w[rare], size)
+        rest = np.bincount(at, adds, minlength=self.n)
+        s = score + rest
+        edge = np.partition(s, self.n - keep)[self.n - keep] if self.n > keep else 0.0
+        near = np.flatnonzero((s >= edge - ROUNDING) & (s > 0))
+        # the candidates' cosines in double precision, each summed in the same order, so that equal examples tie
+        exact = rest[near] + np.concatenate([(self.dense[near[j:j + BLOCK, None], columns] * w[common]).sum(axis=1) for j in range(0, len(near), BLOCK)] or [[]])
+        order = sorted((-x, n) for x, n in zip(exact.tolist(), self.rank[near].tolist(), strict=True) if x > 0 and n != without)
+        return [(-x, n) for x, n in order[:k]]
 
     def search(self, query: dict[int, float], k: int, without: int | None = None) -> list[tuple[float, int]]:
         pair = (np.fromiter(query, np.int64, len(query)), np.fromiter(query.values(), float, len(query)))
@@ -232,7 +243,7 @@ class Model:
         return [(self.vote(near)[0], y) for near, y in zip(found, self.labels[lo:hi], strict=True)]
 
     def vector(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        w = (1 + np.log(n)) * self.idf[t]
+        w = (1 + np.log(n)) * self.idf.take(t)
         return t, (w / np.sqrt(w @ w) if len(w) else w)
 
     def vote(self, near: list[tuple[float, int]]) -> tuple[float | None, list[str]]:
@@ -246,56 +257,115 @@ class Model:
             return [(self.base, [])] * len(bags)
         out = []
         for at in range(0, len(bags), BATCH):
-            for near in self.index.search_many([self.vector(*b) for b in bags[at:at + BATCH]], K):
-                v, ids = self.vote(near)
-                out.append((self.base if v is None else float(calibrated(np.array([v]))[0]), ids))
+            votes = [self.vote(near) for near in self.index.search_many([self.vector(*b) for b in bags[at:at + BATCH]], K)]
+            scores = calibrated(np.array([0.0 if v is None else v for v, _ in votes]))
+            out += [(self.base if v is None else float(s), ids) for (v, ids), s in zip(votes, scores, strict=True)]
         return out
 
 
-class TermNumbers(dict):
-    """For a word the numbers of its terms, remembered for some words: their
-    64-bit hashes, or, given the examples' sorted terms, places among these."""
-
-    def __init__(self, terms: np.ndarray | None = None):
-        super().__init__()
-        self.terms = terms
-
-    def learn(self, words: set[bytes]) -> None:
-        """Looks up all words of a batch that are not remembered, together."""
-        missing = [w for w in words if w not in self]
-        if len(self) + len(missing) > HASH_CACHE:
-            self.clear()
-            missing = list(words)
-        found = [terms_of_word(w) for w in missing]
-        h = np.fromiter((xxhash.xxh64_intdigest(t) for ts in found for t in ts), np.uint64)
-        numbers = h.tolist()
-        if self.terms is not None:
-            at = np.minimum(np.searchsorted(self.terms, h), max(len(self.terms) - 1, 0))
-            numbers = np.where(self.terms[at] == h, at, -1).tolist() if len(self.terms) else [-1] * len(h)
-        at = 0
-        for w, ts in zip(missing, found, strict=True):
-            self[w] = [n for n in numbers[at:at + len(ts)] if n >= 0]
-            at += len(ts)
-
-
-_HASHES = TermNumbers()
+def rotated(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def short_hashes(rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """xxh64 of many strings of fewer than WIDTH bytes at once: the first
+    ``sizes`` bytes of each row."""
+    p1, p2, p3, p4, p5 = PRIMES
+    words = rows.view("<u8").T & KEPT[np.clip(sizes - 8 * np.arange(WIDTH // 8)[:, None], 0, 8)]
+    h = p5 + sizes.astype(np.uint64)
+    for j in range(WIDTH // 8 - 1):
+        long = np.flatnonzero(sizes >= 8 * j + 8)
+        h[long] = rotated(h[long] ^ (rotated(words[j, long] * p2, 31) * p1), 27) * p1 + p4
+    tail, left = words[sizes // 8, np.arange(len(sizes))], sizes % 8
+    h = np.where(left >= 4, rotated(h ^ ((tail & np.uint64(0xFFFFFFFF)) * p1), 23) * p2 + p3, h)
+    tail = np.where(left >= 4, tail >> np.uint64(32), tail)
+    for j in range(3):
+        h = np.where(left % 4 > j, rotated(h ^ (((tail >> np.uint64(8 * j)) & np.uint64(0xFF)) * p5), 11) * p1, h)
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))
+
+
+def word_numbers(blob: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of a blob, which goes on for WIDTH bytes
+    after the last."""
+    rows = np.lib.stride_tricks.sliding_window_view(blob, WIDTH)
+    out = np.empty(len(starts), np.uint64)
+    for lo in range(0, len(starts), SLICE):
+        s, n = starts[lo:lo + SLICE], sizes[lo:lo + SLICE]
+        out[lo:lo + SLICE] = short_hashes(rows[s], np.minimum(n, WIDTH - 1))
+    for i in np.flatnonzero(sizes >= WIDTH):
+        out[i] = xxhash.xxh64_intdigest(blob[starts[i]:starts[i] + sizes[i]].tobytes())
+    return out
 
 
-def counted(texts: Iterable[str | None], terms: TermNumbers) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each text its terms, as ``terms`` numbers them, and their counts."""
-    bags = [Counter(words_of(t.lower()) if t else ()) for t in texts]
-    terms.learn(set().union(*bags))
+def stem_numbers(rows: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length of STEMS: which words (the first bytes of each, spaces
+    behind the end) have more letters, and the hashes of these stems with a `*`."""
+    letters = np.cumsum((rows & 0xC0) != 0x80, axis=1, dtype=np.int8)
     out = []
-    for bag in bags:
-        found = list(map(terms.__getitem__, bag))
-        t = np.array(list(chain.from_iterable(found)), np.uint64)
-        n = np.repeat(np.fromiter(bag.values(), np.int32, len(bag)), np.fromiter(map(len, found), np.int32, len(found)))
-        order = np.argsort(t)
-        first = np.flatnonzero(np.r_[True, np.diff(t[order]) != 0]) if len(t) else order
-        out.append((t[order[first]], np.add.reduceat(n[order], first).astype(np.int32) if len(t) else n))
+    for k in STEMS:
+        size = (letters <= k).sum(axis=1)
+        who = np.flatnonzero(size < sizes)
+        stems, size = rows[who], size[who]
+        stems[np.arange(len(who)), size] = ord("*")
+        out.append((who, short_hashes(stems, size + 1)))
     return out
 
 
+def counted_together(texts: list[str | None], terms: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text its terms and their counts, all texts at once: the words
+    are cut and hashed as arrays, and each different word is looked up once."""
+    parts = [folded(t.lower()) if t else b"" for t in texts]
+    blob = np.frombuffer(b" ".join([b"", *parts, b" " * WIDTH]), np.uint8)
+    edges = np.flatnonzero(np.diff(blob != ord(" "))) + 1
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, np.cumsum([0] + [len(p) + 1 for p in parts]))))
+    word, different = pd.factorize(word_numbers(blob, starts, sizes))
+    first = np.empty(len(different), np.int64)
+    first[word[::-1]] = np.arange(len(word))[::-1]
+    stems = stem_numbers(np.lib.stride_tricks.sliding_window_view(blob, WIDTH)[starts[first]], sizes[first])
+    of, found = pd.factorize(np.concatenate([different, *(h for _, h in stems)]))
+    order = np.argsort(found)
+    known = found[order] if terms is None else terms
+    at = np.minimum(np.searchsorted(known, found[order]), max(len(known) - 1, 0))
+    number = np.empty(len(found), np.int64)
+    number[order] = np.where(known[at] == found[order], at, -1) if len(known) else -1
+    of = number[of]
+    numbers = np.full((1 + len(STEMS), len(different)), -1)
+    numbers[0], lo = of[:len(different)], len(different)
+    for row, (who, _) in zip(numbers[1:], stems, strict=True):
+        row[who] = of[lo:lo + len(who)]
+        lo += len(who)
+    size = max(len(known), 1)
+    keys = numbers.take(word, axis=1)
+    left = keys >= 0
+    keys += text * size
+    keys = keys[left]
+    keys.sort()
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    counts = np.diff(first, append=len(keys)).astype(np.int32)
+    keys = keys[first]
+    ends = np.searchsorted(keys, np.arange(len(texts) + 1) * size)
+    for i, (lo, hi) in enumerate(pairwise(ends)):
+        t = keys[lo:hi] - i * size
+        yield known[t] if terms is None else t, counts[lo:hi]
+
+
+def counted(texts: Iterable[str | None], terms: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text its terms and their counts, by term. Terms are 64-bit
+    hashes or, given some sorted hashes, places among these, others left out."""
+    some, size = [], 0
+    for t in texts:
+        some.append(t)
+        size += len(t) if t else 0
+        if size >= TOGETHER:
+            yield from counted_together(some, terms)
+            some, size = [], 0
+    if some:
+        yield from counted_together(some, terms)
+
+
 def sampled(labels: DataFrame, label: str, examples: int) -> tuple[DataFrame, dict[int, float]]:
     """At most ``examples`` labelled rows, half of each label as far as there
     are as many, and how many rows each one stands for, by label."""
@@ -315,7 +385,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     chosen, weight = sampled(labels, label, examples)
 
     def bag(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([(h.tobytes(), n.tobytes()) for h, n in counted(texts, _HASHES)], columns=["h", "n"])
+        return pd.DataFrame([(h.tobytes(), n.tobytes()) for h, n in counted(texts)], columns=["h", "n"])
 
     # a bounded number of examples and terms: these are numbered on the driver
     known = materialize(docs.join(if_small(chosen), F.col("id") == F.col("lid")).groupBy("lid", "y").agg(F.min("text").alias("text"))
@@ -343,9 +413,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     number = spark.sparkContext.broadcast(terms)
 
     def count_terms(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        of = TermNumbers(number.value)
         for some in texts:
-            yield pd.DataFrame([(t.astype(np.int32), n) for t, n in counted(some, of)], columns=["t", "n"])
+            yield pd.DataFrame([(t.astype(np.int32), n) for t, n in counted(some, number.value)], columns=["t", "n"])
 
     bags = materialize(docs.select("id", F.pandas_udf(count_terms, "t array<int>, n array<int>")("text").alias("c")).select("id", "c.*"), "bags")
     total = bags.count()

@@ -223,6 +223,55 @@ def test_block_max_search_is_exact():
         assert np.allclose([s for s, _ in got], [s for s, _ in want]) and len(got) == len(want)
 
 
+@pytest.mark.parametrize("dense", [5, 2048])
+def test_dense_and_rare_terms_together_are_exact(monkeypatch, dense):
+    monkeypatch.setattr(toxicity, "DENSE", dense)
+    draws = np.random.default_rng(9)
+    share = 1 / np.arange(1, 301)
+    vectors = []
+    for i in range(500):
+        t = np.sort(draws.choice(300, draws.integers(1, 30), replace=False, p=share / share.sum()))
+        w = draws.random(len(t)) ** 2 + 0.01
+        vectors.append({int(a): float(b) for a, b in zip(t, (w / np.linalg.norm(w)).astype(np.float32), strict=True)})
+    vectors[100:110] = [vectors[7]] * 10      # equal examples tie
+    index = toxicity.BlockMaxIndex(vectors, 300, block=32)
+    asked = [5, 7, *range(100, 160)]
+    pairs = [(np.array(list(vectors[i])), np.array(list(vectors[i].values()), float)) for i in asked]
+    for i, got in zip(asked, index.search_many(pairs, 6, asked), strict=True):
+        all_ = sorted((-sum(w * v.get(t, 0.0) for t, w in vectors[i].items()), e) for e, v in enumerate(vectors) if e != i)
+        assert np.allclose([s for s, _ in got], [-s for s, _ in all_[:6] if s < 0], atol=1e-12)
+        assert {e for _, e in got} <= {e for s, e in all_ if -s >= got[-1][0] - 1e-9} and got == sorted(got, key=lambda x: (-x[0], x[1]))
+    alike = [7, *range(100, 110)]
+    assert [e for _, e in index.search(vectors[7], 11)] == alike
+
+
+def test_terms_are_hashed_together(monkeypatch):
+    from collections import Counter
+
+    import xxhash
+    from newsflow.llm.decontaminate import words_of
+    texts = ["", None, " \n\t ", "ab abcd abcde abcdef ABCDEF abcd1", "İx Über straße naïveté 中文字符 中文字符很 中文字符很多", "x" * 31 + " " + "y" * 32 + ", " + "é" * 40, "q " * 5,
+             " ".join("w" * i + " " + "é" * i for i in range(1, 32)), " ".join(f"word{i % 700}" for i in range(3000))]
+    monkeypatch.setattr(toxicity, "TOGETHER", 300)
+    want = []
+    for text in texts:
+        bag = Counter()
+        for word in words_of((text or "").lower()):
+            letters = word.decode()
+            bag.update([word, *(letters[:k].encode() + b"*" for k in toxicity.STEMS if len(letters) > k)])
+        want.append(sorted((xxhash.xxh64_intdigest(t), n) for t, n in bag.items()))
+    one_by_one = []
+    monkeypatch.setattr(toxicity.xxhash, "xxh64_intdigest", lambda w, plain=xxhash.xxh64_intdigest: one_by_one.append(w) or plain(w))
+    got = [list(zip(t.tolist(), n.tolist(), strict=True)) for t, n in toxicity.counted(texts)]
+    assert got == want
+    assert all(len(w) >= toxicity.WIDTH for w in one_by_one)      # only long words one by one
+    some = np.unique(np.array([h for bag in want for h, _ in bag[::2]], np.uint64))
+    known = set(some.tolist())
+    got = [[(int(some[t]), n) for t, n in zip(*pair, strict=True)] for pair in toxicity.counted(texts, some)]
+    assert got == [[(h, n) for h, n in bag if h in known] for bag in want]
+    assert [len(t) for t, _ in toxicity.counted(texts, some[:0])] == [0] * len(texts)
+
+
 def test_copies_of_toxic_texts_are_found_by_all_their_words(spark):
     draw = random.Random(7)
     text = lambda: " ".join(f"w{draw.randrange(3000)}" for _ in range(40))
