@@ -7,10 +7,11 @@ suffix that may; every name that ends at a word is reported, and the reports are
 folded leftmost-longest. No n-gram is built and no text is shuffled.
 
 The automaton is broadcast, so its size is checked first. Names of more words in
-all than ``max_words`` are not gathered but dealt (:class:`DealtNames`): a bitmap of
-their hashes, of at most ``2 ** MAX_BITS`` bits, tells on the map side which places
-of a text may hold a name; only those are joined to the names, and what is found is
-joined back to the texts. Both give the same rows.
+all than ``max_words`` are told by hashes (:class:`DealtNames`): a bitmap of at most
+``2 ** MAX_BITS`` bits tells on the map side which places of a text may hold a name.
+Up to ``MAX_LISTED`` names are broadcast as 96 bits each, and those places looked up
+there, without a shuffle. More names are not gathered but dealt: the places are joined
+to them, and what is found is joined back to the texts. All give the same rows.
 
 Defined results: null texts have no sentences; names are compared in lower case
 by their words (runs of letters); null names and names without a word match
@@ -19,26 +20,23 @@ nothing; repeated names count once; persons keep the text's spelling.
 
 from __future__ import annotations
 
-import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.operators.tagging import WORD, split_sentences
+from newsflow.operators.wordscan import Words, letter_runs, string_hashes
 from newsflow.session import materialize
 
 MAX_WORDS = 2_000_000     # words of all names: about 100 MB of arrays
 MAX_BITS = 29             # of the dealt form's bitmap: 64 MB; a fuller one lets more places pass, all of them checked
+MAX_LISTED = 2 ** 23      # names of which each hash is gathered: 96 MB
 _REMEMBERED = 1_000_000   # transitions a Python worker remembers
 
 
-def word_hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode())
-
-
 class TokenAutomaton:
     """Flat arrays: ``words`` (sorted hashes), ``keys`` (state * words + word,
     sorted) with ``child``, and by state ``fail``, ``length`` (words of the name
@@ -47,7 +45,7 @@ class TokenAutomaton:
 
     def __init__(self, names: list[list[str]]):
         names = sorted({tuple(n) for n in names if n})
-        flat = np.array([word_hash(w) for n in names for w in n], np.uint64)
+        flat = string_hashes(pa.array([w for n in names for w in n], pa.string()))
         size = np.array([len(n) for n in names], np.int64)
         first = np.cumsum(size) - size
         self.words = np.unique(flat)
@@ -99,11 +97,15 @@ class TokenAutomaton:
 
     def word_ids(self, words: list[str]) -> np.ndarray:
         """Numbers of the words; -1 for those in no name."""
+        return self.ids_of(string_hashes(pa.array(words, pa.string())))
+
+    def ids_of(self, h: np.ndarray) -> np.ndarray:
+        """The same, from the words' hashes."""
         if not len(self.words):
-            return np.full(len(words), -1)
-        h = np.array([word_hash(w) for w in words], np.uint64)
-        i = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[i] == h, i, -1)
+            return np.full(len(h), -1)
+        different, which = np.unique(h, return_inverse=True)
+        i = np.minimum(np.searchsorted(self.words, different), len(self.words) - 1)
+        return np.where(self.words[i] == different, i, -1)[which]
 
 
 class Matcher:
@@ -186,35 +188,32 @@ def span_texts(words: str, spans: str) -> Column:
         F.element_at(spans, s + 1), lambda m: F.array_join(F.slice(t, m["i"] + 1, m["k"]), " ")))
 
 
-def _match(shared):
+def _match(shared, runs: bytes):
     made: list[Matcher] = []
 
-    def run(tokens: pa.Array) -> pa.Array:
+    def run(texts: pa.Array) -> pa.Array:
         if not made:
             made.append(Matcher(shared.value))
-        matcher = made[0]
-        sentences = tokens.flatten()                     # lists of words
-        coded = sentences.flatten().dictionary_encode()
-        ids = matcher.a.word_ids(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.empty(0, np.int64)
-        found = matcher.spans(ids, sentence_bounds(sentences))
+        matcher, words = made[0], Words(texts.flatten(), runs)
+        found = matcher.spans(matcher.a.ids_of(words.lower_hashes()), words.bounds)
         flat = [x for f in found for x in f]
-        return span_lists(tokens, np.array([len(f) for f in found], np.int64), [i for i, _ in flat], [k for _, k in flat])
+        return span_lists(texts, np.array([len(f) for f in found], np.int64), [i for i, _ in flat], [k for _, k in flat])
     return run
 
 
-def gram_hashes(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+def gram_hashes(words: np.ndarray, at: np.ndarray, k: int, odd: int = 0x9E3779B97F4A7C15) -> np.ndarray:
     """A hash of the ``k`` words from each place on, from the words' hashes."""
     out = np.full(len(at), k, np.uint64)
     for j in range(k):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + words[at + j]
-    return out ^ (out >> np.uint64(32))
+        out *= np.uint64(odd)
+        out += words[at + j]
+    out ^= out >> np.uint64(32)
+    return out
 
 
-def hashed_words(words: pa.Array) -> np.ndarray:
-    coded = words.dictionary_encode()
-    if not len(coded):
-        return np.empty(0, np.uint64)
-    return np.array([word_hash(w) for w in coded.dictionary.to_pylist()], np.uint64)[coded.indices.to_numpy(zero_copy_only=False)]
+def gram_checks(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """32 bits of another hash."""
+    return (gram_hashes(words, at, k, 0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32)
 
 
 def bit_pair(h: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -223,84 +222,158 @@ def bit_pair(h: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (h & mask).astype(np.int64), (h >> np.uint64(64 - n_bits)).astype(np.int64)
 
 
+def _name_hashes(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    words, size = string_hashes(names.flatten()), names.value_lengths().to_numpy(zero_copy_only=False)
+    first, out, check = np.cumsum(size) - size, np.empty(len(size), np.uint64), np.empty(len(size), np.uint32)
+    for k in np.unique(size).tolist():
+        mine = np.flatnonzero(size == k)
+        out[mine], check[mine] = gram_hashes(words, first[mine], k), gram_checks(words, first[mine], k)
+    return out, check
+
+
 def _name_bits(n_bits: int):
     def run(names: pa.Array) -> pa.Array:
-        words, size = hashed_words(names.flatten()), names.value_lengths().to_numpy(zero_copy_only=False)
-        first, out = np.cumsum(size) - size, np.empty((len(size), 2), np.int64)
-        for k in np.unique(size).tolist():
-            mine = np.flatnonzero(size == k)
-            out[mine] = np.stack(bit_pair(gram_hashes(words, first[mine], k), n_bits), axis=1)
-        return pa.ListArray.from_arrays(pa.array(2 * np.arange(len(size) + 1), pa.int32()), pa.array(out.ravel()))
+        bits = np.stack(bit_pair(_name_hashes(names)[0], n_bits), axis=1)
+        return pa.ListArray.from_arrays(pa.array(2 * np.arange(len(bits) + 1), pa.int32()), pa.array(bits.ravel()))
     return run
 
 
+def _hashed_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each batch of names: their hashes and checks, as bytes."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in _name_hashes(batch.column(0))], ["hash", "check"])
+
+
+def places(words: np.ndarray, bounds: np.ndarray, listed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sentence, word and number of words where the names' hashes, or without them
+    their bitmap, hold the hash, from the hashes of the words in lower case."""
+    bitmap, n_bits, sizes, hashes, checks = listed
+    left = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(len(words))      # words to the sentence's end
+    found, lengths = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for k in sizes:
+        at = np.flatnonzero(left >= k)
+        h = gram_hashes(words, at, k)
+        for bit in (0, 1):
+            place = bit_pair(h, n_bits)[bit]
+            held = np.flatnonzero(bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+            at, h = at[held], h[held]
+        if hashes is not None:
+            i = np.searchsorted(hashes, h)
+            held = np.flatnonzero(i < len(hashes))
+            held = held[hashes[i[held]] == h[held]]
+            at = at[held[checks[i[held]] == gram_checks(words, at[held], k)]]
+        found.append(at)
+        lengths.append(np.full(len(found[-1]), k))
+    at, k = np.concatenate(found), np.concatenate(lengths)
+    order = np.argsort(at, kind="stable")
+    at, k = at[order], k[order]
+    return np.searchsorted(bounds, at, "right") - 1, at, k
+
+
 def _may_be_names(shared):
-    """Places of a text's sentences whose hash the bitmap of the names holds."""
+    """Places of a text's sentences, given as lists of words, that may be names."""
     def run(tokens: pa.Array) -> pa.Array:
-        bitmap, n_bits, sizes = shared.value
         sentences = tokens.flatten()
-        words, bounds = hashed_words(sentences.flatten()), sentence_bounds(sentences)
-        left = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(len(words))      # words to the sentence's end
-        places, lengths = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for k in sizes:
-            at = np.flatnonzero(left >= k)
-            one, two = bit_pair(gram_hashes(words, at, k), n_bits)
-            held = bitmap[one >> 3] >> (one & 7).astype(np.uint8) & bitmap[two >> 3] >> (two & 7).astype(np.uint8) & 1
-            places.append(at[held > 0])
-            lengths.append(np.full(len(places[-1]), k))
-        at, k = np.concatenate(places), np.concatenate(lengths)
-        order = np.argsort(at, kind="stable")
-        at, k = at[order], k[order]
-        sentence = np.searchsorted(bounds, at, "right") - 1
+        bounds = sentence_bounds(sentences)
+        sentence, at, k = places(string_hashes(sentences.flatten()), bounds, shared.value)
         return span_lists(tokens, np.bincount(sentence, minlength=len(bounds) - 1), at - bounds[sentence], k)
     return run
 
 
+def _places(shared, runs: bytes):
+    """From texts' ids and sentences: the places that may be names, with their text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.columns
+            words = Words(texts.flatten(), runs)
+            sentence, at, k = places(words.lower_hashes(), words.bounds, shared.value)
+            first = np.r_[0, np.cumsum(texts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]
+            text = np.searchsorted(first, sentence, "right") - 1
+            ints = [pa.array(x, pa.int32()) for x in (sentence - first[text], at - words.bounds[sentence], k)]
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(text)), *ints, words.texts(at, k)], ["_text_id", "s", "i", "k", "text"])
+    return run
+
+
+def _listed_names(shared, runs: bytes):
+    """The names in a text's sentences, told by their hashes."""
+    def run(texts: pa.Array) -> pa.Array:
+        words = Words(texts.flatten(), runs)
+        sentence, at, k = places(words.lower_hashes(), words.bounds, shared.value)
+        kept = apart(sentence, at, k)
+        sentence, at, k = sentence[kept], at[kept], k[kept]
+        return span_lists(texts, np.bincount(sentence, minlength=len(words.bounds) - 1), at - words.bounds[sentence], k)
+    return run
+
+
+def apart(s: np.ndarray, i: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Which of the names found (sentence, first word, words) are left, in text order:
+    leftmost-longest."""
+    order = np.lexsort((-k, i, s))
+    kept, now, end = [], -1, 0
+    for n, a, b, c in zip(order.tolist(), s[order].tolist(), i[order].tolist(), k[order].tolist(), strict=True):
+        if a != now or b >= end:
+            kept.append(n)
+            now, end = a, b + c
+    return np.array(kept, np.int64)
+
+
 def _leftmost_longest(found: pa.Array, sentences: pa.Array) -> pa.Array:
     """The names found in a text (sentence, first word, words) as ``SPANS``."""
-    counts, per, first, size = np.maximum(sentences.to_numpy(zero_copy_only=False), 0), [], [], []
-    for names, n in zip(found.to_pylist(), counts.tolist(), strict=True):
-        kept = [0] * n
-        for s, mine in itertools.groupby(sorted((x["s"], x["i"], -x["k"]) for x in names or []), lambda x: x[0]):
-            end = 0
-            for _, i, k in mine:
-                if i >= end:
-                    first.append(i)
-                    size.append(-k)
-                    kept[s] += 1
-                    end = i - k
-        per += kept
-    pairs = pa.StructArray.from_arrays([pa.array(first, pa.int32()), pa.array(size, pa.int32())], names=["i", "k"])
-    inner = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(per)], pa.int32()), pairs)
+    counts = np.maximum(sentences.to_numpy(zero_copy_only=False), 0)
+    per = found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    s, i, k = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in found.flatten().flatten())
+    s += np.repeat(np.cumsum(counts) - counts, per)                            # among all sentences
+    kept = apart(s, i, k)
+    pairs = pa.StructArray.from_arrays([pa.array(i[kept], pa.int32()), pa.array(k[kept], pa.int32())], names=["i", "k"])
+    inner = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(s[kept], minlength=int(counts.sum())))], pa.int32()), pairs)
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), inner)
 
 
 class DealtNames:
     """Names that are too many for an automaton, in a table with their words ``w``
-    in lower case. Texts are told apart by their MD5, so keys may repeat."""
+    in lower case. Two names count as one, or other words as a name, by a chance of
+    ``2 ** -64`` and ``2 ** -96`` a pair; more than ``max_listed`` names by none. There
+    texts are told apart by their MD5, so keys may repeat."""
 
-    def __init__(self, listed: DataFrame, max_bits: int = MAX_BITS):
+    def __init__(self, listed: DataFrame, max_bits: int = MAX_BITS, max_listed: int = MAX_LISTED):
         sizes = {r["k"]: r["n"] for r in listed.groupBy(F.size("w").alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
         n_bits = max(15, min(max_bits, (16 * sum(sizes.values())).bit_length()))
-        bits = (listed.select(F.explode(F.arrow_udf(_name_bits(n_bits), "array<bigint>")("w")).alias("bit"))
-                .select(F.shiftright("bit", 15).alias("part"), F.col("bit").bitwiseAND(2 ** 15 - 1).alias("bit"))
-                .repartition("part").groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")))
-        bitmap = np.zeros((2 ** (n_bits - 15), 2 ** 12), np.uint8)
-        for r in bits.toLocalIterator():
-            bitmap[r["part"]] = np.frombuffer(r["bits"], np.uint8)
         self.names = listed.select(F.array_join("w", " ").alias("_name"))
-        self.shared = listed.sparkSession.sparkContext.broadcast((bitmap.ravel(), n_bits, sorted(sizes)))
+        self.listed = sum(sizes.values()) <= max_listed
+        hashes, checks = self._gathered(listed, sum(sizes.values())) if self.listed else (None, None)
+        bitmap = np.zeros((2 ** (n_bits - 15), 2 ** 12), np.uint8)
+        if self.listed:
+            for bit in bit_pair(hashes, n_bits):
+                np.bitwise_or.at(bitmap.reshape(-1), bit >> 3, np.uint8(1) << (bit & 7).astype(np.uint8))
+        else:
+            bits = (listed.select(F.explode(F.arrow_udf(_name_bits(n_bits), "array<bigint>")("w")).alias("bit"))
+                    .select(F.shiftright("bit", 15).alias("part"), F.col("bit").bitwiseAND(2 ** 15 - 1).alias("bit"))
+                    .repartition("part").groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")))
+            for r in bits.toLocalIterator():
+                bitmap[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+        self.shared = listed.sparkSession.sparkContext.broadcast((bitmap.ravel(), n_bits, sorted(sizes), hashes, checks))
+
+    @staticmethod
+    def _gathered(listed: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The names' hashes, sorted, and their checks."""
+        hashes, checks, done = np.empty(n, np.uint64), np.empty(n, np.uint32), 0
+        for r in listed.mapInArrow(_hashed_names, "hash binary, check binary").toLocalIterator():
+            some = np.frombuffer(r["hash"], np.uint64)
+            hashes[done:done + len(some)], checks[done:done + len(some)] = some, np.frombuffer(r["check"], np.uint32)
+            done += len(some)
+        order = np.argsort(hashes)
+        return hashes[order], checks[order]
 
     def spans(self, df: DataFrame, text_col: str) -> DataFrame:
         """``df`` with ``sents``, ``_toks`` and ``_spans``."""
+        if self.listed:
+            found = F.arrow_udf(_listed_names(self.shared, letter_runs(df.sparkSession)), SPANS)
+            return with_words(df, text_col).withColumn("_spans", found("sents"))
         text_id = F.md5(F.col(text_col).cast("binary"))
-        maybe = F.arrow_udf(_may_be_names(self.shared), SPANS)
-        low = with_words(df.select(text_col).where(F.col(text_col).isNotNull()), text_col).select(
-            text_id.alias("_text_id"), lowered("_toks").alias("_low"))
-        place = F.flatten(F.transform("_places", lambda places, s: F.transform(places, lambda m: F.struct(
-            s.alias("s"), m["i"].alias("i"), m["k"].alias("k"),
-            F.array_join(F.slice(F.get("_low", s), m["i"] + 1, m["k"]), " ").alias("_name")))))
-        found = (low.withColumn("_places", maybe("_low")).select("_text_id", F.inline(place))
+        maybe = _places(self.shared, letter_runs(df.sparkSession))
+        found = (df.select(text_id.alias("_text_id"), split_sentences(F.col(text_col)).alias("sents"))
+                 .mapInArrow(maybe, "_text_id string, s int, i int, k int, text string")
+                 .select("_text_id", "s", "i", "k", F.lower("text").alias("_name"))
                  .join(self.names, "_name", "left_semi")
                  .groupBy("_text_id").agg(F.collect_set(F.struct("s", "i", "k")).alias("_found")))
         joined = df.withColumn("_text_id", text_id).join(found, "_text_id", "left")
@@ -314,21 +387,17 @@ def with_words(df: DataFrame, text_col: str) -> DataFrame:
             .withColumn("_toks", F.transform("sents", lambda s: F.regexp_extract_all(s, F.lit(WORD), 0))))
 
 
-def lowered(toks: str) -> Column:
-    return F.coalesce(F.transform(toks, lambda t: F.transform(t, F.lower)), F.array().cast("array<array<string>>"))
-
-
 class AutomatonTagger:
     """Gazetteer given as a DataFrame with a ``name`` column. ``key_col`` is not
     needed any more; it stays for callers that name it."""
 
     name = "gazetteer-automaton"
 
-    def __init__(self, names: DataFrame, key_col: str = "doc_id", max_words: int = MAX_WORDS):
+    def __init__(self, names: DataFrame, key_col: str = "doc_id", max_words: int = MAX_WORDS, max_listed: int = MAX_LISTED):
         words = F.transform(F.regexp_extract_all(F.col("name"), F.lit(WORD), 0), F.lower)
         listed = materialize(names.where("name is not null").select(words.alias("w")).where(F.size("w") > 0).distinct(), "names")
         total = listed.agg(F.sum(F.size("w"))).first()[0] or 0
-        self.dealt = DealtNames(listed) if total > max_words else None
+        self.dealt = DealtNames(listed, max_listed=max_listed) if total > max_words else None
         if not self.dealt:
             automaton = TokenAutomaton([r["w"] for r in listed.toLocalIterator()])
             self.shared = names.sparkSession.sparkContext.broadcast(automaton)
@@ -338,8 +407,8 @@ class AutomatonTagger:
         ``_spans``."""
         if self.dealt:
             return self.dealt.spans(df, text_col)
-        match = F.arrow_udf(_match(self.shared), SPANS)
-        return with_words(df, text_col).withColumn("_spans", match(lowered("_toks")))
+        match = F.arrow_udf(_match(self.shared, letter_runs(df.sparkSession)), SPANS)
+        return with_words(df, text_col).withColumn("_spans", match("sents"))
 
     def tag(self, df: DataFrame, text_col: str) -> DataFrame:
         return self.spans(df, text_col).withColumn("persons", span_texts("_toks", "_spans")).drop("_toks", "_spans")

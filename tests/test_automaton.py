@@ -93,3 +93,28 @@ def test_few_places_but_the_names_pass_the_bitmap(spark):
     full = A.DealtNames(listed, max_bits=15)                                   # a smaller bitmap lets more pass, the join drops them
     docs = spark.createDataFrame([(1, "Aa bb." * 3)], "doc_id long, text string")
     assert full.spans(docs, "text").first()._spans == [[]]
+
+
+def test_names_told_by_hashes_and_joined_names_give_the_same_places(spark):
+    draw = random.Random(9)
+    say = lambda n: " ".join(draw.choice(["Ab", "cd", "É", "é", "x", "ΟΔΟΣ", "no", "a-b"]) for _ in range(n))
+    texts = [say(draw.randrange(0, 30)).replace("no", "no. ") for _ in range(40)] + [None, "", "...", "Ab cd. " * 30]
+    docs = spark.createDataFrame([(i % 5, t) for i, t in enumerate(texts)] * 2, "doc_id long, text string").repartition(3)
+    names = spark.createDataFrame([(say(draw.randrange(1, 5)),) for _ in range(12)] + [("Ab cd Ab",), (None,)], "name string")
+    rows = lambda t: sorted(repr((r.doc_id, r.sents, r._toks, r._spans)) for r in t.spans(docs, "text").collect())
+    listed, joined = AutomatonTagger(names, max_words=3), AutomatonTagger(names, max_words=3, max_listed=0)
+    assert listed.dealt.listed and not joined.dealt.listed
+    assert rows(listed) == rows(joined) == rows(AutomatonTagger(names))
+    plan = listed.spans(docs.coalesce(1), "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_a_hash_alone_is_no_name(spark):
+    """Where the first 64 bits agree, the check decides."""
+    dealt = A.DealtNames(spark.createDataFrame([(["al", "bo"],), (["cy", "di"],)], "w array<string>"))
+    bitmap, n_bits, sizes, hashes, checks = dealt.shared.value
+    words, bounds = A.string_hashes(A.pa.array(["al", "bo", "cy", "di"])), np.array([0, 4])
+    assert A.places(words, bounds, dealt.shared.value)[1].tolist() == [0, 2]
+    wrong = checks.copy()
+    wrong[hashes == A.gram_hashes(words, np.array([0]), 2)[0]] += 1
+    assert A.places(words, bounds, (bitmap, n_bits, sizes, hashes, wrong))[1].tolist() == [2]

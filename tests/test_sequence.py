@@ -114,3 +114,33 @@ def test_counts_in_parts_and_codes_by_expression(spark, monkeypatch):
     by_spark = spark.createDataFrame([(w,) for w in words], "w string").select(
         "w", (F.conv(F.substring(F.md5(F.col("w").cast("binary")), 1, SQ.HEX), 16, 10).cast("int") * SQ.SHAPES + kind).alias("c")).collect()
     assert [r.c for r in by_spark] == [SQ.word_code(r.w) for r in by_spark]
+
+
+def test_paths_in_groups_and_one_by_one():
+    """Sentences of unlike lengths, whatever the number followed at once."""
+    draw = np.random.default_rng(4)
+    for trial in range(60):
+        high = (1, 3, 2000)[trial % 3]
+        steps = draw.integers(0, high, (4, 4))
+        if trial % 2:
+            steps[[SQ.OUTSIDE, SQ.EDGE], SQ.LATER] = SQ.NEVER
+        sizes = draw.integers(0, 7, draw.integers(0, 40))
+        costs, bounds = draw.integers(0, high, (sizes.sum(), SQ.TAGS)), np.r_[0, np.cumsum(sizes)]
+        symbol = draw.permutation(len(costs))
+        want = [t for lo, hi in itertools.pairwise(bounds.tolist()) for t in brute(costs[symbol[lo:hi]].tolist(), steps)]
+        for few, at_once in ((0, 1000), (2, 3), (5, 16), (100, 1000)):
+            assert SQ.cheapest_paths(costs, symbol, bounds, steps, few, at_once).tolist() == want
+
+
+def test_counts_and_decoding_cut_no_words_in_the_plan(spark):
+    """Names too many for an automaton: no shuffle, no join, no word as a string of its own."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["Al Bo met Cy. Al Bo went", "Cy Di. no", None, "", "AL BO. al bo cy di"])], "doc_id long, text string")
+    names = spark.createDataFrame([("Al Bo",), ("Cy Di",), ("Cy",)], "name string")
+    rows = lambda t: sorted(map(repr, SQ.tag_counts(SQ.tagged_sentences(t.spans(docs, "text"))).collect()))
+    listed, joined = AutomatonTagger(names, max_words=2), AutomatonTagger(names, max_words=2, max_listed=1)
+    assert listed.dealt.listed and not joined.dealt.listed
+    assert rows(listed) == rows(joined) == rows(AutomatonTagger(names))
+    model = SQ.SequenceModel.learn(SQ.tagged_sentences(listed.spans(docs, "text")), rare=1)
+    for df in (SQ.tagged_sentences(listed.spans(docs, "text")), SQ.SequenceTagger(model).tag(docs, "text")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan and "regexp_extract_all" not in plan
