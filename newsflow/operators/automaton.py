@@ -299,22 +299,24 @@ def _listed_names(shared, runs: bytes):
     def run(texts: pa.Array) -> pa.Array:
         words = Words(texts.flatten(), runs)
         sentence, at, k = places(words.lower_hashes(), words.bounds, shared.value)
-        kept = apart(sentence, at, k)
+        kept = apart(at, k)
         sentence, at, k = sentence[kept], at[kept], k[kept]
         return span_lists(texts, np.bincount(sentence, minlength=len(words.bounds) - 1), at - words.bounds[sentence], k)
     return run
 
 
-def apart(s: np.ndarray, i: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Which of the names found (sentence, first word, words) are left, in text order:
-    leftmost-longest."""
-    order = np.lexsort((-k, i, s))
-    kept, now, end = [], -1, 0
-    for n, a, b, c in zip(order.tolist(), s[order].tolist(), i[order].tolist(), k[order].tolist(), strict=True):
-        if a != now or b >= end:
-            kept.append(n)
-            now, end = a, b + c
-    return np.array(kept, np.int64)
+def apart(at: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Which of the names found (first word, words) are left, in text order: leftmost-longest."""
+    order = np.lexsort((k, at))
+    order = order[np.r_[at[order][1:] != at[order][:-1], np.ones(min(len(at), 1), bool)]]      # the longest from each place
+    first, end = at[order], at[order] + k[order]
+    kept = np.r_[np.ones(min(len(order), 1), bool), first[1:] >= np.maximum.accumulate(end)[:-1]]
+    last = 0
+    for n in np.flatnonzero(~kept).tolist():             # in the way of one before, if that is left
+        last = end[n - 1] if kept[n - 1] else last
+        if first[n] >= last:
+            kept[n], last = True, end[n]
+    return order[kept]
 
 
 def _leftmost_longest(found: pa.Array, sentences: pa.Array) -> pa.Array:
@@ -323,7 +325,7 @@ def _leftmost_longest(found: pa.Array, sentences: pa.Array) -> pa.Array:
     per = found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     s, i, k = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in found.flatten().flatten())
     s += np.repeat(np.cumsum(counts) - counts, per)                            # among all sentences
-    kept = apart(s, i, k)
+    kept = apart(s << 32 | i, k)
     pairs = pa.StructArray.from_arrays([pa.array(i[kept], pa.int32()), pa.array(k[kept], pa.int32())], names=["i", "k"])
     inner = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.bincount(s[kept], minlength=int(counts.sum())))], pa.int32()), pairs)
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), inner)

@@ -134,7 +134,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.add.at(n, which, np.concatenate([n for _, n in parts]))
         return key, n
 
-    parts, held = [], 0
+    parts, held, keys = [], 0, []
     for batch in batches:
         words, bounds = batch.column(0).flatten(), sentence_bounds(batch.column(0))
         code = words.to_numpy(zero_copy_only=False) if pa.types.is_integer(words.type) else sentence_codes(words, bounds)
@@ -142,7 +142,11 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, (first, end) = np.r_[EDGE, tag[:-1]], (bounds[:-1], bounds[1:])
         before[first] = EDGE
         key = np.r_[(before * 4 + tag) * CODES + code + 1, (tag[end - 1] * 4 + EDGE) * CODES]
-        parts.append(np.unique(key, return_counts=True))
+        keys.append(key)
+        if sum(map(len, keys)) < HELD // 2:
+            continue
+        parts.append(np.unique(np.concatenate(keys), return_counts=True))
+        keys = []
         held += len(parts[-1][0])
         if held > HELD:
             parts = [merged(parts)]
@@ -150,6 +154,8 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if held > HELD // 2:
                 yield table(*parts[0])
                 parts, held = [], 0
+    if keys:
+        parts.append(np.unique(np.concatenate(keys), return_counts=True))
     if parts:
         yield table(*merged(parts))
 

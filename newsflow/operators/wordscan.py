@@ -30,7 +30,7 @@ LONG = 64                                  # words of more bytes are hashed one
 ODD = np.uint64(0x9E3779B97F4A7C15)
 HALF = np.uint64(32)
 FIRST_OF_8 = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
-LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+LOWER = bytes(range(256)).lower()
 LETTER, CHANGES, CAPITAL = 1, 2, 4
 _RUNS: dict[str, bytes] = {}
 
@@ -74,6 +74,11 @@ def side_by_side(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, begin
 
 
+def translated(data: np.ndarray, table: bytes) -> np.ndarray:
+    """``table[data]``, several times as fast."""
+    return np.frombuffer(bytearray(data).translate(table), np.uint8)
+
+
 class Words:
     """Words of sentences: word ``w`` is ``data[start[w]:end[w]]``, those of
     sentence ``s`` are ``bounds[s]`` to ``bounds[s + 1]``."""
@@ -81,8 +86,7 @@ class Words:
     def __init__(self, sentences: pa.Array, runs: bytes):
         table = letter_table(runs)
         self.data, begin = side_by_side(sentences)
-        ascii_ = np.r_[table[:128], np.zeros(128, np.uint8)]
-        self.kind = ascii_[self.data[:len(self.data) - PAD]]       # of the letter that a byte belongs to
+        self.kind = translated(self.data[:len(self.data) - PAD], table[:128].tobytes() + bytes(128))      # of the letter that a byte belongs to
         lead = np.flatnonzero(self.data >= 0xC0)
         sort, long = table[code_points(self.data, lead)], self.data[lead]
         lead, sort, long = lead[sort > 0], sort[sort > 0], long[sort > 0]
@@ -99,7 +103,7 @@ class Words:
 
     def lower_hashes(self) -> np.ndarray:
         """Of the words in lower case."""
-        out = byte_hashes(LOWER[self.data], self.start, self.end)
+        out = byte_hashes(translated(self.data, LOWER), self.start, self.end)
         some = np.unique(np.searchsorted(self.start, self.changing, "right") - 1)
         if len(some):
             word, which = np.unique(out[some], return_inverse=True)
