@@ -95,6 +95,12 @@ class TokenAutomaton:
         i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where((self.keys[i] == key) & (word >= 0), self.child[i], -1)
 
+    def child_of(self, state: int, word: int) -> int:
+        """:meth:`go` for one state and word."""
+        key = state * len(self.words) + word
+        i = int(self.keys.searchsorted(key))
+        return int(self.child[i]) if i < len(self.keys) and self.keys[i] == key else -1
+
     def word_ids(self, words: list[str]) -> np.ndarray:
         """Numbers of the words; -1 for those in no name."""
         return self.ids_of(string_hashes(pa.array(words, pa.string())))
@@ -121,7 +127,7 @@ class Matcher:
         to = self.seen.get(key)
         if to is None:
             s = state
-            while (to := int(a.go(np.array([s]), np.array([word]))[0])) < 0 and s:
+            while (to := a.child_of(s, word)) < 0 and s:
                 s = int(a.fail[s])
             if len(self.seen) >= _REMEMBERED:
                 self.seen.clear()
